@@ -12,19 +12,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tarn.session import cut_lineage
 
 
-def ancestors(snapshots: DataFrame, head: int) -> DataFrame:
-    """The snapshot and its ancestors with their distance: (snapshot_id, depth).
+def branch_ancestors(snapshots: DataFrame, heads: DataFrame) -> DataFrame:
+    """All ancestors of each head, itself included: (head_id, snapshot_id, depth).
 
     Walks by doubling: after the k-th round all ancestors up to 2^k - 1 steps
     away are known, so a history of a million commits takes twenty joins.
     """
-    edges = cut_lineage(snapshots.where("parent_id IS NOT NULL").select(
+    jump = cut_lineage(snapshots.where("parent_id IS NOT NULL").select(
         F.col("snapshot_id").alias("from_id"), F.col("parent_id").alias("to_id")))
-    found = snapshots.where(F.col("snapshot_id") == head).select("snapshot_id", F.lit(0).alias("depth"))
-    hops, jump = 1, edges
+    found = heads.select(F.col("snapshot_id").alias("head_id"), "snapshot_id", F.lit(0).alias("depth"))
+    hops = 1
     while not jump.isEmpty():
         further = found.join(jump, F.col("snapshot_id") == F.col("from_id")).select(
-            F.col("to_id").alias("snapshot_id"), (F.col("depth") + hops).alias("depth"))
+            "head_id", F.col("to_id").alias("snapshot_id"), (F.col("depth") + hops).alias("depth"))
         found = cut_lineage(found.union(further))
         jump = cut_lineage(jump.alias("a").join(jump.alias("b"), F.col("a.to_id") == F.col("b.from_id"))
                            .select("a.from_id", "b.to_id"))
@@ -32,6 +32,12 @@ def ancestors(snapshots: DataFrame, head: int) -> DataFrame:
     return found
 
 
+def ancestors(snapshots: DataFrame, head: int) -> DataFrame:
+    """The snapshot and its ancestors with their distance: (snapshot_id, depth)."""
+    heads = snapshots.where(F.col("snapshot_id") == head)
+    return branch_ancestors(snapshots, heads).select("snapshot_id", "depth")
+
+
 def chain(snapshots: DataFrame, head: int) -> DataFrame:
     """Rows of the snapshots table on the lineage of the head, with their depth."""
     return snapshots.join(ancestors(snapshots, head), "snapshot_id")
