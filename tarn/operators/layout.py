@@ -46,3 +46,103 @@ def write_order(spec: list[PartitionField], order: list[SortTerm]) -> list[SortT
         if not any(term.field.satisfies(field) for term in order[: len(spec)]):
             missing.append(SortTerm(field.source, transform=field.transform, arg=field.arg, data_type=field.data_type))
     return missing + list(order)
+
+
+def distribute(df: DataFrame, mode: str = "none", spec: list[PartitionField] | None = None,
+               order: list[SortTerm] | None = None, writers: int | None = None) -> DataFrame:
+    """Shuffle rows for writing: not at all, by hash of the partition, or by range of the sort order.
+
+    Hash distribution sends one partition's rows to one writer; where a
+    partition may hold a large share of the rows, range distribution over the
+    full order splits it.
+    """
+    terms = sort_columns(order) if order else []
+    if mode == "none":
+        return df.sortWithinPartitions(*terms) if terms else df
+    if mode == "hash":
+        keys = [f.value(F.col(f.source)) for f in spec]
+        out = df.repartition(writers, *keys) if writers else df.repartition(*keys)
+        return out.sortWithinPartitions(*(terms or keys))
+    if mode == "range":
+        out = df.repartitionByRange(writers, *terms) if writers else df.repartitionByRange(*terms)
+        return out.sortWithinPartitions(*terms)
+    raise ValueError(f"unknown distribution {mode}")
+
+
+def distribute_by_key(df: DataFrame, keys: list[str], writers: int) -> DataFrame:
+    """All rows of an equality key on one writer, as upserts need."""
+    return df.repartition(writers, *keys)
+
+
+def zorder_layout(df: DataFrame, columns: list[tuple[str, str]], writers: int, partition: list[str] = (),
+                  string_width: int = 8) -> DataFrame:
+    """Rows clustered along the z-order curve of (column, type) pairs; identity partition columns are left out of it."""
+    used = [(F.col(c), t) for c, t in columns if c not in partition]
+    if not used:
+        raise ValueError("no column left to cluster by")
+    keyed = df.withColumn("_z", zorder_key(used, string_width))
+    order = [*partition, "_z"]
+    return keyed.repartitionByRange(writers, *order).sortWithinPartitions(*order).drop("_z")
+
+
+def bucket_writer(bucket: Column, buckets: int, writers: int, spread: Column) -> Column:
+    """Writer of a bucketed row.
+
+    With no more writers than buckets, bucket modulo writers.  With more, each
+    bucket has the writers bucket, bucket + buckets, ... and its rows rotate
+    over them by ``spread`` (a hash or counter of the row).
+    """
+    if writers <= buckets:
+        return (bucket % writers).cast("int")
+    own = F.lit(writers // buckets) + F.when(bucket < writers % buckets, 1).otherwise(0)
+    return (bucket + F.lit(buckets) * F.pmod(spread, own)).cast("int")
+
+
+def route_to_writers(df: DataFrame, writer: Column, writers: int) -> DataFrame:
+    """Rows on the writer their id says, unchanged by adaptive execution."""
+    return df.withColumn("_writer", writer.cast("int")).repartitionById(writers, "_writer").drop("_writer")
+
+
+def key_weights(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count("*").alias("weight"))
+
+
+def assign_writers(weights: DataFrame, key: str, chunk: Column, writers: int, close_cost_percent: float = 0.0) -> DataFrame:
+    """Writer range of each key: keys in order share the writers by weight, a heavy key spans several.
+
+    Each file a key is split into costs an extra share of a writer's target.
+    Adds the key's place ``_from``..``_to`` on the line of all weights and the
+    length ``_span`` of a writer on it.  ``chunk`` must grow with the key.
+    """
+    from tarn.operators.windows import running
+
+    total = weights.agg(F.sum("weight").alias("total"))
+    even = F.col("total") / writers
+    cost = F.ceil(even * close_cost_percent / 100)
+    line = weights.join(F.broadcast(total))  # one row: the total
+    padded = (line.withColumn("_padded", F.col("weight") + cost * F.ceil(F.col("weight") / even)).drop("total"))
+    placed = running(padded, [], [key], chunk, F.col("_padded"), "_to")
+    span = placed.agg(F.ceil(F.max("_to") / writers).alias("_span"))
+    ranged = placed.withColumn("_from", F.col("_to") - F.col("_padded")).join(F.broadcast(span))
+    return ranged.withColumns({"first_writer": F.floor(F.col("_from") / F.col("_span")).cast("int"),
+                               "last_writer": F.floor((F.col("_to") - 1) / F.col("_span")).cast("int")})
+
+
+def skew_aware_writer(df: DataFrame, key: str, assignment: DataFrame, writers: int, spread: Column) -> DataFrame:
+    """Rows with ``_writer``: a point in the key's weight range picks the writer; unknown keys go anywhere."""
+    ranges = assignment.select(key, "_from", "_padded", "_span")
+    point = F.col("_from") + F.pmod(spread, F.col("_padded"))
+    writer = F.coalesce(F.floor(point / F.col("_span")), F.pmod(spread, F.lit(writers))).cast("int")
+    return df.join(ranges, key, "left").withColumn("_writer", writer).drop("_from", "_padded", "_span")
+
+
+def sample_size(partitions: int) -> int:
+    """Sample rows for range bounds: 100 per partition, between ten thousand and a million."""
+    return min(max(100 * partitions, 10_000), 1_000_000)
+
+
+def range_bounds(df: DataFrame, column: str, partitions: int) -> DataFrame:
+    """Upper bounds of equal-weight ranges of a numeric or time column, as (range, bound) rows."""
+    shares = [i / partitions for i in range(1, partitions)]
+    bounds = df.agg(F.percentile_approx(column, shares, sample_size(partitions)).alias("b"))
+    return bounds.select(F.posexplode("b").alias("range", "bound"))

@@ -65,7 +65,7 @@ def _target_side(target: DataFrame, source: DataFrame, on: list[str], matched: l
     t = target.select(F.struct(*target.columns).alias("t"))
     joined = t.join(per_key, [F.col(f"t.{k}") == F.col(f"_k_{k}") for k in on], "left")
     is_match = F.col("_rows").isNotNull()
-    number = lambda clauses, base: _first_true(clauses, lambda i, _: F.lit(base + i)) or F.lit(-1)
+    number = lambda clauses, base: _first_true(clauses, lambda i, _: F.lit(base + i)) if clauses else F.lit(-1)
     choice = F.when(is_match, number(matched, 0)).otherwise(number(unmatched, len(matched)))
     if matched:
         choice = F.when(F.col("_rows") > 1, F.raise_error(F.lit(

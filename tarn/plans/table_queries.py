@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarn.functions import transforms as tr
-from tarn.operators import changes as ch, deletes as dl, lineage as ln, merge as mg, skipping as sk, stats as st
+from tarn.operators import changes as ch, deletes as dl, lineage as ln, merge as mg, sinks as sn, skipping as sk, stats as st
 from tarn.plans import fixtures as fx
 from tarn.plans.registry import Tables, query
 from tarn.session import scratch
+from tarn.sources.files import with_positions
 
 FILES = f"files AS ({fx.FILES_SQL})"
 SNAPS = f"snapshots AS ({fx.SNAPSHOTS_SQL})"
@@ -95,7 +96,6 @@ def delete_cow(t: Tables):
 @query("delete_mor", f"SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag FROM lineitem WHERE coalesce(NOT ({HIT}), TRUE)")
 def delete_mor(t: Tables):
     """Position deletes written and then applied: the same rows as the copy-on-write form."""
-    from tarn.sources.files import with_positions
     rows = with_positions(t.lineitem).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "_file", "_pos").withColumn("sequence_number", F.lit(1))
     found = mg.delete_where(rows, F.expr(HIT), "merge-on-read").withColumn("sequence_number", F.lit(1))
     return dl.apply_position_deletes(rows, found, "_file", "_pos").drop("_file", "_pos", "sequence_number")
@@ -222,29 +222,26 @@ def row_lineage(t: Tables):
 SELECT o_orderkey, o_orderstatus, 'old' AS origin FROM orders WHERE o_orderstatus NOT IN (SELECT DISTINCT o_orderstatus FROM orders WHERE o_totalprice > 499000 AND o_orderstatus <> 'F')
 UNION ALL SELECT o_orderkey, o_orderstatus, 'new' FROM orders WHERE o_totalprice > 499000 AND o_orderstatus <> 'F'""")
 def overwrite_partitions(t: Tables):
-    from tarn.operators.sinks import overwrite_partitions as overwrite
     rows = t.orders.select("o_orderkey", "o_orderstatus", F.lit("old").alias("origin"))
     new = t.orders.where("o_totalprice > 499000 AND o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus", F.lit("new").alias("origin"))
-    return overwrite(rows, new, ["o_orderstatus"])
+    return sn.overwrite_partitions(rows, new, ["o_orderstatus"])
 
 
 @query("overwrite_by_filter", """
 SELECT o_orderkey, p FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_totalprice END AS p FROM orders) WHERE p <= 300000 OR p IS NULL
 UNION ALL SELECT o_orderkey, 400000.0 FROM orders WHERE o_orderkey % 10 = 0""")
 def overwrite_by_filter(t: Tables):
-    from tarn.operators.sinks import overwrite_by_filter as overwrite
     rows = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 50 != 0, F.col("o_totalprice")).alias("p"))
     new = t.orders.where("o_orderkey % 10 = 0").select("o_orderkey", F.lit(400000.0).alias("p"))
-    return overwrite(rows, new, F.col("p") > 300000)
+    return sn.overwrite_by_filter(rows, new, F.col("p") > 300000)
 
 
 @query("bucketed_join", """
 SELECT o_orderkey, o_orderstatus, l_linenumber, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
 def bucketed_join(t: Tables):
     """Two tables stored in the same buckets, joined without a shuffle."""
-    from tarn.operators.sinks import write_bucketed
-    left = write_bucketed(t.orders.select("o_orderkey", "o_orderstatus"), ["o_orderkey"], 8, scratch(t.spark, "bucketed"))
-    right = write_bucketed(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey"], 8, scratch(t.spark, "bucketed"))
+    left = sn.write_bucketed(t.orders.select("o_orderkey", "o_orderstatus"), ["o_orderkey"], 8, scratch(t.spark, "bucketed"))
+    right = sn.write_bucketed(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey"], 8, scratch(t.spark, "bucketed"))
     return left.hint("merge").join(right, left.o_orderkey == right.l_orderkey).drop("l_orderkey")
 
 
