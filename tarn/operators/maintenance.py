@@ -75,8 +75,8 @@ def _delete_heavy(files: DataFrame, sizing: Sizing) -> Column:
     if "delete_file_count" in files.columns:
         heavy = heavy | F.coalesce(F.col("delete_file_count") >= sizing.delete_files, F.lit(False))
     if "deleted_records" in files.columns:
-        ratio = F.least("deleted_records", "record_count") / F.col("record_count")
-        heavy = heavy | F.coalesce(ratio >= sizing.delete_ratio, F.lit(False))
+        known = F.coalesce(F.col("deleted_records"), F.lit(0))
+        heavy = heavy | (F.least(known, F.col("record_count")) >= F.col("record_count") * sizing.delete_ratio) & (known > 0)
     return heavy
 
 

@@ -281,7 +281,7 @@ def table_changes(t: Tables):
 
 
 @query("maintenance_trigger", f"""
-WITH RECURSIVE {FILES}, commits AS (SELECT part, sequence_number AS s, sum(record_count)::BIGINT AS n, row_number() OVER (PARTITION BY part ORDER BY sequence_number) AS i FROM files GROUP BY ALL),
+WITH RECURSIVE {FILES}, commits AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY s) AS i FROM (SELECT part, sequence_number AS s, sum(record_count)::BIGINT AS n FROM files GROUP BY ALL)),
 w AS (SELECT part, s, i, CASE WHEN n >= 900 THEN 0 ELSE n END AS total, n >= 900 AS fires FROM commits WHERE i = 1
   UNION ALL SELECT c.part, c.s, c.i, CASE WHEN w.total + c.n >= 900 THEN 0 ELSE w.total + c.n END, w.total + c.n >= 900
   FROM w JOIN commits c ON c.part IS NOT DISTINCT FROM w.part AND c.i = w.i + 1)
