@@ -13,7 +13,8 @@ from tarn.streaming import enrich as en, run, tables as tb, windows as sw
 
 
 def event_stream(t: Tables):
-    return file_stream(t.spark, t.path("events"), t.events.schema)
+    """The events table as a file stream; a pattern, since a plain path would have to be a folder."""
+    return file_stream(t.spark, t.path("event[s]"), t.events.schema)
 
 
 @query("file_stream_parquet", "SELECT event_id, ts, user_id FROM events")

@@ -25,7 +25,7 @@ def with_positions(df: DataFrame, file: str = "_file", pos: str = "_pos") -> Dat
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                 files_per_trigger: int | None = None) -> DataFrame:
-    """Stream over a growing folder; new files are found at every trigger."""
+    """Stream over a growing folder, or the files and folders a pattern names; new files are found at every trigger."""
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
