@@ -261,8 +261,29 @@ def _any_of(terms: list[Column]) -> Column:
     return out
 
 
-def register_sql_functions(spark) -> None:
-    """Make the byte-string bucket hashes callable from SQL text."""
-    spark.udf.register("tarn_hash_string", _hash_utf8)
-    spark.udf.register("tarn_hash_binary", _hash_binary)
-    spark.udf.register("tarn_hash_decimal", _hash_decimal)
+_SQL_FUNCTIONS = {
+    "bucket(n INT, v BIGINT) RETURNS INT":
+        "CASE WHEN v IS NOT NULL THEN (hash({zero}, v) & 2147483647) % n END",
+    "bucket_date(n INT, v DATE) RETURNS INT":
+        "CASE WHEN v IS NOT NULL THEN (hash({zero}, CAST(unix_date(v) AS BIGINT)) & 2147483647) % n END",
+    "bucket_timestamp(n INT, v TIMESTAMP_NTZ) RETURNS INT":
+        "CASE WHEN v IS NOT NULL THEN (hash({zero}, v) & 2147483647) % n END",
+    "truncate(w BIGINT, v BIGINT) RETURNS BIGINT": "v - pmod(v, w)",
+    "truncate_string(w INT, v STRING) RETURNS STRING": "substring(v, 1, w)",
+    "years(v TIMESTAMP_NTZ) RETURNS INT": "year(v) - 1970",
+    "months(v TIMESTAMP_NTZ) RETURNS INT": "(year(v) - 1970) * 12 + month(v) - 1",
+    "days(v TIMESTAMP_NTZ) RETURNS INT": "unix_date(CAST(v AS DATE))",
+    "hours(v TIMESTAMP_NTZ) RETURNS INT": "unix_date(CAST(v AS DATE)) * 24 + hour(v)",
+}
+
+
+def register_sql_functions(spark, prefix: str = "tarn_") -> None:
+    """Make the transforms callable from SQL text.
+
+    All but the byte-string hashes are SQL functions, which the optimizer puts
+    in line like any expression.
+    """
+    for head, body in _SQL_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{head} RETURN {body.format(zero=_ZERO_SEED)}")
+    for kind, fn in (("string", _hash_utf8), ("binary", _hash_binary), ("decimal", _hash_decimal)):
+        spark.udf.register(f"{prefix}hash_{kind}", fn)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tarn.util import int_div
+
 CHANGE_TYPE, ORDINAL, SNAPSHOT = "_change_type", "_change_ordinal", "_commit_snapshot_id"
 METADATA = (CHANGE_TYPE, ORDINAL, SNAPSHOT)
 COPIES_PER_ROW = 100_000
@@ -24,7 +26,7 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     n = F.col(times)
     few = df.where((n > 0) & (n <= COPIES_PER_ROW))
     many = df.where(n > COPIES_PER_ROW)
-    pieces = (many.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / COPIES_PER_ROW))))
+    pieces = (many.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), int_div(n - 1, COPIES_PER_ROW))))
               .withColumn(times, F.least(F.lit(COPIES_PER_ROW).cast("bigint"), n - F.col("_piece") * COPIES_PER_ROW)))
     spread = pieces.repartition("_piece").drop("_piece")
     every = few.union(spread)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarn.operators.windows import running
+from tarn.util import small_side
 
 
 def _newest(deletes: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -123,4 +124,4 @@ def first_row_ids(files: DataFrame, order: list[str], chunk: Column) -> DataFram
 def row_lineage(rows: DataFrame, files: DataFrame, file: str, pos: str) -> DataFrame:
     """Rows with ``_row_id`` and the sequence number that last wrote them."""
     heads = files.select(file, "first_row_id", F.col("sequence_number").alias("_last_updated_sequence_number"))
-    return rows.join(heads, file).withColumn("_row_id", F.col("first_row_id") + F.col(pos)).drop("first_row_id")
+    return rows.join(small_side(heads), file).withColumn("_row_id", F.col("first_row_id") + F.col(pos)).drop("first_row_id")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarn.functions.transforms import PartitionField
 from tarn.functions.zorder import zorder_key
+from tarn.operators.windows import running
+from tarn.util import int_div, tie_breaker
 
 
 @dataclass(frozen=True)
@@ -52,19 +54,21 @@ def distribute(df: DataFrame, mode: str = "none", spec: list[PartitionField] | N
                order: list[SortTerm] | None = None, writers: int | None = None) -> DataFrame:
     """Shuffle rows for writing: not at all, by hash of the partition, or by range of the sort order.
 
-    Hash distribution sends one partition's rows to one writer; where a
-    partition may hold a large share of the rows, range distribution over the
-    full order splits it.
+    Hash distribution keeps a partition's rows together but is a rebalancing
+    one: adaptive execution splits a partition far larger than the others over
+    several writers.  Range distribution ends in a hash of the row, so rows that
+    share one sort value are split too.
     """
     terms = sort_columns(order) if order else []
     if mode == "none":
         return df.sortWithinPartitions(*terms) if terms else df
     if mode == "hash":
-        keys = [f.value(F.col(f.source)) for f in spec]
-        out = df.repartition(writers, *keys) if writers else df.repartition(*keys)
-        return out.sortWithinPartitions(*(terms or keys))
+        keys = {f"_p{i}": f.value(F.col(f.source)) for i, f in enumerate(spec)}
+        out = df.withColumns(keys).hint("rebalance", *([writers] if writers else []), *keys)
+        return out.sortWithinPartitions(*(terms or keys)).drop(*keys)
     if mode == "range":
-        out = df.repartitionByRange(writers, *terms) if writers else df.repartitionByRange(*terms)
+        bounds = [*terms, tie_breaker(df)]
+        out = df.repartitionByRange(writers, *bounds) if writers else df.repartitionByRange(*bounds)
         return out.sortWithinPartitions(*terms)
     raise ValueError(f"unknown distribution {mode}")
 
@@ -82,7 +86,8 @@ def zorder_layout(df: DataFrame, columns: list[tuple[str, str]], writers: int, p
         raise ValueError("no column left to cluster by")
     keyed = df.withColumn("_z", zorder_key(used, string_width))
     order = [*partition, "_z"]
-    return keyed.repartitionByRange(writers, *order).sortWithinPartitions(*order).drop("_z")
+    spread = keyed.repartitionByRange(writers, *order, tie_breaker(df))
+    return spread.sortWithinPartitions(*order).drop("_z")
 
 
 def bucket_writer(bucket: Column, buckets: int, writers: int, spread: Column) -> Column:
@@ -114,25 +119,22 @@ def assign_writers(weights: DataFrame, key: str, chunk: Column, writers: int, cl
     Adds the key's place ``_from``..``_to`` on the line of all weights and the
     length ``_span`` of a writer on it.  ``chunk`` must grow with the key.
     """
-    from tarn.operators.windows import running
-
-    total = weights.agg(F.sum("weight").alias("total"))
-    even = F.col("total") / writers
-    cost = F.ceil(even * close_cost_percent / 100)
-    line = weights.join(F.broadcast(total))  # one row: the total
-    padded = (line.withColumn("_padded", F.col("weight") + cost * F.ceil(F.col("weight") / even)).drop("total"))
+    even = weights.agg(F.sum("weight") / writers).scalar()
+    cost = F.ceil(F.col("_even") * close_cost_percent / 100)
+    padded = (weights.withColumn("_even", even)
+              .withColumn("_padded", F.col("weight") + cost * F.ceil(F.col("weight") / F.col("_even"))).drop("_even"))
     placed = running(padded, [], [key], chunk, F.col("_padded"), "_to")
-    span = placed.agg(F.ceil(F.max("_to") / writers).alias("_span"))
-    ranged = placed.withColumn("_from", F.col("_to") - F.col("_padded")).join(F.broadcast(span))
-    return ranged.withColumns({"first_writer": F.floor(F.col("_from") / F.col("_span")).cast("int"),
-                               "last_writer": F.floor((F.col("_to") - 1) / F.col("_span")).cast("int")})
+    span = padded.agg(F.ceil(F.sum("_padded") / writers)).scalar()
+    ranged = placed.withColumns({"_from": F.col("_to") - F.col("_padded"), "_span": span})
+    return ranged.withColumns({"first_writer": int_div(F.col("_from"), F.col("_span")).cast("int"),
+                               "last_writer": int_div(F.col("_to") - 1, F.col("_span")).cast("int")})
 
 
 def skew_aware_writer(df: DataFrame, key: str, assignment: DataFrame, writers: int, spread: Column) -> DataFrame:
     """Rows with ``_writer``: a point in the key's weight range picks the writer; unknown keys go anywhere."""
     ranges = assignment.select(key, "_from", "_padded", "_span")
     point = F.col("_from") + F.pmod(spread, F.col("_padded"))
-    writer = F.coalesce(F.floor(point / F.col("_span")), F.pmod(spread, F.lit(writers))).cast("int")
+    writer = F.coalesce(int_div(point, F.col("_span")), F.pmod(spread, F.lit(writers))).cast("int")
     return df.join(ranges, key, "left").withColumn("_writer", writer).drop("_from", "_padded", "_span")
 
 

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tarn.operators.windows import running
 from tarn.session import cut_lineage
+from tarn.util import int_div, small_side
 
 
 def branch_ancestors(snapshots: DataFrame, heads: DataFrame) -> DataFrame:
@@ -118,11 +120,12 @@ START_STRATEGIES = ("full_then_incremental", "latest_inclusive", "latest_exclusi
                     "from_id_inclusive", "from_timestamp_inclusive")
 
 
-def start_reading(line: DataFrame, strategy: str, snapshot_id: int | None = None, at: Column | None = None) -> DataFrame:
+def start_reading(line: DataFrame, strategy: str, snapshot_id: int | None = None, at: Column | None = None,
+                  max_snapshots: int | None = None) -> DataFrame:
     """What a stream read starts with: the snapshots to read, and whether as full table or increment.
 
     A timestamp between two commits starts at the later one.  Increments are of
-    append snapshots only.
+    append snapshots only, oldest first where their number per round is limited.
     """
     appends = line.where("operation = 'append'").select("snapshot_id", F.lit("incremental").alias("read_as"), "depth", "committed_at")
     if strategy == "full_then_incremental":
@@ -139,9 +142,73 @@ def start_reading(line: DataFrame, strategy: str, snapshot_id: int | None = None
         out = appends.where(F.col("committed_at") >= at)
     else:
         raise ValueError(f"unknown strategy {strategy}")
+    if max_snapshots and "depth" in out.columns:
+        out = out.orderBy(F.desc("depth")).limit(max_snapshots)
     return out.select("snapshot_id", "read_as")
 
 
+def streamable(line: DataFrame, skip_delete: bool = False, skip_overwrite: bool = False) -> DataFrame:
+    """Snapshots a stream read takes rows from: the appends.
+
+    Rewrites hold no new rows.  A delete or overwrite is an error unless it is
+    to be skipped.
+    """
+    op = F.col("operation")
+    refuse = lambda kind, skip: F.lit(False) if skip else F.raise_error(F.lit(f"cannot stream a {kind} snapshot")).cast("boolean")
+    take = F.when(op == "append", True).when(op == "delete", refuse("delete", skip_delete)) \
+        .when(op == "overwrite", refuse("overwrite", skip_overwrite)).otherwise(False)
+    return line.where(take)
+
+
+def read_batches(files: DataFrame, order: list[str], chunk: Column, max_rows: int | None = None,
+                 max_files: int | None = None) -> DataFrame:
+    """Files in reading order with the number of the batch each is read in.
+
+    A batch is cut where the rows (or files) before a file pass a multiple of
+    the limit.  ``chunk`` must grow with the order.
+    """
+    one = F.lit(1) if max_rows is None else F.col("record_count")
+    placed = running(files, [], order, chunk, one, "_upto")
+    return placed.withColumn("batch", int_div(F.col("_upto") - one, max_files if max_rows is None else max_rows)).drop("_upto")
+
+
+def rows_of_files(rows: DataFrame, files: DataFrame, file: str) -> DataFrame:
+    """Rows stored in the given files, with the files' other columns where there are any."""
+    listed = small_side(files)
+    return rows.join(listed, file, "left_semi" if files.columns == [file] else "inner")
+
+
+def refs_report(refs: DataFrame) -> DataFrame:
+    """Branches and tags with their retention rules."""
+    return refs.select("name", "type", "snapshot_id", "max_reference_age_in_ms", "min_snapshots_to_keep", "max_snapshot_age_in_ms")
+
+
+EXISTING, ADDED, DELETED = 0, 1, 2
+
+
+def entries_report(files: DataFrame, line: DataFrame) -> DataFrame:
+    """Files of a lineage's head with their status there: 0 existing, 1 added, 2 deleted by the head itself."""
+    head = line.where("depth = 0").agg(F.max("snapshot_id")).scalar()
+    before = line.where("depth > 0")
+    kept = live_files(files, before).withColumn("_head", head)
+    status = F.when(F.col("removed_snapshot_id") == F.col("_head"), DELETED).otherwise(EXISTING)
+    old = kept.withColumn("status", status)
+    new = files.withColumn("_head", head).where(F.col("added_snapshot_id") == F.col("_head")).withColumn("status", F.lit(ADDED))
+    return old.unionByName(new).drop("_head")
+
+
+def metadata_log(entries: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Each metadata file with the newest snapshot committed by then.
+
+    Both sides are a row per commit; they are merged in time order.
+    """
+    log = entries.select("timestamp", "file", F.lit(None).cast("bigint").alias("snapshot_id"), F.lit(1).alias("_side"))
+    commits = snapshots.select(F.col("committed_at").alias("timestamp"), F.lit(None).cast("string").alias("file"), "snapshot_id", F.lit(0).alias("_side"))
+    so_far = Window.orderBy("timestamp", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    latest = F.last("snapshot_id", ignorenulls=True).over(so_far)
+    return log.union(commits).withColumn("latest_snapshot_id", latest).where("_side = 1").select("timestamp", "file", "latest_snapshot_id")
+
+
 def split_watermarks(files: DataFrame, split: str, lower: str) -> DataFrame:
     """Watermark of each split: the smallest lower bound of its files; a file without one is an error."""
     bound = F.when(F.col(lower).isNull(), F.raise_error(F.lit("missing lower bound of the watermark column")).cast("timestamp_ntz")) \

@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tarn.functions.transforms import PartitionField
 from tarn.operators.layout import SortTerm, distribute, sort_columns, write_order, zorder_layout
 from tarn.operators.lineage import branch_ancestors
 from tarn.operators.ordered import pack, scan_in_order
+from tarn.util import int_div
 
 # Default sizing of file rewrites.
 TARGET_FILE_SIZE = 512 * 1024 * 1024
@@ -44,20 +45,16 @@ class Sizing:
         return int(self.target + (self.largest - self.target) * 0.5)
 
 
-def _div(a: Column, b) -> Column:
-    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b).cast("bigint"))
-
-
 def output_files(size: Column, sizing: Sizing) -> Column:
     """Number of files to write for an input size.
 
     A remainder too small for a file of its own is spread over the others as
     long as that makes them at most a tenth larger than the target.
     """
-    without = F.greatest(_div(size, sizing.target), F.lit(1).cast("bigint"))
+    without = F.greatest(int_div(size, sizing.target), F.lit(1).cast("bigint"))
     rest = size % F.lit(sizing.target)
     rounded_up = without + F.when(rest > 0, 1).otherwise(0)
-    average = _div(size, without)
+    average = int_div(size, without)
     return (F.when(size < sizing.target, F.lit(1).cast("bigint"))
             .when(rest > sizing.smallest, rounded_up)
             .when(average < min(1.1 * sizing.target, float(sizing.write_limit)), without)
@@ -65,7 +62,7 @@ def output_files(size: Column, sizing: Sizing) -> Column:
 
 
 def split_size(size: Column, sizing: Sizing) -> Column:
-    estimate = _div(size, output_files(size, sizing)) + SPLIT_OVERHEAD
+    estimate = int_div(size, output_files(size, sizing)) + SPLIT_OVERHEAD
     return F.when(estimate < sizing.target, F.lit(sizing.target).cast("bigint")).otherwise(
         F.least(estimate, F.lit(sizing.write_limit).cast("bigint")))
 
@@ -89,14 +86,13 @@ def compaction_files(files: DataFrame, partition: list[str], sizing: Sizing = Si
     packed = pack(chosen, partition, [order], size, sizing.max_group, name="file_group")
     if rewrite_all:
         return packed.drop("_heavy")
-    groups = packed.groupBy(*partition, "file_group").agg(
-        F.count("*").alias("n"), F.sum(size).alias("b"), F.bool_or("_heavy").alias("h"))
-    n, b = F.col("n"), F.col("b")
-    kept = groups.where(((n > 1) & (n >= sizing.min_input_files)) | ((n > 1) & (b > sizing.target))
-                        | (b > sizing.largest) | F.col("h"))
-    keys = [*partition, "file_group"]
-    right = kept.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-    return packed.join(right, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_semi").drop("_heavy")
+    # A group holds at most max_group bytes of files, so this window is bounded.
+    group = Window.partitionBy(*partition, "file_group")
+    n, b = F.col("_n"), F.col("_b")
+    sized = packed.withColumns({"_n": F.count("*").over(group), "_b": F.sum(size).over(group), "_h": F.bool_or("_heavy").over(group)})
+    kept = sized.where(((n > 1) & (n >= sizing.min_input_files)) | ((n > 1) & (b > sizing.target))
+                       | (b > sizing.largest) | F.col("_h"))
+    return kept.drop("_heavy", "_n", "_b", "_h")
 
 
 JOB_ORDERS = {

@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarn.util import small_side
+
 
 @dataclass(frozen=True)
 class Clause:
@@ -154,4 +156,4 @@ def touched_files(df: DataFrame, matches: DataFrame, on: list[str], file: str) -
 
 
 def only_touched(df: DataFrame, touched: DataFrame, file: str) -> DataFrame:
-    return df.join(touched, file, "left_semi")
+    return df.join(small_side(touched), file, "left_semi")

@@ -85,10 +85,14 @@ def to_time_series(df: DataFrame, metric: str, labels: dict[str, str], value: st
 
 
 def ordered_by_labels(series: DataFrame, writers: int | None = None) -> DataFrame:
-    """Samples of one label set together and in time order, as series stores demand."""
-    key = F.xxhash64(F.map_entries("labels"))
-    out = series.repartition(writers, key) if writers else series.repartition(key)
-    return out.sortWithinPartitions(key, "ts")
+    """Samples of one label set in time order, as series stores demand.
+
+    Ranges over (label set, time): a series with very many samples covers
+    several ranges, each in order and the ranges themselves in time order.
+    """
+    bounds = [F.xxhash64(F.map_entries("labels")), F.col("ts")]
+    out = series.repartitionByRange(writers, *bounds) if writers else series.repartitionByRange(*bounds)
+    return out.sortWithinPartitions(*bounds)
 
 
 def route_static(df: DataFrame, tables: dict[str, str | None], field: str | None = None, name: str = "table") -> DataFrame:

@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tarn.util import int_div
+
 _UNITS = {"millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000,
           "day": 86_400_000_000}
 
@@ -119,11 +121,7 @@ def vehicle_windows(df: DataFrame, vin: str, ts: str, size: str, sensors: str, w
         F.collect_list(of("sensor", F.struct("name", "n"))).alias("_sensors"),
         F.count(of("warning", F.lit(1))).alias("warning_count"))
     average = F.map_from_entries(F.transform(
-        "_sensors", lambda s: F.struct(s["name"], _int_div(s["n"], F.col("_events")))))
+        "_sensors", lambda s: F.struct(s["name"], int_div(s["n"], F.col("_events")))))
     return whole.select(vin, F.col("window_end"),
                         (F.col("window_end") - F.expr("interval 1 millisecond")).alias("max_timestamp"),
                         average.alias("sensor_average"), "warning_count")
-
-
-def _int_div(a: Column, b: Column) -> Column:
-    return F.call_function("div", a, b)

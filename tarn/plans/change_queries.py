@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tarn.operators import cdc, changes as ch, lineage as ln, schemas as sm
-from tarn.operators.windows import running
+from tarn.operators.events import cast_to_schema
 from tarn.plans import fixtures as fx
 from tarn.plans.event_queries import millis, naive
 from tarn.plans.registry import Tables, query
+from tarn.util import int_div
 
 AT = "1999-06-15"
 
@@ -38,7 +40,7 @@ def time_travel_as_of(t: Tables):
     at = ln.snapshot_as_of(line, F.lit(AT).cast("timestamp_ntz")).first()[0]
     live = ln.live_files(fx.files(t).where("content = 0"), ln.up_to(line, at)).select("file_no")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", fx.file_no().alias("file_no"))
-    return rows.join(live, "file_no", "left_semi").drop("file_no")
+    return ln.rows_of_files(rows, live, "file_no").drop("file_no")
 
 
 @query("resolve_snapshot", f"""
@@ -69,7 +71,7 @@ def incremental_append(t: Tables):
     line = ln.chain(fx.snapshots(t), fx.HEAD)
     added = ln.appended_files(fx.files(t), ln.after(ln.up_to(line, 60), 20)).select("file_no")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", fx.file_no().alias("file_no"))
-    return rows.join(added, "file_no", "left_semi").drop("file_no")
+    return ln.rows_of_files(rows, added, "file_no").drop("file_no")
 
 
 @query("changelog_scan", f"""
@@ -87,7 +89,7 @@ def changelog_scan(t: Tables):
     span = line.where((c >= F.lit("1997-01-01").cast("timestamp_ntz")) & (c < F.lit("2000-01-01").cast("timestamp_ntz")))
     changed = ln.changed_files(fx.files(t).where("content = 0"), span).select("file_no", *ch.METADATA)
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", fx.file_no().alias("file_no"))
-    return rows.join(changed, "file_no").drop("file_no")
+    return ln.rows_of_files(rows, changed, "file_no").drop("file_no")
 
 
 @query("stream_start_strategy", f"""
@@ -110,7 +112,7 @@ def stream_start_strategy(t: Tables):
 @query("split_watermark", f"""
 WITH files AS ({fx.FILES_SQL}) SELECT file_no // 4 AS split, min(l_shipdate_lower) AS watermark FROM files GROUP BY 1""")
 def split_watermark(t: Tables):
-    files = fx.files(t).withColumn("split", F.floor(F.col("file_no") / 4).cast("bigint"))
+    files = fx.files(t).withColumn("split", int_div(F.col("file_no"), 4))
     return ln.split_watermarks(files, "split", "l_shipdate_lower")
 
 
@@ -120,8 +122,43 @@ SELECT file_no, CAST((sum(record_count) OVER (ORDER BY sequence_number, file_no)
 def ordered_backfill(t: Tables):
     """Files in sequence order cut into batches of about 5000 rows."""
     files = fx.files(t).where("content = 0").select("file_no", "sequence_number", "record_count")
-    placed = running(files, [], ["sequence_number", "file_no"], F.col("sequence_number"), F.col("record_count"), "upto")
-    return placed.select("file_no", F.floor((F.col("upto") - F.col("record_count")) / 5000).alias("batch"))
+    return ln.read_batches(files, ["sequence_number", "file_no"], F.col("sequence_number"), max_rows=5000).select("file_no", "batch")
+
+
+@query("stream_read_limits", f"""
+WITH {fx.LINE_SQL}, files AS ({fx.FILES_SQL}), f AS (SELECT * FROM files WHERE content = 0 AND added_snapshot_id IN (SELECT snapshot_id FROM line WHERE operation = 'append'))
+SELECT file_no, (row_number() OVER (ORDER BY sequence_number, file_no) - 1) // 10 AS batch FROM f""")
+def stream_read_limits(t: Tables):
+    """Files of append commits, ten per batch; deletes and overwrites are skipped."""
+    line = ln.streamable(ln.chain(fx.snapshots(t), fx.HEAD), skip_delete=True, skip_overwrite=True)
+    files = ln.appended_files(fx.files(t), line).select("file_no", "sequence_number", "record_count")
+    return ln.read_batches(files, ["sequence_number", "file_no"], F.col("sequence_number"), max_files=10).select("file_no", "batch")
+
+
+@query("entries_report", f"""
+WITH {fx.LINE_SQL}, files AS ({fx.FILES_SQL}), older AS (SELECT snapshot_id FROM line WHERE snapshot_id < 80)
+SELECT file_no, CASE WHEN added_snapshot_id = 80 THEN 1 WHEN removed_snapshot_id = 80 THEN 2 ELSE 0 END AS status FROM files
+WHERE added_snapshot_id = 80 OR (added_snapshot_id IN (SELECT snapshot_id FROM older) AND (removed_snapshot_id IS NULL OR removed_snapshot_id NOT IN (SELECT snapshot_id FROM older)))""")
+def entries_report(t: Tables):
+    return ln.entries_report(fx.files(t), ln.chain(fx.snapshots(t), fx.HEAD)).select("file_no", "status")
+
+
+@query("metadata_log", """
+SELECT o_orderdate AS timestamp, 'v' || max(o_orderkey) || '.json' AS file,
+   (SELECT max_by(snapshot_id, committed_at) FROM (__SNAPS__) s WHERE committed_at <= o_orderdate) AS latest_snapshot_id
+FROM orders WHERE o_orderkey % 40 = 0 GROUP BY 1""".replace("__SNAPS__", fx.SNAPSHOTS_SQL))
+def metadata_log(t: Tables):
+    log = t.orders.where("o_orderkey % 40 = 0").groupBy(F.col("o_orderdate").alias("timestamp")).agg(
+        F.concat(F.lit("v"), F.max("o_orderkey"), F.lit(".json")).alias("file"))
+    return ln.metadata_log(log, fx.snapshots(t))
+
+
+@query("evolve_schema", "SELECT event_id, user_id, value, CAST(NULL AS VARCHAR) AS note FROM events")
+def evolve_schema(t: Tables):
+    """Rows cast to the schema that took in wider and additional columns."""
+    narrow = t.events.select(F.col("event_id").cast("int").alias("event_id"), F.col("user_id").cast("int").alias("user_id"), "value")
+    arriving = StructType.fromDDL("event_id bigint, user_id bigint, value float, note string")
+    return cast_to_schema(narrow, sm.evolve_schema(narrow.schema, arriving))
 
 
 CHANGES_SQL = """
@@ -132,7 +169,7 @@ SELECT l_orderkey // 4 AS id, l_returnflag AS name, CASE WHEN l_suppkey % 5 = 0
 
 def change_rows(t: Tables):
     return t.lineitem.select(
-        F.floor(F.col("l_orderkey") / 4).cast("bigint").alias("id"), F.col("l_returnflag").alias("name"),
+        int_div(F.col("l_orderkey"), 4).alias("id"), F.col("l_returnflag").alias("name"),
         F.when(F.col("l_suppkey") % 5 != 0, F.col("l_linestatus")).alias("data"),
         F.when(F.col("l_linenumber") % 2 == 0, "DELETE").otherwise("INSERT").alias("_change_type"),
         (F.col("l_partkey") % 3).cast("int").alias("_change_ordinal"), (F.col("l_partkey") % 3 + 100).alias("_commit_snapshot_id"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarn.plans.registry import Tables
+from tarn.util import int_div
 
 HEAD = 80
 ORDERS_PER_FILE = 50
@@ -52,7 +53,7 @@ def snapshots(t: Tables) -> DataFrame:
 
 
 def file_no(key: str = "l_orderkey") -> Column:
-    return F.floor(F.col(key) / ORDERS_PER_FILE).cast("bigint")
+    return int_div(F.col(key), ORDERS_PER_FILE)
 
 
 def files(t: Tables) -> DataFrame:

@@ -197,3 +197,15 @@ def zorder_key(t: Tables):
 def infer_json_struct(t: Tables):
     schema = sc.infer_struct(t.events, "props")
     return t.events.select("event_id", F.from_json("props", schema).alias("r")).select("event_id", "r.*")
+
+
+@query("sql_functions", """
+SELECT o_orderkey, CAST(o_orderkey - o_orderkey % 10 AS BIGINT) AS by_ten, substring(o_orderpriority, 1, 3) AS head,
+  CAST((year(o_orderdate) - 1970) * 12 + month(o_orderdate) - 1 AS INTEGER) AS m, CAST(date_diff('day', DATE '1970-01-01', o_orderdate::DATE) AS INTEGER) AS d,
+  b AS cust_bucket FROM orders JOIN (WITH src AS (SELECT o_orderkey AS k, o_custkey AS v FROM orders) SELECT k, b FROM (__MURMUR__ SELECT k, (positive % 16)::INTEGER AS b FROM h6)) x ON x.k = o_orderkey""".replace("__MURMUR__", murmur_sql("v")))
+def sql_functions(t: Tables):
+    """The transforms called from SQL text."""
+    tr.register_sql_functions(t.spark)
+    t.orders.createOrReplaceTempView("tarn_orders_in")
+    return t.spark.sql("""SELECT o_orderkey, tarn_truncate(10, o_orderkey) AS by_ten, tarn_truncate_string(3, o_orderpriority) AS head,
+        tarn_months(o_orderdate) AS m, tarn_days(o_orderdate) AS d, tarn_bucket(16, o_custkey) AS cust_bucket FROM tarn_orders_in""")

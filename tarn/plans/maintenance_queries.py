@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from tarn.functions import transforms as tr
 from tarn.functions.zorder import zorder_key
-from tarn.operators import events as ev, jobs, layout as ly, maintenance as mt, sinks as sn, stats as st
+from tarn.operators import events as ev, jobs, layout as ly, lineage as ln, maintenance as mt, sinks as sn, stats as st
 from tarn.operators.ordered import pack
 from tarn.plans import fixtures as fx
 from tarn.plans.event_queries import DEVICE_CASE, millis, naive
 from tarn.plans.registry import Tables, query
 from tarn.session import scratch
+from tarn.util import int_div
 from tarn.sources import generators as gn
 
 FILES = f"files AS ({fx.FILES_SQL})"
@@ -37,7 +38,7 @@ def outputs_sql(b: str, s: mt.Sizing) -> str:
 
 
 def live_data_files(t: Tables):
-    return fx.files(t).where("content = 0").withColumn("deleted_records", F.when(F.col("file_no") % 9 == 0, F.floor(F.col("record_count") / 2)))
+    return fx.files(t).where("content = 0").withColumn("deleted_records", F.when(F.col("file_no") % 9 == 0, int_div(F.col("record_count"), 2)))
 
 
 @query("compaction_plan", f"""
@@ -142,7 +143,7 @@ def skew_assign(t: Tables):
     """Writer ranges of users, one of whom has a third of all events."""
     rows = t.events.select(F.when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id")).alias("user_id"))
     weights = ly.key_weights(rows, "user_id")
-    out = ly.assign_writers(weights, "user_id", F.floor(F.col("user_id") / 64), WRITERS, 2)
+    out = ly.assign_writers(weights, "user_id", int_div(F.col("user_id"), 64), WRITERS, 2)
     return out.select("user_id", "weight", "first_writer", "last_writer")
 
 
@@ -150,7 +151,7 @@ def skew_assign(t: Tables):
 def skew_route(t: Tables):
     """Rows per writer when a third of all rows share one key."""
     rows = t.events.select("event_id", F.when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id")).alias("user_id"))
-    assignment = ly.assign_writers(ly.key_weights(rows, "user_id"), "user_id", F.floor(F.col("user_id") / 64), WRITERS)
+    assignment = ly.assign_writers(ly.key_weights(rows, "user_id"), "user_id", int_div(F.col("user_id"), 64), WRITERS)
     routed = ly.skew_aware_writer(rows, "user_id", assignment, WRITERS, F.xxhash64("event_id"))
     return routed.groupBy("_writer").agg(F.count("*").alias("rows"))
 
@@ -176,6 +177,13 @@ def refs(t: Tables):
         F.lit(None).cast("bigint").alias("max_snapshot_age_in_ms"))
 
 
+@query("refs_report", f"""
+WITH {REFS_SQL} SELECT name, type, snapshot_id, max_age AS max_reference_age_in_ms, min_keep AS min_snapshots_to_keep, max_snapshot_age AS max_snapshot_age_in_ms
+FROM refs WHERE snapshot_id IN (SELECT snapshot_id FROM ({fx.SNAPSHOTS_SQL}))""")
+def refs_report(t: Tables):
+    return ln.refs_report(refs(t))
+
+
 KEPT_SQL = f"""RECURSIVE snapshots AS ({fx.SNAPSHOTS_SQL}), {REFS_SQL},
 heads AS (SELECT refs.* FROM refs JOIN snapshots USING (snapshot_id) WHERE name = 'main' OR max_age IS NULL OR epoch_ms(TIMESTAMP '2001-09-01' - committed_at) <= max_age),
 walk AS (SELECT name, min_keep, s.snapshot_id, parent_id, committed_at, 0 AS depth FROM heads JOIN snapshots s USING (snapshot_id) WHERE type = 'BRANCH'
@@ -218,7 +226,7 @@ SELECT file_path FROM sf UNION SELECT 'store://wh/metadata/snap-' || snapshot_id
 def reachable_files(t: Tables):
     sf = snapshot_files(t)
     lists = sf.select(F.concat(F.lit("store://wh/metadata/snap-"), F.col("snapshot_id"), F.lit(".avro")))
-    manifests = fx.files(t).select(F.concat(F.lit("store://wh/metadata/m-"), F.floor(F.col("file_no") / 20), F.lit(".avro")))
+    manifests = fx.files(t).select(F.concat(F.lit("store://wh/metadata/m-"), int_div(F.col("file_no"), 20), F.lit(".avro")))
     return mt.reachable_files(sf.select("file_path"), lists, manifests)
 
 

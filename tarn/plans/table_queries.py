@@ -9,6 +9,7 @@ from tarn.operators import changes as ch, deletes as dl, lineage as ln, merge as
 from tarn.plans import fixtures as fx
 from tarn.plans.registry import Tables, query
 from tarn.session import scratch
+from tarn.util import int_div
 from tarn.sources.files import with_positions
 
 FILES = f"files AS ({fx.FILES_SQL})"
@@ -140,7 +141,7 @@ del AS (SELECT c_custkey AS user_id, c_custkey % 40 AS seq FROM customer WHERE c
 SELECT file_no, pos FROM d WHERE EXISTS (SELECT 1 FROM del WHERE del.user_id = d.user_id AND d.seq < del.seq)""")
 def eq_to_position_deletes(t: Tables):
     e = F.col("event_id")
-    data = t.events.select("user_id", F.floor(e / 1000).alias("file_no"), (e % 1000).alias("pos"), (e % 50).alias("seq"))
+    data = t.events.select("user_id", int_div(e, 1000).alias("file_no"), (e % 1000).alias("pos"), (e % 50).alias("seq"))
     gone = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("user_id"), (F.col("c_custkey") % 40).alias("seq"))
     return dl.equality_to_position_deletes(data, [(gone, ["user_id"])], "file_no", "pos", "seq")
 
@@ -152,7 +153,7 @@ del AS (SELECT c_custkey % 12 AS file_path, c_custkey % 1000 AS pos, c_custkey %
 
 def positions(t: Tables):
     e, c = F.col("event_id"), F.col("c_custkey")
-    data = t.events.select("event_id", F.floor(e / 1000).alias("file_path"), (e % 1000).alias("pos"), (e % 7).alias("sequence_number"))
+    data = t.events.select("event_id", int_div(e, 1000).alias("file_path"), (e % 1000).alias("pos"), (e % 7).alias("sequence_number"))
     return data, t.customer.select((c % 12).alias("file_path"), (c % 1000).alias("pos"), (c % 9).alias("sequence_number"))
 
 
@@ -174,7 +175,7 @@ PD_SQL = f"""pd AS (SELECT 'store://wh/data/f-' || lpad(CAST(event_id % 400 AS V
 def position_deletes(t: Tables):
     e = F.col("event_id")
     path = F.concat(F.lit("store://wh/data/f-"), F.lpad((e % 400).cast("string"), 12, "0"), F.lit(".parquet"))
-    return t.events.select(path.alias("file_path"), F.floor(e / 400).alias("pos"))
+    return t.events.select(path.alias("file_path"), int_div(e, 400).alias("pos"))
 
 
 @query("valid_position_deletes", f"WITH {FILES}, {PD_SQL} SELECT * FROM pd WHERE file_path IN (SELECT file_path FROM files WHERE content = 0)")
@@ -278,7 +279,7 @@ def snapshots_report(t: Tables):
 WITH {FILES} SELECT file_no // 20 AS manifest, count(*) AS file_count, sum(record_count)::BIGINT AS row_count, max(added_snapshot_id) AS added_snapshot_id,
   bool_or(part IS NULL) AS contains_null, min(part) AS lower_bound, max(part) AS upper_bound FROM files GROUP BY 1""")
 def group_summaries(t: Tables):
-    files = fx.files(t).withColumn("manifest", F.floor(F.col("file_no") / 20))
+    files = fx.files(t).withColumn("manifest", int_div(F.col("file_no"), 20))
     return st.group_summaries(files, ["manifest"], "part")
 
 

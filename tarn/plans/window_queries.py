@@ -34,8 +34,8 @@ def session_analytics(t: Tables):
 SELECT event_id, event_type AS device_type, count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS running_count FROM events""")
 def running_count(t: Tables):
     rows = t.events.select("event_id", F.col("event_type").alias("device_type"), "ts")
-    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
-    return wn.running(rows, ["device_type"], ["ts", "event_id"], hour, F.lit(1), "running_count").drop("ts")
+    minute = F.date_trunc("minute", F.col("ts").cast("timestamp"))
+    return wn.running(rows, ["device_type"], ["ts", "event_id"], minute, F.lit(1), "running_count").drop("ts")
 
 
 @query("vehicle_window_agg", """
@@ -102,6 +102,6 @@ FROM (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER
 GROUP BY event_type""")
 def ema_speed(t: Tables):
     rows = t.events.select(F.col("event_type").alias("id"), "ts", "event_id", "value")
-    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
-    out = wn.decayed_average(rows, ["id"], ["ts", "event_id"], hour, "value", 0.1)
+    minute = F.date_trunc("minute", F.col("ts").cast("timestamp"))
+    out = wn.decayed_average(rows, ["id"], ["ts", "event_id"], minute, "value", 0.1)
     return out.withColumn("decayed_average", F.round("decayed_average", 6))

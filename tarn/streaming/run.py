@@ -47,8 +47,8 @@ def latest_state(spark: SparkSession, path: str, schema: str, keys: list[str]) -
 def last_batch(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Output of the newest batch, the whole result of a complete-mode stream."""
     rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
-    newest = rows.agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(F.broadcast(newest), "batch_id", "left_semi").drop("batch_id")  # one row
+    newest = rows.agg(F.max("batch_id")).scalar()
+    return rows.where(F.col("batch_id") == newest).drop("batch_id")
 
 
 def fan_out(sinks: list[Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:

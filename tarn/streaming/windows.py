@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tarn.util import int_div
+
 
 def with_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
     """Event time with bounded out-of-orderness; a zone-less column is read as UTC."""
@@ -45,7 +47,7 @@ def drop_late(df: DataFrame, arrival: Column, batch_rows: int, ts: str, delay_se
     all earlier batches.  Batches are reduced to a row each before they are
     ordered.
     """
-    rows = df.withColumn("_batch", F.floor(arrival / batch_rows))
+    rows = df.withColumn("_batch", int_div(arrival, batch_rows))
     maxima = rows.groupBy("_batch").agg(F.max(ts).alias("_max"))
     earlier = Window.orderBy("_batch").rowsBetween(Window.unboundedPreceding, -1)
     marks = maxima.select("_batch", F.max("_max").over(earlier).alias("_seen"))
