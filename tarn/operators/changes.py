@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tarn.util import int_div
+from tarn.util import int_div, tie_breaker
 
 CHANGE_TYPE, ORDINAL, SNAPSHOT = "_change_type", "_change_ordinal", "_commit_snapshot_id"
 METADATA = (CHANGE_TYPE, ORDINAL, SNAPSHOT)
@@ -28,7 +28,9 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     many = df.where(n > COPIES_PER_ROW)
     pieces = (many.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), int_div(n - 1, COPIES_PER_ROW))))
               .withColumn(times, F.least(F.lit(COPIES_PER_ROW).cast("bigint"), n - F.col("_piece") * COPIES_PER_ROW)))
-    spread = pieces.repartition("_piece").drop("_piece")
+    # A fixed number of partitions: adaptive execution would merge these few small rows into one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pieces.repartition(tasks, "_piece", tie_breaker(pieces)).drop("_piece")
     every = few.union(spread)
     return every.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), n))).drop("_copy", times)
 

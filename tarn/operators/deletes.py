@@ -77,9 +77,13 @@ def compact_position_deletes(deletes: DataFrame, files: DataFrame, granularity:
 
 
 def deletion_vectors(deletes: DataFrame, file: str = "file_path", pos: str = "pos") -> DataFrame:
-    """Bitmaps of deleted positions: one row per file and range of 32768 positions."""
-    return (deletes.groupBy(F.col(file).alias("file_path"), F.expr(f"bitmap_bucket_number({pos})").alias("bucket"))
-            .agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({pos}))").alias("bitmap")))
+    """Bitmaps of deleted positions: one row per file and range of 32768 positions.
+
+    Positions start at 0 but bitmap buckets at 1, hence the shift.
+    """
+    place = F.col(pos) + 1
+    return (deletes.groupBy(F.col(file).alias("file_path"), F.bitmap_bucket_number(place).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap")))
 
 
 def merge_deletion_vectors(*vectors: DataFrame) -> DataFrame:
@@ -87,11 +91,11 @@ def merge_deletion_vectors(*vectors: DataFrame) -> DataFrame:
     every = vectors[0]
     for more in vectors[1:]:
         every = every.unionByName(more)
-    return every.groupBy("file_path", "bucket").agg(F.expr("bitmap_or_agg(bitmap)").alias("bitmap"))
+    return every.groupBy("file_path", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
 
 
 def deleted_counts(vectors: DataFrame) -> DataFrame:
-    return vectors.groupBy("file_path").agg(F.sum(F.expr("bitmap_count(bitmap)")).alias("deleted_rows"))
+    return vectors.groupBy("file_path").agg(F.sum(F.bitmap_count("bitmap")).alias("deleted_rows"))
 
 
 def dangling_deletes(files: DataFrame, partition: list[str]) -> DataFrame:

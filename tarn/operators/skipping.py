@@ -7,7 +7,9 @@ A files DataFrame holds ``record_count`` and, per data column c, any of
 * ``may_match``: false only if no row of the file can satisfy it,
 * ``must_match``: true only if every row of the file satisfies it.
 
-All follow SQL logic: a comparison with NULL is not TRUE.
+All follow SQL logic: a comparison with NULL is not TRUE, and NaN is above all
+numbers.  Bounds leave NaN out, so a file of a floating column may match an
+upward comparison through its NaN rows unless it is known to hold none.
 """
 
 from __future__ import annotations
@@ -46,6 +48,8 @@ class FileStats:
 
     def __init__(self, files: DataFrame):
         self._have = set(files.columns)
+        self._floating = {f.name[: -len("_lower")] for f in files.schema.fields
+                          if f.name.endswith("_lower") and f.dataType.simpleString() in ("float", "double")}
 
     def _stat(self, column: str, what: str) -> Column:
         name = f"{column}_{what}"
@@ -54,8 +58,12 @@ class FileStats:
     def _clean(self, column: str) -> Column:
         """The file is known to hold neither NULL nor (where counted) NaN in the column."""
         nulls = F.coalesce(self._stat(column, "nulls") == 0, FALSE())
-        nans = F.coalesce(self._stat(column, "nans") == 0, FALSE()) if f"{column}_nans" in self._have else TRUE()
-        return nulls & nans
+        return nulls & ~self._maybe_nan(column)
+
+    def _maybe_nan(self, column: str) -> Column:
+        if column not in self._floating:
+            return FALSE()
+        return F.coalesce(self._stat(column, "nans") > 0, TRUE())
 
     def _some_value(self, column: str) -> Column:
         return F.coalesce(self._stat(column, "nulls") < F.col("record_count"), TRUE())
@@ -73,11 +81,11 @@ class FileStats:
 
     def gt(self, c: str, v) -> Predicate:
         low, high = self._stat(c, "lower"), self._stat(c, "upper")
-        return self._make(c, F.col(c) > v, high > v, low > v, lambda: self.lt_eq(c, v))
+        return self._make(c, F.col(c) > v, (high > v) | self._maybe_nan(c), low > v, lambda: self.lt_eq(c, v))
 
     def gt_eq(self, c: str, v) -> Predicate:
         low, high = self._stat(c, "lower"), self._stat(c, "upper")
-        return self._make(c, F.col(c) >= v, high >= v, low >= v, lambda: self.lt(c, v))
+        return self._make(c, F.col(c) >= v, (high >= v) | self._maybe_nan(c), low >= v, lambda: self.lt(c, v))
 
     def eq(self, c: str, v) -> Predicate:
         low, high = self._stat(c, "lower"), self._stat(c, "upper")

@@ -62,6 +62,7 @@ def files(t: Tables) -> DataFrame:
         F.count("*").alias("record_count"),
         F.min("l_shipdate").alias("l_shipdate_lower"), F.max("l_shipdate").alias("l_shipdate_upper"),
         F.min("l_quantity").alias("l_quantity_lower"), F.max("l_quantity").alias("l_quantity_upper"),
+        F.count_if(F.isnan("l_quantity")).alias("l_quantity_nans"), F.count_if(F.isnan(tax)).alias("l_tax_nans"),
         F.min(tax).alias("l_tax_lower"), F.max(tax).alias("l_tax_upper"),
         (F.count("*") - F.count(tax)).alias("l_tax_nulls"))
     n = F.col("file_no")

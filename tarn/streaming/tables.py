@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, IntegerType, StructType
 
 from tarn.operators.changes import latest_per_key
 
@@ -26,7 +26,7 @@ def keyed_table_writer(path: str, keys: list[str], order: list[str], schema: Str
     and deletes remove the key; they are kept as marked rows so that a repeated
     older change cannot bring the key back.
     """
-    stored = StructType([*schema.fields]).add("_deleted", "boolean")
+    stored = StructType([*schema.fields]).add("_deleted", BooleanType())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -39,7 +39,7 @@ def keyed_table_writer(path: str, keys: list[str], order: list[str], schema: Str
         merged = incoming
         if _exists(spark, path):
             touched = incoming.select("_bucket").distinct()
-            current = spark.read.schema(StructType(stored.fields).add("_bucket", "int")).parquet(path)
+            current = spark.read.schema(StructType(stored.fields).add("_bucket", IntegerType())).parquet(path)
             current = current.join(F.broadcast(touched), "_bucket", "left_semi")  # at most one row per bucket
             merged = latest_per_key(current.unionByName(incoming), keys, order)
         (merged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -49,7 +49,7 @@ def keyed_table_writer(path: str, keys: list[str], order: list[str], schema: Str
 
 
 def read_keyed_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    stored = StructType([*schema.fields]).add("_deleted", "boolean")
+    stored = StructType([*schema.fields]).add("_deleted", BooleanType())
     return spark.read.schema(stored).parquet(path).where("NOT _deleted").select(*schema.names)
 
 

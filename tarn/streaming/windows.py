@@ -40,16 +40,17 @@ def distinct_then_count(df: DataFrame, ts: str, delay: str, size: str, keys: lis
             .select("window_start", *keys, distinct))
 
 
-def drop_late(df: DataFrame, arrival: Column, batch_rows: int, ts: str, delay_seconds: int) -> DataFrame:
+def drop_late(df: DataFrame, arrival: Column, batch_rows: int, ts: str, delay_seconds: int, lag: int = 0) -> DataFrame:
     """What a stream that reads fixed batches in arrival order keeps, as a batch computation.
 
     A row is late if its time is more than the delay behind the largest time of
-    all earlier batches.  Batches are reduced to a row each before they are
-    ordered.
+    all earlier batches.  Structured Streaming judges lateness by the watermark
+    of the batch before, which ``lag=1`` reproduces.  Batches are reduced to a
+    row each before they are ordered.
     """
     rows = df.withColumn("_batch", int_div(arrival, batch_rows))
     maxima = rows.groupBy("_batch").agg(F.max(ts).alias("_max"))
-    earlier = Window.orderBy("_batch").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_batch").rowsBetween(Window.unboundedPreceding, -1 - lag)
     marks = maxima.select("_batch", F.max("_max").over(earlier).alias("_seen"))
     on_time = F.col("_seen").isNull() | (F.col(ts) >= F.col("_seen") - F.make_dt_interval(secs=F.lit(delay_seconds)))
     return rows.join(marks, "_batch").where(on_time).drop("_batch", "_seen")
