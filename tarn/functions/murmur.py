@@ -1,9 +1,21 @@
-"""32-bit murmur3 (x86 variant) of byte strings, one numpy pass per 4-byte word."""
+"""Seed-0 murmur3 (32-bit, x86 variant) as Columns, on top of the JVM's ``hash``.
+
+``F.hash`` is the same function but always starts from seed 42, and it treats
+the last 1-3 bytes of a byte string differently.  Two facts get around both:
+
+* it chains, the hash of one argument being the seed of the next, and murmur3 of
+  a 4-byte integer is a bijection: one integer hashes to 0, and putting it first
+  makes the chain go on from seed 0;
+* the final mixing step is a bijection too.  Undoing it after the whole 4-byte
+  words gives the inner state, from which the tail is mixed in as published.
+"""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, functions as F
+from pyspark.sql.types import IntegerType
 
 # Fixed values of the published murmur3_x86_32 algorithm.
 C1, C2 = 0xCC9E2D51, 0x1B873593
@@ -12,43 +24,8 @@ FINAL_1, FINAL_2 = 0x85EBCA6B, 0xC2B2AE35
 MASK = 0xFFFFFFFF
 
 
-def _rotate(x, bits: int):
-    return (x << np.uint32(bits)) | (x >> np.uint32(32 - bits))
-
-
-def _scramble(words):
-    return _rotate(words * np.uint32(C1), 15) * np.uint32(C2)
-
-
-def murmur3_bytes(values: list[bytes | None], seed: int = 0) -> pd.Series:
-    """Hash each byte string; NULL in, NULL out.  Result is a signed 32-bit integer."""
-    present = np.array([v is not None for v in values], dtype=bool)
-    data = [v or b"" for v in values]
-    length = np.fromiter((len(v) for v in data), dtype=np.int64, count=len(data))
-    # Longest first: the rows still holding a word form a shrinking prefix.
-    order = np.argsort(-length, kind="stable")
-    length = length[order]
-    padded = (length + 3) // 4 * 4
-    start = np.concatenate(([0], np.cumsum(padded)[:-1])).astype(np.int64) if len(data) else length
-    flat = b"".join(data[i].ljust(int(p), b"\0") for i, p in zip(order, padded))
-    words = np.frombuffer(flat, dtype="<u4")
-    h = np.full(len(data), seed, dtype=np.uint32)
-    with np.errstate(over="ignore"):
-        for step in range(int(padded[0]) // 4 if len(data) else 0):
-            full = int(np.searchsorted(-length, -(4 * step + 4), side="right"))
-            some = int(np.searchsorted(-length, -(4 * step + 1), side="right"))
-            k = _scramble(words[start[:some] // 4 + step])
-            h[:some] ^= k
-            h[:full] = _rotate(h[:full], 13) * np.uint32(5) + np.uint32(ROUND_ADD)
-        h ^= length.astype(np.uint32)
-        h ^= h >> np.uint32(16)
-        h *= np.uint32(FINAL_1)
-        h ^= h >> np.uint32(13)
-        h *= np.uint32(FINAL_2)
-        h ^= h >> np.uint32(16)
-    out = np.empty(len(data), dtype=np.int32)
-    out[order] = h.view(np.int32)
-    return pd.Series(out, dtype="Int32").mask(~present)
+def _inverse(odd: int) -> int:
+    return pow(odd, -1, 1 << 32)
 
 
 def preimage_of_zero(seed: int) -> int:
@@ -58,6 +35,51 @@ def preimage_of_zero(seed: int) -> int:
         return ((x >> bits) | (x << (32 - bits))) & MASK
 
     mixed = 4  # the finaliser maps 0 to 0 and first xors in the length 4
-    k = back_rotate((mixed - ROUND_ADD) * pow(5, -1, 1 << 32) & MASK, 13) ^ seed
-    k = back_rotate(k * pow(C2, -1, 1 << 32) & MASK, 15) * pow(C1, -1, 1 << 32) & MASK
+    k = back_rotate((mixed - ROUND_ADD) * _inverse(5) & MASK, 13) ^ seed
+    k = back_rotate(k * _inverse(C2) & MASK, 15) * _inverse(C1) & MASK
     return k - (1 << 32) if k >> 31 else k
+
+
+ZERO_FIRST = preimage_of_zero(seed=42)
+
+
+def hash_word(value: Column) -> Column:
+    """Hash of a BIGINT, DOUBLE or time value as its 8 bytes."""
+    return F.hash(F.lit(ZERO_FIRST), value)
+
+
+def _xor_shift(x: np.ndarray, bits: int) -> np.ndarray:
+    return x ^ (x >> np.uint32(bits))
+
+
+@F.arrow_udf(IntegerType())
+def _with_tail(head: pa.Array, tail: pa.Array, length: pa.Array) -> pa.Array:
+    """Hash of whole strings from the hash of their whole words, their last bytes as a number and their length."""
+    size = np.asarray(length.fill_null(0)).astype(np.uint32)
+    h = np.asarray(head.fill_null(0)).view(np.uint32)
+    word = np.asarray(tail.fill_null(0)).astype(np.uint32)
+    with np.errstate(over="ignore"):
+        h = _xor_shift(h, 16) * np.uint32(_inverse(FINAL_2))
+        h = (h ^ (h >> np.uint32(13)) ^ (h >> np.uint32(26))) * np.uint32(_inverse(FINAL_1))
+        h = _xor_shift(h, 16) ^ (size - size % np.uint32(4))
+        word *= np.uint32(C1)
+        word = ((word << np.uint32(15)) | (word >> np.uint32(17))) * np.uint32(C2)
+        h ^= word ^ size
+        h = _xor_shift(_xor_shift(_xor_shift(h, 16) * np.uint32(FINAL_1), 13) * np.uint32(FINAL_2), 16)
+    return pa.array(h.view(np.int32), mask=np.asarray(length.is_null()))
+
+
+def hash_bytes(data: Column) -> Column:
+    """Hash of a BINARY value.
+
+    The JVM hashes the bytes; only three numbers per value go to Python.
+    """
+    length = F.octet_length(data)
+    whole = length - length % 4
+    head = F.hash(F.lit(ZERO_FIRST), F.substring(data, F.lit(1), whole))
+
+    def byte(i: int) -> Column:
+        value = F.conv(F.hex(F.substring(data, whole + (i + 1), F.lit(1))), 16, 10).cast("int")
+        return F.shiftleft(F.when(whole + i < length, value).otherwise(0), 8 * i)
+
+    return _with_tail(head, byte(0).bitwiseOR(byte(1)).bitwiseOR(byte(2)), length)

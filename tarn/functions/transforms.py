@@ -1,12 +1,7 @@
 """Partition transforms as Columns, their display form and predicate projection.
 
 Every transform is a plain Column expression, so Catalyst can push, fold and
-generate code for it.  Hash buckets of numbers and times use the JVM murmur3
-behind ``F.hash``: that function always starts from seed 42, but it chains, the
-hash of one argument being the seed of the next.  Murmur3 of a 4-byte integer
-is a bijection, so there is one integer whose hash is 0; putting it first makes
-the chain continue from seed 0.  Byte strings differ from the JVM function in
-their last 1-3 bytes and go through an Arrow function instead.
+generate code for it.
 """
 
 from __future__ import annotations
@@ -14,36 +9,36 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import BinaryType
 
-from tarn.functions.murmur import murmur3_bytes, preimage_of_zero
+from tarn.functions.murmur import ZERO_FIRST, hash_bytes, hash_word
 
 _MAX_INT = 0x7FFFFFFF
-_ZERO_SEED = preimage_of_zero(seed=42)
 
 
-@F.pandas_udf(IntegerType())
-def _hash_utf8(values: pd.Series) -> pd.Series:
-    return murmur3_bytes([None if v is None else v.encode("utf-8") for v in values])
+def _unscaled_bytes(col: Column, precision: int, scale: int) -> Column:
+    """Shortest two's-complement bytes, high byte first, of a decimal's unscaled value."""
+    if precision > 18:
+        return _wide_unscaled_bytes(col)
+    unscaled = (col * F.lit(10**scale).cast(f"decimal({scale + 1},0)")).cast("bigint")
+    text = F.hex(unscaled)
+    even = F.when(F.length(text) % 2 == 1, F.concat(F.lit("0"), text)).otherwise(text)
+    positive = F.when(F.substring(even, 1, 1) >= "8", F.concat(F.lit("00"), even)).otherwise(even)
+    negative = F.regexp_replace(text, "^(FF)+(?=[89A-F])", "")
+    return F.unhex(F.when(unscaled < 0, negative).otherwise(positive))
 
 
-@F.pandas_udf(IntegerType())
-def _hash_binary(values: pd.Series) -> pd.Series:
-    return murmur3_bytes([None if v is None else bytes(v) for v in values])
+@F.arrow_udf(BinaryType())
+def _wide_unscaled_bytes(values: pa.Array) -> pa.Array:
+    def encode(value):
+        sign, digits, _ = value.as_tuple()
+        unscaled = int("".join(map(str, digits)) or "0") * (-1 if sign else 1)
+        magnitude = unscaled if unscaled >= 0 else ~unscaled
+        return unscaled.to_bytes(magnitude.bit_length() // 8 + 1, "big", signed=True)
 
-
-@F.pandas_udf(IntegerType())
-def _hash_decimal(values: pd.Series) -> pd.Series:
-    return murmur3_bytes([None if v is None else _unscaled_bytes(v) for v in values])
-
-
-def _unscaled_bytes(value) -> bytes:
-    sign, digits, _ = value.as_tuple()
-    unscaled = int("".join(map(str, digits)) or "0") * (-1 if sign else 1)
-    magnitude = unscaled if unscaled >= 0 else ~unscaled
-    return unscaled.to_bytes(magnitude.bit_length() // 8 + 1, "big", signed=True)
+    return pa.array([None if v is None else encode(v) for v in values.to_pylist()], pa.binary())
 
 
 def _base(data_type: str) -> str:
@@ -54,11 +49,12 @@ def bucket_hash(col: Column, data_type: str) -> Column:
     """32-bit murmur3 with seed 0 of the single-value byte form; NULL stays NULL."""
     kind = _base(data_type)
     if kind in ("string", "varchar", "char"):
-        return _hash_utf8(col)
+        return hash_bytes(col.cast("binary"))
     if kind == "binary":
-        return _hash_binary(col)
+        return hash_bytes(col)
     if kind == "decimal":
-        return _hash_decimal(col)
+        precision, scale = map(int, re.findall(r"\d+", data_type))
+        return hash_bytes(_unscaled_bytes(col, precision, scale))
     if kind in ("tinyint", "smallint", "int", "bigint"):
         eight_bytes = col.cast("bigint")
     elif kind == "date":
@@ -69,7 +65,7 @@ def bucket_hash(col: Column, data_type: str) -> Column:
         eight_bytes = col.cast("double")
     else:
         raise ValueError(f"cannot bucket {data_type}")
-    return F.when(col.isNotNull(), F.hash(F.lit(_ZERO_SEED), eight_bytes))
+    return F.when(col.isNotNull(), hash_word(eight_bytes))
 
 
 def bucket(n: int, col: Column, data_type: str = "bigint") -> Column:
@@ -280,10 +276,7 @@ _SQL_FUNCTIONS = {
 def register_sql_functions(spark, prefix: str = "tarn_") -> None:
     """Make the transforms callable from SQL text.
 
-    All but the byte-string hashes are SQL functions, which the optimizer puts
-    in line like any expression.
+    They are SQL functions, which the optimizer puts in line like any expression.
     """
     for head, body in _SQL_FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{head} RETURN {body.format(zero=_ZERO_SEED)}")
-    for kind, fn in (("string", _hash_utf8), ("binary", _hash_binary), ("decimal", _hash_decimal)):
-        spark.udf.register(f"{prefix}hash_{kind}", fn)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{head} RETURN {body.format(zero=ZERO_FIRST)}")

@@ -9,19 +9,19 @@ BIGINT are interleaved by Column bit operations alone.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import BinaryType, LongType
 
 _SIGN = np.uint64(1 << 63)
 
 
-@F.pandas_udf(LongType())
-def _double_code(values: pd.Series) -> pd.Series:
-    clean = values.to_numpy(dtype="float64", na_value=np.nan) + 0.0  # -0.0 becomes 0.0
+@F.arrow_udf(LongType())
+def _double_code(values: pa.Array) -> pa.Array:
+    clean = np.asarray(values.fill_null(0.0)) + 0.0  # -0.0 becomes 0.0
     bits = clean.view(np.int64)
     code = np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
-    return pd.Series(code, dtype="Int64").mask(values.isna() & ~pd.Series(np.isnan(clean)))
+    return pa.array(code, mask=np.asarray(values.is_null()))
 
 
 def ordered_code(col: Column, data_type: str, width: int = 8) -> Column:
@@ -48,17 +48,18 @@ def ordered_code(col: Column, data_type: str, width: int = 8) -> Column:
     raise ValueError(f"no ordered form for {data_type}")
 
 
-@F.pandas_udf(BinaryType())
-def _interleave(*codes: pd.Series) -> pd.Series:
+@F.arrow_udf(BinaryType())
+def _interleave(*codes: pa.Array) -> pa.Array:
     """Bits of the codes in turn, highest first; a NULL code sorts first."""
     rows, k = len(codes[0]), len(codes)
     bits = np.empty((rows, 64, k), dtype=np.uint8)
     for i, code in enumerate(codes):
-        filled = code.astype("Int64").fillna(np.iinfo(np.int64).min).to_numpy(dtype=np.int64)
+        filled = np.asarray(code.fill_null(np.iinfo(np.int64).min))
         raw = (filled.view(np.uint64) ^ _SIGN).astype(">u8").view(np.uint8).reshape(rows, 8)
         bits[:, :, i] = np.unpackbits(raw, axis=1)
     packed = np.packbits(bits.reshape(rows, 64 * k), axis=1)
-    return pd.Series([row.tobytes() for row in packed])
+    offsets = np.arange(rows + 1, dtype=np.int32) * (8 * k)
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(packed.tobytes())])
 
 
 def zorder_key(columns: list[tuple[Column, str]], string_width: int = 8) -> Column:

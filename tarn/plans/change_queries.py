@@ -146,9 +146,9 @@ def entries_report(t: Tables):
 @query("metadata_log", """
 SELECT o_orderdate AS timestamp, 'v' || max(o_orderkey) || '.json' AS file,
    (SELECT max_by(snapshot_id, committed_at) FROM (__SNAPS__) s WHERE committed_at <= o_orderdate) AS latest_snapshot_id
-FROM orders WHERE o_orderkey % 40 = 0 GROUP BY 1""".replace("__SNAPS__", fx.SNAPSHOTS_SQL))
+FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1""".replace("__SNAPS__", fx.SNAPSHOTS_SQL))
 def metadata_log(t: Tables):
-    log = t.orders.where("o_orderkey % 40 = 0").groupBy(F.col("o_orderdate").alias("timestamp")).agg(
+    log = t.orders.where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_orderdate").alias("timestamp")).agg(
         F.concat(F.lit("v"), F.max("o_orderkey"), F.lit(".json")).alias("file"))
     return ln.metadata_log(log, fx.snapshots(t))
 
@@ -197,24 +197,24 @@ def changelog_net(t: Tables):
 
 
 ORDER_CHANGES_SQL = """
-SELECT o_orderkey AS id, o_orderstatus AS name, CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority ELSE 'was ' || o_orderpriority END AS data,
-       'DELETE' AS _change_type, CAST(o_custkey % 4 AS INTEGER) AS _change_ordinal, o_custkey % 4 AS _commit_snapshot_id FROM orders WHERE o_orderkey % 3 <> 2
-UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority, 'INSERT', CAST(o_custkey % 4 AS INTEGER), o_custkey % 4 FROM orders WHERE o_orderkey % 3 <> 1"""
+SELECT o_orderkey AS id, o_orderstatus AS name, CASE WHEN o_orderpriority = '5-LOW' THEN o_orderpriority ELSE 'was ' || o_orderpriority END AS data,
+       'DELETE' AS _change_type, CAST(o_custkey % 4 AS INTEGER) AS _change_ordinal, o_custkey % 4 AS _commit_snapshot_id FROM orders WHERE o_orderstatus <> 'O'
+UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority, 'INSERT', CAST(o_custkey % 4 AS INTEGER), o_custkey % 4 FROM orders WHERE o_orderstatus <> 'F'"""
 
 
 def order_changes(t: Tables):
-    """Deletes and inserts of orders; every fifth order's pair is a carry-over."""
+    """Deletes of finished, inserts of open and updates of pending orders; pairs of low priority are carry-overs."""
     o = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("name"), "o_orderpriority",
                         (F.col("o_custkey") % 4).cast("int").alias("_change_ordinal"), (F.col("o_custkey") % 4).alias("_commit_snapshot_id"))
-    was = F.when(F.col("id") % 5 == 0, F.col("o_orderpriority")).otherwise(F.concat(F.lit("was "), F.col("o_orderpriority")))
+    was = F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderpriority")).otherwise(F.concat(F.lit("was "), F.col("o_orderpriority")))
     shape = lambda df, data, kind: df.select("id", "name", data.alias("data"), F.lit(kind).alias("_change_type"),
                                              "_change_ordinal", "_commit_snapshot_id")
-    return shape(o.where("id % 3 <> 2"), was, "DELETE").union(shape(o.where("id % 3 <> 1"), F.col("o_orderpriority"), "INSERT"))
+    return shape(o.where("name <> 'O'"), was, "DELETE").union(shape(o.where("name <> 'F'"), F.col("o_orderpriority"), "INSERT"))
 
 
 UPDATES_SQL = f"""
 WITH c AS ({ORDER_CHANGES_SQL}),
-clean AS (SELECT * FROM c WHERE NOT (id % 5 = 0 AND id % 3 = 0))
+clean AS (SELECT * FROM c WHERE NOT (data = '5-LOW' AND name = 'P'))
 SELECT id, name, data, CASE WHEN count(*) OVER (PARTITION BY id, _change_ordinal) = 1 THEN _change_type
    WHEN _change_type = 'DELETE' THEN 'UPDATE_BEFORE' ELSE 'UPDATE_AFTER' END AS _change_type, _change_ordinal, _commit_snapshot_id FROM clean"""
 
@@ -241,12 +241,12 @@ def diff_versions(t: Tables):
 
 
 @query("upsert_by_key", """
-WITH newest AS (SELECT l_orderkey AS k, l_extendedprice AS price FROM lineitem WHERE l_orderkey % 2 = 0
+WITH newest AS (SELECT l_orderkey AS k, l_extendedprice AS price FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01'
    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_extendedprice DESC) = 1)
 SELECT * FROM newest UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT k FROM newest)""")
 def upsert_by_key(t: Tables):
     target = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"))
-    source = t.lineitem.where("l_orderkey % 2 = 0").select(
+    source = t.lineitem.where("l_shipdate >= timestamp_ntz'1999-01-01'").select(
         F.col("l_orderkey").alias("k"), F.col("l_extendedprice").alias("price"), "l_shipdate", "l_linenumber", "l_partkey")
     return ch.upsert(target, source, ["k"], ["l_shipdate", "l_linenumber", "l_partkey", "price"])
 
@@ -278,13 +278,13 @@ SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 2 THEN o_orderpriority ELSE o_
        CASE WHEN o_orderkey % 2 = 0 THEN 'dbo' ELSE 'shop' END || '.orders' AS source,
        'lake.' || CASE WHEN o_orderkey % 2 = 0 THEN 'dbo' ELSE 'shop' END || '_orders' AS target,
        make_timestamp(CAST(1700000000000 + o_orderkey AS BIGINT) * 1000) AS ts
-FROM orders WHERE o_orderkey % 9 <> 0""")
+FROM orders WHERE o_orderpriority <> '3-MEDIUM'""")
 def debezium_flatten(t: Tables):
     k = F.col("o_orderkey")
     op = F.when(k % 4 == 0, "c").when(k % 4 == 1, "u").when(k % 4 == 2, "d").otherwise("r")
     row = lambda state: F.struct(k.alias("id"), F.col(state).alias("state"))
     feed = t.orders.select(
-        F.when(k % 9 != 0, op).alias("op"), (k + 1700000000000).alias("ts_ms"),
+        F.when(F.col("o_orderpriority") != "3-MEDIUM", op).alias("op"), (k + 1700000000000).alias("ts_ms"),
         F.struct(F.lit("shop").alias("db"), F.when(k % 2 == 0, "dbo").alias("schema"), F.lit("orders").alias("table")).alias("source"),
         F.when(op.isin("u", "d"), row("o_orderpriority")).alias("before"), F.when(op != "d", row("o_orderstatus")).alias("after"))
     out = cdc.debezium_flatten(feed, "lake.{db}_{table}")
@@ -293,12 +293,12 @@ def debezium_flatten(t: Tables):
 
 @query("dms_flatten", """
 SELECT s_suppkey AS id, s_name AS name, CASE s_suppkey % 4 WHEN 1 THEN 'U' WHEN 2 THEN 'D' ELSE 'I' END AS op, 'sales.supplier' AS source
-FROM supplier WHERE s_suppkey % 7 <> 0""")
+FROM supplier WHERE s_acctbal >= 1000""")
 def dms_flatten(t: Tables):
     k = F.col("s_suppkey")
     kind = F.when(k % 4 == 0, "load").when(k % 4 == 1, "update").when(k % 4 == 2, "delete").otherwise("insert")
     feed = t.supplier.select(
-        F.when(k % 7 != 0, F.struct(k.alias("id"), F.col("s_name").alias("name"))).alias("data"),
+        F.when(F.col("s_acctbal") >= 1000, F.struct(k.alias("id"), F.col("s_name").alias("name"))).alias("data"),
         F.struct(kind.alias("operation"), F.lit("2024-01-01T00:00:00Z").alias("timestamp"),
                  F.lit("sales").alias("schema-name"), F.lit("supplier").alias("table-name")).alias("metadata"))
     return cdc.dms_flatten(feed).select("id", "name", "_cdc.op", "_cdc.source")
@@ -330,15 +330,15 @@ def attach_metadata(t: Tables):
 
 
 @query("merge_schema", """
-SELECT event_id, user_id, value, CAST(NULL AS VARCHAR) AS props FROM events WHERE event_id % 2 = 0
-UNION ALL SELECT event_id, user_id, CAST(NULL AS DOUBLE), props FROM events WHERE event_id % 2 = 1""")
+SELECT event_id, user_id, value, CAST(NULL AS VARCHAR) AS props FROM events WHERE value < 50
+UNION ALL SELECT event_id, user_id, CAST(NULL AS DOUBLE), props FROM events WHERE value >= 50""")
 def merge_schema(t: Tables):
-    old = t.events.where("event_id % 2 = 0").select("event_id", F.col("user_id").cast("int").alias("user_id"), "value")
-    new = t.events.where("event_id % 2 = 1").select("event_id", "user_id", "props")
+    old = t.events.where("value < 50").select("event_id", F.col("user_id").cast("int").alias("user_id"), "value")
+    new = t.events.where("value >= 50").select("event_id", "user_id", "props")
     return sm.merge_schema(old, new)
 
 
-@query("dedup_paths", "SELECT DISTINCT url AS path FROM (SELECT url FROM pages UNION ALL SELECT url FROM pages WHERE page_id % 2 = 0)")
+@query("dedup_paths", "SELECT DISTINCT url AS path FROM (SELECT url FROM pages UNION ALL SELECT lower(url) FROM pages)")
 def dedup_paths(t: Tables):
     paths = t.pages.select(F.col("url").alias("path"))
-    return paths.union(t.pages.where("page_id % 2 = 0").select("url")).dropDuplicates(["path"])
+    return paths.union(t.pages.select(F.lower("url"))).dropDuplicates(["path"])

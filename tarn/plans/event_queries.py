@@ -22,10 +22,10 @@ def naive(df, *columns: str):
 
 @query("json_source_parse", """
 SELECT event_id, CAST(json_extract_string(doc, '$.k') AS INTEGER) AS k, CAST(NULL AS VARCHAR) AS missing
-FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN substr(props, 1, 4) ELSE props END AS doc FROM events)
+FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN replace(props, '}', '') ELSE props END AS doc FROM events)
 WHERE json_valid(doc)""")
 def json_source_parse(t: Tables):
-    broken = F.when(F.col("event_id") % 7 == 0, F.substring("props", 1, 4)).otherwise(F.col("props"))
+    broken = F.when(F.col("event_type") == "error", F.replace("props", F.lit("}"))).otherwise(F.col("props"))
     raw = t.events.select("event_id", broken.alias("payload"))
     return ms.parse_json(raw, "payload", StructType.fromDDL("k int, missing string"), keep=["event_id"])
 

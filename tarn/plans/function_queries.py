@@ -40,9 +40,30 @@ def bucket_hash(t: Tables):
         tr.bucket(32, F.col("o_orderdate"), "timestamp_ntz").alias("time_bucket"))
 
 
-@query("bucket_hash_text")
+def murmur_bytes_sql(source: str, key: str, blob: str) -> str:
+    """Murmur3 (seed 0) of whole byte strings: words folded in a list, then the tail: (key, positive)."""
+    m = "4294967296::UBIGINT"
+    rot = lambda x, r: f"(({x}) * {1 << r} % {m} + ({x}) // {1 << (32 - r)})"
+    mix = lambda k: f"({rot(f'{k} * 3432918353::UBIGINT % {m}', 15)} * 461845907::UBIGINT % {m})"
+    word = "('0x0' || substr(w, 7, 2) || substr(w, 5, 2) || substr(w, 3, 2) || substr(w, 1, 2))::UBIGINT"
+    return f"""
+  SELECT {key}, xor(h, h // 65536) % 2147483648::UBIGINT AS positive FROM (
+  SELECT {key}, xor(h, h // 8192) * 3266489909::UBIGINT % {m} AS h FROM (
+  SELECT {key}, xor(h, h // 65536) * 2246822507::UBIGINT % {m} AS h FROM (
+  SELECT {key}, xor(xor(h, {mix('k')}), n::UBIGINT) AS h FROM (
+  SELECT {key}, n, {word.replace('w,', 'rest,')} AS k, list_reduce(list_prepend(0::UBIGINT, [{mix('w')} for w in words]),
+      lambda h, k: ({rot('xor(h, k)', 13)} * 5 + 3864292196::UBIGINT) % {m}) AS h
+  FROM (SELECT {key}, n, substr(x, 8 * (n // 4) + 1) AS rest, [{word} for w in regexp_extract_all(x, '[0-9A-F]{{8}}')] AS words FROM (
+  SELECT {key}, hex({blob}) AS x, octet_length({blob}) AS n FROM {source}))))))"""
+
+
+@query("bucket_hash_text", f"""
+SELECT doc_id, (a.positive % 128)::INTEGER AS text_bucket, (b.positive % 16)::INTEGER AS lang_bucket, (c.positive % 16)::INTEGER AS size_bucket
+FROM ({murmur_bytes_sql('documents', 'doc_id', 'encode(text)')}) a JOIN ({murmur_bytes_sql('documents', 'doc_id', 'encode(lang)')}) b USING (doc_id)
+JOIN ({murmur_bytes_sql("(SELECT doc_id, printf('%X', n_chars * 100) AS d FROM documents)", 'doc_id',
+                       "unhex(CASE WHEN length(d) % 2 = 1 THEN '0' || d WHEN d[1] >= '8' THEN '00' || d ELSE d END)")}) c USING (doc_id)""")
 def bucket_hash_text(t: Tables):
-    """Hash buckets of strings, binary and decimals, which SQL cannot check; see the test vectors."""
+    """Hash buckets of whole texts, of binary and of decimals."""
     return t.documents.select(
         "doc_id", tr.bucket(128, F.col("text"), "string").alias("text_bucket"),
         tr.bucket(16, F.unhex(F.hex("lang")), "binary").alias("lang_bucket"),

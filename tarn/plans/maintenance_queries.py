@@ -233,7 +233,7 @@ def reachable_files(t: Tables):
 LOC = r"'^([a-z]+)://([^/]*)(/.*)$'"
 ORPHAN_SQL = f"""
 WITH l AS (SELECT page_id, url AS file_path, TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * page_id AS last_modified FROM pages),
-v AS (SELECT CASE page_id % 3 WHEN 0 THEN replace(url, 'http://', 'https://') ELSE replace(url, '.example.', '.other.') END AS p FROM pages WHERE page_id % 3 <> 2 AND page_id % 4 <> 3),
+v AS (SELECT CASE WHEN url LIKE 'http://%' THEN replace(url, 'http://', 'https://') ELSE replace(url, '.example.', '.other.') END AS p FROM pages WHERE url NOT LIKE '%/fr/%'),
 lp AS (SELECT *, replace(regexp_extract(file_path, {LOC}, 1), 'https', 'http') AS s, regexp_extract(file_path, {LOC}, 2) AS a, regexp_extract(file_path, {LOC}, 3) AS path FROM l
        WHERE last_modified < TIMESTAMP '2024-01-01' + INTERVAL 9000 HOUR),
 vp AS (SELECT replace(regexp_extract(p, {LOC}, 1), 'https', 'http') AS s, regexp_extract(p, {LOC}, 2) AS a, regexp_extract(p, {LOC}, 3) AS path FROM v)
@@ -243,9 +243,8 @@ SELECT file_path, last_modified FROM lp WHERE NOT EXISTS (SELECT 1 FROM vp WHERE
 def orphans(t: Tables, mismatch: str):
     hours = lambda n: F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=n)
     listing = t.pages.select(F.col("url").alias("file_path"), hours(F.col("page_id").cast("int")).alias("last_modified"))
-    p = F.col("page_id")
-    moved = F.when(p % 3 == 0, F.replace("url", F.lit("http://"), F.lit("https://"))).otherwise(F.replace("url", F.lit(".example."), F.lit(".other.")))
-    valid = t.pages.where((p % 3 != 2) & (p % 4 != 3)).select(moved.alias("file_path"))
+    moved = F.when(F.col("url").startswith("http://"), F.replace("url", F.lit("http://"), F.lit("https://"))).otherwise(F.replace("url", F.lit(".example."), F.lit(".other.")))
+    valid = t.pages.where("url NOT LIKE '%/fr/%'").select(moved.alias("file_path"))
     return mt.orphan_files(listing, valid, hours(F.lit(9000)), {"https": "http"}, mismatch=mismatch)
 
 
@@ -331,8 +330,8 @@ def sink_dt_hr(t: Tables):
 def write_mode_append(t: Tables):
     path = scratch(t.spark, "append")
     rows = t.events.select("event_id", "event_type")
-    for side in (0, 1):
-        sn.write_table(rows.where(F.col("event_id") % 2 == side), "append", path, ["event_type"])
+    for part in ("event_type IN ('click', 'view')", "event_type NOT IN ('click', 'view')"):
+        sn.write_table(rows.where(part), "append", path, ["event_type"])
     return sn.read_back(t.spark, path, "event_id bigint, event_type string")
 
 
@@ -412,9 +411,9 @@ def wap_publish(t: Tables):
     return sn.publish_staged(staged, "wap_id", audit, done).select("event_id", "value")
 
 
-@query("ctas_roundtrip", "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("ctas_roundtrip", "SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def ctas_roundtrip(t: Tables):
-    joined = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    joined = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "n_name")
     return sn.create_table_as(joined, f"tarn_ctas_{uuid.uuid4().hex}", scratch(t.spark, "ctas"))
 
 
@@ -435,28 +434,63 @@ def job_from_config(t: Tables):
     return naive(out.drop("timestamp_ms"), "event_time")
 
 
-@query("datagen_stock", f"""
-SELECT event_id, ['AAPL', 'AMZN', 'MSFT', 'INTC', 'TBV'][n0 % 5 + 1] AS ticker, (n1 % 10001)::DOUBLE / 100 AS price FROM (
-SELECT event_id, xor(b0, b0 >> 13) AS n0, xor(b1, b1 >> 13) AS n1 FROM (
-SELECT event_id, xor(a0, a0 >> 15) * 1540483477 % 4294967296 AS b0, xor(a1, a1 >> 15) * 1540483477 % 4294967296 AS b1 FROM (
-SELECT event_id, (event_id * 2654435761 + 11 * 40503) % 4294967296 AS a0, (event_id * 2654435761 + 12 * 40503) % 4294967296 AS a1 FROM events)))""")
+def noise_sql(id: str, seed: int) -> str:
+    """The generator's mixing function in SQL."""
+    x = f"(({id} % 2147483648 * 2654435761 + {seed * 40503}) % 4294967296)"
+    x = f"(xor({x}, {x} >> 15) * 1540483477 % 4294967296)"
+    return f"xor({x}, {x} >> 13)"
+
+
+def field_sql(field: gn.Field, id: str, seed: int) -> str:
+    n = noise_sql(id, seed)
+    if field.kind == "sequence":
+        return f"{id} + {field.low}"
+    if field.kind == "int":
+        return f"{n} % {field.high - field.low + 1} + {field.low}"
+    if field.kind == "decimal":
+        unit = 10**field.digits
+        return f"({n} % {(field.high - field.low) * unit + 1} + {field.low * unit})::DOUBLE / {unit}"
+    return f"{list(field.choices)}[{n} % {len(field.choices)} + 1]"
+
+
+def generated_sql(fields: list[gn.Field], id: str, table: str, seed: int) -> str:
+    columns = [f"{field_sql(f, id, seed + i)} AS {f.name}" for i, f in enumerate(fields)]
+    return f"SELECT {id}, {', '.join(columns)} FROM {table}"
+
+
+SENSOR = [gn.Field("seq", "sequence", low=1), gn.Field("reading", "decimal", -20, 60, 1), gn.Field("room", "int", 1, 12), gn.Field("unit", "choice", choices=("C", "F"))]
+
+
+@query("datagen_stock", generated_sql(gn.STOCK, "event_id", "events", 11))
 def datagen_stock(t: Tables):
     """Prices generated for every event id."""
     return gn.generate(t.events, "event_id", gn.STOCK, 11, keep=["event_id"])
 
 
-@query("datagen_spec")
+@query("datagen_spec", generated_sql(SENSOR, "o_orderkey", "orders", 3))
 def datagen_spec(t: Tables):
-    fields = [gn.Field("seq", "sequence", low=1), gn.Field("reading", "decimal", -20, 60, 1), gn.Field("room", "int", 1, 12), gn.Field("unit", "choice", choices=("C", "F"))]
-    return gn.generate(t.orders, "o_orderkey", fields, seed=3, keep=["o_orderkey"])
+    return gn.generate(t.orders, "o_orderkey", SENSOR, seed=3, keep=["o_orderkey"])
 
 
-@query("datagen_bid")
+@query("datagen_bid", generated_sql(gn.BID, "event_id", "events", 5))
 def datagen_bid(t: Tables):
     return gn.generate(t.events, "event_id", gn.BID, 5, keep=["event_id"])
 
 
-@query("datagen_ride")
+@query("datagen_user", generated_sql(gn.USER, "event_id", "events", 6))
+def datagen_user(t: Tables):
+    return gn.generate(t.events, "event_id", gn.USER, 6, keep=["event_id"])
+
+
+@query("datagen_order", generated_sql(gn.ORDER, "o_orderkey", "orders", 8))
+def datagen_order(t: Tables):
+    return gn.generate(t.orders, "o_orderkey", gn.ORDER, 8, keep=["o_orderkey"])
+
+
+@query("datagen_ride", f"""
+SELECT 'evt_' || lpad(event_id::VARCHAR, greatest(6, length(event_id::VARCHAR))::INTEGER, '0') AS event_id, 'user_' || lpad(user_no::VARCHAR, 4, '0') AS user_id, event_type,
+  ms AS timestamp, 'ride_' || lpad(ride_no::VARCHAR, 5, '0') AS ride_id, surge_multiplier, estimated_wait_minutes, fare_amount, driver_rating
+FROM ({generated_sql(gn.RIDE, 'event_id', 'events', 7)}) g JOIN (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events) USING (event_id)""")
 def datagen_ride(t: Tables):
     rides = gn.ride_events(t.events, "event_id", millis(), 7)
     return rides.select("event_id", "user_id", "event_type", "timestamp", "ride_id", "metadata.*")

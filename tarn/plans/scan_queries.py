@@ -33,12 +33,12 @@ def name_mapping(t: Tables):
 
 
 @query("evolved_read", """
-SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS props, value FROM events WHERE event_id % 2 = 0
-UNION ALL SELECT event_id, user_id, props, CAST(NULL AS DOUBLE) FROM events WHERE event_id % 2 = 1""")
+SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS props, value FROM events WHERE value < 50
+UNION ALL SELECT event_id, user_id, props, CAST(NULL AS DOUBLE) FROM events WHERE value >= 50""")
 def evolved_read(t: Tables):
-    even, odd = t.events.where("event_id % 2 = 0"), t.events.where("event_id % 2 = 1")
-    old = even.select(F.col("event_id").cast("int").alias("event_id"), F.col("user_id").cast("int").alias("user_id"), "value")
-    new = odd.select("event_id", "user_id", "props")
+    cheap, dear = t.events.where("value < 50"), t.events.where("value >= 50")
+    old = cheap.select(F.col("event_id").cast("int").alias("event_id"), F.col("user_id").cast("int").alias("user_id"), "value")
+    new = dear.select("event_id", "user_id", "props")
     return fs.read_evolved([old, new], StructType.fromDDL("event_id bigint, user_id bigint, props string, value double"))
 
 

@@ -161,7 +161,7 @@ def async_enrich_drop(t: Tables):
     return en.enrich(rows, lookup, "score double", fallback="drop", retries=1, delay=0.001, capacity=16)
 
 
-@query("tumble_proc")
+@query("tumble_proc", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def tumble_proc(t: Tables):
     """Processing-time windows: the totals, as the windows depend on when it runs."""
     base = scratch(t.spark, "stream")

@@ -16,8 +16,8 @@ FILES = f"files AS ({fx.FILES_SQL})"
 SNAPS = f"snapshots AS ({fx.SNAPSHOTS_SQL})"
 
 MERGE_SQL = """
-WITH src AS (SELECT l_orderkey AS k, max(l_extendedprice) AS price, max(l_returnflag) AS flag FROM lineitem WHERE l_orderkey % 3 <> 0 GROUP BY 1
-             UNION ALL SELECT o_orderkey + 10000000, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 4 = 0),
+WITH src AS (SELECT l_orderkey AS k, max(l_extendedprice) AS price, max(l_returnflag) AS flag FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01' GROUP BY 1
+             UNION ALL SELECT o_orderkey + 10000000, o_totalprice, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'),
      tgt AS (SELECT o_orderkey AS k, o_totalprice AS price, o_orderstatus AS flag FROM orders)
 SELECT coalesce(t.k, s.k) AS k,
        CASE WHEN t.k IS NULL THEN s.price WHEN s.k IS NOT NULL AND s.flag = 'R' THEN t.price + s.price ELSE t.price END AS price,
@@ -29,9 +29,9 @@ WHERE NOT (t.k IS NOT NULL AND s.k IS NOT NULL AND s.flag = 'A' AND t.price > 20
 
 def merge_inputs(t: Tables):
     target = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("flag"))
-    lines = t.lineitem.where("l_orderkey % 3 <> 0").groupBy(F.col("l_orderkey").alias("k")).agg(
+    lines = t.lineitem.where("l_shipdate < timestamp_ntz'1998-01-01'").groupBy(F.col("l_orderkey").alias("k")).agg(
         F.max("l_extendedprice").alias("price"), F.max("l_returnflag").alias("flag"))
-    new = t.orders.where("o_orderkey % 4 = 0").select((F.col("o_orderkey") + 10000000).alias("k"), "o_totalprice", "o_orderstatus")
+    new = t.orders.where("o_orderpriority = '1-URGENT'").select((F.col("o_orderkey") + 10000000).alias("k"), "o_totalprice", "o_orderstatus")
     return target, lines.union(new)
 
 
@@ -57,12 +57,12 @@ def merge_by_source(t: Tables):
 
 @query("merge_star", """
 WITH src AS (SELECT c_custkey AS k, c_acctbal AS price, c_mktsegment AS flag FROM customer),
-     tgt AS (SELECT o_orderkey AS k, o_totalprice AS price, o_orderstatus AS flag FROM orders WHERE o_orderkey % 2 = 0)
+     tgt AS (SELECT o_orderkey AS k, o_totalprice AS price, o_orderstatus AS flag FROM orders WHERE o_orderstatus <> 'F')
 SELECT coalesce(t.k, s.k) AS k, CASE WHEN s.k IS NULL THEN t.price ELSE s.price END AS price, CASE WHEN s.k IS NULL THEN t.flag ELSE s.flag END AS flag
 FROM tgt t FULL JOIN src s ON t.k = s.k""")
 def merge_star(t: Tables):
     """UPDATE * and INSERT *."""
-    target = t.orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("flag"))
+    target = t.orders.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("flag"))
     source = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("price"), F.col("c_mktsegment").alias("flag"))
     return mg.merge(target, source, ["k"], [mg.Clause("update")], [mg.Clause("insert")])
 
@@ -137,12 +137,12 @@ def equality_inputs(t: Tables):
 
 @query("eq_to_position_deletes", """
 WITH d AS (SELECT event_id, user_id, event_id // 1000 AS file_no, event_id % 1000 AS pos, event_id % 50 AS seq FROM events),
-del AS (SELECT c_custkey AS user_id, c_custkey % 40 AS seq FROM customer WHERE c_custkey % 2 = 0)
+del AS (SELECT c_custkey AS user_id, c_custkey % 40 AS seq FROM customer WHERE c_acctbal > 5000)
 SELECT file_no, pos FROM d WHERE EXISTS (SELECT 1 FROM del WHERE del.user_id = d.user_id AND d.seq < del.seq)""")
 def eq_to_position_deletes(t: Tables):
     e = F.col("event_id")
     data = t.events.select("user_id", int_div(e, 1000).alias("file_no"), (e % 1000).alias("pos"), (e % 50).alias("seq"))
-    gone = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("user_id"), (F.col("c_custkey") % 40).alias("seq"))
+    gone = t.customer.where("c_acctbal > 5000").select(F.col("c_custkey").alias("user_id"), (F.col("c_custkey") % 40).alias("seq"))
     return dl.equality_to_position_deletes(data, [(gone, ["user_id"])], "file_no", "pos", "seq")
 
 
@@ -192,7 +192,7 @@ def compact_deletes(t: Tables):
 def deletion_vectors(t: Tables):
     """Bitmaps of two overlapping delete batches merged and counted."""
     pd = position_deletes(t)
-    old, new = dl.deletion_vectors(pd.where("pos % 2 = 0")), dl.deletion_vectors(pd)
+    old, new = dl.deletion_vectors(pd.where("pos < 10")), dl.deletion_vectors(pd)
     return dl.deleted_counts(dl.merge_deletion_vectors(old, new))
 
 
@@ -230,10 +230,10 @@ def overwrite_partitions(t: Tables):
 
 @query("overwrite_by_filter", """
 SELECT o_orderkey, p FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_totalprice END AS p FROM orders) WHERE p <= 300000 OR p IS NULL
-UNION ALL SELECT o_orderkey, 400000.0 FROM orders WHERE o_orderkey % 10 = 0""")
+UNION ALL SELECT o_orderkey, 400000.0 FROM orders WHERE o_orderpriority = '1-URGENT'""")
 def overwrite_by_filter(t: Tables):
     rows = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 50 != 0, F.col("o_totalprice")).alias("p"))
-    new = t.orders.where("o_orderkey % 10 = 0").select("o_orderkey", F.lit(400000.0).alias("p"))
+    new = t.orders.where("o_orderpriority = '1-URGENT'").select("o_orderkey", F.lit(400000.0).alias("p"))
     return sn.overwrite_by_filter(rows, new, F.col("p") > 300000)
 
 

@@ -77,7 +77,11 @@ RIDE = [Field("event_type", "choice", choices=RIDE_EVENTS), Field("user_no", "in
 def ride_events(ids: DataFrame, id: str, millis: Column, seed: int = 0) -> DataFrame:
     """Ride events with nested metadata, as the JSON source carries them."""
     flat = generate(ids.withColumn("_ms", millis), id, RIDE, seed, keep=[id, "_ms"])
-    pad = lambda prefix, c, n: F.concat(F.lit(prefix), F.lpad(F.col(c).cast("string"), n, "0"))
+
+    def pad(prefix: str, name: str, width: int) -> Column:
+        text = F.col(name).cast("string")
+        return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")))
+
     return flat.select(pad("evt_", id, 6).alias("event_id"), pad("user_", "user_no", 4).alias("user_id"), "event_type",
                        F.col("_ms").alias("timestamp"), pad("ride_", "ride_no", 5).alias("ride_id"),
                        F.struct("surge_multiplier", "estimated_wait_minutes", "fare_amount", "driver_rating").alias("metadata"))

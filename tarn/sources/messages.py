@@ -39,9 +39,12 @@ def parse_json(df: DataFrame, payload: str | Column, schema: StructType, keep: l
     column = F.col(payload) if isinstance(payload, str) else payload
     wide = StructType([*schema.fields, StructField(corrupt, StringType())])
     parsed = F.from_json(column, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
-    rows = df.select(*(keep or []), column.alias("_payload"), parsed.alias("_row"))
     if drop_malformed:
-        rows = rows.where(F.col("_payload").isNotNull() & F.col(f"_row.{corrupt}").isNull())
+        # A plain filter on the parsed row would be pushed below it and parse every payload a second time.
+        good = F.filter(F.array(parsed), lambda row: row.isNotNull() & row[corrupt].isNull())
+        rows = df.select(*(keep or []), F.explode(good).alias("_row"))
+    else:
+        rows = df.select(*(keep or []), parsed.alias("_row"))
     return rows.select(*(keep or []), *[F.col(f"_row.{f.name}").alias(f.name) for f in schema.fields])
 
 

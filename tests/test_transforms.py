@@ -1,15 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import struct
 from decimal import Decimal
 
 import pytest
-from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tarn.functions import transforms as tr, zorder as zo
-from tarn.functions.murmur import murmur3_bytes, preimage_of_zero
+from tarn.functions.murmur import hash_bytes, preimage_of_zero
 
 
 def plain_murmur3(data: bytes, seed: int = 0) -> int:
@@ -29,11 +29,12 @@ def plain_murmur3(data: bytes, seed: int = 0) -> int:
     return h - (1 << 32) if h >> 31 else h
 
 
-@given(st.lists(st.one_of(st.none(), st.binary(max_size=40)), max_size=30))
-@settings(max_examples=50, deadline=None)
-def test_murmur_matches_plain(values):
-    got = murmur3_bytes(values)
-    assert [None if v is None else plain_murmur3(v) for v in values] == [None if v is None else g for v, g in zip(values, got)]
+def test_hash_of_byte_strings(spark):
+    rng = random.Random(1)
+    values = [None, b"", *[rng.randbytes(n) for n in range(1, 70)], *[rng.randbytes(rng.randrange(3000)) for _ in range(40)], b"\xff" * 7]
+    df = spark.createDataFrame([(i, None if v is None else bytearray(v)) for i, v in enumerate(values)], "i int, v binary")
+    got = dict(df.select("i", hash_bytes(F.col("v"))).collect())
+    assert got == {i: None if v is None else plain_murmur3(v) for i, v in enumerate(values)}
 
 
 def test_zero_seed_trick():
@@ -63,6 +64,12 @@ def test_bucket_vectors(spark):
     ("decimal(9,2)", Decimal("14.20"), (1420).to_bytes(2, "big")),
     ("decimal(9,2)", Decimal("-1.28"), b"\x80"),
     ("decimal(9,2)", Decimal("0.00"), b"\x00"),
+    ("decimal(9,2)", Decimal("1.28"), b"\x00\x80"),
+    ("decimal(9,2)", Decimal("-0.01"), b"\xff"),
+    ("decimal(9,2)", Decimal("-1.29"), b"\xff\x7f"),
+    ("decimal(18,0)", Decimal(-(10**17)), (-(10**17)).to_bytes(8, "big", signed=True)),
+    ("decimal(38,3)", Decimal("123456789012345678901234.567"), (123456789012345678901234567).to_bytes(11, "big")),
+    ("decimal(38,3)", Decimal("-0.128"), b"\x80"),
 ])
 def test_bucket_hash_bytes(spark, kind, value, raw):
     df = spark.createDataFrame([(value,), (None,)], f"v {kind}")
