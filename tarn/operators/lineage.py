@@ -25,13 +25,15 @@ def branch_ancestors(snapshots: DataFrame, heads: DataFrame) -> DataFrame:
     found = heads.select(F.col("snapshot_id").alias("head_id"), "snapshot_id", F.lit(0).alias("depth"))
     hops = 1
     while not jump.isEmpty():
-        further = found.join(jump, F.col("snapshot_id") == F.col("from_id")).select(
-            "head_id", F.col("to_id").alias("snapshot_id"), (F.col("depth") + hops).alias("depth"))
-        found = cut_lineage(found.union(further))
+        # Every row stays and brings the one so many steps further: one join per round, no union of two copies.
+        here = F.struct("snapshot_id", "depth")
+        there = F.when(F.col("to_id").isNotNull(), F.struct(F.col("to_id").alias("snapshot_id"), (F.col("depth") + hops).alias("depth")))
+        found = (found.join(jump, F.col("snapshot_id") == F.col("from_id"), "left")
+                 .select("head_id", F.explode(F.array_compact(F.array(here, there))).alias("_s")).select("head_id", "_s.*"))
         jump = cut_lineage(jump.alias("a").join(jump.alias("b"), F.col("a.to_id") == F.col("b.from_id"))
                            .select("a.from_id", "b.to_id"))
         hops *= 2
-    return found
+    return cut_lineage(found)
 
 
 def ancestors(snapshots: DataFrame, head: int) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 
@@ -21,22 +22,21 @@ def scan_in_order(df: DataFrame, keys: list[str], order: list[str], inputs: list
     added = StructType.fromDDL(outputs)
     schema = StructType([*df.schema.fields, *added.fields])
     group = F.to_json(F.struct(*keys)) if keys else F.lit("")
-    placed = (df.withColumn("_group", group).repartition("_group").sortWithinPartitions("_group", *order))
-    names = [f.name for f in added.fields]
-    columns = [f.name for f in schema.fields]
+    placed = df.withColumn("_group", group).repartition("_group").sortWithinPartitions("_group", *order)
+    kept, types = df.columns, [to_arrow_type(f.dataType) for f in added.fields]
 
     def run(batches):
         current, step = None, None
         for batch in batches:
             made = []
-            for row in zip(batch["_group"], *(batch[c] for c in inputs)):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("_group", *inputs))):
                 if row[0] != current:
                     current, step = row[0], new_step()
                 made.append(step(*row[1:]))
-            extra = pd.DataFrame(made, columns=names, index=batch.index)
-            yield pd.concat([batch.drop(columns="_group"), extra], axis=1)[columns]
+            new = [pa.array(values, kind) for values, kind in zip(zip(*made), types)] if made else [pa.array([], k) for k in types]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new], names=schema.names)
 
-    return placed.mapInPandas(run, schema)
+    return placed.mapInArrow(run, schema)
 
 
 def pack(df: DataFrame, keys: list[str], order: list[str], weight: str, target: int, lookback: int = 1,

@@ -13,9 +13,14 @@ from tarn.operators.skipping import check_added_rows
 
 
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", partition: list[str] = (), mode: str = "append",
-                options: dict[str, str] | None = None) -> None:
-    """Write files; overwriting replaces only the partitions the rows touch."""
-    writer = df.write.format(fmt).mode(mode).options(**{"compression": "snappy"} if fmt == "parquet" else {})
+                options: dict[str, str] | None = None, cluster: bool = False) -> None:
+    """Write files; overwriting replaces only the partitions the rows touch.
+
+    Clustering brings a partition's rows together first, for few files per
+    folder; a partition far larger than the others is still split over tasks.
+    """
+    rows = df.hint("rebalance", *partition) if cluster and partition else df
+    writer = rows.write.format(fmt).mode(mode).options(**{"compression": "snappy"} if fmt == "parquet" else {})
     if partition:
         writer = writer.partitionBy(*partition)
         if mode == "overwrite":

@@ -313,7 +313,7 @@ def sink_time_buckets(t: Tables):
     path = scratch(t.spark, "buckets")
     rows = sn.with_time_buckets(t.events.select("event_id", "ts"), "ts").drop("ts")
     cols = ["year", "month", "day", "hour"]
-    sn.write_files(rows.repartition(*cols), path, partition=cols)
+    sn.write_files(rows, path, partition=cols, cluster=True)
     return sn.read_back(t.spark, path, "event_id bigint, year string, month string, day string, hour string")
 
 
@@ -322,7 +322,7 @@ SELECT event_id, value AS price, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%
 def sink_dt_hr(t: Tables):
     path = scratch(t.spark, "dt-hr")
     rows = ev.with_day_and_hour_text(t.events.where("value > 50"), "ts").select("event_id", F.col("value").alias("price"), "dt", "hr")
-    sn.write_files(rows.repartition("dt", "hr"), path, partition=["dt", "hr"])
+    sn.write_files(rows, path, partition=["dt", "hr"], cluster=True)
     return sn.read_back(t.spark, path, "event_id bigint, price double, dt string, hr string")
 
 

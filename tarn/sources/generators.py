@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-TICKERS = ("AAPL", "AMZN", "MSFT", "INTC", "TBV")  # fixed values
+TICKERS = ("AAPL", "NVDA", "MSFT", "INTC", "TBV")  # fixed values
 BID_EVENTS = ("bid_placed", "bid_won", "bid_lost")
 PLATFORMS = ("ios", "android", "web")
 CITIES = 10

@@ -6,8 +6,9 @@ import time
 from collections.abc import Callable
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 
@@ -45,7 +46,7 @@ def enrich(df: DataFrame, call: Callable[[dict], dict | None], outputs: str, fal
     added = StructType.fromDDL(outputs)
     schema = StructType([*df.schema.fields, *added.fields])
     names = [f.name for f in added.fields]
-    columns = schema.names
+    new_fields = [pa.field(f.name, to_arrow_type(f.dataType)) for f in added.fields]
 
     def run(batches):
         with ThreadPoolExecutor(max_workers=capacity) as pool:
@@ -64,13 +65,13 @@ def enrich(df: DataFrame, call: Callable[[dict], dict | None], outputs: str, fal
                         elif fallback == "passthrough":
                             done_rows.append({**row, **dict.fromkeys(names)})
 
-                for row in batch.to_dict("records"):
+                for row in batch.to_pylist():
                     while len(waiting) >= capacity:
                         collect(block=True)
                     deadline = time.monotonic() + timeout
                     waiting[pool.submit(call_with_retry, call, row, retries, delay, backoff, deadline, retry_empty)] = row
                 while waiting:
                     collect(block=True)
-                yield pd.DataFrame(done_rows, columns=columns)
+                yield pa.RecordBatch.from_pylist(done_rows, schema=pa.schema([*batch.schema, *new_fields]))
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)

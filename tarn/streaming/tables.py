@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructType
 
 from tarn.operators.changes import latest_per_key
+from tarn.operators.sinks import write_files
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -36,14 +37,17 @@ def keyed_table_writer(path: str, keys: list[str], order: list[str], schema: Str
         gone = F.col(op).isin("DELETE", "D") if op else F.lit(False)
         incoming = latest_per_key(rows.withColumn("_deleted", gone).select(*stored.names), keys, order)
         incoming = incoming.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-        merged = incoming
-        if _exists(spark, path):
-            touched = incoming.select("_bucket").distinct()
-            current = spark.read.schema(StructType(stored.fields).add("_bucket", IntegerType())).parquet(path)
-            current = current.join(F.broadcast(touched), "_bucket", "left_semi")  # at most one row per bucket
-            merged = latest_per_key(current.unionByName(incoming), keys, order)
-        (merged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_bucket").parquet(path))
+        incoming.persist()
+        try:
+            merged = incoming
+            if _exists(spark, path):
+                touched = incoming.select("_bucket").distinct()
+                current = spark.read.schema(StructType(stored.fields).add("_bucket", IntegerType())).parquet(path)
+                current = current.join(F.broadcast(touched), "_bucket", "left_semi")  # at most one row per bucket
+                merged = latest_per_key(current.unionByName(incoming), keys, order)
+            write_files(merged, path, partition=["_bucket"], mode="overwrite", cluster=True)
+        finally:
+            incoming.unpersist()
 
     return write
 

@@ -25,6 +25,8 @@ def db():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert df.count() > 0
