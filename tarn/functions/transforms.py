@@ -203,6 +203,8 @@ def project_inclusive(field: PartitionField, op: str, value, part: Column | None
     if op == "in":
         return part.isin([v for v in value]) if field.transform == "identity" else \
             _any_of([part == field.value(F.lit(v)) for v in value])
+    if op in ("starts_with", "not_starts_with"):
+        return _prefix_projection(field, op, value, part, inclusive=True)
     lit = F.lit(value)
     if field.transform == "identity":
         return _compare(op, part, lit)
@@ -229,6 +231,8 @@ def project_strict(field: PartitionField, op: str, value, part: Column | None =
         return part.isNull()
     if op == "not_null":
         return part.isNotNull()
+    if op in ("starts_with", "not_starts_with"):
+        return _prefix_projection(field, op, value, part, inclusive=False)
     if field.transform == "identity":
         return part.isin(list(value)) if op == "in" else _compare(op, part, F.lit(value))
     if op == "in":
@@ -250,6 +254,20 @@ def project_strict(field: PartitionField, op: str, value, part: Column | None =
     return part > field.value(lit - step)
 
 
+def _prefix_projection(field: PartitionField, op: str, prefix: str, part: Column, inclusive: bool) -> Column:
+    """A prefix no longer than the partition value is decided by it; of a longer one only its head is known."""
+    if field.transform not in ("identity", "truncate"):
+        return F.lit(inclusive)
+    positive = op == "starts_with"
+    if field.transform == "identity" or len(prefix) <= field.arg:
+        known = part.startswith(prefix)
+        return known if positive else ~known
+    head = part == prefix[: field.arg]
+    if positive:
+        return head if inclusive else F.lit(False)
+    return F.lit(True) if inclusive else ~head
+
+
 def _any_of(terms: list[Column]) -> Column:
     out = F.lit(False)
     for term in terms:

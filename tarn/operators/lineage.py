@@ -85,6 +85,11 @@ def after(line: DataFrame, snapshot_id: int, inclusive: bool = False) -> DataFra
     return line.where(F.col("depth") <= depth if inclusive else F.col("depth") < depth)
 
 
+def is_ancestor(line: DataFrame, snapshot_id: int) -> bool:
+    """Whether a snapshot is on a lineage."""
+    return not line.where(F.col("snapshot_id") == snapshot_id).isEmpty()
+
+
 def _depth(line: DataFrame, snapshot_id: int) -> int:
     row = line.where(F.col("snapshot_id") == snapshot_id).select("depth").first()
     if row is None:

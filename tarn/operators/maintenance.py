@@ -257,8 +257,16 @@ def import_plan(listing: DataFrame, partition: list[str], where: dict[str, str]
     return out
 
 
-def rewrite_paths(files: DataFrame, source_prefix: str, target_prefix: str) -> DataFrame:
-    """(source, target) copies of files moved from one path prefix to another; a path outside the prefix is an error."""
+def rewrite_paths(files: DataFrame, source_prefix: str, target_prefix: str, after: int | None = None,
+                  up_to: int | None = None) -> DataFrame:
+    """(source, target) copies of files moved from one path prefix to another; a path outside the prefix is an error.
+
+    Limited to the files added after one version and up to another where these are given.
+    """
+    if after is not None:
+        files = files.where(F.col("sequence_number") > after)
+    if up_to is not None:
+        files = files.where(F.col("sequence_number") <= up_to)
     path = F.col("file_path")
     outside = F.raise_error(F.concat(F.lit("path outside the source prefix: "), path))
     target = F.when(path.startswith(source_prefix), F.concat(F.lit(target_prefix), F.substring(path, len(source_prefix) + 1, 1 << 30))).otherwise(outside)

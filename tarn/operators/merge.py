@@ -60,32 +60,31 @@ def _first_true(clauses: list[Clause], then) -> Column | None:
     return out
 
 
-def _target_side(target: DataFrame, source: DataFrame, on: list[str], matched: list[Clause],
-                 unmatched: list[Clause]) -> DataFrame:
+def _decide(target: DataFrame, source: DataFrame, on: list[str], matched: list[Clause], unmatched: list[Clause]) -> DataFrame:
+    """Target rows as ``t`` with their source row ``s`` and the number of the clause that acts on them, or -1."""
     per_key = source.groupBy(*on).agg(F.first(F.struct(*source.columns)).alias("s"), F.count("*").alias("_rows"))
     per_key = per_key.select(*[F.col(k).alias(f"_k_{k}") for k in on], "s", "_rows")
     t = target.select(F.struct(*target.columns).alias("t"))
     joined = t.join(per_key, [F.col(f"t.{k}") == F.col(f"_k_{k}") for k in on], "left")
-    is_match = F.col("_rows").isNotNull()
     number = lambda clauses, base: _first_true(clauses, lambda i, _: F.lit(base + i)) if clauses else F.lit(-1)
-    choice = F.when(is_match, number(matched, 0)).otherwise(number(unmatched, len(matched)))
+    choice = F.when(F.col("_rows").isNotNull(), number(matched, 0)).otherwise(number(unmatched, len(matched)))
     if matched:
         choice = F.when(F.col("_rows") > 1, F.raise_error(F.lit(
             "a target row is matched by several source rows")).cast("int")).otherwise(choice)
-    clauses = matched + unmatched
-    joined = joined.withColumn("_clause", F.coalesce(choice, F.lit(-1)))
-    deletes = [i for i, c in enumerate(clauses) if c.action == "delete"]
-    if deletes:
-        joined = joined.where(~F.col("_clause").isin(deletes))
-    else:
-        joined = joined.where(F.col("_clause") >= -1)
+    return joined.withColumn("_clause", F.coalesce(choice, F.lit(-1)))
+
+
+def _numbers(clauses: list[Clause], action: str) -> list[int]:
+    return [i for i, c in enumerate(clauses) if c.action == action]
+
+
+def _values(target: DataFrame, source: DataFrame, clauses: list[Clause]) -> list[Column]:
+    """Target columns after the clause of each row."""
 
     def value(name: str, data_type) -> Column:
         out = None
-        for i, c in enumerate(clauses):
-            if c.action != "update":
-                continue
-            new = _assigned(c, name, source.columns)
+        for i in _numbers(clauses, "update"):
+            new = _assigned(clauses[i], name, source.columns)
             if new is None:
                 continue
             chosen = F.col("_clause") == i
@@ -93,7 +92,34 @@ def _target_side(target: DataFrame, source: DataFrame, on: list[str], matched: l
         old = F.col(f"t.{name}")
         return (old if out is None else out.otherwise(old)).cast(data_type).alias(name)
 
-    return joined.select(*[value(f.name, f.dataType) for f in target.schema.fields])
+    return [value(f.name, f.dataType) for f in target.schema.fields]
+
+
+def _target_side(target: DataFrame, source: DataFrame, on: list[str], matched: list[Clause],
+                 unmatched: list[Clause]) -> DataFrame:
+    clauses = matched + unmatched
+    decided = _decide(target, source, on, matched, unmatched)
+    # The filter is kept without delete clauses too: it makes the check on several matches count.
+    kept = decided.where(~F.col("_clause").isin([*_numbers(clauses, "delete"), -2]))
+    return kept.select(*_values(target, source, clauses))
+
+
+def merge_delta(target: DataFrame, source: DataFrame, on: list[str], matched: list[Clause] = (),
+                not_matched: list[Clause] = (), not_matched_by_source: list[Clause] = (),
+                file: str = "_file", pos: str = "_pos") -> tuple[DataFrame, DataFrame]:
+    """The merge as position deletes and rows to add; an update is a delete and an added row.
+
+    The target carries the file and position of each row, which the added rows lack.
+    """
+    clauses = [*matched, *not_matched_by_source]
+    data = [c for c in target.columns if c not in (file, pos)]
+    decided = _decide(target, source, on, list(matched), list(not_matched_by_source))
+    gone = decided.where("_clause >= 0").select(F.col(f"t.{file}").alias("file_path"), F.col(f"t.{pos}").alias("pos"))
+    updated = decided.where(F.col("_clause").isin(_numbers(clauses, "update")))
+    added = updated.select(*_values(target, source, clauses)).select(*data)
+    if not_matched:
+        added = added.unionByName(_insert_side(target.select(*data), source, on, list(not_matched)))
+    return gone, added
 
 
 def _assigned(clause: Clause, name: str, source_columns: list[str]) -> Column | None:
@@ -146,6 +172,14 @@ def update_where(df: DataFrame, condition: Column, assignments: dict[str, Column
                        for c in df.columns])
 
 
+def update_delta(df: DataFrame, condition: Column, assignments: dict[str, Column], file: str = "_file",
+                 pos: str = "_pos") -> tuple[DataFrame, DataFrame]:
+    """UPDATE as position deletes of the old rows and the new rows to add."""
+    hit = df.where(condition)
+    gone = hit.select(F.col(file).alias("file_path"), F.col(pos).alias("pos"))
+    return gone, update_where(hit, F.lit(True), assignments).drop(file, pos)
+
+
 def touched_files(df: DataFrame, matches: DataFrame, on: list[str], file: str) -> DataFrame:
     """Files holding at least one row a row-level command may change; only those are rewritten.
 

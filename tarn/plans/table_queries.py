@@ -109,6 +109,27 @@ def update_cow(t: Tables):
     return mg.update_where(lines(t), F.expr(HIT), {"l_quantity": F.col("l_quantity") + 1, "l_returnflag": F.lit("X")})
 
 
+@query("update_mor", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN {HIT} THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+       CASE WHEN {HIT} THEN 'X' ELSE l_returnflag END AS l_returnflag FROM lineitem""")
+def update_mor(t: Tables):
+    """Position deletes and added rows of an update, applied: the same rows as the copy-on-write form."""
+    rows = with_positions(t.lineitem).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "_file", "_pos")
+    gone, added = mg.update_delta(rows, F.expr(HIT), {"l_quantity": F.col("l_quantity") + 1, "l_returnflag": F.lit("X")})
+    kept = dl.apply_position_deletes(rows.withColumn("sequence_number", F.lit(1)), gone.withColumn("sequence_number", F.lit(1)), "_file", "_pos")
+    return kept.drop("_file", "_pos", "sequence_number").unionByName(added)
+
+
+@query("merge_mor", MERGE_SQL.replace("__BY_SOURCE__", "").replace("__DROP__", ""))
+def merge_mor(t: Tables):
+    """Position deletes and added rows of the same merge, applied."""
+    _, source = merge_inputs(t)
+    target = with_positions(t.orders).select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("flag"), "_file", "_pos")
+    gone, added = mg.merge_delta(target, source, ["k"], MATCHED(), INSERT())
+    kept = dl.apply_position_deletes(target.withColumn("sequence_number", F.lit(1)), gone.withColumn("sequence_number", F.lit(1)), "_file", "_pos")
+    return kept.select("k", "price", "flag").unionByName(added)
+
+
 @query("update_nested", """
 SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'debt' ELSE c_mktsegment END AS segment, c_nationkey AS nation FROM customer""")
 def update_nested(t: Tables):

@@ -75,6 +75,7 @@ def test_ancestors(spark, rows):
     assert rows(ln.after(line, 6, inclusive=True), "snapshot_id") == [(6,), (7,), (8,), (9,)]
     with pytest.raises(ValueError, match="not an ancestor"):
         ln.after(line, 20)
+    assert ln.is_ancestor(line, 1) and not ln.is_ancestor(line, 20)
 
 
 def test_start_limits(spark, rows):

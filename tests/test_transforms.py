@@ -180,3 +180,14 @@ def test_sql_functions(spark):
     tr.register_sql_functions(spark)
     row = spark.sql("SELECT tarn_bucket(100, 34L), tarn_truncate(10, -1L), tarn_months(timestamp_ntz'2017-11-16 22:31:08')").first()
     assert tuple(row) == (79, -10, 574)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3])
+@pytest.mark.parametrize("prefix", ["a", "ab", "abc", "b"])
+@pytest.mark.parametrize("op", ["starts_with", "not_starts_with"])
+def test_prefix_projection(spark, width, prefix, op):
+    field = tr.PartitionField("v", "truncate", width, "string")
+    df = spark.createDataFrame([(v,) for v in ("a", "ab", "abc", "abcd", "b", "ba", "ac", "")], "v string").withColumn("p", field.value(F.col("v")))
+    row = F.col("v").startswith(prefix) if op == "starts_with" else ~F.col("v").startswith(prefix)
+    inclusive, strict = tr.project_inclusive(field, op, prefix, F.col("p")), tr.project_strict(field, op, prefix, F.col("p"))
+    assert df.where((row & ~inclusive) | (strict & ~row)).count() == 0
