@@ -2,15 +2,15 @@
 
 Each value is first turned, by Column arithmetic, into a signed BIGINT whose
 order is the order of the values.  The bit interleaving of several such codes
-is an Arrow function over whole batches; two or more short codes that fit one
-BIGINT are interleaved by Column bit operations alone.
+is an Arrow function over whole batches; short codes that fit one BIGINT are
+interleaved by Column bit operations alone.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType
 
 _SIGN = np.uint64(1 << 63)
@@ -67,6 +67,27 @@ def zorder_key(columns: list[tuple[Column, str]], string_width: int = 8) -> Colu
     return _interleave(*[ordered_code(c, t, string_width) for c, t in columns])
 
 
+def clustering_columns(df: DataFrame, columns: list[tuple[Column, str]], string_width: int = 8) -> list[Column]:
+    """Columns to range-partition and sort by for z-order.
+
+    Full keys start with the many bits all rows share, which makes them slow to
+    compare.  The smallest and largest code of each column, found in one pass
+    over these columns, say below which bit the rows differ; only those bits are
+    interleaved.  If they fit a BIGINT they are the whole order, else the
+    highest of them go before the full key.  A NULL counts as the smallest value.
+    """
+    codes = [ordered_code(c, t, string_width) for c, t in columns]
+    ends = df.agg(*[f(c) for c in codes for f in (F.min, F.max)]).first()
+    lows, highs = ends[::2], ends[1::2]
+    differing = max(0 if low is None else ((low ^ high) & ((1 << 64) - 1)).bit_length() for low, high in zip(lows, highs))
+    width = min(differing, 62 // len(codes))
+    filled = [F.coalesce(c, F.lit(0 if low is None else low)) for c, low in zip(codes, lows)]
+    unsigned = [c.bitwiseXOR(F.lit(-(1 << 63))) for c in filled]
+    top = [F.shiftrightunsigned(c, differing - width).bitwiseAND(F.lit((1 << width) - 1)) for c in unsigned]
+    key = small_zorder_key(top, width)
+    return [key] if width == differing else [key, _interleave(*filled)]
+
+
 def _spread(x: Column, gap: int, width: int) -> Column:
     """Move bit i of a non-negative code to bit i * gap."""
     out = F.lit(0).cast("bigint")

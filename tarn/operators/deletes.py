@@ -14,11 +14,17 @@ def _newest(deletes: DataFrame, keys: list[str], seq: str) -> DataFrame:
             .select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_delete_seq"))
 
 
-def _hit(keys: list[str], seq: str, inclusive: bool, columns: dict[str, str] | None = None) -> list[Column]:
-    names = columns or {}
-    same = [F.col(names.get(k, k)).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    older = F.col(seq) <= F.col("_delete_seq") if inclusive else F.col(seq) < F.col("_delete_seq")
-    return [*same, older]
+def _hit(keys: list[str], seq: str) -> list[Column]:
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return [*same, F.col(seq) < F.col("_delete_seq")]
+
+
+# The position goes first: paths share long beginnings, which makes them slow to sort by.
+_PLACE = ["pos", "file_path"]
+
+
+def _hit_place(file: str, pos: str, seq: str) -> list[Column]:
+    return [F.col(pos) == F.col("_k_pos"), F.col(file) == F.col("_k_file_path"), F.col(seq) <= F.col("_delete_seq")]
 
 
 def apply_equality_deletes(data: DataFrame, deletes: list[tuple[DataFrame, list[str]]],
@@ -28,7 +34,7 @@ def apply_equality_deletes(data: DataFrame, deletes: list[tuple[DataFrame, list[
     Each element is a delete set with its own equality columns.
     """
     for rows, keys in deletes:
-        data = data.join(_newest(rows, keys, seq), _hit(keys, seq, inclusive=False), "left_anti")
+        data = data.join(_newest(rows, keys, seq), _hit(keys, seq), "left_anti")
     return data
 
 
@@ -37,7 +43,7 @@ def equality_to_position_deletes(data: DataFrame, deletes: list[tuple[DataFrame,
     """Positions of the rows equality deletes hit."""
     hits = None
     for rows, keys in deletes:
-        part = data.join(_newest(rows, keys, seq), _hit(keys, seq, inclusive=False), "left_semi").select(file, pos)
+        part = data.join(_newest(rows, keys, seq), _hit(keys, seq), "left_semi").select(file, pos)
         hits = part if hits is None else hits.union(part)
     return hits.distinct() if len(deletes) > 1 else hits
 
@@ -45,15 +51,13 @@ def equality_to_position_deletes(data: DataFrame, deletes: list[tuple[DataFrame,
 def apply_position_deletes(data: DataFrame, deletes: DataFrame, file: str = "file_path", pos: str = "pos",
                            seq: str = "sequence_number") -> DataFrame:
     """Data without the rows at deleted positions; a delete reaches rows up to its own sequence number."""
-    on = _hit(["file_path", "pos"], seq, inclusive=True, columns={"file_path": file, "pos": pos})
-    return data.join(_newest(deletes, ["file_path", "pos"], seq), on, "left_anti")
+    return data.join(_newest(deletes, _PLACE, seq), _hit_place(file, pos, seq), "left_anti")
 
 
 def mark_deleted(data: DataFrame, deletes: DataFrame, file: str = "file_path", pos: str = "pos",
                  seq: str = "sequence_number", flag: str = "_deleted") -> DataFrame:
     """All rows, with a flag instead of removal."""
-    on = _hit(["file_path", "pos"], seq, inclusive=True, columns={"file_path": file, "pos": pos})
-    joined = data.join(_newest(deletes, ["file_path", "pos"], seq), on, "left")
+    joined = data.join(_newest(deletes, _PLACE, seq), _hit_place(file, pos, seq), "left")
     return joined.select(*[data[c] for c in data.columns], F.col("_delete_seq").isNotNull().alias(flag))
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarn.functions.transforms import PartitionField
-from tarn.functions.zorder import zorder_key
+from tarn.functions.zorder import clustering_columns
 from tarn.operators.windows import running
 from tarn.util import int_div, tie_breaker
 
@@ -84,10 +84,10 @@ def zorder_layout(df: DataFrame, columns: list[tuple[str, str]], writers: int, p
     used = [(F.col(c), t) for c, t in columns if c not in partition]
     if not used:
         raise ValueError("no column left to cluster by")
-    keyed = df.withColumn("_z", zorder_key(used, string_width))
-    order = [*partition, "_z"]
-    spread = keyed.repartitionByRange(writers, *order, tie_breaker(df))
-    return spread.sortWithinPartitions(*order).drop("_z")
+    keys = {f"_z{i}": c for i, c in enumerate(clustering_columns(df, used, string_width))}
+    order = [*partition, *keys]
+    spread = df.withColumns(keys).repartitionByRange(writers, *order, tie_breaker(df))
+    return spread.sortWithinPartitions(*order).drop(*keys)
 
 
 def bucket_writer(bucket: Column, buckets: int, writers: int, spread: Column) -> Column:

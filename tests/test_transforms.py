@@ -170,6 +170,16 @@ def test_zorder_keys(spark):
         assert int.from_bytes(row["z"], "big") == spread_bits([x, code(b + 0.0)], 64)
 
 
+@pytest.mark.parametrize("low,high", [(0, 1000), (-500, 500), (-(1 << 63), (1 << 63) - 1), (1 << 40, (1 << 40) + 70000), (5, 5)])
+def test_clustering_columns_order_like_full_keys(spark, low, high):
+    rng = random.Random(2)
+    rows = [(rng.randint(low, high), rng.randint(low // 2, high), rng.randint(low, high)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint, c bigint")
+    pairs = [(F.col(n), "bigint") for n in "abc"]
+    by_key = [r["z"] for r in df.orderBy(*zo.clustering_columns(df, pairs)).select(zo.zorder_key(pairs).alias("z")).collect()]
+    assert by_key == sorted(by_key)
+
+
 def test_small_zorder(spark):
     df = spark.range(64).select((F.col("id") % 8).alias("a"), (F.col("id") / 8).cast("int").alias("b"))
     for a, b, z in df.select("a", "b", zo.small_zorder_key([F.col("a"), F.col("b")], 3).alias("z")).collect():
