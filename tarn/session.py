@@ -16,6 +16,9 @@ RUNTIME_CONF = {
 }
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(app: str = "tarn", master: str | None = None, conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -43,11 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="tarn-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="tarn-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
