@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tarn.functions.transforms import PartitionField
-from tarn.operators.layout import SortTerm, distribute, sort_columns, write_order, zorder_layout
+from tarn.operators.layout import SortTerm, distribute, write_order, zorder_layout
 from tarn.operators.lineage import branch_ancestors
 from tarn.operators.ordered import pack, scan_in_order
 from tarn.util import int_div

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarn.functions import transforms as tr
-from tarn.operators import changes as ch, deletes as dl, lineage as ln, merge as mg, sinks as sn, skipping as sk, stats as st
+from tarn.operators import deletes as dl, lineage as ln, merge as mg, sinks as sn, skipping as sk, stats as st
 from tarn.plans import fixtures as fx
 from tarn.plans.registry import Tables, query
 from tarn.session import scratch

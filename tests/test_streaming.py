@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import sqlite3
 
 import pytest
@@ -12,19 +13,17 @@ from tarn.sources import files as fs, generators as gn, messages as ms
 from tarn.streaming import enrich as en, run, tables as tb, windows as sw
 
 
+_fed: set[str] = set()
+
+
 def feed(spark, folder, batches, ddl):
-    """One file per batch, read one file per micro-batch in order."""
-    import os
+    """One file per batch, read one file per micro-batch in the order written."""
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").json(str(folder))
-        for name in os.listdir(folder):
-            path = os.path.join(folder, name)
-            if name.startswith("part-") and os.path.getmtime(path) > 2000:
-                if not hasattr(feed, "seen"):
-                    feed.seen = set()
-                if path not in feed.seen:
-                    feed.seen.add(path)
-                    os.utime(path, (1000 + i, 1000 + i))
+        for path in folder.glob("part-*"):
+            if str(path) not in _fed:
+                _fed.add(str(path))
+                os.utime(path, (1000 + i, 1000 + i))
     return fs.file_stream(spark, str(folder), StructType.fromDDL(ddl), "json", files_per_trigger=1)
 
 
