@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarn.llm import langid, mixing, secrets, sharding, simhash
+from tarn.llm import hmm, langid, mixing, secrets, sharding, simhash
 from tarn.llm.common import id_hash_mod
 from tarn.plans.registry import query
 
 SHARDS = 40
 
 
+@query("op1_hmm_scores")
+def op1_hmm_scores(t):
+    """Hidden Markov scores of all documents, learned from those whose id hash modulo 5 is not 1."""
+    return hmm.score(t.documents, id_hash_mod("doc_id", 5) == 1)
+
+
 @query("op2_secret_scan")
 def op2_secret_scan(t):
     """Secrets in all documents: fixed patterns and Markov models."""
