@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarn.llm import hmm, langid, mixing, secrets, sharding, simhash
+from tarn.llm import ann, decontaminate, hmm, langid, mixing, secrets, sharding, simhash
 from tarn.llm.common import id_hash_mod
 from tarn.plans.registry import query
 
@@ -34,6 +34,12 @@ def op2_secret_scan(t):
                         number("random"))
 
 
+@query("op3_balanced_lists")
+def op3_balanced_lists(t):
+    """The 20 nearest by inner product of every vector whose id is divisible by 20."""
+    return ann.nearest(t.embeddings, lambda vec_id: vec_id % 20 == 0)
+
+
 @query("op4_language_mixture")
 def op4_language_mixture(t):
     """Language of every document, learned from those whose id hash modulo 4 is not 2."""
@@ -56,6 +62,12 @@ def op6_simhash_dedup(t):
     return simhash.near_duplicates(t.documents, shingle=4, distance=4)
 
 
+@query("op7_decontaminate")
+def op7_decontaminate(t):
+    """Documents that hold an item of the benchmark, with the item and the aligned words."""
+    return decontaminate.contaminated(t.documents, t.benchmark)
+
+
 @query("op9_jump_shards")
 def op9_jump_shards(t):
     """All documents on 40 shards by jump consistent hashing of the id."""
