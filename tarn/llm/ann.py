@@ -14,16 +14,16 @@ from tarn.llm.common import saved
 #: The index is fitted on this many vectors at most, those least by a hash of the vector.
 SAMPLE_ROWS = 40_000
 #: Vectors of a list on average, and the most lists; beyond that lists grow and are read in pieces.
-LIST_ROWS = 64
+LIST_ROWS = 256
 MAX_LISTS = 8192
 PIECE_ROWS = 2048
 #: A vector enters further lists whose centroid is at most this much farther than the nearest, up to REPLICAS.
 CLOSURE = 1.15
-REPLICAS = 6
-#: A query reads the lists whose centroid is at most this much farther than the nearest, LEAST_LISTS at least.
-PRUNE = 1.35
-LEAST_LISTS = 24
-BEAM = 64
+REPLICAS = 4
+#: The ratio that prunes a query's lists is the least that keeps this share of the sample's true neighbours.
+KEPT_SHARE = 0.97
+SAMPLE_QUERIES = 256
+LEAST_LISTS = 8
 DEGREE, LONG_LINKS = 16, 8
 
 
@@ -105,29 +105,36 @@ def search(graph: Graph, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np
         fresh = ~seen[rows, following] & ~idle[:, None]
         fresh[:, 1:] &= following[:, 1:] != following[:, :-1]
         far = np.where(fresh, distance(following), np.inf)
-        seen[rows, following] |= fresh
+        seen[rows, following] = True
         found = np.concatenate([found, following], axis=1)
         apart, opened = np.concatenate([apart, far], axis=1), np.concatenate([opened, ~fresh], axis=1)
 
 
-def lists_of(graph: Graph, x: np.ndarray) -> list[list[int]]:
-    """Lists of each vector: the nearest, and those nearly as near unless a list taken before is nearer to them."""
+def lists_of(graph: Graph, x: np.ndarray) -> list[np.ndarray]:
+    """Lists of each vector: the nearest, and those nearly as near."""
     found, apart = search(graph, x, 4 * REPLICAS)
-    out = []
-    for ids, far in zip(found, apart):
-        kept: list[int] = []
-        for c, d in zip(ids[np.isfinite(far)].tolist(), far.tolist()):
-            if kept and d > CLOSURE * far[0] + 1e-12 or len(kept) == REPLICAS:
-                break
-            if all(((graph.points[c] - graph.points[k]) ** 2).sum() ** 0.5 >= d for k in kept):
-                kept.append(c)
-        out.append(kept)
-    return out
-
-
-def probes_of(graph: Graph, sizes: np.ndarray, q: np.ndarray, k: int) -> list[np.ndarray]:
+    near = apart <= CLOSURE * apart[:, :1] + 1e-12
+    near[:, REPLICAS:] = False
+    return [ids[keep] for ids, keep in zip(found, near)]
+
+
+def calibrated(graph: Graph, rows: np.ndarray, queries: np.ndarray, k: int) -> tuple[float, int]:
+    """The distance ratio that prunes, and the beam that then suffices, measured by brute force on the sample."""
+    lists = [ids for s in range(0, len(rows), 1024) for ids in lists_of(graph, rows[s:s + 1024])]
+    ratios, widths = [], []
+    for q in queries:
+        near = np.argsort(((rows - q) ** 2).sum(axis=1), kind="stable")[:k + 1]
+        apart = np.sqrt(((graph.points - q) ** 2).sum(axis=1))
+        apart /= max(float(apart.min()), 1e-12)
+        ratios += [apart[lists[i]].min() for i in near]
+        widths.append(apart)
+    ratio = float(np.quantile(ratios, KEPT_SHARE))
+    return ratio, max(int((apart <= ratio).sum()) for apart in widths)
+
+
+def probes_of(graph: Graph, sizes: np.ndarray, q: np.ndarray, k: int, ratio: float, beam: int) -> list[np.ndarray]:
     """Lists each query reads: pruned by the distance ratio, and as many as hold over k vectors in any case."""
-    found, apart = search(graph, q, max(BEAM, LEAST_LISTS))
+    found, apart = search(graph, q, max(beam, LEAST_LISTS))
     out = []
     for i, (ids, far) in enumerate(zip(found, apart)):
         ids, far = ids[np.isfinite(far)], far[np.isfinite(far)]
@@ -137,7 +144,7 @@ def probes_of(graph: Graph, sizes: np.ndarray, q: np.ndarray, k: int) -> list[np
             out.append(ids[: int(np.searchsorted(np.cumsum(sizes[ids]), k, side="right")) + 1])
         else:
             enough = int(np.searchsorted(upto, k, side="right")) + 1
-            out.append(ids[: max(LEAST_LISTS, enough, int((far <= PRUNE * far[0]).sum()))])
+            out.append(ids[: max(LEAST_LISTS, enough, int((far <= ratio * far[0]).sum()))])
     return out
 
 
@@ -187,7 +194,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
     lists = max(1, min(MAX_LISTS, -(-n // LIST_ROWS)))
     x = lifted(list(sample))
-    shared = spark.sparkContext.broadcast(graph_of(centroids(x, len(x) / lists)))  # MAX_LISTS points at most, nearly
+    graph = graph_of(centroids(x, len(x) / lists))
+    ratio, beam = calibrated(graph, x, lifted(list(sample[:SAMPLE_QUERIES]), True), k)
+    shared = spark.sparkContext.broadcast(graph)  # its points are bounded by the sample and MAX_LISTS
 
     def place(frames):
         for pdf in frames:
@@ -199,15 +208,15 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     vector = vectors.schema[vector_col].dataType.simpleString()
     postings = saved(entries.mapInPandas(place, f"list int, v {vector}, ids array<{kind}>"), "postings")
     counts = postings.groupBy("list").agg(F.count("*").alias("n"))
-    sizes = np.zeros(len(shared.value.points), np.int64)
+    sizes = np.zeros(len(graph.points), np.int64)
     for row in counts.collect():  # a row per list
-        sizes[row["list"]] = row["n"]
+        sizes[row["list"]] = -(-row["n"] // REPLICAS)  # an entry may be met in so many lists
 
     def probe(frames):
         for pdf in frames:
             for s in range(0, len(pdf), 512):
                 part = pdf.iloc[s:s + 512]
-                part = part.assign(list=probes_of(shared.value, sizes, lifted(list(part["v"]), True), k)).explode("list")
+                part = part.assign(list=probes_of(shared.value, sizes, lifted(list(part["v"]), True), k, ratio, beam)).explode("list")
                 yield part.assign(list=part["list"].astype("int32"))[["list", "id", "v"]]
 
     queries = clean.where(is_query(F.col("id"))).select("id", "v").distinct()
