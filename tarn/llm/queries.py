@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarn.llm import ann, decontaminate, hmm, langid, mixing, secrets, sharding, simhash
+from tarn.llm import ann, decontaminate, hmm, langid, mixing, repeats, secrets, sharding, simhash
 from tarn.llm.common import id_hash_mod
 from tarn.plans.registry import query
 
@@ -76,3 +76,9 @@ def op9_jump_shards(t):
                               F.crc32(F.coalesce(text, F.lit("").cast("binary"))).alias("text_crc32"))
     placed = sharding.with_slots(rows, SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(t):
+    """Bytes of all documents covered by 200-byte strings that occur elsewhere too."""
+    return repeats.without_repeats(t.documents, length=200).drop("kept")
