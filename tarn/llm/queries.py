@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarn.llm import ann, decontaminate, hmm, langid, mixing, repeats, secrets, sharding, simhash
+from tarn.llm import ann, decontaminate, hmm, langid, mixing, repeats, secrets, sharding, simhash, webpages
 from tarn.llm.common import id_hash_mod
 from tarn.plans.registry import query
 
@@ -68,6 +68,12 @@ def op7_decontaminate(t):
     return decontaminate.contaminated(t.documents, t.benchmark)
 
 
+@query("op8_host_text")
+def op8_host_text(t):
+    """Main text of every page."""
+    return webpages.main_text(t.pages).select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query("op9_jump_shards")
 def op9_jump_shards(t):
     """All documents on 40 shards by jump consistent hashing of the id."""
