@@ -123,14 +123,18 @@ def infer(texts: list[bytes], model: np.ndarray, penalty: float = PENALTY, round
     return out
 
 
-def predict(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+            keep: list[str] | None = None) -> DataFrame:
     """(id, lang_pred, score, languages) per row: the largest share's language, that share, and the selected set.
 
+    Columns named in ``keep`` come along.
+
     A null text, a text without a letter, and any text when no language was
     learned, are "und" with score 0 and an empty set.  Whole texts are read; null ids
     and repeated rows come out as they are; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    keep = keep or []
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in keep])
     shared = docs.sparkSession.sparkContext.broadcast((langs, model))  # BUCKETS numbers per language
 
     def run(batches):
@@ -145,9 +149,12 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str =
                 best, top = shares.argmax(axis=1), shares.max(axis=1)
                 names = [langs[b] if x > 0 else UNKNOWN for b, x in zip(best, top)]
                 sets = [[langs[j] for j in np.nonzero(r > 0)[0]] if langs else [] for r in shares]
+                kept = [batch.column(2 + i).slice(s, e - s) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s, e - s), pa.array(names, pa.string()), pa.array(np.minimum(top, 1.0), pa.float64()),
-                     pa.array(sets, pa.list_(pa.string()))], ["id", "lang_pred", "score", "languages"])
+                     pa.array(sets, pa.list_(pa.string())), *kept], ["id", "lang_pred", "score", "languages", *rows.columns[2:]])
 
     schema = f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double, languages array<string>"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    schema += "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    found = rows.mapInArrow(run, schema)
+    return found.select(F.col("id").alias(id_col), "lang_pred", "score", "languages", *[F.col(f"keep_{c}").alias(c) for c in keep])
