@@ -135,6 +135,7 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str =
     """
     keep = keep or []
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in keep])
+    names_out = ["id", "lang_pred", "score", "languages", *rows.columns[2:]]
     shared = docs.sparkSession.sparkContext.broadcast((langs, model))  # BUCKETS numbers per language
 
     def run(batches):
@@ -152,7 +153,7 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str =
                 kept = [batch.column(2 + i).slice(s, e - s) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s, e - s), pa.array(names, pa.string()), pa.array(np.minimum(top, 1.0), pa.float64()),
-                     pa.array(sets, pa.list_(pa.string())), *kept], ["id", "lang_pred", "score", "languages", *rows.columns[2:]])
+                     pa.array(sets, pa.list_(pa.string())), *kept], names_out)
 
     schema = f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double, languages array<string>"
     schema += "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
