@@ -1,10 +1,10 @@
 """Long substrings that occur more than once in a corpus: anchors route them to shards, suffix arrays find them.
 
-Every string of ``length`` bytes holds an anchor: a place whose hash of the next
-bytes is the least in a window inside the string.  Equal strings hold equal
-anchors, so two places of a string meet under one anchor.  Anchors that occur
-once cannot be in a repeated string and are dropped; for the others the bytes
-around them go to shards, whose suffix arrays are made by induced sorting.
+Every string of ``length`` bytes has one anchor: the place in it at which the hash
+of the next bytes is least.  Equal strings have equal anchors, so two places of
+a string meet under one anchor.  Anchors that occur once cannot be in a repeated
+string and are dropped; for the others the bytes of their strings go to shards,
+whose suffix arrays are made by induced sorting.
 """
 
 from __future__ import annotations
@@ -21,7 +21,9 @@ from tarn.llm.sais import common_prefixes, text_suffix_array
 #: Text of one suffix array, and contexts of one anchor that stay in one shard.
 SHARD_BYTES = 2 << 20
 HOT_ANCHOR = 2000
-ANCHOR = "anchor bigint, ctx bigint, t1 bigint, t2 bigint, pos int"
+#: Low bits of a hash that give way to its place: the longest text that is searched as a whole has 2^28 bytes.
+PLACE_BITS = 28
+ANCHOR = "anchor bigint, ctx bigint, t1 bigint, t2 bigint, start int, size int"
 SPAN = ["t1", "t2", "first", "last"]
 
 
@@ -31,8 +33,11 @@ def widths(length: int) -> tuple[int, int]:
     return gram, length - gram + 1
 
 
-def anchors(data: np.ndarray, length: int) -> np.ndarray:
-    """Anchor places of one text and, below them, their hashes: the same in every text that holds the string."""
+def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of one text in order: hash, place, and the first and last of the strings that have it.
+
+    Ties go to the leftmost place, so the anchor depends on the string alone.
+    """
     gram, window = widths(length)
     n = len(data) - gram + 1
     hashes = np.zeros(n, np.uint64)
@@ -49,43 +54,39 @@ def anchors(data: np.ndarray, length: int) -> np.ndarray:
     hashes *= np.uint64(0xD6E8FEB86659FD93)
     hashes ^= hashes >> np.uint64(32)
 
-    def sweep(values, pick):
-        done = 1
-        while 2 * done <= window:
-            values, done = pick(values[:-done], values[done:]), 2 * done
-        return pick(values[:len(values) - (window - done)], values[window - done:])
-
-    least = sweep(hashes, np.minimum)
-    edge = np.zeros(window - 1, np.uint64)
-    at = np.nonzero(sweep(np.concatenate([edge, least, edge]), np.maximum) == hashes)[0]
-    return np.stack([at.astype(np.uint64), hashes[at]])
-
-
-def context(n: int, at: int, length: int) -> tuple[int, int]:
-    """All strings of ``length`` bytes that hold the anchor lie in this stretch; its hash is seeded with the anchor's place in it."""
-    return max(0, at + widths(length)[0] - length), min(n, at + length)
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    least, done = (hashes & ~low) | np.arange(n, dtype=np.uint64), 1
+    while 2 * done <= window:
+        least, done = np.minimum(least[:-done], least[done:]), 2 * done
+    least = np.minimum(least[:len(least) - (window - done)], least[window - done:])
+    at = (least & low).astype(np.int64)
+    first = np.concatenate([[0], np.nonzero(np.diff(at))[0] + 1])
+    return hashes[at[first]], at[first], first, np.append(first[1:], len(at)) - 1
 
 
 def find_anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(anchor, ctx, t1, t2, pos) of each anchor of each text (space, t1, t2, text); anchors of different spaces differ."""
+    """(anchor, ctx, t1, t2, start, size) of each anchor of each text (space, t1, t2, text); anchors of different spaces differ.
+
+    The context, size bytes from start, is all strings of the anchor; its hash
+    is seeded with the anchor's place in it.
+    """
     def run(batches):
         for batch in batches:
-            out = [[], [], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], [], []]
             t1, t2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
             for i, (space, text) in enumerate(zip(batch.column(0).to_pylist(), byte_texts(batch.column(3)))):
                 if len(text) < length:
                     continue
-                at, hashes = anchors(np.frombuffer(text, np.uint8), length)
-                places = at.astype(np.int64).tolist()
-                out[0].append(hashes ^ np.uint64(xxhash.xxh3_64_intdigest(space or "") if space else 0))
-                out[1].append(np.array([xxhash.xxh3_64_intdigest(text[s:e], p - s) for p, (s, e) in
-                                        ((p, context(len(text), p, length)) for p in places)], np.uint64))
-                out[2].append(np.full(len(at), t1[i])), out[3].append(np.full(len(at), t2[i]))
-                out[4].append(at.astype(np.int32))
+                hashes, at, first, last = anchors(np.frombuffer(text, np.uint8), length)
+                digest = xxhash.xxh3_64_intdigest
+                context = [digest(text[s:e], p - s) for p, s, e in zip(at.tolist(), first.tolist(), (last + length).tolist())]
+                for column, values in zip(out, (hashes ^ np.uint64(digest(space) if space else 0), np.array(context, np.uint64),
+                                                np.full(len(at), t1[i]), np.full(len(at), t2[i]), first, last + length - first)):
+                    column.append(values)
             if out[0]:
-                cols = [np.concatenate(c) for c in out]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1].view(np.int64)), pa.array(cols[2]),
-                                                  pa.array(cols[3]), pa.array(cols[4])], ["anchor", "ctx", "t1", "t2", "pos"])
+                kinds = (np.int64,) * 4 + (np.int32,) * 2
+                cols = [pa.array(np.concatenate(c).astype(k)) for c, k in zip(out, kinds)]
+                yield pa.RecordBatch.from_arrays(cols, ["anchor", "ctx", "t1", "t2", "start", "size"])
 
     return texts.select("space", "t1", "t2", "text").mapInArrow(run, ANCHOR)
 
@@ -101,7 +102,7 @@ def shard_repeats(pdf: pd.DataFrame, length: int, by_place: bool) -> pd.DataFram
     data = b"\xff".join(pdf["bytes"])
     sizes = pdf["bytes"].map(len).to_numpy()
     begin = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
-    sa = text_suffix_array(data)
+    sa = text_suffix_array(data, length)
     shared = common_prefixes(data, sa, length)
     row = np.repeat(np.arange(len(pdf)), sizes + 1)[:len(data)]
     inside = np.arange(len(data)) - begin[row]
@@ -145,16 +146,15 @@ def repeated_spans(texts: DataFrame, length: int, by_place: bool = True) -> tupl
     space (null is one space).  With ``by_place`` a second place in the same text counts as elsewhere.
     """
     found = find_anchors(texts, length)
-    place = F.xxhash64("t1", "t2", "pos") if by_place else F.xxhash64("t1", "t2")
+    place = F.xxhash64("t1", "t2", "start") if by_place else F.xxhash64("t1", "t2")
     repeated = found.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("anchor")
     kept = saved(found.join(repeated, "anchor", "left_semi").distinct(), "anchors")
 
-    here = F.struct("t1", "t2", "pos")
+    here = F.struct("t1", "t2", "start", "size")
     spot = here if by_place else F.struct("t1", "t2")
     contexts = saved(kept.groupBy("anchor", "ctx").agg(F.min(here).alias("at"), (F.min(spot) != F.max(spot)).alias("many")), "contexts")
     several = contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     wanted = (contexts.join(several, "anchor").select("anchor", "ctx", "many", "n", "at.*"))
-    gram = widths(length)[0]
 
     # the texts behind repeated anchors, one row each
     rows = texts.groupBy("t1", "t2").agg(F.min("id").alias("one"))
@@ -163,9 +163,8 @@ def repeated_spans(texts: DataFrame, length: int, by_place: bool = True) -> tupl
                                     & F.col("x.id").eqNullSafe(F.col("n.one")))
               .select("x.space", "x.t1", "x.t2", F.col("x.text").cast("binary").alias("text")))
     source = saved(source, "texts")
-    begin = F.greatest(F.lit(0), F.col("pos") + gram - length)
-    cut = F.substring(F.col("text"), F.col("start") + 1, F.col("pos") + length - F.col("start"))
-    filled = (wanted.join(source, ["t1", "t2"]).withColumn("start", begin).withColumn("bytes", cut)
+    cut = F.substring(F.col("text"), F.col("start") + 1, F.col("size"))
+    filled = (wanted.join(source, ["t1", "t2"]).withColumn("bytes", cut)
               .withColumn("salt", F.pmod(F.xxhash64("ctx"), F.ceil(F.col("n") / HOT_ANCHOR)))
               .select("space", "anchor", "many", "t1", "t2", "start", "bytes", "salt", (F.col("n") > HOT_ANCHOR).alias("salted")))
     filled = saved(filled.dropDuplicates(["anchor", "t1", "t2", "start"]), "shards")
@@ -179,8 +178,7 @@ def repeated_spans(texts: DataFrame, length: int, by_place: bool = True) -> tupl
               .where("h or a <> b"))
     spans = results.where("place = 0").select(*SPAN).union(strings.join(across, ["w1", "w2"]).select(*SPAN))
     whole = (kept.join(contexts.where("many").select("anchor", "ctx"), ["anchor", "ctx"])
-             .join(source.select("t1", "t2", F.length("text").alias("n")), ["t1", "t2"])
-             .select("t1", "t2", begin.alias("first"), F.least(F.col("pos") + length, F.col("n")).alias("last")))
+             .select("t1", "t2", F.col("start").alias("first"), (F.col("start") + F.col("size")).alias("last")))
     listed = spans.union(whole).distinct().groupBy("t1", "t2").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
     join = F.expr("""aggregate(spans, cast(array() as array<struct<first:int,last:int>>), (done, x) ->
         if(size(done) > 0 and element_at(done, -1).last >= x.first,

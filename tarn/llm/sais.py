@@ -73,34 +73,31 @@ def _induce(s: np.ndarray, is_s: np.ndarray, width: int, lms: np.ndarray) -> np.
     return sa
 
 
-def _induce_one_by_one(s: np.ndarray, is_s: np.ndarray, width: int, lms: np.ndarray) -> np.ndarray:
-    """The same for alphabets so wide that buckets hold a few suffixes each."""
-    n, used = len(s), np.bincount(s, minlength=width)
-    ends = np.cumsum(used)
-    order, rank, count = _places(s[lms], width)
-    placed = lms[order]
-    start = np.full(n, -1, np.int64)
-    start[ends[s[placed]] - count[s[placed]] + rank] = placed
-    sa, symbols, smaller, heads = start.tolist(), s.tolist(), is_s.tolist(), (ends - used).tolist()
-    for i in range(n):
-        j = sa[i] - 1
-        if j >= 0 and not smaller[j]:
-            c = symbols[j]
-            sa[heads[c]] = j
-            heads[c] += 1
-    heads = ends.tolist()
-    heads[0] -= 1
-    for i in range(n - 1, -1, -1):
-        j = sa[i] - 1
-        if j >= 0 and smaller[j]:
-            c = symbols[j]
-            heads[c] -= 1
-            sa[heads[c]] = j
-    return np.array(sa, np.int64)
-
-
-def suffix_array(s: np.ndarray, width: int) -> np.ndarray:
-    """Suffix array of symbols below ``width``; the last symbol must be the only 0."""
+def _sort_names(names: np.ndarray, depth: int) -> np.ndarray:
+    """Order of the suffixes of a string of names, by its first ``depth`` names at least: ranks of pairs, doubling."""
+    n, reach = len(names), 1
+    rank = names.astype(np.int64)
+    while True:
+        following = np.zeros(n, np.int64)
+        following[:n - reach] = rank[reach:] + 1
+        pair = rank * (n + 2) + following
+        order = np.argsort(pair, kind="stable")
+        fresh = np.concatenate([[0], np.cumsum(np.diff(pair[order]) != 0)])
+        rank = np.empty(n, np.int64)
+        rank[order] = fresh
+        reach *= 2
+        if fresh[-1] == n - 1 or reach >= depth:
+            return order
+
+
+def suffix_array(s: np.ndarray, width: int, depth: int | None = None) -> np.ndarray:
+    """Suffix array of symbols below ``width``; the last symbol must be the only 0.
+
+    Leftmost-smaller substrings are named and, where names repeat, the string
+    of names is sorted by doubling: with numpy that is faster than descending
+    into ever wider alphabets.  With ``depth`` suffixes that share so many
+    symbols may come in any order.
+    """
     n = len(s)
     if n == 1:
         return np.zeros(1, np.int64)
@@ -110,8 +107,7 @@ def suffix_array(s: np.ndarray, width: int) -> np.ndarray:
     is_lms = np.zeros(n, bool)
     is_lms[1:] = is_s[1:] & ~is_s[:-1]
     lms = np.nonzero(is_lms)[0]
-    induce = _induce if width * 64 < n else _induce_one_by_one
-    sa = induce(s, is_s, width, lms)
+    sa = _induce(s, is_s, width, lms)
     ordered = sa[is_lms[sa]]
     ending = np.empty(n, np.int64)
     ending[lms] = np.append(lms[1:], lms[-1]) - lms
@@ -126,17 +122,16 @@ def suffix_array(s: np.ndarray, width: int) -> np.ndarray:
     names = np.empty(n, np.int64)
     names[ordered] = np.concatenate([[0], np.cumsum(~same)])
     if not same.any():
-        return induce(s, is_s, width, ordered)
-    reduced = names[lms]
-    return induce(s, is_s, width, lms[suffix_array(reduced, int(reduced.max()) + 1)])
+        return _induce(s, is_s, width, ordered)
+    return _induce(s, is_s, width, lms[_sort_names(names[lms], n if depth is None else depth)])
 
 
-def text_suffix_array(data: bytes) -> np.ndarray:
-    """Suffix array of bytes, without the empty suffix."""
+def text_suffix_array(data: bytes, depth: int | None = None) -> np.ndarray:
+    """Suffix array of bytes, without the empty suffix; ordered by ``depth`` bytes if that is given."""
     s = np.zeros(len(data) + 1, np.int64)
     s[:-1] = np.frombuffer(data, np.uint8)
     s[:-1] += 1
-    return suffix_array(s, 257)[1:]
+    return suffix_array(s, 257, depth)[1:]
 
 
 def common_prefixes(data: bytes, sa: np.ndarray, most: int) -> np.ndarray:
