@@ -43,11 +43,18 @@ def pairs(codes: np.ndarray) -> np.ndarray:
     return np.bincount(before[inside] * SYMBOLS + codes[inside], minlength=SYMBOLS * SYMBOLS)
 
 
-def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+def runs_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of the alphabet."""
+    edges = np.diff((codes > 0).astype(np.int8), prepend=0, append=0)
+    return np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0]
+
+
+def train(docs: DataFrame, text_col: str = "text", min_length: int = MIN_LENGTH) -> np.ndarray:
     """Log-likelihood ratio of each transition, random over ordinary, from the labelled strings of all documents.
 
     Labels come from the fixed patterns: what they find are random strings, all
-    other runs of the alphabet are ordinary.  Each task sends its pair counts
+    other runs of the alphabet below ``min_length`` are ordinary; the longer
+    ones, which the models are to judge, have no label.  Each task sends its pair counts
     only (at most two numbers per pair of symbols), summed in Spark.
     """
     def run(batches):
@@ -58,6 +65,10 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 for _, _, end, secret in base_spans(text):
                     total[1] += pairs(CODES[np.frombuffer(text[secret:end], np.uint8)])
                     codes[secret:end] = 0
+                starts, ends = runs_of(codes)
+                long = ends - starts >= min_length
+                for s, e in zip(starts[long].tolist(), ends[long].tolist()):
+                    codes[s:e] = 0
                 total[0] += pairs(codes)
         label, pair = np.nonzero(total)
         yield pa.RecordBatch.from_pydict({"label": pa.array(label, pa.int32()), "pair": pa.array(pair, pa.int32()),
@@ -67,7 +78,8 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     counts = np.zeros((2, SYMBOLS, SYMBOLS))
     for label, pair, n in counted.collect():  # 2 * SYMBOLS^2 rows at most
         counts[label].flat[pair] = n
-    smooth = counts[:, :, 1:] + 1.0
+    single = counts[:, :, 1:].sum(axis=1, keepdims=True) + 1.0
+    smooth = counts[:, :, 1:] + 4.0 * single / single.sum(axis=2, keepdims=True)  # unseen transitions fall back to single symbols
     chances = np.log(smooth / smooth.sum(axis=2, keepdims=True))
     return np.pad(chances[1] - chances[0], ((0, 0), (1, 0))).ravel()
 
@@ -76,8 +88,7 @@ def random_spans(text: bytes, ratios: np.ndarray, taken: list[tuple[int, int, in
                  min_ratio: float) -> list[tuple[int, int, int, float]]:
     """(start, kind, end, log-likelihood ratio) of runs that look random and overlap no span found before."""
     codes = CODES[np.frombuffer(text, np.uint8)]
-    edges = np.diff((codes > 0).astype(np.int8), prepend=0, append=0)
-    starts, ends = np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0]
+    starts, ends = runs_of(codes)
     out = []
     for s, e in zip(starts[(long := ends - starts >= min_length)].tolist(), ends[long].tolist()):
         if not any(a < e and s < b for a, _, b, _ in taken):
@@ -97,7 +108,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     a null id and repeated rows come out as they are; an empty table gives an
     empty result; other columns are not read.
     """
-    ratios = train(docs, text_col)
+    ratios = train(docs, text_col, min_length)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
