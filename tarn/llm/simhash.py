@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pandas as pd
@@ -19,8 +18,6 @@ SEED = 42
 #: Rows of one cell that meet in one block, and rows of one task's group of cells.
 BLOCK_ROWS = 2048
 GROUP_ROWS = 50_000
-#: Chance that two random two-bit segments have equal popcounts: (1 + 4 + 1) / 16.
-EQUAL_POPCOUNT = 0.375
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -67,18 +64,6 @@ def popcount_vector(fp: Column) -> Column:
     return some.bitwiseOR(F.shiftleft(both, 1))
 
 
-def group_count(n: int, distance: int) -> int:
-    """Groups of segments: more groups mean more cells per fingerprint, each holding fewer others.
-
-    Any value gives the same links; this one has the least expected work.
-    """
-    def work(groups: int) -> float:
-        cells = comb(groups, distance)
-        return n * cells * 40 + n * n / 2 * cells * EQUAL_POPCOUNT ** (BITS / 2 * (groups - distance) / groups)
-
-    return min(range(distance + 1, max(distance + 2, min(13, BITS // 2 + 1))), key=work)
-
-
 def cell_masks(groups: int, distance: int) -> list[int]:
     """Masks of the sub-grids: vectors within Manhattan distance d agree on all but d of the groups at least."""
     bounds = [round(i * (BITS // 2) / groups) * 2 for i in range(groups + 1)]
@@ -120,34 +105,36 @@ def forest_in_cells(pdf: pd.DataFrame, distance: int) -> pd.DataFrame:
     return pd.DataFrame({"a": fp[tied].view(np.int64), "b": fp[root[tied]].view(np.int64)}).drop_duplicates()
 
 
-def links(distinct: DataFrame, distance: int) -> DataFrame:
+def links(distinct: DataFrame, distance: int, groups: int | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints whose classes are those of "at most ``distance`` differing bits".
 
     Grid range-join: every fingerprint enters the cells of each sub-grid, a
     cell's members are compared by the Manhattan bound and then exactly.  A cell
     with many members is cut into blocks and every pair of blocks meets in a
-    group of its own, so no task holds more than two blocks of one cell.
+    group of its own, so no task holds more than two blocks of one cell.  Any
+    number of ``groups`` over the distance gives the same classes: more of them
+    mean more cells for each fingerprint, each shared with fewer others.
     """
     n = distinct.count()
-    masks = cell_masks(group_count(n, distance), distance)
+    masks = cell_masks(groups or distance + 2, distance)
     vec = distinct.select("fp", popcount_vector(F.col("fp")).alias("vec"))
     cell = F.explode(F.array(*[F.struct(F.lit(i).alias("cell"), F.col("vec").bitwiseAND(F.lit(m).cast("bigint")).alias("key"))
                                for i, m in enumerate(masks)])).alias("c")
     cells = vec.select("fp", "vec", cell).select("fp", "vec", "c.cell", "c.key")
-    shared = cells.groupBy("cell", "key").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int")
-    placed = (cells.join(shared, ["cell", "key"]).withColumn("blocks", blocks)
+    crowded = cells.groupBy("cell", "key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_ROWS)
+    blocks = F.coalesce(F.ceil(F.col("n") / F.lit(BLOCK_ROWS)), F.lit(1)).cast("int")
+    placed = (cells.join(crowded, ["cell", "key"], "left").withColumn("blocks", blocks)
               .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("fp", "vec", "cell", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
-    groups = max(1, n * len(masks) // GROUP_ROWS)
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("cell", "key", "i", "j"), F.lit(groups)))
+    buckets = max(1, n * len(masks) // GROUP_ROWS)
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("cell", "key", "i", "j"), F.lit(buckets)))
     found = placed.groupBy("bucket").applyInPandas(lambda pdf: forest_in_cells(pdf, distance), "a bigint, b bigint")
     return found.distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                    distance: int = 4) -> DataFrame:
+                    distance: int = 4, groups: int | None = None) -> DataFrame:
     """(id, fingerprint, component_id) per row of docs.
 
     component_id is the smallest id reachable over links of fingerprints
@@ -158,11 +145,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows are all returned; an empty table gives an empty result; other columns
     are not read.
     """
-    if not 0 <= distance < BITS // 2:
-        raise ValueError("distance must be from 0 to 31")
+    if not 0 <= distance <= BITS // 2 - 2:
+        raise ValueError("distance must be from 0 to 30")
     marked = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = saved(marked.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
-    roots = components(links(nodes.select("fp"), distance), "a", "b")
+    roots = components(links(nodes.select("fp"), distance, groups), "a", "b")
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
