@@ -136,8 +136,11 @@ def without_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def apply_cdc(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], op: str) -> DataFrame:
-    """Target after a change stream: last change per key wins, a delete removes, update-before images are ignored."""
-    effective = changes.where(~F.col(op).isin("UPDATE_BEFORE", "UB"))
+    """Target after a change stream: last change per key wins, a delete removes, update-before images are ignored.
+
+    A change without an operation writes its row.
+    """
+    effective = changes.where(~F.coalesce(F.col(op).isin("UPDATE_BEFORE", "UB"), F.lit(False)))
     newest = latest_per_key(effective, keys, order)
-    kept = newest.where(~F.col(op).isin("DELETE", "D"))
+    kept = newest.where(~F.coalesce(F.col(op).isin("DELETE", "D"), F.lit(False)))
     return without_keys(target, newest, keys).unionByName(kept.select(*target.columns))

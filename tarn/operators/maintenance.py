@@ -200,7 +200,7 @@ def _location(path: Column, schemes: dict[str, str], authorities: dict[str, str]
         return out.otherwise(value)
 
     part = lambda i: F.regexp_extract(path, _LOCATION, i)
-    return F.struct(same(part(1), schemes).alias("scheme"), same(part(2), authorities).alias("authority"), part(3).alias("path"))
+    return F.struct(same(F.lower(part(1)), {k.lower(): v.lower() for k, v in schemes.items()}).alias("scheme"), same(part(2), authorities).alias("authority"), part(3).alias("path"))
 
 
 def orphan_files(listing: DataFrame, valid: DataFrame, older_than: Column, equal_schemes: dict[str, str] | None = None,
@@ -267,9 +267,10 @@ def rewrite_paths(files: DataFrame, source_prefix: str, target_prefix: str, afte
         files = files.where(F.col("sequence_number") > after)
     if up_to is not None:
         files = files.where(F.col("sequence_number") <= up_to)
-    path = F.col("file_path")
+    path, source, moved = F.col("file_path"), source_prefix.rstrip("/"), target_prefix.rstrip("/")
     outside = F.raise_error(F.concat(F.lit("path outside the source prefix: "), path))
-    target = F.when(path.startswith(source_prefix), F.concat(F.lit(target_prefix), F.substring(path, len(source_prefix) + 1, 1 << 30))).otherwise(outside)
+    inside = (path == source) | path.startswith(source + "/")  # /a/b does not hold /a/bc
+    target = F.when(inside, F.concat(F.lit(moved), F.substring(path, len(source) + 1, 1 << 30))).otherwise(outside)
     return files.select(path.alias("source_path"), target.alias("target_path"))
 
 

@@ -33,8 +33,8 @@ def keyed_table_writer(path: str, keys: list[str], order: list[str], schema: Str
         spark = batch.sparkSession
         rows = batch
         if op:
-            rows = rows.where(~F.col(op).isin("UPDATE_BEFORE", "UB"))
-        gone = F.col(op).isin("DELETE", "D") if op else F.lit(False)
+            rows = rows.where(~F.coalesce(F.col(op).isin("UPDATE_BEFORE", "UB"), F.lit(False)))
+        gone = F.coalesce(F.col(op).isin("DELETE", "D"), F.lit(False)) if op else F.lit(False)
         incoming = latest_per_key(rows.withColumn("_deleted", gone).select(*stored.names), keys, order)
         incoming = incoming.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
         incoming.persist()
