@@ -110,15 +110,18 @@ def nearest(x: Column, digits: int) -> Column:
 
     ``round`` and ``bround`` look at the shortest decimal text of a double, so
     525.825, which is stored slightly above that, would count as a tie.  The
-    fraction is taken as a count of 2^-52 steps instead, exact for |x| >= 1.
+    fraction is taken as a count of 2^-52 steps instead, and for |x| < 1 the
+    part of a step that is left; products with 10^digits are exact up to 3 digits.
     """
-    whole = F.floor(F.abs(x))
-    steps = F.floor((F.abs(x) - whole) * F.lit(float(1 << 52))) * F.lit(10**digits)
-    unit = F.lit(1 << 52)
-    low, rest = F.shiftright(steps, 52), steps % unit
-    half = F.lit(1 << 51)
-    up = F.when((rest > half) | ((rest == half) & (low % 2 == 1)), 1).otherwise(0)
-    return F.signum(x) * (whole * F.lit(10**digits) + low + up) / F.lit(float(10**digits))
+    if not 0 <= digits <= 3:
+        raise ValueError("digits must be from 0 to 3")
+    whole, ten = F.floor(F.abs(x)), F.lit(10**digits)
+    scaled = (F.abs(x) - whole) * F.lit(float(1 << 52))
+    steps = F.floor(scaled) * ten
+    kept, rest = whole * ten + F.shiftright(steps, 52), steps % F.lit(1 << 52)
+    over = (rest - F.lit(1 << 51)).cast("double") + (scaled - F.floor(scaled)) * ten
+    up = F.when((over > 0) | ((over == 0) & (kept % 2 == 1)), 1).otherwise(0)
+    return F.signum(x) * (kept + up) / F.lit(float(10**digits))
 
 
 def with_optimal_fare(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarn.functions.transforms import PartitionField
 from tarn.functions.zorder import clustering_columns
@@ -73,6 +73,21 @@ def distribute(df: DataFrame, mode: str = "none", spec: list[PartitionField] | N
     raise ValueError(f"unknown distribution {mode}")
 
 
+def with_places(df: DataFrame, order: list[Column], path: str, name: str = "place") -> DataFrame:
+    """Rows with their place, from 1, in a sort by ``order`` (whose terms must not tie): no task orders all rows.
+
+    Rows are dealt in ranges and stored under ``path``, each with its range; a
+    place is the rows in the ranges before it, a row per range, plus the number in its own.
+    """
+    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    dealt = df.sparkSession.read.parquet(path)
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_range")) - F.col("_rows")
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return (dealt.join(counts.select("_range", before.alias("_before")), "_range")
+            .withColumn(name, (F.col("_before") + own).cast("bigint")).drop("_range", "_before"))
+
+
 def distribute_by_key(df: DataFrame, keys: list[str], writers: int) -> DataFrame:
     """All rows of an equality key on one writer, as upserts need."""
     return df.repartition(writers, *keys)

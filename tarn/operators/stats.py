@@ -48,12 +48,27 @@ def column_metrics(df: DataFrame, by: list[str], modes: dict[str, str]) -> DataF
     return df.groupBy(*by).agg(*aggs)
 
 
-def count_from_stats(files: DataFrame, counts: list[str] = (), bounds: list[str] = ()) -> DataFrame:
-    """COUNT(*), COUNT(c), MIN(c) and MAX(c) from file statistics, without reading data."""
-    aggs = [F.sum("record_count").alias("count_all")]
-    aggs += [F.sum(F.col("record_count") - F.col(f"{c}_nulls")).alias(f"count_{c}") for c in counts]
+def count_from_stats(files: DataFrame, counts: list[str] = (), bounds: list[str] = (), truncated: list[str] = ()) -> DataFrame:
+    """COUNT(*), COUNT(c), MIN(c) and MAX(c) from file statistics, without reading data.
+
+    NULL says that the statistics have no answer and the data must be read: all
+    are NULL where delete files are listed, a count if a file lacks its number
+    of NULLs, a bound if a file with values lacks it, holds NaN, or the column
+    is named as one whose stored bounds may be cut.
+    """
+    rows = F.col("record_count")
+    sound = F.count_if(F.col("content") != DATA) == 0 if "content" in files.columns else F.lit(True)
+    aggs = [F.when(sound, F.coalesce(F.sum(rows), F.lit(0))).alias("count_all")]
+    for c in counts:
+        known = F.count_if(F.col(f"{c}_nulls").isNull()) == 0
+        aggs.append(F.when(sound & known, F.coalesce(F.sum(rows - F.col(f"{c}_nulls")), F.lit(0))).alias(f"count_{c}"))
     for c in bounds:
-        aggs += [F.min(f"{c}_lower").alias(f"min_{c}"), F.max(f"{c}_upper").alias(f"max_{c}")]
+        values = rows - F.coalesce(F.col(f"{c}_nulls"), F.lit(0)) if f"{c}_nulls" in files.columns else rows
+        unknown = (values > 0) & (F.col(f"{c}_lower").isNull() | F.col(f"{c}_upper").isNull())
+        if f"{c}_nans" in files.columns:
+            unknown = unknown | (F.coalesce(F.col(f"{c}_nans"), F.lit(0)) > 0)
+        usable = sound & (F.count_if(unknown) == 0) & F.lit(c not in truncated)
+        aggs += [F.when(usable, F.min(f"{c}_lower")).alias(f"min_{c}"), F.when(usable, F.max(f"{c}_upper")).alias(f"max_{c}")]
     return files.agg(*aggs)
 
 

@@ -393,12 +393,13 @@ def route_dynamic(t: Tables):
     return sn.route_dynamic(t.events.withColumn("r", route), "r", "tbl").select("event_id", "tbl")
 
 
-@query("split_by_type", "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'error')")
+@query("split_by_type", "SELECT event_id, event_type, 'event_type=' || event_type AS folder FROM events")
 def split_by_type(t: Tables):
-    """One write puts every event type into a folder of its own; two of them are read back."""
+    """One write puts every event type into a folder of its own; all are read back with their folder."""
     path = scratch(t.spark, "split")
     sn.write_files(t.events.select("event_id", "event_type"), path, partition=["event_type"])
-    return sn.read_back(t.spark, path, "event_id bigint, event_type string").where("event_type IN ('click', 'error')")
+    rows = sn.read_back(t.spark, path, "event_id bigint, event_type string")
+    return rows.select("event_id", "event_type", F.element_at(F.split("_metadata.file_path", "/"), -2).alias("folder"))
 
 
 @query("wap_publish", """

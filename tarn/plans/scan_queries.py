@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tarn.operators.layout import SortTerm, sort_columns
+from tarn.operators.layout import SortTerm, sort_columns, with_places
 from tarn.plans.registry import Tables, query
+from tarn.session import scratch
 from tarn.sources import files as fs
 
 
@@ -44,12 +45,10 @@ def evolved_read(t: Tables):
 
 @query("sort_terms_nulls", """
 SELECT event_id, row_number() OVER (ORDER BY month(ts) ASC NULLS FIRST, k DESC NULLS LAST, value ASC NULLS LAST, event_id) AS place
-FROM (SELECT *, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS k FROM events) ORDER BY place LIMIT 500""")
+FROM (SELECT *, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS k FROM events)""")
 def sort_terms_nulls(t: Tables):
-    """The first 500 rows (a top-k report) of a sort by transform and column terms, with their places."""
-    rows = t.events.withColumn("k", F.when(F.col("event_id") % 4 != 0, F.col("event_type")))
+    """The place of every row in a sort by transform and column terms."""
+    rows = t.events.select("event_id", "ts", "value", F.when(F.col("event_id") % 4 != 0, F.col("event_type")).alias("k"))
     terms = [SortTerm("ts", transform="month"), SortTerm("k", ascending=False), SortTerm("value", nulls="last"),
              SortTerm("event_id")]
-    order = sort_columns(terms)
-    top = rows.orderBy(*order).limit(500)
-    return top.select("event_id", F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("place"))
+    return with_places(rows, sort_columns(terms), scratch(t.spark, "sorted")).select("event_id", "place")

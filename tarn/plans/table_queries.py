@@ -316,9 +316,30 @@ def scan_summary(t: Tables):
 
 @query("agg_from_stats", """
 SELECT count(*) AS count_all, count(nullif(l_tax, 0)) AS count_l_tax, min(l_shipdate) AS min_l_shipdate, max(l_shipdate) AS max_l_shipdate,
-       min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity FROM lineitem""")
+       min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity FROM lineitem
+WHERE (l_orderkey // 50) % 12 NOT IN (5, 7)""")
 def agg_from_stats(t: Tables):
-    return st.count_from_stats(fx.files(t), ["l_tax"], ["l_shipdate", "l_quantity"])
+    """Aggregates over the data files alone."""
+    return st.count_from_stats(fx.files(t).where("content = 0"), ["l_tax"], ["l_shipdate", "l_quantity"])
+
+
+@query("agg_from_stats_guarded", f"""
+WITH {FILES} SELECT 'missing' AS listing, sum(record_count)::BIGINT AS count_all, sum(record_count - l_tax_nulls)::BIGINT AS count_l_tax,
+  NULL::TIMESTAMP AS max_l_shipdate, max(l_quantity_upper) AS max_l_quantity FROM files WHERE content = 0
+UNION ALL SELECT 'truncated', sum(record_count)::BIGINT, sum(record_count - l_tax_nulls)::BIGINT, max(l_shipdate_upper), NULL FROM files WHERE content = 0
+UNION ALL SELECT 'deletes', NULL, NULL, NULL, NULL""")
+def agg_from_stats_guarded(t: Tables):
+    """Where statistics have no answer: a file without a bound, cut bounds, delete files in the listing."""
+    files = fx.files(t)
+    data = files.where("content = 0")
+    holes = data.withColumn("l_shipdate_upper", F.when(F.col("file_no") % 4 != 0, F.col("l_shipdate_upper")))
+    listings = {"missing": (holes, []), "truncated": (data, ["l_quantity"]), "deletes": (files, [])}
+    out = None
+    for name, (listing, cut) in listings.items():
+        one = st.count_from_stats(listing, ["l_tax"], ["l_shipdate", "l_quantity"], cut).select(
+            F.lit(name).alias("listing"), "count_all", "count_l_tax", "max_l_shipdate", "max_l_quantity")
+        out = one if out is None else out.union(one)
+    return out
 
 
 @query("partition_stats", f"""

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import BinaryType, MapType, StringType, VariantType
 
 from tarn.session import cut_lineage
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def int_div(a: Column, b: Column | int) -> Column:
@@ -15,14 +15,20 @@ def int_div(a: Column, b: Column | int) -> Column:
     return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b).cast("bigint"))
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A metadata side made ready for a join: broadcast if it is within the bound, else left to a shuffle join.
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A metadata side made ready for a join: broadcast if its bytes are within the bound, else left to a shuffle join.
 
-    The rows are materialised once, so counting them does not compute them
-    twice.  Meant for narrow rows such as (file, flag).
+    The rows are materialised once, so measuring them does not compute them
+    twice.  A value counts with the bytes of its text and 16 more.
     """
     stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
+    width = F.lit(0)
+    for f in df.schema.fields:
+        value = F.col(f"`{f.name}`")
+        text = F.octet_length(value if isinstance(f.dataType, (StringType, BinaryType)) else value.cast("string"))
+        width = width + F.coalesce(text, F.lit(0)) + 16
+    size = stored.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return F.broadcast(stored) if size <= max_bytes else stored
 
 
 def tie_breaker(df: DataFrame) -> Column:

@@ -154,7 +154,7 @@ def test_price_bands(spark):
 
 
 def test_nearest(spark):
-    values = [525.825, 2.675, 1.005, 0.125, 2.5, -1.375, 1234567.885, 0.0]
+    values = [525.825, 2.675, 1.005, 0.125, 2.5, -1.375, 1234567.885, 0.0, 0.005, 0.015, 0.025, 0.0049999999999999, 0.045, 0.115, -0.005, 1e-300]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert [r[0] for r in df.select(ev.nearest(F.col("v"), 2)).collect()] == [round(v, 2) for v in values]
 

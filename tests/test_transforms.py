@@ -180,6 +180,22 @@ def test_clustering_columns_order_like_full_keys(spark, low, high):
     assert by_key == sorted(by_key)
 
 
+def test_zorder_of_wide_strings_and_decimals(spark):
+    texts = ["aaaaaaaab", "aaaaaaaac", "aaaaaaaa", "aaaaaaaabz", "aaaaaaaab" + "z" * 20, "", "b", None]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(texts)], "s string, n int")
+    one = [(F.col("s"), "string")]
+    keys = {r["s"]: bytes(r["z"]) for r in df.select("s", zo.zorder_key(one, 16).alias("z")).collect()}
+    assert keys["aaaaaaaab"] == b"aaaaaaaab".ljust(16, b"\0") and keys["aaaaaaaab"] < keys["aaaaaaaabz"] < keys["aaaaaaaac"]
+    pairs = [*one, (F.col("n"), "int")]
+    by_key = [bytes(r["z"]) for r in df.orderBy(*zo.clustering_columns(df, pairs, 16)).select(zo.zorder_key(pairs, 16).alias("z")).collect()]
+    assert by_key == sorted(by_key)
+    with pytest.raises(ValueError):
+        zo.ordered_code(F.col("s"), "string", 16)
+    close = spark.sql("SELECT CAST(v AS decimal(18,2)) AS d FROM VALUES ('9007199254740993.01'), ('9007199254740993.00'), ('-0.01'), (NULL) t(v)")
+    codes = [r[0] for r in close.select(zo.ordered_code(F.col("d"), "decimal(18,2)")).collect()]
+    assert codes == [900719925474099301, 900719925474099300, -1, None]
+
+
 def test_small_zorder(spark):
     df = spark.range(64).select((F.col("id") % 8).alias("a"), (F.col("id") / 8).cast("int").alias("b"))
     for a, b, z in df.select("a", "b", zo.small_zorder_key([F.col("a"), F.col("b")], 3).alias("z")).collect():
