@@ -31,13 +31,13 @@ def processing_windowed(df: DataFrame, size: str, keys: list[str], aggs: list[Co
 def distinct_then_count(df: DataFrame, ts: str, delay: str, size: str, keys: list[str], distinct: str) -> DataFrame:
     """First level of a distinct count on a stream: one row per window, key and value.
 
-    Streams refuse distinct aggregates; removing duplicates within the
-    watermark first and counting rows downstream gives the same number.
+    Streams refuse distinct aggregates; removing duplicates first and counting
+    rows downstream gives the same number.  A value is remembered until the
+    watermark passes the end of its window, however short the delay.
     """
     late = with_watermark(df, ts, delay)
-    start = F.window(ts, size).start
-    return (late.withColumn("window_start", start).dropDuplicatesWithinWatermark(["window_start", *keys, distinct])
-            .select("window_start", *keys, distinct))
+    return (late.select(F.window(ts, size).alias("_w"), *keys, distinct).dropDuplicates(["_w", *keys, distinct])
+            .select(F.col("_w.start").alias("window_start"), *keys, distinct))
 
 
 def drop_late(df: DataFrame, arrival: Column, batch_rows: int, ts: str, delay_seconds: int, lag: int = 0) -> DataFrame:

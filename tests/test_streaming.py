@@ -212,3 +212,15 @@ def test_widening(spark):
     new = StructType.fromDDL("a int")
     with pytest.raises(ValueError, match="cannot become"):
         fs.read_evolved([spark.range(1).withColumnRenamed("id", "a")], new)
+
+
+def test_distinct_on_a_stream_with_a_short_delay(spark, tmp_path):
+    from tarn.streaming import windows as sw
+
+    for i in range(5):
+        rows = spark.createDataFrame([("u", f"2024-01-01 00:0{i}:00")], "user string, t string")
+        rows.select("user", F.col("t").cast("timestamp").alias("t")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("user string, t timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    distinct = sw.distinct_then_count(stream, "t", "10 seconds", "5 minutes", [], "user")
+    distinct.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
