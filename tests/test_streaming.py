@@ -215,8 +215,6 @@ def test_widening(spark):
 
 
 def test_distinct_on_a_stream_with_a_short_delay(spark, tmp_path):
-    from tarn.streaming import windows as sw
-
     for i in range(5):
         rows = spark.createDataFrame([("u", f"2024-01-01 00:0{i}:00")], "user string, t string")
         rows.select("user", F.col("t").cast("timestamp").alias("t")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
