@@ -6,8 +6,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarn.session import cut_lineage
 from tarn.util import small_side
 
+#: Key columns: one name where both sides call it the same, or (target name, source name).
+Keys = list[str | tuple[str, str]]
+
 
 @dataclass(frozen=True)
 class Clause:
@@ -23,10 +27,28 @@ class Clause:
     values: dict[str, Column] | None = field(default=None)
 
 
-def merge(target: DataFrame, source: DataFrame, on: list[str], matched: list[Clause] = (),
-          not_matched: list[Clause] = (), not_matched_by_source: list[Clause] = ()) -> DataFrame:
+def _pairs(on: Keys) -> list[tuple[str, str]]:
+    if not on:
+        raise ValueError("a merge needs a pair of key columns; other conditions come on top of it")
+    return [(k, k) if isinstance(k, str) else k for k in on]
+
+
+def _meets(on: Keys, condition: Column | None) -> Column:
+    out = F.lit(True) if condition is None else condition
+    for t, s in _pairs(on):
+        out = (F.col(f"t.`{t}`") == F.col(f"s.`{s}`")) & out
+    return out
+
+
+def merge(target: DataFrame, source: DataFrame, on: Keys, matched: list[Clause] = (),
+          not_matched: list[Clause] = (), not_matched_by_source: list[Clause] = (),
+          condition: Column | None = None) -> DataFrame:
     """The target after the merge.
 
+    Rows match where the key columns are equal and ``condition``, which may use
+    both sides, is TRUE; a target row that only shares the key of a source row
+    counts as not matched, and so does the source row.
+
     The first clause whose condition is TRUE acts on a row; a target row no
     clause acts on stays, a source row none acts on is dropped.  A target row
     matched by several source rows is an error once there are matched clauses.
@@ -34,12 +56,15 @@ def merge(target: DataFrame, source: DataFrame, on: list[str], matched: list[Cla
     Two joins instead of a full outer one: the source is reduced to a row per
     key before it meets the target, so a target key holding a third of all rows
     is split by the skew join, and inserts look only at distinct target keys.
+    A ``condition`` is judged for each pair of rows of one key, so there the
+    rows themselves are joined.
     """
+    on = _pairs(on)
     parts = [target]
     if matched or not_matched_by_source:
-        parts = [_target_side(target, source, on, list(matched), list(not_matched_by_source))]
+        parts = [_target_side(target, source, on, list(matched), list(not_matched_by_source), condition)]
     if not_matched:
-        parts.append(_insert_side(target, source, on, list(not_matched)))
+        parts.append(_insert_side(target, source, on, list(not_matched), condition))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -60,12 +85,35 @@ def _first_true(clauses: list[Clause], then) -> Column | None:
     return out
 
 
-def _decide(target: DataFrame, source: DataFrame, on: list[str], matched: list[Clause], unmatched: list[Clause]) -> DataFrame:
-    """Target rows as ``t`` with their source row ``s`` and the number of the clause that acts on them, or -1."""
-    per_key = source.groupBy(*on).agg(F.first(F.struct(*source.columns)).alias("s"), F.count("*").alias("_rows"))
-    per_key = per_key.select(*[F.col(k).alias(f"_k_{k}") for k in on], "s", "_rows")
+def _with_source(target: DataFrame, source: DataFrame, on: Keys) -> DataFrame:
+    """Target rows ``t`` with a source row ``s`` of their key and the number of such rows."""
+    pairs = _pairs(on)
+    per_key = source.groupBy(*[F.col(f"`{s}`").alias(f"_k_{i}") for i, (_, s) in enumerate(pairs)]).agg(
+        F.first(F.struct(*source.columns)).alias("s"), F.count("*").alias("_rows"))
     t = target.select(F.struct(*target.columns).alias("t"))
-    joined = t.join(per_key, [F.col(f"t.{k}") == F.col(f"_k_{k}") for k in on], "left")
+    return t.join(per_key, [F.col(f"t.`{k}`") == F.col(f"_k_{i}") for i, (k, _) in enumerate(pairs)], "left")
+
+
+def _with_matches(target: DataFrame, source: DataFrame, on: Keys, condition: Column) -> DataFrame:
+    """Target rows ``t`` with a matching source row ``s`` and the number of matching rows.
+
+    Pairs are counted by key and number of the target row in one struct: a
+    grouping by the key itself would reuse the join's partitions and keep the
+    skew join from splitting a hot key.  Copies of a row leave the join in one
+    task, so they carry the same number even when a lost scan is repeated.
+    """
+    t = target.select(F.struct(*target.columns).alias("t"), F.monotonically_increasing_id().alias("_number"))
+    s = source.select(F.struct(*source.columns).alias("s"))
+    each = F.struct(*[F.col(f"t.`{k}`").alias(f"_{i}") for i, (k, _) in enumerate(_pairs(on))], "_number").alias("_row")
+    return t.join(s, _meets(on, condition), "left").groupBy(each).agg(
+        F.first("t").alias("t"), F.first("s", ignorenulls=True).alias("s"), F.count("s").alias("_count")).select(
+        "t", "s", F.nullif("_count", F.lit(0)).alias("_rows"))
+
+
+def _decide(target: DataFrame, source: DataFrame, on: Keys, matched: list[Clause], unmatched: list[Clause],
+            condition: Column | None = None) -> DataFrame:
+    """Target rows as ``t`` with their source row ``s`` and the number of the clause that acts on them, or -1."""
+    joined = _with_source(target, source, on) if condition is None else _with_matches(target, source, on, condition)
     number = lambda clauses, base: _first_true(clauses, lambda i, _: F.lit(base + i)) if clauses else F.lit(-1)
     choice = F.when(F.col("_rows").isNotNull(), number(matched, 0)).otherwise(number(unmatched, len(matched)))
     if matched:
@@ -95,30 +143,30 @@ def _values(target: DataFrame, source: DataFrame, clauses: list[Clause]) -> list
     return [value(f.name, f.dataType) for f in target.schema.fields]
 
 
-def _target_side(target: DataFrame, source: DataFrame, on: list[str], matched: list[Clause],
-                 unmatched: list[Clause]) -> DataFrame:
+def _target_side(target: DataFrame, source: DataFrame, on: Keys, matched: list[Clause],
+                 unmatched: list[Clause], condition: Column | None = None) -> DataFrame:
     clauses = matched + unmatched
-    decided = _decide(target, source, on, matched, unmatched)
+    decided = _decide(target, source, on, matched, unmatched, condition)
     # The filter is kept without delete clauses too: it makes the check on several matches count.
     kept = decided.where(~F.col("_clause").isin([*_numbers(clauses, "delete"), -2]))
     return kept.select(*_values(target, source, clauses))
 
 
-def merge_delta(target: DataFrame, source: DataFrame, on: list[str], matched: list[Clause] = (),
+def merge_delta(target: DataFrame, source: DataFrame, on: Keys, matched: list[Clause] = (),
                 not_matched: list[Clause] = (), not_matched_by_source: list[Clause] = (),
-                file: str = "_file", pos: str = "_pos") -> tuple[DataFrame, DataFrame]:
+                file: str = "_file", pos: str = "_pos", condition: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """The merge as position deletes and rows to add; an update is a delete and an added row.
 
     The target carries the file and position of each row, which the added rows lack.
     """
     clauses = [*matched, *not_matched_by_source]
     data = [c for c in target.columns if c not in (file, pos)]
-    decided = _decide(target, source, on, list(matched), list(not_matched_by_source))
+    decided = _decide(target, source, on, list(matched), list(not_matched_by_source), condition)
     gone = decided.where("_clause >= 0").select(F.col(f"t.{file}").alias("file_path"), F.col(f"t.{pos}").alias("pos"))
     updated = decided.where(F.col("_clause").isin(_numbers(clauses, "update")))
     added = updated.select(*_values(target, source, clauses)).select(*data)
     if not_matched:
-        added = added.unionByName(_insert_side(target.select(*data), source, on, list(not_matched)))
+        added = added.unionByName(_insert_side(target.select(*data), source, on, list(not_matched), condition))
     return gone, added
 
 
@@ -128,10 +176,21 @@ def _assigned(clause: Clause, name: str, source_columns: list[str]) -> Column |
     return clause.values.get(name)
 
 
-def _insert_side(target: DataFrame, source: DataFrame, on: list[str], clauses: list[Clause]) -> DataFrame:
-    keys = target.select(*[F.col(k).alias(f"_k_{k}") for k in on]).distinct()
+def _unmatched_source(target: DataFrame, source: DataFrame, on: Keys, condition: Column | None) -> DataFrame:
+    """Source rows ``s`` that no target row matches."""
+    pairs = _pairs(on)
     s = source.select(F.struct(*source.columns).alias("s"))
-    new = s.join(keys, [F.col(f"s.{k}") == F.col(f"_k_{k}") for k in on], "left_anti")
+    if condition is None:
+        keys = target.select(*[F.col(f"`{t}`").alias(f"_k_{i}") for i, (t, _) in enumerate(pairs)]).distinct()
+        return s.join(keys, [F.col(f"s.`{k}`") == F.col(f"_k_{i}") for i, (_, k) in enumerate(pairs)], "left_anti")
+    # Both uses of the numbers must see the same ones, so the source is stored; an inner join can split hot keys of either side.
+    s = cut_lineage(s.withColumn("_number", F.monotonically_increasing_id()))
+    t = target.select(F.struct(*target.columns).alias("t"))
+    return s.join(s.join(t, _meets(on, condition)).select("_number").distinct(), "_number", "left_anti").select("s")
+
+
+def _insert_side(target: DataFrame, source: DataFrame, on: Keys, clauses: list[Clause], condition: Column | None = None) -> DataFrame:
+    new = _unmatched_source(target, source, on, condition)
     new = new.withColumn("_clause", F.coalesce(_first_true(clauses, lambda i, _: F.lit(i)), F.lit(-1))).where("_clause >= 0")
 
     def value(name: str, data_type) -> Column:

@@ -57,6 +57,34 @@ def test_merge_cardinality(spark):
     assert mg.merge(target, source, ["k"], not_matched=[mg.Clause("insert")]).count() == 4
 
 
+def test_merge_on_differing_names_and_a_condition(spark):
+    rng = random.Random(4)
+    target = [(rng.choice([None, *range(8)]), rng.randrange(10), "t") for _ in range(50)] + [(1, 5, "t")] * 2
+    halves = [(k, *half) for k in [None, *range(12)] for half in [(0, 4, "low"), (5, 9, "high")]]
+    source = rng.sample(halves, 16) + [(1, 90, 99, "none"), (1, 90, 99, "none")]
+
+    def meets(t, s):
+        return t[0] is not None and t[0] == s[0] and s[1] <= t[1] <= s[2]
+
+    want = [(t[0], t[1], next((s[3] for s in source if meets(t, s)), "gone")) for t in target]
+    want += [(s[0], s[1], "new") for s in source if not any(meets(t, s) for t in target)]
+    args = dict(on=[("k", "id")], matched=[mg.Clause("update", None, {"v": F.col("s.w")})],
+                not_matched=[mg.Clause("insert", None, {"k": F.col("s.id"), "n": F.col("s.low"), "v": F.lit("new")})],
+                not_matched_by_source=[mg.Clause("update", None, {"v": F.lit("gone")})],
+                condition=(F.col("t.n") >= F.col("s.low")) & (F.col("t.n") <= F.col("s.high")))
+    t = spark.createDataFrame(target, "k int, n int, v string")
+    s = spark.createDataFrame(source, "id int, low int, high int, w string")
+    got = sorted((tuple(r) for r in mg.merge(t, s, **args).collect()), key=str)
+    assert got == sorted(want, key=str)
+    twice = s.union(spark.createDataFrame([(1, 0, 9, "more")] * 2, s.schema))
+    with pytest.raises(Exception, match="several source rows"):
+        mg.merge(t, twice, **args).collect()
+    assert mg.merge(t, twice, [("k", "id")], not_matched_by_source=[mg.Clause("delete")], condition=args["condition"]).count() == \
+        sum(t[0] == 1 or any(meets(t, s) for s in source) for t in target)
+    with pytest.raises(ValueError, match="key"):
+        mg.merge(t, s, [], condition=args["condition"])
+
+
 def test_delete_keeps_unknown(spark, rows):
     df = spark.createDataFrame([(1,), (5,), (None,)], "v int")
     assert rows(mg.delete_where(df, F.col("v") > 3)) == [(None,), (1,)]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sqlite3
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,7 +97,25 @@ def test_call_retries():
     assert pauses == [0.1, 0.2]
     assert en.call_with_retry(lambda row: {}, {}, 2, 0.1, 1.0, float("inf"), True, pauses.append) is None
     assert en.call_with_retry(lambda row: {}, {}, 2, 0.1, 1.0, float("inf"), False, pauses.append) == {}
-    assert en.call_with_retry(lambda row: 1 / 0, {}, 5, 9.0, 1.0, 0.0, True, pauses.append) is None
+    assert en.call_with_retry(lambda row: {}, {}, 5, 9.0, 1.0, 0.0, True, pauses.append) is None
+    with pytest.raises(ZeroDivisionError):
+        en.call_with_retry(lambda row: 1 / 0, {}, 5, 9.0, 1.0, 0.0, True, pauses.append)
+
+
+def test_timeouts_are_kept(spark, rows):
+    def slow(row):
+        time.sleep(3 if row["id"] % 5 == 0 else 0)
+        return {"x": row["id"]}
+
+    df = spark.range(0, 20, numPartitions=2)
+    start = time.monotonic()
+    kept = rows(en.enrich(df, slow, "x bigint", capacity=2, timeout=0.4))
+    assert kept == [(i, i) for i in range(20) if i % 5]
+    through = rows(en.enrich(df, slow, "x bigint", fallback="passthrough", capacity=2, timeout=0.4))
+    assert through == sorted([(i, i if i % 5 else None) for i in range(20)])
+    assert time.monotonic() - start < 12
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        en.enrich(df, lambda row: {"x": 1 // (row["id"] - 7)}, "x bigint").collect()
 
 
 def test_database_upsert(spark, tmp_path):
