@@ -149,13 +149,37 @@ def probes_of(graph: Graph, sizes: np.ndarray, q: np.ndarray, k: int, ratio: flo
 
 
 def inner_products(q: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Products in double precision, summed component by component: equal vectors get equal scores."""
+    """All products in double precision, summed component by component: the measure that results carry, by brute force."""
     out = np.zeros((len(q), len(p)))
-    for j in range(q.shape[1]):
-        out += q[:, j, None] * p[None, :, j]
+    for d in range(q.shape[1]):
+        out += q[:, d, None] * p[None, :, d]
     return out
 
 
+def best_products(q: np.ndarray, p: np.ndarray, floor: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, score): for each q[i] the ``most`` p[j] of largest product, none below floor[i]; ties to the smaller j.
+
+    The matrix product rounds by position, so it only chooses, with a margin
+    for its error, what is then summed component by component in double
+    precision: equal vectors get equal scores.
+    """
+    rough = q @ p.T
+    least = floor
+    if len(p) > most:
+        least = np.maximum(floor, np.partition(rough, len(p) - most, axis=1)[:, len(p) - most])
+    margin = q.shape[1] * 2.0**-50 * np.sqrt((q ** 2).sum(axis=1) * (p ** 2).sum(axis=1).max())
+    i, j = np.nonzero(rough >= (least - margin)[:, None])
+    score = np.zeros(len(i))
+    for d in range(q.shape[1]):
+        score += q[i, d] * p[j, d]
+    order = np.lexsort((j, -score, i))
+    order = order[score[order] >= floor[i[order]]]
+    i, j, score = i[order], j[order], score[order]
+    start = np.searchsorted(i, i)  # i ascends
+    kept = np.arange(len(i)) - start < most
+    return i[kept], j[kept], score[kept]
+
+
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id, score): the k vectors of largest inner product found for each query, its own id left out.
 
@@ -216,35 +240,46 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
         for pdf in frames:
             for s in range(0, len(pdf), 512):
                 part = pdf.iloc[s:s + 512]
-                part = part.assign(list=probes_of(shared.value, sizes, lifted(list(part["v"]), True), k, ratio, beam)).explode("list")
-                yield part.assign(list=part["list"].astype("int32"))[["list", "id", "v"]]
+                chosen = probes_of(shared.value, sizes, lifted(list(part["v"]), True), k, ratio, beam)
+                part = part.assign(list=chosen, first=[np.arange(len(c)) < LEAST_LISTS for c in chosen]).explode(["list", "first"])
+                yield part.assign(list=part["list"].astype("int32"), first=part["first"].astype(bool))[["list", "id", "v", "first"]]
 
     queries = clean.where(is_query(F.col("id"))).select("id", "v").distinct()
-    probes = saved(queries.mapInPandas(probe, f"list int, id {kind}, v {vector}"), "probes")
-    asked = probes.groupBy("list").agg(F.count("*").alias("asked"))
-    pieces = counts.join(asked, "list").select(
-        "list", F.ceil(F.col("n") / PIECE_ROWS).cast("bigint").alias("p"), F.ceil(F.col("asked") / PIECE_ROWS).cast("bigint").alias("q"))
-    left = (probes.join(pieces, "list").withColumn("qi", F.pmod(F.xxhash64("id"), "q"))
-            .withColumn("pi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("p") - 1))).select("list", "pi", "qi", "id", "v"))
-    right = (postings.join(pieces, "list").withColumn("pi", F.pmod(F.xxhash64("v"), "p"))
-             .withColumn("qi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("q") - 1))).select("list", "pi", "qi", "v", "ids"))
+    probes = saved(queries.mapInPandas(probe, f"list int, id {kind}, v {vector}, first boolean"), "probes")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "score": [], "ids": []})
         right = right.assign(first=[i[0] for i in right["ids"]]).sort_values("first", kind="stable")
-        scores = inner_products(np.array(list(left["v"]), np.float64), np.array(list(right["v"]), np.float64))
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :k + 1]
-        ids = right["ids"].to_numpy()
-        return pd.DataFrame({"query_id": np.repeat(left["id"].to_numpy(), best.shape[1]),
-                             "score": np.take_along_axis(scores, best, axis=1).ravel(), "ids": ids[best.ravel()]})
-
-    keys = ["list", "pi", "qi"]
-    found = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-             .applyInPandas(compare, f"query_id {kind}, score double, ids array<{kind}>"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("ids")[0])
-    distinct = found.groupBy("query_id", "ids").agg(F.max("score").alias("score"))
-    near = distinct.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
+        i, j, score = best_products(np.array(list(left["v"]), np.float64), np.array(list(right["v"]), np.float64),
+                                    left["floor"].to_numpy(np.float64), k + 1)
+        return pd.DataFrame({"query_id": left["id"].to_numpy()[i], "score": score, "ids": right["ids"].to_numpy()[j]})
+
+    def compared(probes: DataFrame) -> DataFrame:
+        """The best entries of each probed list and query, in blocks of the list's entries and its queries."""
+        asked = probes.groupBy("list").agg(F.count("*").alias("asked"))
+        pieces = counts.join(asked, "list").select(
+            "list", F.ceil(F.col("n") / PIECE_ROWS).cast("bigint").alias("p"), F.ceil(F.col("asked") / PIECE_ROWS).cast("bigint").alias("q"))
+        left = (probes.join(pieces, "list").withColumn("qi", F.pmod(F.xxhash64("id"), "q"))
+                .withColumn("pi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("p") - 1))).select("list", "pi", "qi", "id", "v", "floor"))
+        right = (postings.join(pieces, "list").withColumn("pi", F.pmod(F.xxhash64("v"), "p"))
+                 .withColumn("qi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("q") - 1))).select("list", "pi", "qi", "v", "ids"))
+        keys = ["list", "pi", "qi"]
+        return (left.groupBy(*keys).cogroup(right.groupBy(*keys))
+                .applyInPandas(compare, f"query_id {kind}, score double, ids array<{kind}>"))
+
+    def leading(found: DataFrame):
+        """Distinct entries of each query with their place, the k + 1 first ones."""
+        best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("ids")[0])
+        distinct = found.groupBy("query_id", "ids").agg(F.max("score").alias("score"))
+        return distinct.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
+
+    # The nearest lists come first.  Their k + 1 best entries bound the score of a result from below: other lists give only what reaches it.
+    nothing = F.lit(float("-inf"))
+    early = saved(leading(compared(probes.where("first").withColumn("floor", nothing))), "nearest-lists")
+    floors = early.where(F.col("r") == k + 1).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+    rest = probes.where("not first").join(floors, "id", "left").withColumn("floor", F.coalesce("floor", nothing))
+    near = leading(early.drop("r").unionByName(compared(rest)))
     each = (near.select("query_id", "score", F.explode("ids").alias("id")).where("id <> query_id")
             .groupBy("query_id", "id").agg(F.max("score").alias("score")))
     final = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
