@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarn.operators.windows import running
 from tarn.session import cut_lineage
-from tarn.util import int_div, small_side
+from tarn.util import int_div, listed_only
 
 
 def branch_ancestors(snapshots: DataFrame, heads: DataFrame) -> DataFrame:
@@ -180,8 +180,11 @@ def read_batches(files: DataFrame, order: list[str], chunk: Column, max_rows: in
 
 
 def rows_of_files(rows: DataFrame, files: DataFrame, file: str) -> DataFrame:
-    """Rows stored in the given files, with the files' other columns where there are any."""
-    listed = small_side(files)
+    """Rows stored in the given files, with the files' other columns where there are any.
+
+    Only those files are read where ``file`` is a partition column of the stored rows.
+    """
+    rows, listed = listed_only(rows, files, file)
     return rows.join(listed, file, "left_semi" if files.columns == [file] else "inner")
 
 

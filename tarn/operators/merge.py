@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarn.session import cut_lineage
-from tarn.util import small_side
+from tarn.util import listed_only
 
 #: Key columns: one name where both sides call it the same, or (target name, source name).
 Keys = list[str | tuple[str, str]]
@@ -249,4 +249,6 @@ def touched_files(df: DataFrame, matches: DataFrame, on: list[str], file: str) -
 
 
 def only_touched(df: DataFrame, touched: DataFrame, file: str) -> DataFrame:
-    return df.join(small_side(touched), file, "left_semi")
+    """Rows of the touched files; the others are not read where ``file`` is a partition column."""
+    rows, listed = listed_only(df, touched, file)
+    return rows.join(listed, file, "left_semi")

@@ -19,7 +19,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tarn.util import small_side
+from tarn.util import listed_only
 
 TRUE, FALSE = (lambda: F.lit(True)), (lambda: F.lit(False))
 
@@ -152,9 +152,10 @@ def classify(files: DataFrame, predicate: Predicate) -> DataFrame:
 
 
 def residual_scan(data: DataFrame, files: DataFrame, file: str, predicate: Predicate) -> DataFrame:
-    """Matching rows: files that cannot match are not joined, files that must match are not filtered."""
+    """Matching rows: files that must match are not filtered, and those that cannot match are not read where ``file`` is a partition column."""
     kept = classify(files, predicate).where("verdict <> 'none'").select(file, (F.col("verdict") == "all").alias("_all"))
-    return data.join(small_side(kept), file).where(F.col("_all") | predicate.row).drop("_all")
+    data, kept = listed_only(data, kept, file)
+    return data.join(kept, file).where(F.col("_all") | predicate.row).drop("_all")
 
 
 def metadata_delete(files: DataFrame, predicate: Predicate) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructType
 
@@ -12,8 +13,13 @@ from tarn.operators.sinks import write_files
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    try:
+        spark.read.schema("_bucket int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def keyed_table_writer(path: str, keys: list[str], order: list[str], schema: StructType, buckets: int = 16,

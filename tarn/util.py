@@ -31,6 +31,19 @@ def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(stored) if size <= max_bytes else stored
 
 
+def listed_only(rows: DataFrame, listed: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a list of files, prepared so that the join prunes the scan of ``rows``.
+
+    The range of the listed keys becomes a filter on both sides: on the rows it
+    reaches the file reader, and on the list it lets Spark prune dynamically
+    where ``key`` is a partition column of the stored table.
+    """
+    listed = small_side(listed)
+    low, high = listed.agg(F.min(key), F.max(key)).first()
+    inside = F.lit(False) if low is None else F.col(key).between(low, high)
+    return rows.where(inside), listed.where(inside)
+
+
 def tie_breaker(df: DataFrame) -> Column:
     """Hash of the whole row: as last term of a range partitioning it splits even rows of one sort value."""
     usable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tarn.operators import deletes as dl, merge as mg, skipping as sk, stats as st
+from tarn.operators import deletes as dl, lineage as ln, merge as mg, skipping as sk, stats as st
 from tarn.operators.sinks import overwrite_by_filter
 
 
@@ -85,6 +85,19 @@ def test_merge_on_differing_names_and_a_condition(spark):
         mg.merge(t, s, [], condition=args["condition"])
 
 
+def test_listed_files_prune_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(200).select("id", (F.col("id") % 20).cast("int").alias("file")).write.partitionBy("file").parquet(path)
+    stored = spark.read.parquet(path)
+    listed = spark.createDataFrame([(3,), (5,), (9,)], "file int")
+    for got in (ln.rows_of_files(stored, listed, "file"), mg.only_touched(stored, listed, "file")):
+        assert sorted(r["id"] for r in got.collect()) == [i for i in range(200) if i % 20 in (3, 5, 9)]
+        plan = got._jdf.queryExecution().toString()
+        scan = next(line for line in plan.split("== Physical Plan ==")[-1].splitlines() if "PartitionFilters" in line)
+        assert "dynamicpruning" in scan and ">= 3" in scan
+    assert ln.rows_of_files(stored, listed.where("false"), "file").count() == 0
+
+
 def test_delete_keeps_unknown(spark, rows):
     df = spark.createDataFrame([(1,), (5,), (None,)], "v int")
     assert rows(mg.delete_where(df, F.col("v") > 3)) == [(None,), (1,)]
