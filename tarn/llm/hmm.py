@@ -23,7 +23,7 @@ STATES = 8
 #: Class 0 is the end of a text; words have the others.
 CLASSES = 4096
 #: Text of one block of documents; a longer document makes a larger block by itself.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Baum-Welch rounds over the blocks of the starting sample, and over all training documents.
 WARM_ROUNDS = 6
 ROUNDS = 3
