@@ -1,22 +1,21 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: n-gram seeds join passages to test items, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tarn.llm.common import saved
 
 WORDS = re.compile(r"[^\W_]+")
 #: Words of a seed; an item with fewer is one seed as a whole.
 SEED_WORDS = 3
-#: Share of an item's n-grams, rarest in the corpus first, that are seeds.
-RARE_SHARE = 0.75
 #: Bits of the filter that tasks hold: fixed, so that a larger benchmark only makes it less selective.
 FILTER_BITS = 1 << 22
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -61,51 +60,19 @@ def filter_of(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def item_grams(items: DataFrame) -> DataFrame:
-    """(item_id, at, gram) of each n-gram of each item."""
+def seeds_of(items: DataFrame) -> DataFrame:
+    """(gram, item_id): every n-gram of each item.
+
+    None is left out for being frequent: in an edited copy the frequent ones may be all that is intact.
+    """
     def run(batches):
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = grams(words_of(text), SEED_WORDS)
+                found = np.unique(grams(words_of(text), SEED_WORDS))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([item] * len(found), batch.schema.field(0).type), pa.array(np.arange(len(found), dtype=np.int32)),
-                     pa.array(found.view(np.int64))], ["item_id", "at", "gram"])
-
-    return items.mapInArrow(run, f"item_id {items.schema['item_id'].dataType.simpleString()}, at int, gram bigint")
-
-
-def corpus_counts(docs: DataFrame, maybe: np.ndarray, widths: list[int]) -> DataFrame:
-    """(gram, n) over all texts, of n-grams that pass the filter; summed in each task first."""
-    shared = docs.sparkSession.sparkContext.broadcast(maybe)
-
-    def run(batches):
-        maybe, total = shared.value, {}
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                for width in widths:
-                    if len(words) >= width:
-                        found = grams(words, width)
-                        a, b = places(found)
-                        for g in found[maybe[a] & maybe[b]].tolist():
-                            total[g] = total.get(g, 0) + 1
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(np.array(list(total), np.uint64).view(np.int64)),
-                                          "n": pa.array(list(total.values()), pa.int64())})
+                    [pa.array(found.view(np.int64)), pa.array([item] * len(found), batch.schema.field(0).type)], ["gram", "item_id"])
 
-    return docs.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def seeds_of(items: DataFrame, docs: DataFrame, widths: list[int]) -> DataFrame:
-    """(gram, item_id): the rarest n-grams of each item by their count in the corpus.
-
-    Rarity is relative to the item, so an item copied into very many texts keeps its seeds.
-    """
-    own = saved(item_grams(items), "item-grams")
-    counts = corpus_counts(docs, filter_of(own), widths)
-    rank = Window.partitionBy("item_id").orderBy(F.coalesce("n", F.lit(0)), "at")
-    ranked = own.join(counts, "gram", "left").withColumns(
-        {"rank": F.row_number().over(rank), "all": F.count("*").over(Window.partitionBy("item_id"))})
-    return ranked.where(F.col("rank") <= F.ceil(F.col("all") * RARE_SHARE)).select("gram", "item_id").distinct()
+    return items.mapInArrow(run, f"gram bigint, item_id {items.schema['item_id'].dataType.simpleString()}").distinct()
 
 
 def passages(docs: DataFrame, maybe: np.ndarray, widths: list[int], reach: int) -> DataFrame:
@@ -172,6 +139,11 @@ def alignment(item: list[str], passage: list[str]) -> tuple[float, int, int]:
     return best / (MATCH * len(item)) if item else 0.0, end - length, end
 
 
+def can_reach(item: list[str], passage: list[str], min_score: float) -> bool:
+    """Whether the words that the two share, each matched in full, would give ``min_score``: a bound that loses nothing."""
+    return sum((Counter(item) & Counter(passage)).values()) >= min_score * len(item)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """(id, item_id, score, start_word, end_word): texts that hold a test item, exact, edited or in part.
@@ -189,7 +161,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     sizes = tests.select(F.size(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)[^\W_]+"), F.lit(0))).alias("n"))
     reach = sizes.agg(F.max("n")).first()[0] or 0
     widths = sorted({min(SEED_WORDS, w) for (w,) in sizes.where(F.col("n") < SEED_WORDS).distinct().collect() if w} | {SEED_WORDS})
-    seeds = saved(seeds_of(tests, texts, widths), "seeds")
+    seeds = saved(seeds_of(tests), "seeds")
     found = saved(passages(texts, filter_of(seeds), widths, reach), "passages")
     distinct = found.groupBy("key").agg(F.first("words").alias("words"), F.first("grams").alias("grams"))
     distinct = saved(distinct, "distinct-passages")
@@ -198,10 +170,12 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     def run(frames):
         for pdf in frames:
-            got = [alignment(words_of(t), w.split(" ")) for t, w in zip(pdf["text"], pdf["words"])]
+            both = [(words_of(t), w.split(" ")) for t, w in zip(pdf["text"], pdf["words"])]
+            near = np.array([can_reach(*x, min_score) for x in both], bool)
+            got = [alignment(*x) for x, maybe in zip(both, near) if maybe]
             out = pd.DataFrame(got, columns=["score", "first", "last"])
-            out.insert(0, "key", pdf["key"].to_numpy())
-            out.insert(1, "item_id", pdf["item_id"].to_numpy())
+            out.insert(0, "key", pdf["key"].to_numpy()[near])
+            out.insert(1, "item_id", pdf["item_id"].to_numpy()[near])
             yield out[out["score"] >= min_score]
 
     kind = tests.schema["item_id"].dataType.simpleString()

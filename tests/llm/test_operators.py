@@ -228,6 +228,21 @@ def test_decontamination_finds_exact_edited_and_partial_copies(spark):
     assert decontaminate.contaminated(table, tests.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [18, 22, 26])
+def test_decontamination_finds_copies_with_every_fourth_word_edited(spark, size):
+    item = [f"w{size}x{i}" for i in range(size)]
+    replaced = [w if i % 4 != 3 else f"changed{i}" for i, w in enumerate(item)]
+    deleted = [w for i, w in enumerate(item) if i % 4 != 3]
+    docs = [(1, " ".join([*WORDS, *replaced, *WORDS])), (2, " ".join([*WORDS, *deleted])), (3, prose(4, 200))]
+    got = decontaminate.contaminated(spark.createDataFrame(docs[:1], "doc_id long, text string"),
+                                     spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert [(r["doc_id"], r["item_id"]) for r in got.collect()] == [(1, 1)]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                     spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[:3]))], "item_id long, text string"))
+    pairs = {(r["doc_id"], r["item_id"]): r["score"] for r in got.collect()}
+    assert set(pairs) == {(1, 1), (2, 1), (1, 2), (2, 2)} and min(pairs.values()) >= 0.5
+
+
 def test_induced_sorting():
     dice = random.Random(3)
     for n, letters in [(1, 1), (2, 2), (50, 1), (200, 2), (300, 4), (300, 256)] * 5:
