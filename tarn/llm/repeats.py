@@ -162,7 +162,7 @@ def repeated_spans(texts: DataFrame, length: int, by_place: bool = True) -> tupl
     source = (texts.alias("x").join(needed.alias("n"), (F.col("x.t1") == F.col("n.t1")) & (F.col("x.t2") == F.col("n.t2"))
                                     & F.col("x.id").eqNullSafe(F.col("n.one")))
               .select("x.space", "x.t1", "x.t2", F.col("x.text").cast("binary").alias("text")))
-    source = saved(source, "texts")
+    source = saved(source.dropDuplicates(["t1", "t2"]), "texts")  # rows may share id and text
     cut = F.substring(F.col("text"), F.col("start") + 1, F.col("size"))
     filled = (wanted.join(source, ["t1", "t2"]).withColumn("bytes", cut)
               .withColumn("salt", F.pmod(F.xxhash64("ctx"), F.ceil(F.col("n") / HOT_ANCHOR)))

@@ -277,6 +277,14 @@ def test_repeats_equal_brute_force(docs, spark, monkeypatch, hot):
         Counter({(k[0], k[1], k[2], k[3], None if k[2] == 0 else k[4]): n for k, n in got.items()})
 
 
+def test_repeated_rows_that_share_a_passage_come_out_as_they_are(spark):
+    passage = prose(78, 40)
+    rows = [(1, f"{prose(90, 8)} {passage}")] * 2 + [(None, f"{passage} {prose(91, 9)}")] * 3 + [(2, f"{prose(92, 7)} {passage}")]
+    got = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=60).collect()
+    assert Counter(r["doc_id"] for r in got) == {1: 2, None: 3, 2: 1}
+    assert all(r["n_removed"] == r["n_bytes"] for r in got if r["doc_id"] != 2)
+
+
 def test_pages(spark):
     bar = "<div><p>Sign up for our weekly letter and get the best of the house every single morning</p></div>"
     pages = [
