@@ -303,6 +303,25 @@ def test_pages(spark):
     assert got[5] == got[6] == "" and got[None] == "only" and got[7] == "body &am"
 
 
+STORY = "<p>The story is told in plain words and goes on for a good while here.</p>"
+
+
+@pytest.mark.parametrize("html", [
+    "<div class='content with-sidebar'><article>{}</article></div>", "<div class='sidebar'><article>{}</article></div>",
+    "<body><div class='ad'>buy<article>{}</article></body>", "<article><div class='no-sidebar'>{}</div></article>",
+    "<article><div class='elementor-widget-text'>{}</div><div class='comment-list'>first</div></article>",
+    "<article class='post has-comments'>{}</article><div class='sidebar'><article>teaser</article></div>",
+    "<article>{}<div class='ad-slot'><article>buy</article>now</div></article><div class='site-footer'>foot</div>"])
+def test_articles_inside_wrappers_stay(html):
+    article, other, _, sure = webpages.blocks_of(html.format(STORY))
+    assert sure and not other and article == [STORY[3:-4]]
+
+
+def test_headings_of_an_article_stay():
+    html = f"<article><div class='entry-header'><h1 class='header'>Title</h1></div>{STORY}</article>"
+    assert webpages.blocks_of(html)[0] == ["Title", STORY[3:-4]]
+
+
 def test_empty_tables(empty, spark):
     assert simhash.near_duplicates(empty).count() == 0
     assert mixing.mix(empty).count() == 0
