@@ -322,6 +322,20 @@ def test_headings_of_an_article_stay():
     assert webpages.blocks_of(html)[0] == ["Title", STORY[3:-4]]
 
 
+@pytest.mark.parametrize("html, cards", [
+    ("<main>{}<article class='teaser'>card</article></main>", ["card"]), ("<main>{}</main><article class='teaser'>card</article>", []),
+    ("<main><article>one card</article>{}" + "<article>one card</article>" * 20 + "</main>", ["one card"] * 21),
+    ("<article></article><main>{}</main>", []), ("<div role='main'><div>{}</div></div><article>card</article><p>out</p>", []),
+    ("<main><p>by line</p><article>{}</article></main>", [])])
+def test_the_zone_with_more_text_is_the_article(html, cards):
+    article, _, _, sure = webpages.blocks_of(html.format(STORY))
+    assert sure and sorted(article) == sorted([STORY[3:-4], *cards])
+
+
+def test_an_empty_article_leaves_the_page_to_the_suffix_array():
+    assert webpages.blocks_of(f"<article></article>{STORY}")[1:] == ([STORY[3:-4]], [], False)
+
+
 def test_empty_tables(empty, spark):
     assert simhash.near_duplicates(empty).count() == 0
     assert mixing.mix(empty).count() == 0
