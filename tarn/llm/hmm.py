@@ -24,11 +24,8 @@ STATES = 8
 CLASSES = 4096
 #: Text of one block of documents; a longer document makes a larger block by itself.
 BLOCK_BYTES = 8 << 20
-#: Baum-Welch rounds over the blocks of the starting sample, and over all training documents.
-WARM_ROUNDS = 6
-ROUNDS = 3
-#: Training documents of the starting sample: those least by a hash of the text.
-WARM_DOCS = 2000
+#: The likelihood has settled when a Baum-Welch round raises it by less than this share.
+SETTLED = 1e-4
 SMOOTH = 0.01
 
 
@@ -134,8 +131,8 @@ def log_likelihood(model: Model, seqs: Ragged) -> np.ndarray:
     return out
 
 
-def expected_counts(model: Model, seqs: Ragged) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch counts: states at the start, moves, and emissions of each class."""
+def expected_counts(model: Model, seqs: Ragged) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Baum-Welch counts: states at the start, moves, and emissions of each class; and the log10 likelihood."""
     k, begin = len(model.start), seqs.begin
     move, emit = model.move.astype(np.float32), model.emit.astype(np.float32)
     ahead = np.empty((len(seqs.steps), k), np.float32)
@@ -159,7 +156,8 @@ def expected_counts(model: Model, seqs: Ragged) -> tuple[np.ndarray, np.ndarray,
         back = full
         ahead[s:e] *= full  # now the share of each state at this place
     emits = np.stack([np.bincount(seqs.steps, ahead[:, j], CLASSES) for j in range(k)], axis=1)
-    return ahead[: begin[1]].sum(axis=0, dtype=np.float64) if len(seqs.order) else np.zeros(k), moves * model.move, emits
+    first = ahead[: begin[1]].sum(axis=0, dtype=np.float64) if len(seqs.order) else np.zeros(k)
+    return first, moves * model.move, emits, float(np.log10(scales).sum(dtype=np.float64))
 
 
 def starting_model(states: int, seed: int = 7) -> Model:
@@ -177,10 +175,10 @@ def maximised(start: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> Model:
                  emits / emits.sum(axis=0))
 
 
-def gathered(blocks: DataFrame, model: Model) -> Model:
-    """One Baum-Welch round: every task sums its blocks' counts, Spark adds them up, a table of fixed size comes back."""
+def gathered(blocks: DataFrame, model: Model) -> tuple[Model, float]:
+    """One Baum-Welch round and the likelihood before it: every task sums its blocks' counts, Spark adds them up, a table of fixed size comes back."""
     k = len(model.start)
-    width = k + k * k + CLASSES * k
+    width = k + k * k + CLASSES * k + 1
 
     def run(batches):
         total = np.zeros(width)
@@ -190,7 +188,7 @@ def gathered(blocks: DataFrame, model: Model) -> Model:
                 learn = ~block["held"]
                 classes = classes_of(block["hashes"])[block["words"]][np.repeat(learn, block["lengths"])]
                 counts = expected_counts(model, ragged(classes, block["lengths"][learn]))
-                total += np.concatenate([c.ravel() for c in counts])
+                total += np.concatenate([np.ravel(c) for c in counts])
         used = np.nonzero(total)[0]
         yield pa.RecordBatch.from_pydict({"place": pa.array(used, pa.int32()), "n": pa.array(total[used], pa.float64())})
 
@@ -198,17 +196,17 @@ def gathered(blocks: DataFrame, model: Model) -> Model:
             .groupBy("place").agg(F.sum("n").alias("n")).toPandas())
     total = np.zeros(width)
     total[rows["place"].to_numpy(np.int64)] = rows["n"].to_numpy()
-    return maximised(total[:k], total[k:k + k * k].reshape(k, k), total[k + k * k:].reshape(CLASSES, k))
+    return maximised(total[:k], total[k:k + k * k].reshape(k, k), total[k + k * k:-1].reshape(CLASSES, k)), float(total[-1])
 
 
-def train(blocks: DataFrame, sample: DataFrame, states: int = STATES, warm_rounds: int = WARM_ROUNDS, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch from a random start: some rounds on a bounded sample only place the states, the rest count all documents."""
-    model = starting_model(states)
-    for _ in range(warm_rounds):
-        model = gathered(sample, model)
-    for _ in range(rounds):
-        model = gathered(blocks, model)
-    return model
+def train(blocks: DataFrame, states: int = STATES) -> Model:
+    """Baum-Welch from a random start: every round counts all training documents, until the likelihood settles."""
+    model, before = starting_model(states), -np.inf
+    while True:
+        model, likelihood = gathered(blocks, model)
+        if likelihood - before <= SETTLED * abs(likelihood):
+            return model
+        before = likelihood
 
 
 def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", states: int = STATES) -> DataFrame:
@@ -224,8 +222,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(False)).alias("held"), F.col(text_col).alias("text"))
     blocks = saved(pack(rows), "blocks")
-    sample = rows.where("not held and text is not null").orderBy(F.xxhash64("text"), "text").limit(WARM_DOCS)
-    model = train(blocks, saved(pack(sample), "sample"), states)
+    model = train(blocks, states)
 
     def words(batches):
         for batch in batches:

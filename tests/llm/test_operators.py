@@ -193,6 +193,18 @@ def test_baum_welch_beats_the_unigram_on_held_out_texts(spark):
     assert got["score"].sum() > got["base_score"].sum()
 
 
+def test_many_copies_of_one_text_do_not_place_the_states(spark):
+    german = "der die das und regen meer stein licht winter haus grün ruhig morgen brief".split()
+    rows = [(i, " ".join(random.Random(i).choices(german if i % 2 else WORDS, k=60))) for i in range(400)]
+    hash_of = lambda t: xxhash.xxh64_intdigest(t.encode(), 42) - (1 << 63) & (1 << 64) - 1
+    hot = min((f"copy{i} copy" for i in range(50_000)), key=hash_of)  # before the other texts by Spark's hash
+    assert hash_of(hot) < min(hash_of(t) for _, t in rows)
+    rows += [(1001 + 4 * i, hot) for i in range(3000)]
+    got = hmm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 4 == 0).where("held_out").toPandas()
+    gain = (got["score"].sum() - got["base_score"].sum()) / got["n_tokens"].sum()
+    assert gain > 0.2
+
+
 def test_nearest_equals_brute_force_on_a_small_table(spark):
     dice = np.random.default_rng(4)
     x = dice.normal(size=(300, 8)).astype(np.float32)
