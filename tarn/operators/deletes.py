@@ -19,12 +19,10 @@ def _hit(keys: list[str], seq: str) -> list[Column]:
     return [*same, F.col(seq) < F.col("_delete_seq")]
 
 
-# The position goes first: paths share long beginnings, which makes them slow to sort by.
-_PLACE = ["pos", "file_path"]
-
-
-def _hit_place(file: str, pos: str, seq: str) -> list[Column]:
-    return [F.col(pos) == F.col("_k_pos"), F.col(file) == F.col("_k_file_path"), F.col(seq) <= F.col("_delete_seq")]
+#: Positions in one bitmap, the bits of a BIGINT.
+BITMAP = 64
+#: Files with deletes that are named in a filter; beyond that many, all rows look into the bitmaps.
+NAMED_FILES = 10_000
 
 
 def apply_equality_deletes(data: DataFrame, deletes: list[tuple[DataFrame, list[str]]],
@@ -48,17 +46,61 @@ def equality_to_position_deletes(data: DataFrame, deletes: list[tuple[DataFrame,
     return hits.distinct() if len(deletes) > 1 else hits
 
 
+def position_bitmaps(deletes: DataFrame, file: str = "file_path", pos: str = "pos", seq: str = "sequence_number") -> DataFrame:
+    """Deleted positions as bitmaps: ``(_b_file, _b_word, _b_bits)``, a row per file and ``BITMAP`` positions.
+
+    ``_b_bits`` has a bitmap per sequence number of the deletes.  Repeated deletes
+    combine on the map side, dense ones take a bit each, and a lone one takes
+    one short row.
+    """
+    at = F.col(pos)
+    bits = F.expr(f"shiftleft(1L, int(pmod(`{pos}`, {BITMAP})))")
+    per_seq = (deletes.where(at.isNotNull() & F.col(seq).isNotNull())
+               .groupBy(F.col(file).alias("_b_file"), F.floor(at / BITMAP).alias("_b_word"), F.col(seq).alias("seq"))
+               .agg(F.bit_or(bits).alias("bits")))
+    return per_seq.groupBy("_b_file", "_b_word").agg(F.collect_list(F.struct("seq", "bits")).alias("_b_bits"))
+
+
+def _probed(data: DataFrame, bitmaps: DataFrame, file: str, pos: str, seq: str) -> DataFrame:
+    """Data with ``_hit``: whether a bitmap of the row's file, not older than the row, has the row's bit."""
+    bit = F.pmod(F.col(pos), F.lit(BITMAP)).cast("int")
+    set_in = F.exists("_b_bits", lambda b: (b["seq"] >= F.col(seq)) & (F.getbit(b["bits"], bit) == 1))
+    # The word goes first: paths share long beginnings, which makes them slow to sort by.
+    met = data.join(bitmaps, [F.floor(F.col(pos) / BITMAP) == F.col("_b_word"), F.col(file) == F.col("_b_file")], "left")
+    return met.select(*[F.col(f"`{c}`") for c in data.columns], F.coalesce(set_in, F.lit(False)).alias("_hit"))
+
+
+def _reached(data: DataFrame, deletes: DataFrame, file: str, pos: str, seq: str, by_file: bool) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of files without deletes, if these are read apart, and the others with ``_hit``."""
+    bitmaps = small_side(position_bitmaps(deletes, "file_path", "pos", seq))
+    if by_file:
+        named = [r[0] for r in bitmaps.select("_b_file").distinct().limit(NAMED_FILES + 1).collect()]
+        if len(named) <= NAMED_FILES:
+            inside = F.coalesce(F.col(file).isin(named), F.lit(False))
+            return data.where(~inside), _probed(data.where(inside), bitmaps, file, pos, seq)
+    return None, _probed(data, bitmaps, file, pos, seq)
+
+
 def apply_position_deletes(data: DataFrame, deletes: DataFrame, file: str = "file_path", pos: str = "pos",
-                           seq: str = "sequence_number") -> DataFrame:
-    """Data without the rows at deleted positions; a delete reaches rows up to its own sequence number."""
-    return data.join(_newest(deletes, _PLACE, seq), _hit_place(file, pos, seq), "left_anti")
+                           seq: str = "sequence_number", by_file: bool = False) -> DataFrame:
+    """Data without the rows at deleted positions; a delete reaches rows up to its own sequence number.
+
+    Rows look their bit up in the bitmaps of their file, which are broadcast
+    while they are small, so the data is not shuffled.  With ``by_file``, for
+    data stored in folders by ``file`` (or named by ``_metadata.file_path``),
+    files without deletes are read on a branch of their own that meets no join.
+    """
+    rest, probed = _reached(data, deletes, file, pos, seq, by_file)
+    kept = probed.where("NOT _hit").drop("_hit")
+    return kept if rest is None else rest.union(kept)
 
 
 def mark_deleted(data: DataFrame, deletes: DataFrame, file: str = "file_path", pos: str = "pos",
-                 seq: str = "sequence_number", flag: str = "_deleted") -> DataFrame:
-    """All rows, with a flag instead of removal."""
-    joined = data.join(_newest(deletes, _PLACE, seq), _hit_place(file, pos, seq), "left")
-    return joined.select(*[data[c] for c in data.columns], F.col("_delete_seq").isNotNull().alias(flag))
+                 seq: str = "sequence_number", flag: str = "_deleted", by_file: bool = False) -> DataFrame:
+    """All rows, with a flag instead of removal; looked up as by :func:`apply_position_deletes`."""
+    rest, probed = _reached(data, deletes, file, pos, seq, by_file)
+    marked = probed.withColumnRenamed("_hit", flag)
+    return marked if rest is None else rest.withColumn(flag, F.lit(False)).union(marked)
 
 
 def valid_position_deletes(deletes: DataFrame, files: DataFrame) -> DataFrame:

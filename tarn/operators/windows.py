@@ -101,6 +101,16 @@ def decayed_average(df: DataFrame, keys: list[str], order: list[str], chunk: Col
                                 F.sum("_n").alias("event_count")))
 
 
+def vehicle_items(sensors: str, warnings: str) -> Column:
+    """The parts of an event as tagged items to sum: the event itself, its sensor readings and its distinct warnings."""
+    item = lambda kind, name, n: F.struct(F.lit(kind).alias("kind"), name.alias("name"), n.alias("n"))
+    some = lambda found: F.coalesce(found, F.array().cast("array<struct<kind:string,name:string,n:bigint>>"))
+    return F.concat(
+        F.array(item("event", F.lit(None).cast("string"), F.lit(1).cast("bigint"))),
+        some(F.transform(F.map_entries(sensors), lambda e: item("sensor", e["key"], e["value"].cast("bigint")))),
+        some(F.transform(F.array_distinct(warnings), lambda w: item("warning", w, F.lit(1).cast("bigint")))))
+
+
 def vehicle_windows(df: DataFrame, vin: str, ts: str, size: str, sensors: str, warnings: str) -> DataFrame:
     """Per vehicle and window: integer sensor averages, distinct warnings, last millisecond of the window.
 
@@ -109,12 +119,7 @@ def vehicle_windows(df: DataFrame, vin: str, ts: str, size: str, sensors: str, w
     Events, sensor readings and warnings go through one scan as tagged items and
     are summed per item before anything is put together per vehicle.
     """
-    item = lambda kind, name, n: F.struct(F.lit(kind).alias("kind"), name.alias("name"), n.alias("n"))
-    some = lambda found: F.coalesce(found, F.array().cast("array<struct<kind:string,name:string,n:bigint>>"))
-    items = F.concat(
-        F.array(item("event", F.lit(None).cast("string"), F.lit(1).cast("bigint"))),
-        some(F.transform(F.map_entries(sensors), lambda e: item("sensor", e["key"], e["value"].cast("bigint")))),
-        some(F.transform(F.array_distinct(warnings), lambda w: item("warning", w, F.lit(1).cast("bigint")))))
+    items = vehicle_items(sensors, warnings)
     sums = (df.select(vin, F.window(ts, size).end.alias("window_end"), F.explode(items).alias("_i"))
             .groupBy(vin, "window_end", "_i.kind", "_i.name").agg(F.sum("_i.n").alias("n")))
     of = lambda kind, then: F.when(F.col("kind") == kind, then)

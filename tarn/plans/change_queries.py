@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tarn.operators import cdc, changes as ch, lineage as ln, schemas as sm
+from tarn.operators import cdc, changes as ch, delta as dt, lineage as ln, schemas as sm
 from tarn.operators.events import cast_to_schema
 from tarn.plans import fixtures as fx
 from tarn.plans.event_queries import naive
 from tarn.plans.registry import Tables, query
+from tarn.session import scratch
 from tarn.util import int_div
 
 AT = "1999-06-15"
@@ -39,7 +40,7 @@ def time_travel_as_of(t: Tables):
     line = ln.chain(fx.snapshots(t), fx.HEAD)
     at = ln.snapshot_as_of(line, F.lit(AT).cast("timestamp_ntz")).first()[0]
     live = ln.live_files(fx.files(t).where("content = 0"), ln.up_to(line, at)).select("file_no")
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", fx.file_no().alias("file_no"))
+    rows = fx.stored_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "file_no")
     return ln.rows_of_files(rows, live, "file_no").drop("file_no")
 
 
@@ -70,7 +71,7 @@ SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey // {fx
 def incremental_append(t: Tables):
     line = ln.chain(fx.snapshots(t), fx.HEAD)
     added = ln.appended_files(fx.files(t), ln.after(ln.up_to(line, 60), 20)).select("file_no")
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", fx.file_no().alias("file_no"))
+    rows = fx.stored_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "file_no")
     return ln.rows_of_files(rows, added, "file_no").drop("file_no")
 
 
@@ -88,7 +89,7 @@ def changelog_scan(t: Tables):
     c = F.col("committed_at")
     span = line.where((c >= F.lit("1997-01-01").cast("timestamp_ntz")) & (c < F.lit("2000-01-01").cast("timestamp_ntz")))
     changed = ln.changed_files(fx.files(t).where("content = 0"), span).select("file_no", *ch.METADATA)
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", fx.file_no().alias("file_no"))
+    rows = fx.stored_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "file_no")
     return ln.rows_of_files(rows, changed, "file_no").drop("file_no")
 
 
@@ -240,10 +241,13 @@ def diff_versions(t: Tables):
     return ch.diff_versions(rows(1), rows(2))
 
 
-@query("upsert_by_key", """
+UPSERT_SQL = """
 WITH newest AS (SELECT l_orderkey AS k, l_extendedprice AS price FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01'
    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_extendedprice DESC) = 1)
-SELECT * FROM newest UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT k FROM newest)""")
+SELECT * FROM newest UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT k FROM newest)"""
+
+
+@query("upsert_by_key", UPSERT_SQL)
 def upsert_by_key(t: Tables):
     target = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"))
     source = t.lineitem.where("l_shipdate >= timestamp_ntz'1999-01-01'").select(
@@ -251,6 +255,18 @@ def upsert_by_key(t: Tables):
     return ch.upsert(target, source, ["k"], ["l_shipdate", "l_linenumber", "l_partkey", "price"])
 
 
+@query("upsert_delta", UPSERT_SQL)
+def upsert_delta(t: Tables):
+    """The same upsert as rows, equality deletes and position deletes written beside the table, and read merged."""
+    path = scratch(t.spark, "delta")
+    schema = StructType.fromDDL("k bigint, price double")
+    dt.write_rows(t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price")), path, 0)
+    batch = t.lineitem.where("l_shipdate >= timestamp_ntz'1999-01-01'").select(
+        F.col("l_orderkey").alias("k"), F.col("l_extendedprice").alias("price"), "l_shipdate", "l_linenumber", "l_partkey")
+    dt.write_upsert(batch, path, ["k"], ["l_shipdate", "l_linenumber", "l_partkey", "price"], 1, schema)
+    return dt.read_upserted(t.spark, path, schema, ["k"])
+
+
 @query("upsert_precombine", """
 SELECT event_type AS ticker, user_id, ts AS event_time, value AS price FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1""")

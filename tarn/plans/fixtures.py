@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarn.functions import transforms as tr
 from tarn.plans.registry import Tables
+from tarn.session import scratch
 from tarn.util import int_div
 
 HEAD = 80
@@ -75,3 +77,33 @@ def files(t: Tables) -> DataFrame:
         F.when((n % 6 == 0) & (added + 10 <= HEAD), added + 10).alias("removed_snapshot_id"),
         added.alias("sequence_number"), (n % 3).cast("int").alias("spec_id"),
         *[c for c in stats.columns if c.startswith("l_")])
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(t: Tables, name: str, rows: DataFrame, by: str) -> DataFrame:
+    """A copy of rows in one folder and file per value of a column, written once per application and data folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder, name)
+    if key not in _STORED:
+        path = scratch(t.spark, name)
+        rows.repartition(by).write.partitionBy(by).parquet(path)
+        _STORED[key] = path
+    return t.spark.read.schema(rows.schema).parquet(_STORED[key])
+
+
+def stored_lines(t: Tables) -> DataFrame:
+    """lineitem in the data files of :func:`files`, a folder per file."""
+    return stored(t, "lines-by-file", t.lineitem.withColumn("file_no", file_no()), "file_no")
+
+
+def stored_months(t: Tables) -> DataFrame:
+    """lineitem in a folder per month of shipping."""
+    return stored(t, "lines-by-month", t.lineitem.withColumn("month", tr.months(F.col("l_shipdate"))), "month")
+
+
+def stored_events(t: Tables) -> DataFrame:
+    """events in files of 1000 ids, with their position and a sequence number."""
+    e = F.col("event_id")
+    rows = t.events.select("event_id", (e % 1000).alias("pos"), (e % 7).alias("sequence_number"), int_div(e, 1000).alias("file_path"))
+    return stored(t, "events-by-file", rows, "file_path")

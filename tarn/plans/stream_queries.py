@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tarn.operators import delta as dt, windows as wn
 from tarn.plans.event_queries import naive
 from tarn.plans.registry import Tables, query
+from tarn.plans.window_queries import VEHICLE_SQL, vehicle_events
 from tarn.session import scratch
 from tarn.sources.files import file_stream
-from tarn.streaming import enrich as en, run, tables as tb, windows as sw
+from tarn.streaming import enrich as en, run, state as ss, tables as tb, windows as sw
 
 
 def event_stream(t: Tables):
@@ -96,6 +98,29 @@ def stream_running_count(t: Tables):
     return run.latest_state(t.spark, f"{base}/out", "device_type string, running_count bigint", ["device_type"])
 
 
+@query("stream_value_state", """
+SELECT event_type AS device_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS running_count FROM events""")
+def stream_value_state(t: Tables):
+    """A row per event with the count of its device so far, from a typed value state per device."""
+    base = scratch(t.spark, "stream")
+    counts = ss.numbered(event_stream(t).select(F.col("event_type").alias("device_type")), "device_type")
+    with ss.state_on_disk(t.spark):
+        run.finish(run.to_files(counts, f"{base}/out", f"{base}/cp"))
+    return t.spark.read.schema("device_type string, running_count bigint").parquet(f"{base}/out")
+
+
+@query("stream_vehicle_windows", VEHICLE_SQL + f" WHERE window_end <= {CLOSED}")
+def stream_vehicle_windows(t: Tables):
+    """Windows per vehicle that the watermark has closed, from sums kept in state until then."""
+    base = scratch(t.spark, "stream")
+    rows = vehicle_events(event_stream(t))
+    out = ss.vehicle_windows(rows, "vin", "ts", "1 hour", "10 seconds", wn.vehicle_items("sensor_data", "warning_lights"))
+    with ss.state_on_disk(t.spark):
+        run.finish(run.to_files(out, f"{base}/out", f"{base}/cp"))
+    found = t.spark.read.schema(out.schema).parquet(f"{base}/out")
+    return naive(found.select("vin", "max_timestamp", F.explode("sensor_average").alias("sensor", "average"), "warning_count"), "max_timestamp")
+
+
 @query("multi_sink", """
 SELECT 'big' AS sink, event_id FROM events WHERE value > 50 UNION ALL SELECT 'errors', event_id FROM events WHERE event_type = 'error'""")
 def multi_sink(t: Tables):
@@ -117,19 +142,34 @@ def stream_dead_letters(t: Tables):
     return t.spark.read.schema("event_id bigint, side string").parquet(f"{base}/out").select("side", "event_id")
 
 
+def change_feed(t: Tables):
+    kind = F.when(F.col("event_type") == "error", "UPDATE_BEFORE").when(F.col("event_type") == "signup", "DELETE").otherwise("UPDATE_AFTER")
+    return event_stream(t).select(F.col("user_id").alias("k"), F.col("value").alias("v"), "ts", "event_id", kind.alias("op"))
+
+
 @query("stream_apply_cdc", """
 SELECT k, v FROM (SELECT user_id AS k, value AS v, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS i FROM events WHERE event_type <> 'error')
 WHERE i = 1 AND event_type <> 'signup'""")
 def stream_apply_cdc(t: Tables):
     """A change stream applied to a bucketed keyed table."""
     base = scratch(t.spark, "stream")
-    kind = F.when(F.col("event_type") == "error", "UPDATE_BEFORE").when(F.col("event_type") == "signup", "DELETE").otherwise("UPDATE_AFTER")
-    feed = event_stream(t).select(F.col("user_id").alias("k"), F.col("value").alias("v"), "ts", "event_id", kind.alias("op"))
     schema = StructType.fromDDL("k bigint, v double, ts timestamp_ntz, event_id bigint")
-    run.finish(run.per_batch(feed, f"{base}/cp", tb.keyed_table_writer(f"{base}/table", ["k"], ["ts", "event_id"], schema, 8, "op")))
+    run.finish(run.per_batch(change_feed(t), f"{base}/cp", tb.keyed_table_writer(f"{base}/table", ["k"], ["ts", "event_id"], schema, 8, "op")))
     return tb.read_keyed_table(t.spark, f"{base}/table", schema).select("k", "v")
 
 
+@query("stream_upsert_delta", """
+SELECT k, v FROM (SELECT user_id AS k, value AS v, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS i FROM events WHERE event_type <> 'error')
+WHERE i = 1 AND event_type <> 'signup'""")
+def stream_upsert_delta(t: Tables):
+    """The same change stream written as rows and deletes, batch by batch, and read merged."""
+    base = scratch(t.spark, "stream")
+    schema = StructType.fromDDL("k bigint, v double")
+    write = dt.upsert_writer(f"{base}/table", ["k"], ["ts", "event_id"], schema, "op")
+    run.finish(run.per_batch(change_feed(t), f"{base}/cp", write))
+    return dt.read_upserted(t.spark, f"{base}/table", schema, ["k"])
+
+
 @query("late_drop", """
 WITH a AS (SELECT event_id, ts, (event_id + (event_id % 7) * 400) // 1000 AS b FROM events),
 m AS (SELECT b, max(ts) AS m FROM a GROUP BY 1), s AS (SELECT b, max(m) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM m)

@@ -67,6 +67,26 @@ def merge_star(t: Tables):
     return mg.merge(target, source, ["k"], [mg.Clause("update")], [mg.Clause("insert")])
 
 
+@query("merge_on_condition", """
+WITH src AS (SELECT c_custkey AS id, 0.0::DOUBLE AS low, 250000.0::DOUBLE AS high, c_mktsegment AS w FROM customer WHERE c_custkey % 3 <> 0
+             UNION ALL SELECT c_custkey, 300000.0, 1e9, 'high' FROM customer WHERE c_custkey % 2 = 0),
+     tgt AS (SELECT o_orderkey AS id, o_custkey AS k, o_totalprice AS price, o_orderstatus AS flag FROM orders)
+SELECT t.id, t.k, t.price, CASE WHEN s.id IS NOT NULL THEN s.w WHEN t.flag = 'P' THEN 'stale' ELSE t.flag END AS flag
+FROM tgt t LEFT JOIN src s ON t.k = s.id AND t.price >= s.low AND t.price < s.high
+UNION ALL SELECT NULL, s.id, s.low, 'new' FROM src s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.k = s.id AND t.price >= s.low AND t.price < s.high)""")
+def merge_on_condition(t: Tables):
+    """Orders meet the price band of their customer that they fall in; key columns differ in name."""
+    target = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("price"),
+                             F.col("o_orderstatus").alias("flag"))
+    band = lambda rows, low, high, w: rows.select(F.col("c_custkey").alias("id"), F.lit(low).alias("low"), F.lit(high).alias("high"), w.alias("w"))
+    source = band(t.customer.where("c_custkey % 3 <> 0"), 0.0, 250000.0, F.col("c_mktsegment")).union(
+        band(t.customer.where("c_custkey % 2 = 0"), 300000.0, 1e9, F.lit("high")))
+    return mg.merge(target, source, [("k", "id")], [mg.Clause("update", None, {"flag": F.col("s.w")})],
+                    [mg.Clause("insert", None, {"k": F.col("s.id"), "price": F.col("s.low"), "flag": F.lit("new")})],
+                    [mg.Clause("update", F.col("t.flag") == "P", {"flag": F.lit("stale")})],
+                    (F.col("t.price") >= F.col("s.low")) & (F.col("t.price") < F.col("s.high")))
+
+
 @query("merge_cardinality", """
 SELECT l_orderkey AS k, count(*) AS source_rows FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1 HAVING count(*) > 1""")
 def merge_cardinality(t: Tables):
@@ -97,9 +117,10 @@ def delete_cow(t: Tables):
 @query("delete_mor", f"SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag FROM lineitem WHERE coalesce(NOT ({HIT}), TRUE)")
 def delete_mor(t: Tables):
     """Position deletes written and then applied: the same rows as the copy-on-write form."""
-    rows = with_positions(t.lineitem).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "_file", "_pos").withColumn("sequence_number", F.lit(1))
+    rows = fx.stored_months(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", F.col("month").alias("_file"),
+                                      F.col("_metadata.row_index").alias("_pos")).withColumn("sequence_number", F.lit(1))
     found = mg.delete_where(rows, F.expr(HIT), "merge-on-read").withColumn("sequence_number", F.lit(1))
-    return dl.apply_position_deletes(rows, found, "_file", "_pos").drop("_file", "_pos", "sequence_number")
+    return dl.apply_position_deletes(rows, found, "_file", "_pos", by_file=True).drop("_file", "_pos", "sequence_number")
 
 
 @query("update_cow", f"""
@@ -173,21 +194,20 @@ del AS (SELECT c_custkey % 12 AS file_path, c_custkey % 1000 AS pos, c_custkey %
 
 
 def positions(t: Tables):
-    e, c = F.col("event_id"), F.col("c_custkey")
-    data = t.events.select("event_id", int_div(e, 1000).alias("file_path"), (e % 1000).alias("pos"), (e % 7).alias("sequence_number"))
-    return data, t.customer.select((c % 12).alias("file_path"), (c % 1000).alias("pos"), (c % 9).alias("sequence_number"))
+    c = F.col("c_custkey")
+    return fx.stored_events(t), t.customer.select((c % 12).alias("file_path"), (c % 1000).alias("pos"), (c % 9).alias("sequence_number"))
 
 
 @query("apply_position_deletes", POS_SQL + """
 SELECT * FROM d WHERE NOT EXISTS (SELECT 1 FROM del WHERE del.file_path = d.file_path AND del.pos = d.pos AND d.sequence_number <= del.sequence_number)""")
 def apply_position_deletes(t: Tables):
-    return dl.apply_position_deletes(*positions(t))
+    return dl.apply_position_deletes(*positions(t), by_file=True)
 
 
 @query("mark_deleted", POS_SQL + """
 SELECT *, EXISTS (SELECT 1 FROM del WHERE del.file_path = d.file_path AND del.pos = d.pos AND d.sequence_number <= del.sequence_number) AS _deleted FROM d""")
 def mark_deleted(t: Tables):
-    return dl.mark_deleted(*positions(t))
+    return dl.mark_deleted(*positions(t), by_file=True)
 
 
 PD_SQL = f"""pd AS (SELECT 'store://wh/data/f-' || lpad(CAST(event_id % 400 AS VARCHAR), 12, '0') || '.parquet' AS file_path, event_id // 400 AS pos FROM events)"""
@@ -433,8 +453,8 @@ def files_fully_matched(t: Tables):
 @query("residual_scan", f"SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem WHERE {SHIP}")
 def residual_scan(t: Tables):
     files = ship_files(t)
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", F.when(F.col("l_tax") != 0, F.col("l_tax")).alias("l_tax"),
-                             tr.months(F.col("l_shipdate")).alias("month"))
+    rows = fx.stored_months(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate",
+                                      F.when(F.col("l_tax") != 0, F.col("l_tax")).alias("l_tax"), "month")
     return sk.residual_scan(rows, files, "month", ship_predicate(files)).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
 
 
@@ -463,7 +483,8 @@ def skip_partitions(t: Tables):
     month = tr.PartitionField("l_shipdate", "month", data_type="timestamp_ntz")
     part = tr.PartitionField("l_partkey", "truncate", 100)
     supp = tr.PartitionField("l_suppkey", "bucket", 16)
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_suppkey", month.column(), part.column(), supp.column())
+    rows = fx.stored_months(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_suppkey",
+                                      F.col("month").alias(month.name), part.column(), supp.column())
     low, high = F.lit("1996-03-10").cast("timestamp_ntz"), F.lit("1996-05-20").cast("timestamp_ntz")
     kept = rows.where(tr.project_inclusive(month, ">=", low) & tr.project_inclusive(month, "<", high)
                       & tr.project_inclusive(part, "<", 1000) & tr.project_inclusive(supp, "=", 42))

@@ -38,7 +38,7 @@ def running_count(t: Tables):
     return wn.running(rows, ["device_type"], ["ts", "event_id"], minute, F.lit(1), "running_count").drop("ts")
 
 
-@query("vehicle_window_agg", """
+VEHICLE_SQL = """
 WITH e AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 counts AS (SELECT user_id, window_end, count(*) AS n,
    count(DISTINCT event_type) + count(DISTINCT CASE WHEN value > 100 THEN 1 END) AS warning_count FROM e GROUP BY ALL),
@@ -46,15 +46,22 @@ readings AS (SELECT user_id, window_end, 'k' AS sensor, k AS v FROM e UNION ALL
    SELECT user_id, window_end, 'cents', CAST(round(value * 100) AS BIGINT) FROM e WHERE event_id % 2 = 0),
 sums AS (SELECT user_id, window_end, sensor, sum(v)::BIGINT AS s FROM readings GROUP BY ALL)
 SELECT user_id AS vin, window_end - INTERVAL 1 MILLISECOND AS max_timestamp, sensor, s // n AS average, warning_count
-FROM sums JOIN counts USING (user_id, window_end)""")
-def vehicle_window_agg(t: Tables):
+FROM sums JOIN counts USING (user_id, window_end)"""
+
+
+def vehicle_events(events):
+    """Events as vehicle reports: sensor readings and warning lights."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     cents = F.round(F.col("value") * 100).cast("bigint")
     sensors = F.when(F.col("event_id") % 2 == 0, F.create_map(F.lit("k"), k, F.lit("cents"), cents)).otherwise(
         F.create_map(F.lit("k"), k))
     lights = F.array_compact(F.array(F.col("event_type"), F.when(F.col("value") > 100, F.lit("hot"))))
-    rows = t.events.select(F.col("user_id").alias("vin"), "ts", sensors.alias("sensor_data"), lights.alias("warning_lights"))
-    out = wn.vehicle_windows(rows, "vin", "ts", "1 hour", "sensor_data", "warning_lights")
+    return events.select(F.col("user_id").alias("vin"), "ts", sensors.alias("sensor_data"), lights.alias("warning_lights"))
+
+
+@query("vehicle_window_agg", VEHICLE_SQL)
+def vehicle_window_agg(t: Tables):
+    out = wn.vehicle_windows(vehicle_events(t.events), "vin", "ts", "1 hour", "sensor_data", "warning_lights")
     return out.select("vin", "max_timestamp", F.explode("sensor_average").alias("sensor", "average"), "warning_count")
 
 
