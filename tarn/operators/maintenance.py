@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tarn.functions.transforms import PartitionField
 from tarn.operators.layout import SortTerm, distribute, write_order, zorder_layout
-from tarn.operators.lineage import branch_ancestors
 from tarn.operators.ordered import pack, scan_in_order
+from tarn.session import cut_lineage
 from tarn.util import int_div
 
 # Default sizing of file rewrites.
@@ -161,20 +166,73 @@ def retained_snapshots(snapshots: DataFrame, refs: DataFrame, now: Column, older
     heads = kept.select("snapshot_id").distinct()
 
     branches = kept.where("type = 'BRANCH'")
-    lines = branch_ancestors(snapshots, branches.select("snapshot_id").distinct())
     cutoff = F.coalesce(F.timestamp_millis(millis(now) - F.col("max_snapshot_age_in_ms")).cast("timestamp_ntz"), older_than)
-    rules = branches.select(F.col("snapshot_id").alias("head_id"), F.col("name"), cutoff.alias("_cutoff"),
-                            F.coalesce(F.col("min_snapshots_to_keep"), F.lit(min_keep)).alias("_keep"))
-    walked = lines.join(rules, "head_id").join(at, "snapshot_id")
-    miss = ~((F.col("depth") < F.col("_keep")) | (F.col("committed_at") >= F.col("_cutoff")))
-    stops = walked.groupBy("head_id", "name").agg(F.min(F.when(miss, F.col("depth"))).alias("_stop"))
-    on_branch = (walked.join(stops, ["head_id", "name"]).where("_stop IS NULL OR depth < _stop").select("snapshot_id"))
-
-    reached = lines.select("snapshot_id").union(kept.where("type = 'TAG'").select("snapshot_id"))
+    rules = branches.select("snapshot_id", cutoff.alias("_cutoff"), F.coalesce(F.col("min_snapshots_to_keep"), F.lit(min_keep)).alias("_keep"))
+    levels = _jumps(snapshots)
+    depths = _root_depths(at, levels)
+    stops = _stop_depths(rules, at, levels, depths)
+    on_path = _least_below(stops, levels)
+    on_branch = on_path.join(depths, "snapshot_id").where("_root_depth > _stop").select("snapshot_id")
+
+    reached = on_path.select("snapshot_id").union(kept.where("type = 'TAG'").select("snapshot_id"))
     loose = (at.join(reached, "snapshot_id", "left_anti").where(F.col("committed_at") >= older_than).select("snapshot_id"))
     return heads.union(on_branch).union(loose).distinct()
 
 
+def _jumps(snapshots: DataFrame) -> list[DataFrame]:
+    """Per level k a row per snapshot that has a 2^k-th ancestor: that one, and the oldest commit of the 2^k snapshots from here on."""
+    level = cut_lineage(snapshots.where("parent_id IS NOT NULL").select(
+        F.col("snapshot_id").alias("_from"), F.col("parent_id").alias("_to"), F.col("committed_at").alias("_oldest")))
+    levels = []
+    while not level.isEmpty():
+        levels.append(level)
+        a, b = level.alias("a"), level.alias("b")
+        level = cut_lineage(a.join(b, F.col("a._to") == F.col("b._from")).select(
+            "a._from", "b._to", F.least("a._oldest", "b._oldest").alias("_oldest")))
+    return levels
+
+
+def _root_depths(at: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """Steps from each snapshot to the first one of its line."""
+    walk = at.select("snapshot_id", F.col("snapshot_id").alias("_at"), F.lit(0).cast("bigint").alias("_root_depth"))
+    for k in reversed(range(len(levels))):
+        up = F.when(F.col("_to").isNotNull(), F.lit(2 ** k)).otherwise(0)
+        walk = walk.join(levels[k], F.col("_at") == F.col("_from"), "left").select(
+            "snapshot_id", F.coalesce("_to", "_at").alias("_at"), (F.col("_root_depth") + up).alias("_root_depth"))
+    return cut_lineage(walk.select("snapshot_id", "_root_depth"))
+
+
+def _stop_depths(rules: DataFrame, at: DataFrame, levels: list[DataFrame], depths: DataFrame) -> DataFrame:
+    """Per kept branch head the depth of the first snapshot its rule does not keep, or -1 if it keeps all.
+
+    A branch is one row: it goes up as many steps as it must keep, then on while
+    all the snapshots jumped over are young enough.
+    """
+    walk = cut_lineage(rules.withColumn("_at", F.when(F.col("_keep") < 2 ** len(levels), F.col("snapshot_id"))))
+    for k in range(len(levels)):
+        step = F.getbit(F.col("_keep").cast("bigint"), F.lit(k)) == 1
+        walk = walk.join(levels[k], F.col("_at") == F.col("_from"), "left").select(
+            "snapshot_id", "_cutoff", "_keep", F.when(step, F.col("_to")).otherwise(F.col("_at")).alias("_at"))
+    walk = cut_lineage(walk)
+    for k in reversed(range(len(levels))):
+        young = F.col("_oldest") >= F.col("_cutoff")
+        walk = walk.join(levels[k], F.col("_at") == F.col("_from"), "left").select(
+            "snapshot_id", "_cutoff", F.when(young, F.col("_to")).otherwise(F.col("_at")).alias("_at"))
+    last = walk.join(at.withColumnRenamed("snapshot_id", "_at"), "_at", "left").join(
+        depths.withColumnRenamed("snapshot_id", "_at"), "_at", "left")
+    stop = F.when(F.col("committed_at") < F.col("_cutoff"), F.col("_root_depth")).otherwise(-1)
+    return cut_lineage(last.groupBy("snapshot_id").agg(F.min(stop).alias("_stop")))
+
+
+def _least_below(stops: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """Per snapshot on the line of a kept branch the least stop of the branches it lies on: a row per snapshot in every round."""
+    least = stops
+    for level in levels:
+        up = least.join(level, F.col("snapshot_id") == F.col("_from")).select(F.col("_to").alias("snapshot_id"), "_stop")
+        least = cut_lineage(least.union(up).groupBy("snapshot_id").agg(F.min("_stop").alias("_stop")))
+    return least
+
+
 def expired_files(snapshot_files: DataFrame, retained: DataFrame) -> DataFrame:
     """Paths referenced only by snapshots that are not kept."""
     keep = snapshot_files.join(retained, "snapshot_id", "left_semi").select("file_path")
@@ -231,10 +289,44 @@ def orphan_files(listing: DataFrame, valid: DataFrame, older_than: Column, equal
     return joined.where(verdict).select(*listing.columns)
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Paths, sizes and times of the files under a folder, without reading their content."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-            .select(F.col("path").alias("file_path"), F.col("length").alias("file_size_in_bytes"), F.col("modificationTime").alias("last_modified")))
+def folder_entries(folder: str) -> Iterator[tuple[str, bool, int, datetime | None]]:
+    """(path, whether it is a folder, bytes, time) of what lies directly in a folder, on any store pyarrow knows."""
+    from pyarrow import fs
+
+    local = folder.startswith(("/", "file:"))
+    system, path = (fs.LocalFileSystem(), re.sub("^file:(//)?", "", folder)) if local else fs.FileSystem.from_uri(folder)
+    prefix = folder[:len(folder) - len(path)]
+    for info in system.get_file_info(fs.FileSelector(path)):
+        yield prefix + info.path, info.type == fs.FileType.Directory, info.size or 0, info.mtime
+
+
+def list_tree(spark: SparkSession, root: str, entries: Callable[[str], Iterable[tuple]] = folder_entries) -> DataFrame:
+    """Paths, sizes and times of all files under a folder, listed by tasks.
+
+    The folders of one depth are a table spread over the cluster; each task lists
+    its folders and gives their files and the folders of the next depth.  Every
+    round is stored, the driver only learns whether a next one is needed.
+    """
+    schema = "path string, is_folder boolean, file_size_in_bytes bigint, last_modified timestamp"
+
+    def listed(batches):
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = iter(entries(folder))
+                while some := list(islice(found, 10_000)):
+                    path, is_folder, size, time = zip(*some)
+                    yield pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array(is_folder, pa.bool_()), pa.array(size, pa.int64()),
+                                                      pa.array(time, pa.timestamp("us", "UTC"))], ["path", "is_folder", "file_size_in_bytes", "last_modified"])
+
+    folders = spark.createDataFrame([(root.rstrip("/"),)], "path string")
+    files = None
+    while True:
+        found = cut_lineage(folders.repartition("path").mapInArrow(listed, schema))
+        here = found.where("NOT is_folder").select(F.col("path").alias("file_path"), "file_size_in_bytes", "last_modified")
+        files = here if files is None else files.union(here)
+        folders = found.where("is_folder").select("path")
+        if folders.isEmpty():
+            return files
 
 
 def import_plan(listing: DataFrame, partition: list[str], where: dict[str, str] | None = None,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -137,10 +138,11 @@ def publish_staged(staged: DataFrame, wap_id: str, audit: DataFrame, published:
     return staged.join(fresh.select(wap_id), wap_id, "left_semi")
 
 
-def upsert_statement(table: str, columns: list[str], keys: list[str], mark: str = "?") -> str:
-    """INSERT ... ON CONFLICT DO UPDATE for a database that knows it."""
+def upsert_statement(table: str, columns: list[str], keys: list[str], mark: str = "?", add: tuple[str, ...] = ()) -> str:
+    """INSERT ... ON CONFLICT DO UPDATE for a database that knows it; columns in ``add`` are added to the stored value."""
     rest = [c for c in columns if c not in keys]
-    change = "DO UPDATE SET " + ", ".join(f"{c} = excluded.{c}" for c in rest) if rest else "DO NOTHING"
+    new = lambda c: f"{table}.{c} + excluded.{c}" if c in add else f"excluded.{c}"
+    change = "DO UPDATE SET " + ", ".join(f"{c} = {new(c)}" for c in rest) if rest else "DO NOTHING"
     return (f"INSERT INTO {table} ({', '.join(columns)}) VALUES ({', '.join([mark] * len(columns))}) "
             f"ON CONFLICT ({', '.join(keys)}) {change}")
 
@@ -187,5 +189,62 @@ def write_database(df: DataFrame, connect: Callable[[], object], table: str, key
     latest_per_key(df, keys, order).foreachPartition(write)
 
 
+def once_into_database(connect: Callable[[], object], table: str, keys: list[str], order: list[str], columns: list[str],
+                       ledger: str, add: tuple[str, ...] = (), slices: int = 16, mark: str = "?", batch_size: int = 500
+                       ) -> Callable[[DataFrame, int], None]:
+    """Batch writer of a stream that upserts each batch exactly once.
+
+    A batch is reduced to the last row per key and dealt to a fixed number of
+    slices by key.  A task writes one slice in one transaction, together with the
+    slice's line ``(batch_id, slice, slices)`` in the ``ledger`` table, whose first
+    two columns are its key; a slice whose line is there is left out.  So a batch
+    that failed half way, or is played again after later ones, changes nothing twice,
+    not even columns that are added up (``add``), whose rows are summed per key
+    instead.  A batch begun with another number of slices is refused.
+    """
+    statement = upsert_statement(table, columns, keys, mark, add)
+    found = f"SELECT slices FROM {ledger} WHERE batch_id = {mark} AND slice = {mark}"
+    done = f"INSERT INTO {ledger} (batch_id, slice, slices) VALUES ({mark}, {mark}, {mark})"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        newest = latest_per_key(batch, keys, order)
+        if add:
+            sums = batch.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in add])
+            same = [newest[k].eqNullSafe(sums[k]) for k in keys]
+            newest = newest.join(sums, same).select(*[sums[c] if c in add else newest[c] for c in columns])
+        placed = newest.select(*columns).withColumn("_slice", F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int"))
+
+        def write_slice(rows) -> None:
+            number = TaskContext.get().partitionId()
+            connection = connect()
+            try:
+                cursor = connection.cursor()
+                cursor.execute(found, (batch_id, number))
+                before = cursor.fetchone()
+                if before is not None:
+                    if before[0] != slices:
+                        raise ValueError(f"batch {batch_id} was begun in {before[0]} slices")
+                    return
+                some: list[tuple] = []
+                for row in rows:
+                    some.append(tuple(row[c] for c in columns))
+                    if len(some) >= batch_size:
+                        cursor.executemany(statement, some)
+                        some = []
+                if some:
+                    cursor.executemany(statement, some)
+                cursor.execute(done, (batch_id, number, slices))
+                connection.commit()
+            except Exception:
+                connection.rollback()
+                raise
+            finally:
+                connection.close()
+
+        placed.repartitionById(slices, "_slice").foreachPartition(write_slice)
+
+    return write
+
+
 def read_back(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(schema).format(fmt).load(path)

@@ -147,18 +147,32 @@ def skew_assign(t: Tables):
     return out.select("user_id", "weight", "first_writer", "last_writer")
 
 
-@query("skew_route")
+@query("skew_route", f"SELECT i::INTEGER AS writer, TRUE AS fair, 0::BIGINT AS shared_keys, (SELECT count(*) FROM events) AS all_rows FROM range({WRITERS}) r(i)")
 def skew_route(t: Tables):
-    """Rows per writer when a third of all rows share one key."""
-    rows = t.events.select("event_id", F.when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id")).alias("user_id"))
-    assignment = ly.assign_writers(ly.key_weights(rows, "user_id"), "user_id", int_div(F.col("user_id"), 64), WRITERS)
-    routed = ly.skew_aware_writer(rows, "user_id", assignment, WRITERS, F.xxhash64("event_id"))
-    return routed.groupBy("_writer").agg(F.count("*").alias("rows"))
+    """Load of each writer when a third of all rows share one key, routed by merged sketches of the days.
 
+    No writer has over twice its share, and no other key lies on two of them.
+    """
+    rows = t.events.select("event_id", F.to_date("ts").alias("day"), F.when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id")).alias("user_id"))
+    heavy, total = ly.heavy_keys(ly.key_sketches(rows, "user_id", WRITERS, ["day"]), WRITERS)
+    routed = ly.sketched_writer(rows, "user_id", heavy, total, WRITERS, F.xxhash64("event_id"))
+    per_key = routed.groupBy("user_id").agg(F.count_distinct("_writer").alias("writers")).where(~F.col("user_id").isin([k for k, _ in heavy]))
+    shared = per_key.where("writers > 1").agg(F.count("*").alias("shared_keys")).scalar()
+    loads = routed.groupBy(F.col("_writer").alias("writer")).agg(F.count("*").alias("rows"))
+    return loads.select("writer", (F.col("rows") <= 2 * total / WRITERS).alias("fair"), shared.alias("shared_keys"), F.lit(total).cast("bigint").alias("all_rows"))
 
-@query("range_bounds")
+
+RANGES = 16
+
+
+@query("range_bounds", f"SELECT i::INTEGER AS range, TRUE AS close FROM range({RANGES - 1}) r(i)")
 def range_bounds(t: Tables):
-    return ly.range_bounds(t.lineitem, "l_extendedprice", 16)
+    """Whether each bound of equal ranges, from merged sketches of the months, is within 1 % of the rows of its true rank."""
+    rows = t.lineitem.select(tr.months(F.col("l_shipdate")).alias("month"), "l_extendedprice")
+    bounds = ly.range_bounds(ly.range_sketches(rows, "l_extendedprice", ["month"]), RANGES).orderBy("range").collect()  # RANGES - 1 numbers
+    below = rows.agg(F.count("*").alias("n"), F.array(*[F.count_if(F.col("l_extendedprice") <= r["bound"]) for r in bounds]).alias("below"))
+    ranks = below.select("n", F.posexplode("below").alias("range", "rank"))
+    return ranks.select("range", (F.abs(F.col("rank") / F.col("n") - (F.col("range") + 1) / RANGES) <= 0.01).alias("close"))
 
 
 REFS_SQL = """refs AS (SELECT * FROM (VALUES ('main', 'BRANCH', 80::BIGINT, NULL::BIGINT, 3, NULL::BIGINT), ('audit', 'BRANCH', 63, NULL, 2, NULL),
@@ -230,6 +244,7 @@ def reachable_files(t: Tables):
     return mt.reachable_files(sf.select("file_path"), lists, manifests)
 
 
+MONTHS_SQL = "CAST((year(l_shipdate) - 1970) * 12 + month(l_shipdate) - 1 AS INTEGER)"
 LOC = r"'^([a-z]+)://([^/]*)(/.*)$'"
 ORPHAN_SQL = f"""
 WITH l AS (SELECT page_id, url AS file_path, TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * page_id AS last_modified FROM pages),
@@ -258,13 +273,24 @@ def orphan_files_delete(t: Tables):
     return orphans(t, "delete")
 
 
+@query("orphan_files_listed", f"""
+SELECT DISTINCT {MONTHS_SQL} AS month FROM lineitem WHERE {MONTHS_SQL} % 3 = 0""")
+def orphan_files_listed(t: Tables):
+    """Orphans of a stored table, listed by tasks folder by folder: the metadata has lost every third month."""
+    stored = fx.stored_months(t)
+    known = stored.where("month % 3 <> 0").select(F.col("_metadata.file_path").alias("file_path")).distinct()
+    listing = mt.list_tree(t.spark, fx.stored_path(t, "lines-by-month")).where(F.col("file_path").endswith(".parquet"))
+    gone = mt.orphan_files(listing, known, F.lit("9999-01-01").cast("timestamp"))
+    return gone.select(F.regexp_extract("file_path", "/month=([0-9]+)/", 1).cast("int").alias("month"))
+
+
 @query("import_files_plan", """
 SELECT l_returnflag, l_linestatus, count(*) AS record_count FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL""")
 def import_files_plan(t: Tables):
     """Plan the import of a partitioned folder, then count its rows by the planned files."""
     path = scratch(t.spark, "import")
     sn.write_files(t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus"), path, partition=["l_returnflag", "l_linestatus"])
-    plan = mt.import_plan(mt.list_files(t.spark, path), ["l_returnflag", "l_linestatus"], {"l_returnflag": "R"})
+    plan = mt.import_plan(mt.list_tree(t.spark, path), ["l_returnflag", "l_linestatus"], {"l_returnflag": "R"})
     rows = t.spark.read.schema("l_orderkey bigint").option("recursiveFileLookup", "true").parquet(path)
     counts = rows.groupBy(F.col("_metadata.file_path").alias("p")).agg(F.count("*").alias("n"))
     bare = lambda c: F.regexp_replace(c, r"^[a-z0-9]+:/+", "/")

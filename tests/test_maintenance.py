@@ -186,5 +186,74 @@ def test_write_order():
     assert day.satisfies(PartitionField("ts", "year"))
 
 
-def test_sample_size():
-    assert [ly.sample_size(n) for n in (1, 500, 20000)] == [10_000, 50_000, 1_000_000]
+def test_sketches_route_heavy_keys_and_merge(spark):
+    df = spark.range(40000).withColumn("k", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 5 != 0, (F.col("id") % 3000).cast("string")))
+    sketches = ly.key_sketches(df.withColumn("day", F.col("id") % 4), "k", 6, ["day"])
+    assert sketches.count() == 4
+    heavy, total = ly.heavy_keys(sketches, 6)
+    assert total == 40000 and "hot" in [k for k, _ in heavy] and len(heavy) <= 2  # NULL may be counted as a key
+    routed = ly.sketched_writer(df, "k", heavy, total, 6, F.xxhash64("id"))
+    loads = {r[0]: r[1] for r in routed.groupBy("_writer").count().collect()}
+    assert set(loads) == set(range(6)) and sum(loads.values()) == 40000
+    light = routed.where("k <> 'hot'").groupBy("k").agg(F.count_distinct("_writer").alias("n")).where("n > 1")
+    assert light.count() == 0
+    empty = df.limit(0)
+    heavy, total = ly.heavy_keys(ly.key_sketches(empty, "k", 6), 6)
+    assert (heavy, total) == ([], 0) and ly.sketched_writer(empty, "k", heavy, total, 6, F.xxhash64("id")).count() == 0
+
+
+def test_merged_quantile_sketches(spark):
+    df = spark.range(50000).select((F.col("id") * F.col("id")).alias("v"), (F.col("id") % 7).alias("g"))
+    bounds = [r["bound"] for r in ly.range_bounds(ly.range_sketches(df, "v", ["g"]), 10).orderBy("range").collect()]
+    assert len(bounds) == 9 and bounds == sorted(bounds)
+    assert all(abs(b ** 0.5 / 50000 - (i + 1) / 10) < 0.01 for i, b in enumerate(bounds))
+
+
+def test_list_tree(spark, tmp_path):
+    import os
+    names = ["a.txt", "x/b.txt", "x/y/c d.txt", "x/y/z/é.txt", "_log/e.txt"]
+    for n in names:
+        (tmp_path / "t" / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "t" / n).write_text(n)
+    (tmp_path / "t" / "empty").mkdir()
+    for root in (str(tmp_path / "t"), f"file:{tmp_path}/t", f"file://{tmp_path}/t/"):
+        got = mt.list_tree(spark, root).collect()
+        assert sorted(r["file_path"] for r in got) == sorted(f"{root.rstrip('/')}/{n}" for n in names)
+        assert {r["file_size_in_bytes"] for r in got} == {len(n.encode()) for n in names} and all(r["last_modified"] for r in got)
+    # Any other store: what a folder holds is a function of its path.
+    tree = {"s3://b/t": [("s3://b/t/f", False, 5, None), ("s3://b/t/d", True, 0, None)], "s3://b/t/d": [("s3://b/t/d/g", False, 6, None)]}
+    assert sorted(r[0] for r in mt.list_tree(spark, "s3://b/t", lambda f: tree[f]).collect()) == ["s3://b/t/d/g", "s3://b/t/f"]
+
+
+def test_retention_equals_a_walk(spark):
+    """Random trees, branches that share lines, clocks that go back, against walking every branch."""
+    import datetime as dt
+    import random
+    dice = random.Random(5)
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    for size in (1, 2, 37, 60):
+        snaps = {i: (None if i == 0 or dice.random() < 0.03 else dice.randrange(max(0, i - 4), i), day(i + dice.choice([0, 0, 0, -9, 5]))) for i in range(size)}
+        refs = [("main", "BRANCH", size - 1, None, dice.choice([None, 3]), dice.choice([None, 8 * 86400000]))]
+        refs += [(f"b{j}", dice.choice(["BRANCH", "BRANCH", "TAG"]), dice.randrange(size), dice.choice([None, 10 * 86400000]),
+                  dice.choice([None, 1, 5, 1000]), dice.choice([None, 4 * 86400000, 400 * 86400000])) for j in range(5)]
+        now, older = day(size), day(size - size // 3)
+        want, reached = set(), set()
+        for name, kind, head, max_age, keep, age in refs:
+            if name != "main" and max_age is not None and now - snaps[head][1] > dt.timedelta(milliseconds=max_age):
+                continue
+            want.add(head)
+            reached.add(head)
+            if kind == "TAG":
+                continue
+            cut, at, depth, open_ = older if age is None else now - dt.timedelta(milliseconds=age), head, 0, True
+            while at is not None:
+                reached.add(at)
+                open_ = open_ and (depth < (keep or 1) or snaps[at][1] >= cut)
+                if open_:
+                    want.add(at)
+                at, depth = snaps[at][0], depth + 1
+        want |= {i for i, (_, t) in snaps.items() if i not in reached and t >= older}
+        s = spark.createDataFrame([(i, p, t) for i, (p, t) in snaps.items()], "snapshot_id long, parent_id long, committed_at timestamp_ntz")
+        r = spark.createDataFrame(refs, "name string, type string, snapshot_id long, max_reference_age_in_ms long, min_snapshots_to_keep int, max_snapshot_age_in_ms long")
+        lit = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+        assert {x[0] for x in mt.retained_snapshots(s, r, lit(now), lit(older)).collect()} == want

@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tarn.operators import events as ev, jobs, sinks as sn, windows as wn
+from tarn.operators import delta as dm, events as ev, jobs, sinks as sn, windows as wn
 from tarn.sources import files as fs, generators as gn, messages as ms
-from tarn.streaming import enrich as en, run, tables as tb, windows as sw
+from tarn.streaming import enrich as en, run, state as ss, tables as tb, windows as sw
 
 
 _fed: set[str] = set()
@@ -241,3 +241,96 @@ def test_distinct_on_a_stream_with_a_short_delay(spark, tmp_path):
     distinct = sw.distinct_then_count(stream, "t", "10 seconds", "5 minutes", [], "user")
     distinct.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_value_state_counts_over_batches_and_restarts(spark, tmp_path):
+    out, cp, ddl = str(tmp_path / "out"), str(tmp_path / "cp"), "device string"
+
+    def play(batches):
+        stream = feed(spark, tmp_path / "in", batches, ddl)
+        with ss.state_on_disk(spark):
+            run.finish(run.to_files(ss.numbered(stream, "device"), out, cp))
+        return sorted((tuple(r) for r in spark.read.schema("device string, running_count bigint").parquet(out).collect()), key=str)
+
+    first = play([[("a",), ("b",), ("a",)], [("a",), (None,)]])
+    assert first == [("a", 1), ("a", 2), ("a", 3), ("b", 1), (None, 1)]
+    # A new query on the same checkpoint goes on counting; nothing is counted again.
+    assert play([[("b",), ("c",), (None,)]]) == sorted(first + [("b", 2), ("c", 1), (None, 2)], key=str)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_vehicle_windows_close_once(spark, tmp_path):
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    ddl = "vin string, ts timestamp, sensors map<string,bigint>, lights array<string>"
+
+    def play(batches):
+        stream = feed(spark, tmp_path / "in", batches, ddl)
+        windows = ss.vehicle_windows(stream, "vin", "ts", "5 minutes", "10 seconds", wn.vehicle_items("sensors", "lights"))
+        with ss.state_on_disk(spark):
+            run.finish(run.to_files(windows, out, cp))
+        rows = spark.read.schema(windows.schema).parquet(out).select(
+            "vin", F.date_format("window_end", "mm:ss"), F.date_format("max_timestamp", "mm:ss.SSS"), "sensor_average", "warning_count")
+        return sorted(tuple(r) for r in rows.collect())
+
+    closed = play([
+        [("v", at(1), {"speed": 10, "heat": -3}, ["oil", "oil"]), ("w", at(2), None, None), ("v", at(6), {"speed": 1}, [])],
+        [("v", at(4), {"speed": 21}, ["oil", "belt"])],     # late: the watermark of the batch before has passed its window
+        [("v", at(12), {}, ["abs"])],                        # closes the window that ends at 10
+        [("v", at(3), {"speed": 999}, ["late"]), ("v", at(11), {"speed": 7}, [])]])
+    first = [r for r in closed if r[1] == "05:00"]
+    assert first[1] == ("w", "05:00", "04:59.999", {}, 0)
+    assert first[0] == ("v", "05:00", "04:59.999", {"speed": 10, "heat": -3}, 1)
+    assert [r for r in closed if r[1] == "10:00"] == [("v", "10:00", "09:59.999", {"speed": 1}, 0)]
+    assert len(closed) == 3
+    # The open window is in the checkpoint and comes out after a restart, with what came before it.
+    again = play([[("x", at(30), {"speed": 5}, [])]])
+    assert [r for r in again if r not in closed] == [("v", "15:00", "14:59.999", {"speed": 3}, 1)]
+
+
+def test_upsert_writer_on_a_stream(spark, tmp_path):
+    schema, path = StructType.fromDDL("k int, v int"), str(tmp_path / "t")
+    write = dm.upsert_writer(path, ["k"], ["i"], schema, "op")
+    stream = feed(spark, tmp_path / "in", [[(1, 1, 1, "I"), (1, 2, 2, "U"), (2, 5, 3, "I")], [(2, 6, 4, "DELETE"), (3, 7, 5, None)]],
+                  "k int, v int, i int, op string")
+    run.finish(run.per_batch(stream, str(tmp_path / "cp"), write))
+    write(spark.createDataFrame([(9, 9, 9, "I")], "k int, v int, i int, op string"), 0)  # batch 0 again
+    assert sorted(map(tuple, dm.read_upserted(spark, path, schema, ["k"]).collect())) == [(1, 2), (3, 7)]
+
+
+def test_database_batches_count_once(spark, tmp_path):
+    """A batch dies between its slices and is played again, and an old one after a newer one: all totals hold."""
+    path, flag = str(tmp_path / "db.sqlite"), str(tmp_path / "broken")
+    with sqlite3.connect(path) as con:
+        con.execute("CREATE TABLE totals (symbol TEXT PRIMARY KEY, price REAL, n INTEGER)")
+        con.execute("CREATE TABLE ledger (batch_id INTEGER, slice INTEGER, slices INTEGER, PRIMARY KEY (batch_id, slice))")
+
+    class Breaking:
+        """A connection whose commits fail while the flag file is there, but for the first few."""
+
+        def __init__(self):
+            self.real = sqlite3.connect(path, timeout=60)
+
+        def __getattr__(self, name):
+            return getattr(self.real, name)
+
+        def commit(self):
+            if os.path.exists(flag) and self.real.execute("SELECT count(*) FROM ledger WHERE batch_id = 1").fetchone()[0] > 3:
+                raise OSError("connection lost")
+            self.real.commit()
+
+    write = sn.once_into_database(Breaking, "totals", ["symbol"], ["i"], ["symbol", "price", "n"], "ledger", add=("n",), slices=8)
+    batch = lambda price: spark.createDataFrame([(f"s{i % 20}", price + i, 1, i) for i in range(100)], "symbol string, price double, n int, i int")
+    write(batch(0.0), 0)
+    open(flag, "w").close()
+    with pytest.raises(Exception, match="connection lost"):
+        write(batch(1000.0), 1)
+    with sqlite3.connect(path) as con:
+        assert 0 < con.execute("SELECT count(*) FROM ledger WHERE batch_id = 1").fetchone()[0] < 8
+    os.unlink(flag)
+    write(batch(1000.0), 1)
+    write(batch(0.0), 0)
+    with sqlite3.connect(path) as con:
+        assert con.execute("SELECT * FROM totals ORDER BY 1").fetchall() == sorted((f"s{i}", 1080.0 + i, 10) for i in range(20))
+        assert con.execute("SELECT count(*) FROM ledger").fetchone()[0] == 16
+    with pytest.raises(Exception, match="slices"):
+        sn.once_into_database(Breaking, "totals", ["symbol"], ["i"], ["symbol", "price", "n"], "ledger", slices=4)(batch(0.0), 0)
