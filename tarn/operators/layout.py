@@ -74,6 +74,21 @@ def distribute(df: DataFrame, mode: str = "none", spec: list[PartitionField] | N
     raise ValueError(f"unknown distribution {mode}")
 
 
+def clustering(stored: DataFrame, keys: list[Column], file: str = "_file", pos: str = "_pos") -> DataFrame:
+    """How well stored files are sorted: per file its rows, its bounds of the (ascending) keys, whether its rows are in order, and whether no
+    other file begins before it ends.
+
+    Rows are compared inside their file; files, a row each, among each other.
+    """
+    k = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(keys)])
+    before = F.lag("_k").over(Window.partitionBy(file).orderBy(pos))
+    per_file = (stored.select(file, pos, k.alias("_k")).withColumn("_before", before).groupBy(file).agg(
+        F.count("*").alias("rows"), F.min("_k").alias("lower"), F.max("_k").alias("upper"),
+        F.bool_and(F.coalesce(F.col("_before") <= F.col("_k"), F.lit(True))).alias("in_order")))
+    following = F.lead("lower").over(Window.orderBy("lower", "upper"))
+    return per_file.withColumn("apart", F.coalesce(F.col("upper") <= following, F.lit(True)))
+
+
 def with_places(df: DataFrame, order: list[Column], path: str, name: str = "place") -> DataFrame:
     """Rows with their place, from 1, in a sort by ``order`` (whose terms must not tie): no task orders all rows.
 
@@ -90,8 +105,16 @@ def with_places(df: DataFrame, order: list[Column], path: str, name: str = "plac
 
 
 def distribute_by_key(df: DataFrame, keys: list[str], writers: int) -> DataFrame:
-    """All rows of an equality key on one writer, as upserts need."""
-    return df.repartition(writers, *keys)
+    """Rows of an equality key together on one writer, as upserts need; a key with over half a writer's rows is spread.
+
+    Heavy keys are found by a sketch of the key hashes, and get writers by
+    their weight; their rows must then be reduced to one per key where they are
+    written, as every upsert does before.
+    """
+    named = df.withColumn("_key", F.xxhash64(*keys))
+    heavy, total = heavy_keys(key_sketches(named, "_key", writers), writers)
+    routed = sketched_writer(named, "_key", heavy, total, writers, tie_breaker(df))
+    return routed.repartitionById(writers, "_writer").drop("_key", "_writer")
 
 
 def zorder_layout(df: DataFrame, columns: list[tuple[str, str]], writers: int, partition: list[str] = (),

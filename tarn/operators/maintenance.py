@@ -130,6 +130,17 @@ def compact(rows: DataFrame, files_out: int, strategy: str = "binpack", order: l
     raise ValueError(f"unknown strategy {strategy}")
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files behind a scan; only their names and sizes are read."""
+    files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("n")).distinct()
+    return files.agg(F.sum("n")).first()[0] or 0
+
+
+def writers_for(df: DataFrame, least: int = 1, sizing: Sizing = Sizing()) -> int:
+    """Writers of a rewrite of stored rows, so that files come out near the target size."""
+    return max(least, shuffle_partitions(stored_bytes(df), 1.0, 1, sizing))
+
+
 def shuffle_partitions(input_bytes: int, compression: float, partitions_per_file: int, sizing: Sizing = Sizing()) -> int:
     """Shuffle partitions of a sorting rewrite of so many stored bytes."""
     size = int(input_bytes * compression)

@@ -92,10 +92,6 @@ def stored(t: Tables, name: str, rows: DataFrame, by: str) -> DataFrame:
     return t.spark.read.schema(rows.schema).parquet(_STORED[key])
 
 
-def stored_path(t: Tables, name: str) -> str:
-    return _STORED[t.spark.sparkContext.applicationId, t.folder, name]
-
-
 def stored_lines(t: Tables) -> DataFrame:
     """lineitem in the data files of :func:`files`, a folder per file."""
     return stored(t, "lines-by-file", t.lineitem.withColumn("file_no", file_no()), "file_no")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tarn.functions import transforms as tr
 from tarn.functions.zorder import zorder_key
@@ -14,8 +14,9 @@ from tarn.plans import fixtures as fx
 from tarn.plans.event_queries import DEVICE_CASE, millis, naive
 from tarn.plans.registry import Tables, query
 from tarn.session import scratch
-from tarn.util import int_div
 from tarn.sources import generators as gn
+from tarn.sources.files import with_positions
+from tarn.util import int_div, small_side
 
 FILES = f"files AS ({fx.FILES_SQL})"
 SIZING = mt.Sizing(target=240_000_000, max_group=1_500_000_000)
@@ -72,25 +73,43 @@ def bin_packing_lookback(t: Tables):
     return pack(fx.files(t), ["part"], ["file_no"], "file_size_in_bytes", 900_000_000, 10, True).select("file_no", "bin")
 
 
-@query("compact_rows_equal", "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem")
+LEAST_WRITERS = 4
+
+
+def written(t: Tables, rows, keys):
+    """Rows written out and read back, with whether their file is in order of the keys and overlaps no other."""
+    path = scratch(t.spark, "layout")
+    sn.write_files(rows, path)
+    stored = with_positions(sn.read_back(t.spark, path, rows.schema))
+    flags = ly.clustering(stored, keys(stored)).select(F.col("_file").alias("_f"), "in_order", "apart")
+    return stored.join(small_side(flags), F.col("_file") == F.col("_f")).drop("_file", "_pos", "_f")
+
+
+@query("compact_rows_equal", "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, TRUE AS even FROM lineitem")
 def compact_rows_equal(t: Tables):
-    """A bin-pack rewrite written out and read back."""
+    """A bin-pack rewrite written out and read back; no file has over a tenth more than its share."""
     path = scratch(t.spark, "compact")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    sn.write_files(mt.compact(rows, 4), path)
-    return sn.read_back(t.spark, path, rows.schema)
+    writers = mt.writers_for(t.lineitem, LEAST_WRITERS)
+    sn.write_files(mt.compact(rows, writers), path)
+    stored = with_positions(sn.read_back(t.spark, path, rows.schema)).drop("_pos")
+    loads = stored.groupBy(F.col("_file").alias("_f")).agg(F.count("*").alias("n"))
+    loads = loads.select("_f", (F.col("n") * writers <= 1.1 * F.sum("n").over(Window.partitionBy()) + writers * 10).alias("even"))
+    return stored.join(small_side(loads), F.col("_file") == F.col("_f")).drop("_file", "_f")
 
 
-@query("sort_compact", "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem")
+@query("sort_compact", "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, TRUE AS in_order, TRUE AS apart FROM lineitem")
 def sort_compact(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    return mt.compact(rows, 4, "sort", [ly.SortTerm("l_shipdate"), ly.SortTerm("l_orderkey", ascending=False)])
+    out = mt.compact(rows, mt.writers_for(t.lineitem, LEAST_WRITERS), "sort", [ly.SortTerm("l_shipdate"), ly.SortTerm("l_orderkey", ascending=False)])
+    return written(t, out, lambda df: [F.col("l_shipdate"), -F.col("l_orderkey")])
 
 
-@query("zorder_layout", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem")
+@query("zorder_layout", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, TRUE AS in_order, TRUE AS apart FROM lineitem")
 def zorder_layout(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return mt.compact(rows, 4, "zorder", zorder=[("l_partkey", "bigint"), ("l_suppkey", "bigint")])
+    out = mt.compact(rows, mt.writers_for(t.lineitem, LEAST_WRITERS), "zorder", zorder=[("l_partkey", "bigint"), ("l_suppkey", "bigint")])
+    return written(t, out, lambda df: [zorder_key([(F.col("l_partkey"), "bigint"), (F.col("l_suppkey"), "bigint")])])
 
 
 @query("zorder_bytes")
@@ -100,26 +119,45 @@ def zorder_bytes(t: Tables):
     return t.orders.select("o_orderkey", F.hex(key).alias("z"))
 
 
-@query("write_distribution", "SELECT event_id, event_type, ts FROM events")
+@query("write_distribution", "SELECT event_id, event_type, ts, TRUE AS in_order, TRUE AS apart FROM events")
 def write_distribution(t: Tables):
     spec = [tr.PartitionField("ts", "day", data_type="timestamp_ntz")]
     rows = t.events.select("event_id", "event_type", "ts")
-    return ly.distribute(rows, "range", spec, ly.write_order(spec, [ly.SortTerm("event_type"), ly.SortTerm("event_id")]), 8)
+    order = ly.write_order(spec, [ly.SortTerm("event_type"), ly.SortTerm("event_id")])
+    out = ly.distribute(rows, "range", spec, order, mt.writers_for(t.events, LEAST_WRITERS))
+    return written(t, out, lambda df: [F.to_date("ts"), F.col("event_type"), F.col("event_id")])
 
 
-@query("write_ordering", "SELECT event_id, event_type, ts FROM events")
+@query("write_ordering", "SELECT event_id, event_type, ts, TRUE AS in_order FROM events")
 def write_ordering(t: Tables):
+    """Sorted as it lies, without a shuffle."""
     spec = [tr.PartitionField("event_type"), tr.PartitionField("ts", "month", data_type="timestamp_ntz")]
     order = [ly.SortTerm("event_type"), ly.SortTerm("ts", transform="day"), ly.SortTerm("event_id", ascending=False)]
-    return ly.distribute(t.events.select("event_id", "event_type", "ts"), "none", order=ly.write_order(spec, order))
+    out = ly.distribute(t.events.select("event_id", "event_type", "ts"), "none", order=ly.write_order(spec, order))
+    return written(t, out, lambda df: [F.col("event_type"), F.to_date("ts"), -F.col("event_id")]).drop("apart")
+
+
+@query("distribute_by_key", """
+SELECT event_id, user_id, FALSE AS split FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN -7 ELSE user_id END AS user_id FROM events)
+WHERE user_id <> -7 UNION ALL SELECT event_id, -7, TRUE FROM events WHERE event_id % 3 = 0""")
+def distribute_by_key(t: Tables):
+    """Whether the rows of a key lie in several files: only the key with a third of all rows does."""
+    rows = t.events.select("event_id", F.when(F.col("event_id") % 3 == 0, -7).otherwise(F.col("user_id")).alias("user_id"))
+    path = scratch(t.spark, "by-key")
+    sn.write_files(ly.distribute_by_key(rows, ["user_id"], WRITERS), path)
+    stored = with_positions(sn.read_back(t.spark, path, rows.schema)).drop("_pos")
+    files = stored.groupBy(F.col("user_id").alias("_u")).agg((F.min("_file") != F.max("_file")).alias("split"))
+    return stored.join(files, F.col("user_id") == F.col("_u")).select("event_id", "user_id", "split")
 
 
 @query("relayout", """
 SELECT o_orderkey, o_orderdate, o_orderstatus, CAST((year(o_orderdate) - 1970) * 12 + month(o_orderdate) - 1 AS INTEGER) AS o_orderdate_month,
-       CAST(o_orderkey - o_orderkey % 1000 AS BIGINT) AS o_orderkey_truncate FROM orders""")
+       CAST(o_orderkey - o_orderkey % 1000 AS BIGINT) AS o_orderkey_truncate, TRUE AS in_order, TRUE AS apart FROM orders""")
 def relayout(t: Tables):
     spec = [tr.PartitionField("o_orderstatus"), tr.PartitionField("o_orderdate", "month", data_type="timestamp_ntz"), tr.PartitionField("o_orderkey", "truncate", 1000)]
-    return mt.relayout(t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus"), spec, [ly.SortTerm("o_orderkey")], 4)
+    rows = t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
+    out = mt.relayout(rows, spec, [ly.SortTerm("o_orderkey")], mt.writers_for(t.orders, LEAST_WRITERS))
+    return written(t, out, lambda df: [F.col("o_orderstatus"), F.col("o_orderdate_month"), F.col("o_orderkey")])
 
 
 @query("bucket_route", """
@@ -279,7 +317,8 @@ def orphan_files_listed(t: Tables):
     """Orphans of a stored table, listed by tasks folder by folder: the metadata has lost every third month."""
     stored = fx.stored_months(t)
     known = stored.where("month % 3 <> 0").select(F.col("_metadata.file_path").alias("file_path")).distinct()
-    listing = mt.list_tree(t.spark, fx.stored_path(t, "lines-by-month")).where(F.col("file_path").endswith(".parquet"))
+    root = stored.select(F.regexp_extract("_metadata.file_path", "^(.*)/month=", 1)).first()[0]  # with its scheme
+    listing = mt.list_tree(t.spark, root).where(F.col("file_path").endswith(".parquet"))
     gone = mt.orphan_files(listing, known, F.lit("9999-01-01").cast("timestamp"))
     return gone.select(F.regexp_extract("file_path", "/month=([0-9]+)/", 1).cast("int").alias("month"))
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarn.functions import transforms as tr
-from tarn.operators import deletes as dl, lineage as ln, merge as mg, sinks as sn, skipping as sk, stats as st
+from tarn.operators import deletes as dl, layout as ly, lineage as ln, merge as mg, sinks as sn, skipping as sk, stats as st
 from tarn.plans import fixtures as fx
 from tarn.plans.registry import Tables, query
 from tarn.session import scratch
-from tarn.util import int_div
 from tarn.sources.files import with_positions
+from tarn.util import int_div, small_side
 
 FILES = f"files AS ({fx.FILES_SQL})"
 SNAPS = f"snapshots AS ({fx.SNAPSHOTS_SQL})"
@@ -224,9 +224,15 @@ def valid_position_deletes(t: Tables):
     return dl.valid_position_deletes(position_deletes(t), fx.files(t))
 
 
-@query("compact_deletes", f"WITH {FILES}, {PD_SQL} SELECT * FROM pd WHERE file_path IN (SELECT file_path FROM files WHERE content = 0)")
+@query("compact_deletes", f"WITH {FILES}, {PD_SQL} SELECT *, TRUE AS in_order, TRUE AS apart FROM pd WHERE file_path IN (SELECT file_path FROM files WHERE content = 0)")
 def compact_deletes(t: Tables):
-    return dl.compact_position_deletes(position_deletes(t), fx.files(t))
+    """Valid position deletes written sorted by file and position, in files that do not overlap."""
+    out = dl.compact_position_deletes(position_deletes(t), fx.files(t))
+    path = scratch(t.spark, "deletes")
+    sn.write_files(out, path)
+    stored = with_positions(sn.read_back(t.spark, path, out.schema), "_in", "_at")
+    flags = ly.clustering(stored, [F.col("file_path"), F.col("pos")], "_in", "_at").select(F.col("_in").alias("_f"), "in_order", "apart")
+    return stored.join(small_side(flags), F.col("_in") == F.col("_f")).drop("_in", "_at", "_f")
 
 
 @query("deletion_vectors", f"WITH {PD_SQL} SELECT file_path, count(DISTINCT pos) AS deleted_rows FROM pd GROUP BY 1")
