@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarn.llm.common import byte_texts, saved
 from tarn.llm.sais import common_prefixes, text_suffix_array
@@ -38,6 +38,8 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
     Ties go to the leftmost place, so the anchor depends on the string alone.
     """
+    if len(data) >> PLACE_BITS:
+        raise ValueError(f"a text of {len(data)} bytes is too long to search as a whole")
     gram, window = widths(length)
     n = len(data) - gram + 1
     hashes = np.zeros(n, np.uint64)
@@ -145,15 +147,17 @@ def repeated_spans(texts: DataFrame, length: int, by_place: bool = True) -> tupl
     that several rows share as covered altogether.  Strings count within their
     space (null is one space).  With ``by_place`` a second place in the same text counts as elsewhere.
     """
-    found = find_anchors(texts, length)
+    # The joins below have stored sides only: next to an aggregate of its key adaptive execution cannot split a hot anchor.
+    found = saved(find_anchors(texts, length), "found")
     place = F.xxhash64("t1", "t2", "start") if by_place else F.xxhash64("t1", "t2")
     repeated = found.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("anchor")
+    repeated = saved(repeated, "repeated")
     kept = saved(found.join(repeated, "anchor", "left_semi").distinct(), "anchors")
 
     here = F.struct("t1", "t2", "start", "size")
     spot = here if by_place else F.struct("t1", "t2")
     contexts = saved(kept.groupBy("anchor", "ctx").agg(F.min(here).alias("at"), (F.min(spot) != F.max(spot)).alias("many")), "contexts")
-    several = contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    several = saved(contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "several")
     wanted = (contexts.join(several, "anchor").select("anchor", "ctx", "many", "n", "at.*"))
 
     # the texts behind repeated anchors, one row each
@@ -179,13 +183,17 @@ def repeated_spans(texts: DataFrame, length: int, by_place: bool = True) -> tupl
     spans = results.where("place = 0").select(*SPAN).union(strings.join(across, ["w1", "w2"]).select(*SPAN))
     whole = (kept.join(contexts.where("many").select("anchor", "ctx"), ["anchor", "ctx"])
              .select("t1", "t2", F.col("start").alias("first"), (F.col("start") + F.col("size")).alias("last")))
-    listed = spans.union(whole).distinct().groupBy("t1", "t2").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
-    join = F.expr("""aggregate(spans, cast(array() as array<struct<first:int,last:int>>), (done, x) ->
-        if(size(done) > 0 and element_at(done, -1).last >= x.first,
-           concat(slice(done, 1, size(done) - 1),
-                  array(named_struct('first', element_at(done, -1).first, 'last', greatest(element_at(done, -1).last, x.last)))),
-           concat(done, array(x))))""")
-    return listed.withColumn("spans", join), source
+    return merged_spans(spans.union(whole)), source
+
+
+def merged_spans(spans: DataFrame) -> DataFrame:
+    """(t1, t2, spans): the [first, last) spans of each text in order, those that meet or overlap made one."""
+    so_far = Window.partitionBy("t1", "t2").orderBy("first", "last")
+    before = F.max("last").over(so_far.rowsBetween(Window.unboundedPreceding, -1))
+    opened = spans.withColumn("opens", F.when(F.col("first") <= before, 0).otherwise(1))
+    pieces = opened.withColumn("piece", F.sum("opens").over(so_far.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = pieces.groupBy("t1", "t2", "piece").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return whole.groupBy("t1", "t2").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
 
 def text_key(text: Column, space: Column) -> list[Column]:
@@ -202,7 +210,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     removed altogether if they have ``length`` bytes.  Texts are UTF-8 bytes,
     null is empty; shorter texts stay; null ids and repeated rows come out as
     they are (repeated rows are copies); an empty table gives an empty result;
-    other columns are not read.
+    other columns are not read.  A text of 2^28 bytes or more is an error.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     space = F.lit(None).cast("string")

@@ -137,15 +137,23 @@ def text_suffix_array(data: bytes, depth: int | None = None) -> np.ndarray:
 def common_prefixes(data: bytes, sa: np.ndarray, most: int) -> np.ndarray:
     """Permuted common prefixes: for each place of the text, the bytes its suffix shares with the one sorted before it.
 
-    Counted up to ``most``, eight bytes at a time; a pair leaves as soon as it differs.
+    Counted up to ``most``.  Where a place and the next one have neighbours that
+    follow each other too, the next one shares a byte less, so bytes are compared
+    only at the last place of each such chain: eight at a time, a pair leaves as
+    soon as it differs.
     """
     n = len(data)
     padded = np.frombuffer(data + bytes(most + 16), np.uint8)
     words = np.ndarray((n + most + 8,), "<u8", padded, strides=(1,))
-    before = np.empty(n, np.int64)
+    place = np.arange(n)
+    before = np.full(n, n, np.int64)  # the first suffix in order shares nothing
     before[sa[1:]] = sa[:-1]
+    equal_here = (padded[:n] == padded[before]) & (before < n)
+    chained = np.zeros(n, bool)
+    chained[:-1] = (before[1:] == before[:-1] + 1) & (before[1:] < n)
+    ends = np.nonzero(equal_here & ~chained)[0]
     shared = np.zeros(n, np.int64)
-    left = sa[1:]
+    left = ends
     while len(left):
         at, other = left + shared[left], before[left] + shared[left]
         apart = words[at] ^ words[other]
@@ -153,6 +161,8 @@ def common_prefixes(data: bytes, sa: np.ndarray, most: int) -> np.ndarray:
         equal = np.where(apart == 0, 8, (np.bitwise_count(lowest - np.uint64(1)) // 8).astype(np.int64))
         shared[left] += equal
         left = left[(equal == 8) & (shared[left] < most)]
-    rest = np.minimum(n - np.arange(n), most)
-    shared[sa[1:]] = np.minimum(shared[sa[1:]], np.minimum(rest[sa[1:]], n - before[sa[1:]]))
-    return shared
+    shared[ends] = np.minimum(shared[ends], np.minimum(n - ends, n - before[ends]))  # the padding is no part of the text
+    # A chain stops where its bytes differ, or where its last place stops.
+    stops = np.where(equal_here & chained, n, place)
+    following = np.minimum.accumulate(stops[::-1])[::-1]
+    return np.minimum(following + shared[following] - place, most)
