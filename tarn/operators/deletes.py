@@ -108,6 +108,17 @@ def valid_position_deletes(deletes: DataFrame, files: DataFrame) -> DataFrame:
     return deletes.join(files.where("content = 0").select("file_path"), "file_path", "left_semi")
 
 
+def position_deletes_report(deletes: DataFrame, files: DataFrame) -> DataFrame:
+    """Position deletes as rows with the partition and layout of the data file they reach, and the delete file they are stored in.
+
+    ``deletes`` carries its own file as ``delete_file_path``; a delete whose data
+    file is gone has no partition.
+    """
+    known = files.where("content = 0").select(F.col("file_path").alias("_p"), F.col("part").alias("partition"), "spec_id")
+    met = deletes.join(small_side(known), F.col("file_path") == F.col("_p"), "left")
+    return met.select("file_path", "pos", "partition", "spec_id", "delete_file_path")
+
+
 def compact_position_deletes(deletes: DataFrame, files: DataFrame, granularity: str = "file",
                              partition: str | None = None, writers: int | None = None) -> DataFrame:
     """Valid position deletes laid out for writing, sorted by file and position.

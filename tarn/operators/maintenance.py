@@ -360,6 +360,18 @@ def import_plan(listing: DataFrame, partition: list[str], where: dict[str, str]
     return out
 
 
+def snapshot_table(source: DataFrame, partition: list[str], snapshot_id: int = 1) -> DataFrame:
+    """File metadata of a new table whose first commit takes over the files of a stored one; the files stay where they are.
+
+    ``source`` is a scan of the stored table.  Rows per file and partition are
+    counted on the map side, and only the partition columns are read.
+    """
+    file = F.struct(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size_in_bytes"))
+    found = source.select(*partition, file.alias("_f")).groupBy(*partition, "_f").agg(F.count("*").alias("record_count"))
+    return found.select("_f.*", *partition, F.lit(0).alias("content"), "record_count", F.lit(snapshot_id).cast("bigint").alias("added_snapshot_id"),
+                        F.lit(None).cast("bigint").alias("removed_snapshot_id"), F.lit(1).cast("bigint").alias("sequence_number"))
+
+
 def rewrite_paths(files: DataFrame, source_prefix: str, target_prefix: str, after: int | None = None,
                   up_to: int | None = None) -> DataFrame:
     """(source, target) copies of files moved from one path prefix to another; a path outside the prefix is an error.

@@ -428,11 +428,33 @@ def to_message(t: Tables):
     return sn.to_messages(t.events, "event_type", ["event_id", "user_id"])
 
 
-@query("key_partition")
+@query("key_partition", """
+SELECT k AS key, count(*) AS n, 1::BIGINT AS partitions, TRUE AS in_range, k IS NULL AS is_first
+FROM (SELECT CASE WHEN event_id % 3 <> 0 THEN user_id::VARCHAR END AS k FROM events) GROUP BY k""")
 def key_partition(t: Tables):
-    """Rows per message partition; a third of the keys are NULL."""
+    """Rows and message partitions per key; a third of the rows have no key and go to the first partition."""
     key = F.when(F.col("event_id") % 3 != 0, F.col("user_id").cast("string"))
-    return t.events.select(sn.key_partition(key, 12).alias("partition")).groupBy("partition").agg(F.count("*").alias("n"))
+    rows = t.events.select(key.alias("key"), sn.key_partition(key, 12).alias("partition"))
+    return rows.groupBy("key").agg(
+        F.count("*").alias("n"), F.count_distinct("partition").alias("partitions"),
+        F.bool_and(F.col("partition").between(0, 11)).alias("in_range"),
+        (F.col("key").isNull() & (F.max("partition") == 0)).alias("is_first"))
+
+
+@query("snapshot_table", """
+SELECT l_returnflag, l_linestatus, count(*) AS record_count, 0 AS content, 1::BIGINT AS added_snapshot_id, TRUE AS has_size, sum(l_orderkey)::BIGINT AS live_sum
+FROM lineitem GROUP BY ALL""")
+def snapshot_table(t: Tables):
+    """A stored table taken over as the first commit of a new one, and its rows read through the new table's files."""
+    path = scratch(t.spark, "source")
+    sn.write_files(t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus"), path, partition=["l_returnflag", "l_linestatus"])
+    source = t.spark.read.schema("l_orderkey bigint, l_returnflag string, l_linestatus string").parquet(path)
+    files = mt.snapshot_table(source, ["l_returnflag", "l_linestatus"])
+    rows = source.select("l_orderkey", F.col("_metadata.file_path").alias("file_path"))
+    live = ln.rows_of_files(rows, files.select("file_path"), "file_path").groupBy("file_path").agg(F.sum("l_orderkey").alias("s"))
+    named = files.join(live, "file_path")
+    return named.groupBy("l_returnflag", "l_linestatus", "content", "added_snapshot_id").agg(
+        F.sum("record_count").alias("record_count"), F.bool_and(F.col("file_size_in_bytes") > 0).alias("has_size"), F.sum("s").alias("live_sum"))
 
 
 @query("timeseries_shape", """

@@ -212,12 +212,15 @@ def tumble_proc(t: Tables):
     return state.groupBy("event_type").agg(F.sum("n").alias("n"))
 
 
-@query("slide_proc")
+@query("slide_proc", "SELECT event_type, 5 * count(*) AS n FROM events GROUP BY 1")
 def slide_proc(t: Tables):
+    """Processing-time sliding windows: a row is in five of them, whenever it arrives."""
     base = scratch(t.spark, "stream")
-    out = sw.processing_windowed(event_stream(t), "10 seconds", ["event_type"], [F.avg("value").alias("a")], slide="2 seconds")
+    out = sw.processing_windowed(event_stream(t), "10 seconds", ["event_type"], [F.count("*").alias("n"), F.avg("value").alias("a")], slide="2 seconds")
     run.finish(run.per_batch(out, f"{base}/cp", run.batch_files(f"{base}/out"), "update"))
-    return t.spark.read.schema("window_end timestamp, event_type string, a double").parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("windows"))
+    state = run.latest_state(t.spark, f"{base}/out", "window_start timestamp, window_end timestamp, event_type string, n bigint, a double",
+                             ["window_start", "window_end", "event_type"])
+    return state.groupBy("event_type").agg(F.sum("n").alias("n"))
 
 
 @query("observed_counts", "SELECT count(*) AS rows_seen, round(sum(value::DECIMAL(18,2))::DOUBLE, 2) AS value_sum FROM events")

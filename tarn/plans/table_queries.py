@@ -224,6 +224,19 @@ def valid_position_deletes(t: Tables):
     return dl.valid_position_deletes(position_deletes(t), fx.files(t))
 
 
+@query("position_deletes_report", f"""
+WITH {FILES}, {PD_SQL}
+SELECT pd.file_path, pos, part AS partition, spec_id, TRUE AS stored FROM pd LEFT JOIN (SELECT * FROM files WHERE content = 0) f ON f.file_path = pd.file_path""")
+def position_deletes_report(t: Tables):
+    """Stored position deletes as rows, with what is known of the data files they reach."""
+    path = scratch(t.spark, "position-deletes")
+    written = position_deletes(t)
+    sn.write_files(written, path)
+    stored = sn.read_back(t.spark, path, written.schema).select("*", F.col("_metadata.file_path").alias("delete_file_path"))
+    report = dl.position_deletes_report(stored, fx.files(t))
+    return report.select("file_path", "pos", "partition", "spec_id", F.col("delete_file_path").contains("position-deletes-").alias("stored"))
+
+
 @query("compact_deletes", f"WITH {FILES}, {PD_SQL} SELECT *, TRUE AS in_order, TRUE AS apart FROM pd WHERE file_path IN (SELECT file_path FROM files WHERE content = 0)")
 def compact_deletes(t: Tables):
     """Valid position deletes written sorted by file and position, in files that do not overlap."""
