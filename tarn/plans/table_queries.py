@@ -257,12 +257,14 @@ def deletion_vectors(t: Tables):
 
 
 @query("dangling_deletes", f"""
-WITH {FILES}, m AS (SELECT part, spec_id, min(sequence_number) AS s FROM files WHERE content = 0 AND sequence_number > 30 GROUP BY ALL)
-SELECT f.file_no, f.content, f.sequence_number FROM files f LEFT JOIN m ON f.part IS NOT DISTINCT FROM m.part AND f.spec_id = m.spec_id
+WITH {FILES}, live AS (SELECT *, file_no // 12 AS shelf FROM files WHERE removed_snapshot_id IS NULL),
+m AS (SELECT shelf, min(sequence_number) AS s FROM live WHERE content = 0 GROUP BY ALL)
+SELECT f.file_no, f.content, f.sequence_number FROM live f LEFT JOIN m USING (shelf)
 WHERE f.content <> 0 AND (m.s IS NULL OR (f.content = 1 AND f.sequence_number < m.s) OR (f.content = 2 AND f.sequence_number <= m.s))""")
 def dangling_deletes(t: Tables):
-    files = fx.files(t).where("content <> 0 OR sequence_number > 30")
-    return dl.dangling_deletes(files, ["part", "spec_id"]).select("file_no", "content", "sequence_number")
+    """Delete files that reach no live data file of their partition, here twelve neighbouring files."""
+    live = fx.files(t).where("removed_snapshot_id IS NULL").withColumn("shelf", int_div(F.col("file_no"), 12))
+    return dl.dangling_deletes(live, ["shelf"]).select("file_no", "content", "sequence_number")
 
 
 @query("row_lineage", f"""
