@@ -17,19 +17,20 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Alternates two star rounds: each node hands its larger neighbours to its
     smallest one, then all its smaller neighbours.  The number of rounds grows
     with the logarithm of the component size.  A node with very many links is
-    an ordinary skewed join key, which adaptive execution splits; minima
-    combine on the map side.  No links give an empty table.
+    an ordinary skewed join key, which adaptive execution splits because both
+    sides of each join are stored; minima combine on the map side.  No links
+    give an empty table.
     """
     x, y = F.col(a), F.col(b)
     edges = saved(links.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct(), "links")
     before = _fingerprint(edges)
     while before[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = saved(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
         large = saved(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = saved(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(least.select("a", F.col("m").alias("b"))).distinct())
         edges = saved(small, "small-star")
