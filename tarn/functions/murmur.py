@@ -83,3 +83,28 @@ def hash_bytes(data: Column) -> Column:
         return F.shiftleft(F.when(whole + i < length, value).otherwise(0), 8 * i)
 
     return _with_tail(head, byte(0).bitwiseOR(byte(1)).bitwiseOR(byte(2)), length)
+
+
+def sql_hash_bytes(data: str) -> str:
+    """SQL text of :func:`hash_bytes` for a BINARY expression, as a non-negative BIGINT below 2^32, in the JVM alone.
+
+    Products are made in two halves, since 32 by 32 bits overflow a BIGINT.
+    """
+    def let(value: str, name: str, body: str) -> str:
+        return f"transform(array({value}), {name} -> {body})[0]"
+
+    def times(value: str, factor: int) -> str:
+        return let(value, "m", f"(m * {factor & 0xFFFF} + shiftleft((m * {factor >> 16}) & 65535, 16)) & {MASK}L")
+
+    def folded(value: str, *bits: int) -> str:
+        return let(value, "f", "f" + "".join(f" ^ shiftright(f, {b})" for b in bits))
+
+    def byte(i: int) -> str:
+        return f"shiftleft(if(whole + {i} < octet_length(d), CAST(conv(hex(substring(d, whole + {i + 1}, 1)), 16, 10) AS BIGINT), 0L), {8 * i})"
+
+    head = f"(CAST(hash({ZERO_FIRST}, substring(d, 1, whole)) AS BIGINT) & {MASK}L)"
+    undone = folded(times(folded(times(folded(head, 16), _inverse(FINAL_2)), 13, 26), _inverse(FINAL_1)), 16)
+    word = times(let(times(f"({byte(0)} | {byte(1)} | {byte(2)})", C1), "r", f"(shiftleft(r, 15) | shiftright(r, 17)) & {MASK}L"), C2)
+    mixed = f"({undone} ^ whole ^ {word} ^ octet_length(d))"
+    done = folded(times(folded(times(folded(mixed, 16), FINAL_1), 13), FINAL_2), 16)
+    return let(data, "d", let("CAST(octet_length(d) - octet_length(d) % 4 AS INT)", "whole", done))

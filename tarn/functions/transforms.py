@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import BinaryType
 
-from tarn.functions.murmur import ZERO_FIRST, hash_bytes, hash_word
+from tarn.functions.murmur import ZERO_FIRST, hash_bytes, hash_word, sql_hash_bytes
 
 _MAX_INT = 0x7FFFFFFF
 
@@ -52,6 +52,8 @@ def bucket_hash(col: Column, data_type: str) -> Column:
         return hash_bytes(col.cast("binary"))
     if kind == "binary":
         return hash_bytes(col)
+    if kind == "uuid":  # as text; its 16 bytes are whole words
+        return F.when(col.isNotNull(), hash_word(F.unhex(F.replace(col, F.lit("-")))))
     if kind == "decimal":
         precision, scale = map(int, re.findall(r"\d+", data_type))
         return hash_bytes(_unscaled_bytes(col, precision, scale))
@@ -282,8 +284,18 @@ _SQL_FUNCTIONS = {
         "CASE WHEN v IS NOT NULL THEN (hash({zero}, CAST(unix_date(v) AS BIGINT)) & 2147483647) % n END",
     "bucket_timestamp(n INT, v TIMESTAMP_NTZ) RETURNS INT":
         "CASE WHEN v IS NOT NULL THEN (hash({zero}, v) & 2147483647) % n END",
+    "bucket_string(n INT, v STRING) RETURNS INT":
+        "CASE WHEN v IS NOT NULL THEN CAST(({bytes_of_text} & 2147483647) % n AS INT) END",
+    "bucket_binary(n INT, v BINARY) RETURNS INT":
+        "CASE WHEN v IS NOT NULL THEN CAST(({bytes} & 2147483647) % n AS INT) END",
+    "bucket_uuid(n INT, v STRING) RETURNS INT":
+        "CASE WHEN v IS NOT NULL THEN (hash({zero}, unhex(replace(v, '-', ''))) & 2147483647) % n END",
+    "bucket_decimal(n INT, unscaled BIGINT) RETURNS INT":
+        "CASE WHEN unscaled IS NOT NULL THEN CAST(({bytes_of_number} & 2147483647) % n AS INT) END",
     "truncate(w BIGINT, v BIGINT) RETURNS BIGINT": "v - pmod(v, w)",
     "truncate_string(w INT, v STRING) RETURNS STRING": "substring(v, 1, w)",
+    "truncate_binary(w INT, v BINARY) RETURNS BINARY": "substring(v, 1, w)",
+    "truncate_decimal(w BIGINT, unscaled BIGINT) RETURNS BIGINT": "unscaled - pmod(unscaled, w)",
     "years(v TIMESTAMP_NTZ) RETURNS INT": "year(v) - 1970",
     "months(v TIMESTAMP_NTZ) RETURNS INT": "(year(v) - 1970) * 12 + month(v) - 1",
     "days(v TIMESTAMP_NTZ) RETURNS INT": "unix_date(CAST(v AS DATE))",
@@ -295,6 +307,12 @@ def register_sql_functions(spark, prefix: str = "tarn_") -> None:
     """Make the transforms callable from SQL text.
 
     They are SQL functions, which the optimizer puts in line like any expression.
+    Decimals go in as their unscaled number, whatever their scale.
     """
+    # Shortest two's-complement bytes: pairs of hex digits, without sign bytes that the next byte repeats.
+    digits = ("CASE WHEN unscaled < 0 THEN regexp_replace(hex(unscaled), '^(FF)+(?=[89A-F])', '') "
+              "ELSE regexp_replace(concat('00', right(concat('0', hex(unscaled)), 2 * ((length(hex(unscaled)) + 1) div 2))), '^00(?=[0-7])', '') END")
+    parts = {"zero": ZERO_FIRST, "bytes": sql_hash_bytes("v"), "bytes_of_text": sql_hash_bytes("CAST(v AS BINARY)"),
+             "bytes_of_number": sql_hash_bytes(f"unhex({digits})")}
     for head, body in _SQL_FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{head} RETURN {body.format(zero=ZERO_FIRST)}")
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{head} RETURN {body.format(**parts)}")

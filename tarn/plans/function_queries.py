@@ -57,11 +57,14 @@ def murmur_bytes_sql(source: str, key: str, blob: str) -> str:
   SELECT {key}, hex({blob}) AS x, octet_length({blob}) AS n FROM {source}))))))"""
 
 
-@query("bucket_hash_text", f"""
+BUCKET_TEXT_SQL = f"""
 SELECT doc_id, (a.positive % 128)::INTEGER AS text_bucket, (b.positive % 16)::INTEGER AS lang_bucket, (c.positive % 16)::INTEGER AS size_bucket
 FROM ({murmur_bytes_sql('documents', 'doc_id', 'encode(text)')}) a JOIN ({murmur_bytes_sql('documents', 'doc_id', 'encode(lang)')}) b USING (doc_id)
 JOIN ({murmur_bytes_sql("(SELECT doc_id, printf('%X', n_chars * 100) AS d FROM documents)", 'doc_id',
-                       "unhex(CASE WHEN length(d) % 2 = 1 THEN '0' || d WHEN d[1] >= '8' THEN '00' || d ELSE d END)")}) c USING (doc_id)""")
+                       "unhex(CASE WHEN length(d) % 2 = 1 THEN '0' || d WHEN d[1] >= '8' THEN '00' || d ELSE d END)")}) c USING (doc_id)"""
+
+
+@query("bucket_hash_text", BUCKET_TEXT_SQL)
 def bucket_hash_text(t: Tables):
     """Hash buckets of whole texts, of binary and of decimals."""
     return t.documents.select(
@@ -230,3 +233,25 @@ def sql_functions(t: Tables):
     t.orders.createOrReplaceTempView("tarn_orders_in")
     return t.spark.sql("""SELECT o_orderkey, tarn_truncate(10, o_orderkey) AS by_ten, tarn_truncate_string(3, o_orderpriority) AS head,
         tarn_months(o_orderdate) AS m, tarn_days(o_orderdate) AS d, tarn_bucket(16, o_custkey) AS cust_bucket FROM tarn_orders_in""")
+
+
+@query("sql_bucket_text", BUCKET_TEXT_SQL)
+def sql_bucket_text(t: Tables):
+    """The same buckets of text, binary and decimals, called from SQL text."""
+    tr.register_sql_functions(t.spark)
+    t.documents.createOrReplaceTempView("tarn_documents_in")
+    return t.spark.sql("""SELECT doc_id, tarn_bucket_string(128, text) AS text_bucket, tarn_bucket_binary(16, CAST(lang AS BINARY)) AS lang_bucket,
+        tarn_bucket_decimal(16, n_chars * 100) AS size_bucket FROM tarn_documents_in""")
+
+
+@query("bucket_uuid", f"""
+SELECT o_orderkey, (positive % 16)::INTEGER AS by_column, (positive % 16)::INTEGER AS by_sql
+FROM ({murmur_bytes_sql("(SELECT o_orderkey, md5(o_orderkey::VARCHAR) AS u FROM orders)", 'o_orderkey', 'unhex(u)')}) x""")
+def bucket_uuid(t: Tables):
+    """Buckets of UUIDs written as text."""
+    tr.register_sql_functions(t.spark)
+    digits = F.md5(F.col("o_orderkey").cast("string").cast("binary"))
+    part = lambda start, n: F.substring(digits, start, n)
+    uuids = F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12))
+    rows = t.orders.select("o_orderkey", uuids.alias("u"))
+    return rows.select("o_orderkey", tr.bucket(16, F.col("u"), "uuid").alias("by_column"), F.expr("tarn_bucket_uuid(16, u)").alias("by_sql"))

@@ -217,3 +217,22 @@ def test_prefix_projection(spark, width, prefix, op):
     row = F.col("v").startswith(prefix) if op == "starts_with" else ~F.col("v").startswith(prefix)
     inclusive, strict = tr.project_inclusive(field, op, prefix, F.col("p")), tr.project_strict(field, op, prefix, F.col("p"))
     assert df.where((row & ~inclusive) | (strict & ~row)).count() == 0
+
+
+def test_sql_buckets_equal_the_columns(spark):
+    """Every length of tail, empty and null values, and numbers around the sign bits."""
+    import uuid
+    tr.register_sql_functions(spark)
+    texts = [None, "", "a", "ab", "abc", "abcd", "abcde", "é", "iceberg rocks", "x" * 1001]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("b", F.col("t").cast("binary"))
+    for r in df.select(tr.bucket(1000, F.col("t"), "string").alias("c"), F.expr("tarn_bucket_string(1000, t)").alias("s"),
+                       F.expr("tarn_bucket_binary(1000, b)").alias("x")).collect():
+        assert r["c"] == r["s"] == r["x"]
+    numbers = [None, 0, 1, -1, 127, 128, -128, -129, 255, 256, 32767, 32768, -32768, -32769, 10 ** 15, -10 ** 15, 1420]
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint").withColumn("d", F.col("n").cast("decimal(18,0)"))
+    for r in df.select("n", tr.bucket(1000, F.col("d"), "decimal(18,0)").alias("c"), F.expr("tarn_bucket_decimal(1000, n)").alias("s")).collect():
+        assert r["c"] == r["s"], r
+    one = spark.createDataFrame([(str(uuid.UUID("f79c3e09-677c-4bbd-a479-3f349cb785e7")),), (None,)], "u string")
+    got = one.select(tr.bucket_hash(F.col("u"), "uuid").alias("h"), tr.bucket(100, F.col("u"), "uuid").alias("c"),
+                     F.expr("tarn_bucket_uuid(100, u)").alias("s")).collect()
+    assert [r["h"] for r in got] == [1488055340, None] and [r["c"] for r in got] == [r["s"] for r in got] == [1488055340 % 100, None]
