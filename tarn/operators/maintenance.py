@@ -340,6 +340,12 @@ def list_tree(spark: SparkSession, root: str, entries: Callable[[str], Iterable[
             return files
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """The same listing by Spark's own file index, for stores only it can open; it keeps a status per file in the driver."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select(F.col("path").alias("file_path"), F.col("length").alias("file_size_in_bytes"), F.col("modificationTime").alias("last_modified")))
+
+
 def import_plan(listing: DataFrame, partition: list[str], where: dict[str, str] | None = None,
                 existing: DataFrame | None = None, check_duplicates: bool = True) -> DataFrame:
     """Files to import with partition values read from their paths (``key=value`` folders).
