@@ -1,9 +1,10 @@
 """Hidden Markov language model: Baum-Welch counts from all partitions, exact likelihood by the scaled forward recursion.
 
-Words fall into CLASSES hashed classes.  States emit classes and a class emits
-its words by their smoothed share, so the tables of the model have a fixed size
-and still give every word of any vocabulary a proper probability:
-P(text) = HMM(classes) * product of P(word | class).
+States emit classes of words and a class emits its words by their smoothed
+share: P(text) = HMM(classes) * product of P(word | class).  A word with enough
+of the training tokens is a class of its own, so the classes grow with the
+corpus, up to 1/OWN_SHARE of them; the other words share classes by their
+last letters.  Every word of any vocabulary has a proper probability.
 """
 
 from __future__ import annotations
@@ -20,12 +21,18 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tarn.llm.common import byte_texts, saved
 
 STATES = 8
-#: Class 0 is the end of a text; words have the others.
-CLASSES = 4096
+#: A word with this share of the training tokens, and this often, is a class of its own: 1/OWN_SHARE classes at most.
+OWN_SHARE = 1e-5
+OWN_COUNT = 5
+#: Classes of the other words, by a hash of their last bytes.  Class 0 is the end of a text.
+ENDINGS = 2048
+ENDING_BYTES = 3
 #: Text of one block of documents; a longer document makes a larger block by itself.
 BLOCK_BYTES = 8 << 20
+#: Training cuts longer texts into sequences of this many words; scoring takes them whole.
+SEQUENCE = 256
 #: The likelihood has settled when a Baum-Welch round raises it by less than this share.
-SETTLED = 1e-4
+SETTLED = 5e-4
 SMOOTH = 0.01
 
 
@@ -36,8 +43,23 @@ class Model:
     emit: np.ndarray  # CLASSES rows, a column per state
 
 
-def classes_of(hashes: np.ndarray) -> np.ndarray:
-    return ((hashes >> np.uint64(24)) % np.uint64(CLASSES - 1)).astype(np.int32) + 1
+@dataclass
+class Classes:
+    """Which class a word is in: words with a class of their own by hash, in order, and classes by ending for the rest."""
+
+    own: np.ndarray  # hashes of at most 1/OWN_SHARE words
+
+    @property
+    def number(self) -> int:
+        return 1 + ENDINGS + len(self.own)
+
+    def of(self, hashes: np.ndarray, endings: np.ndarray) -> np.ndarray:
+        out = endings.astype(np.int32) + 1
+        if len(self.own):
+            at = np.minimum(np.searchsorted(self.own, hashes), len(self.own) - 1)
+            hit = self.own[at] == hashes
+            out[hit] = at[hit] + 1 + ENDINGS
+        return out
 
 
 def pack(docs: DataFrame) -> DataFrame:
@@ -58,11 +80,12 @@ def pack(docs: DataFrame) -> DataFrame:
             index = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
             learn = np.repeat(~np.array(held, bool), np.array(lengths, np.int64))
             seen = np.bincount(index[learn], minlength=len(words)).astype(np.int32)
+            endings = np.fromiter((xxhash.xxh3_64_intdigest(w[-ENDING_BYTES:]) % ENDINGS for w in words), np.int16, len(words))
             return pa.RecordBatch.from_arrays(
                 [pa.array([place + count], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([held], pa.list_(pa.bool_())),
                  pa.array([lengths], pa.list_(pa.int32())), pa.array([index.astype(np.int32).tobytes()], pa.binary()),
-                 pa.array([names.tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary())],
-                ["block", "ids", "held", "lengths", "words", "hashes", "seen"])
+                 pa.array([names.tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary()), pa.array([endings.tobytes()], pa.binary())],
+                ["block", "ids", "held", "lengths", "words", "hashes", "seen", "endings"])
 
         for batch in batches:
             id_type = batch.schema.field(0).type
@@ -83,35 +106,50 @@ def pack(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "held", "text").mapInArrow(
-        blocks, f"block bigint, ids array<{kind}>, held array<boolean>, lengths array<int>, words binary, hashes binary, seen binary")
+        blocks, f"block bigint, ids array<{kind}>, held array<boolean>, lengths array<int>, words binary, hashes binary, seen binary, "
+                "endings binary")
 
 
 def unpacked(batch: pa.RecordBatch, i: int) -> dict:
     """One block as arrays."""
     get = lambda name: batch.column(name)[i].as_py()
     return {"held": np.array(get("held"), bool), "lengths": np.array(get("lengths"), np.int64),
-            "words": np.frombuffer(get("words"), np.int32), "hashes": np.frombuffer(get("hashes"), np.uint64)}
+            "words": np.frombuffer(get("words"), np.int32), "hashes": np.frombuffer(get("hashes"), np.uint64),
+            "endings": np.frombuffer(get("endings"), np.int16)}
 
 
 @dataclass
 class Ragged:
-    """Class sequences, longest first, laid out time step by time step; the end class closes each."""
+    """Class sequences, longest first, laid out time step by time step."""
 
     steps: np.ndarray  # the classes
     begin: np.ndarray  # first place of each time step, and the total
     order: np.ndarray  # the sequences, longest first
 
 
+def with_ends(classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts behind each other with the end class after each."""
+    return np.insert(classes, np.cumsum(lengths), 0), lengths + 1
+
+
+def cut(lengths: np.ndarray, most: int) -> np.ndarray:
+    """Lengths of the pieces of texts that are cut every ``most`` words."""
+    pieces = -(-lengths // most)
+    out = np.full(int(pieces.sum()), most, np.int64)
+    out[np.cumsum(pieces) - 1] = lengths - (pieces - 1) * most
+    return out
+
+
 def ragged(classes: np.ndarray, lengths: np.ndarray) -> Ragged:
     order = np.argsort(-lengths, kind="stable")
     first = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-    full = lengths[order] + 1
+    full = lengths[order]
     counts = len(full) - np.searchsorted(np.sort(full), np.arange(full[0] if len(full) else 0), side="right")
     begin = np.concatenate([[0], np.cumsum(counts)])
     steps = np.zeros(int(begin[-1]), np.int32)
-    rank = np.repeat(np.arange(len(order)), lengths[order])
-    time = np.arange(int(lengths.sum())) - np.repeat(np.concatenate([[0], np.cumsum(lengths[order])])[:-1], lengths[order])
-    steps[begin[time] + rank] = classes[np.repeat(first[order], lengths[order]) + time]
+    rank = np.repeat(np.arange(len(order)), full)
+    time = np.arange(int(full.sum())) - np.repeat(np.concatenate([[0], np.cumsum(full)])[:-1], full)
+    steps[begin[time] + rank] = classes[np.repeat(first[order], full) + time]
     return Ragged(steps, begin, order)
 
 
@@ -155,15 +193,15 @@ def expected_counts(model: Model, seqs: Ragged) -> tuple[np.ndarray, np.ndarray,
             full[: len(back)] = weighted @ move.T
         back = full
         ahead[s:e] *= full  # now the share of each state at this place
-    emits = np.stack([np.bincount(seqs.steps, ahead[:, j], CLASSES) for j in range(k)], axis=1)
+    emits = np.stack([np.bincount(seqs.steps, ahead[:, j], len(emit)) for j in range(k)], axis=1)
     first = ahead[: begin[1]].sum(axis=0, dtype=np.float64) if len(seqs.order) else np.zeros(k)
     return first, moves * model.move, emits, float(np.log10(scales).sum(dtype=np.float64))
 
 
-def starting_model(states: int, seed: int = 7) -> Model:
-    """Sticky states with slightly different random emissions."""
+def starting_model(classes: int, states: int, seed: int = 7) -> Model:
+    """Sticky states, each with random preferences for classes."""
     random = np.random.default_rng(seed)
-    emit = 0.5 + random.random((CLASSES, states))
+    emit = np.exp(random.normal(0, 1, (classes, states)))
     move = np.full((states, states), 0.1 / max(1, states - 1)) + np.eye(states) * (0.9 - 0.1 / max(1, states - 1))
     return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
@@ -175,40 +213,78 @@ def maximised(start: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> Model:
                  emits / emits.sum(axis=0))
 
 
-def gathered(blocks: DataFrame, model: Model) -> tuple[Model, float]:
-    """One Baum-Welch round and the likelihood before it: every task sums its blocks' counts, Spark adds them up, a table of fixed size comes back."""
-    k = len(model.start)
-    width = k + k * k + CLASSES * k + 1
+def gathered(blocks: DataFrame, classes: Classes, model: Model) -> tuple[Model, float]:
+    """One Baum-Welch round and the likelihood before it.
+
+    Every task sums its blocks' counts and sends a row per class it has seen, and
+    one per state, with a number per state; Spark adds them up.  The model has
+    at most 1/OWN_SHARE + ENDINGS + 1 classes, whatever the corpus.
+    """
+    k, number = len(model.start), classes.number
+    shared = blocks.sparkSession.sparkContext.broadcast((classes, model))
 
     def run(batches):
-        total = np.zeros(width)
+        classes, model = shared.value
+        total = np.zeros((number + k + 2, k))  # classes, moves, start, likelihood
         for batch in batches:
             for i in range(batch.num_rows):
                 block = unpacked(batch, i)
                 learn = ~block["held"]
-                classes = classes_of(block["hashes"])[block["words"]][np.repeat(learn, block["lengths"])]
-                counts = expected_counts(model, ragged(classes, block["lengths"][learn]))
-                total += np.concatenate([np.ravel(c) for c in counts])
-        used = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_pydict({"place": pa.array(used, pa.int32()), "n": pa.array(total[used], pa.float64())})
-
-    rows = (blocks.select("held", "lengths", "words", "hashes").mapInArrow(run, "place int, n double")
-            .groupBy("place").agg(F.sum("n").alias("n")).toPandas())
-    total = np.zeros(width)
-    total[rows["place"].to_numpy(np.int64)] = rows["n"].to_numpy()
-    return maximised(total[:k], total[k:k + k * k].reshape(k, k), total[k + k * k:-1].reshape(CLASSES, k)), float(total[-1])
-
-
-def train(blocks: DataFrame, states: int = STATES) -> Model:
+                kinds = classes.of(block["hashes"], block["endings"])[block["words"]][np.repeat(learn, block["lengths"])]
+                kinds, lengths = with_ends(kinds, block["lengths"][learn])
+                start, moves, emits, likely = expected_counts(model, ragged(kinds, cut(lengths, SEQUENCE)))
+                total[:number] += emits
+                total[number:number + k] += moves
+                total[number + k] += start
+                total[number + k + 1, 0] += likely
+        used = np.nonzero(total.any(axis=1))[0]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(total[used, j]) for j in range(k)]],
+                                         ["place", *[f"n{j}" for j in range(k)]])
+
+    sums = [f"n{j}" for j in range(k)]
+    rows = (blocks.select("held", "lengths", "words", "hashes", "endings")
+            .mapInArrow(run, "place int, " + ", ".join(f"{n} double" for n in sums))
+            .groupBy("place").agg(*[F.sum(n).alias(n) for n in sums]).toPandas())
+    shared.destroy()
+    total = np.zeros((number + k + 2, k))
+    total[rows["place"].to_numpy(np.int64)] = rows[sums].to_numpy()
+    return maximised(total[number + k], total[number:number + k], total[:number]), float(total[number + k + 1, 0])
+
+
+def train(blocks: DataFrame, classes: Classes, states: int = STATES) -> Model:
     """Baum-Welch from a random start: every round counts all training documents, until the likelihood settles."""
-    model, before = starting_model(states), -np.inf
+    model, before = starting_model(classes.number, states), -np.inf
     while True:
-        model, likelihood = gathered(blocks, model)
+        model, likelihood = gathered(blocks, classes, model)
         if likelihood - before <= SETTLED * abs(likelihood):
             return model
         before = likelihood
 
 
+def word_counts(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(word, block, at) of every distinct word of every block, and (word, c, ending) of the words in training texts."""
+    def words(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                names, seen, endings = (np.frombuffer(batch.column(c)[i].as_py(), t) for c, t in (
+                    ("hashes", np.int64), ("seen", np.int32), ("endings", np.int16)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names), pa.array(np.full(len(names), batch.column("block")[i].as_py())),
+                     pa.array(np.arange(len(names), dtype=np.int32)), pa.array(seen), pa.array(endings)],
+                    ["word", "block", "at", "seen", "ending"])
+
+    entries = blocks.select("block", "hashes", "seen", "endings").mapInArrow(
+        words, "word bigint, block bigint, at int, seen int, ending smallint")
+    counts = entries.where("seen > 0").groupBy("word").agg(F.sum("seen").alias("c"), F.first("ending").alias("ending"))
+    return entries.select("word", "block", "at"), saved(counts, "word-counts")
+
+
+def own_classes(counts: DataFrame, total: int) -> Classes:
+    """At most 1/OWN_SHARE words reach the driver."""
+    often = counts.where((F.col("c") >= OWN_COUNT) & (F.col("c") >= OWN_SHARE * total)).select("word").toPandas()["word"]
+    return Classes(np.sort(often.to_numpy(np.int64).view(np.uint64)))
+
+
 def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", states: int = STATES) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of docs, log10 throughout.
 
@@ -222,47 +298,39 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(False)).alias("held"), F.col(text_col).alias("text"))
     blocks = saved(pack(rows), "blocks")
-    model = train(blocks, states)
-
-    def words(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                names = np.frombuffer(batch.column("hashes")[i].as_py(), np.int64)
-                seen = np.frombuffer(batch.column("seen")[i].as_py(), np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array(np.full(len(names), batch.column("block")[i].as_py())),
-                     pa.array(np.arange(len(names), dtype=np.int32)), pa.array(seen)], ["word", "block", "at", "seen"])
-
-    entries = (blocks.select("block", "hashes", "seen").mapInArrow(words, "word bigint, block bigint, at int, seen int")
-               .repartition("word"))  # one exchange serves the counts and the join
-    counts = entries.where("seen > 0").groupBy("word").agg(F.sum("seen").alias("c"))
-    looked_up = saved(entries.join(counts, "word").select("block", "at", "c", "word"), "counts")
-    kind = F.pmod(F.shiftrightunsigned("word", 24), F.lit(CLASSES - 1)).cast("int") + 1
+    entries, counts = word_counts(blocks)
     distinct = blocks.select(F.explode("held").alias("held")).agg(F.sum(F.when(~F.col("held"), 1).otherwise(0)).alias("n"))
     texts = distinct.first()["n"] or 0  # every training text has one end
-    tables = counts.groupBy(kind.alias("class")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).toPandas()
-    n_class, v_class = np.zeros(CLASSES), np.zeros(CLASSES)
-    n_class[tables["class"]], v_class[tables["class"]] = tables["n"], tables["v"]
-    total, vocabulary = int(n_class.sum()) + texts, int(v_class.sum()) + (texts > 0)
+    summed = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+    total, vocabulary = (summed["n"] or 0) + texts, summed["v"] + (texts > 0)
     base_total = total + 0.5 * (vocabulary + 1)
+    classes = own_classes(counts, total)
+    model = train(blocks, classes, states)
+    looked_up = saved(entries.join(counts, "word").select("block", "at", "c"), "counts")
+    # Tokens and words of the shared classes; a class of its own has one word.
+    shared_words = counts.where((F.col("c") < OWN_COUNT) | (F.col("c") < OWN_SHARE * total))
+    tables = shared_words.groupBy("ending").agg(F.sum("c").alias("n"), F.count("*").alias("v")).toPandas()
+    n_class, v_class = np.zeros(1 + ENDINGS), np.zeros(1 + ENDINGS)
+    n_class[tables["ending"] + 1], v_class[tables["ending"] + 1] = tables["n"], tables["v"]
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for batch in left.to_batches():
             for i in range(batch.num_rows):
                 block = unpacked(batch, i)
-                lengths, classes = block["lengths"], classes_of(block["hashes"])
-                count = np.zeros(len(classes), np.int64)
+                lengths, kinds = block["lengths"], classes.of(block["hashes"], block["endings"])
+                count = np.zeros(len(kinds), np.int64)
                 count[right.column("at").to_numpy()] = right.column("c").to_numpy()
                 base = np.log10((count + 0.5) / base_total)
-                inner = np.log10((count + 0.5) / (n_class + 0.5 * (v_class + 1))[classes])
+                ending = np.minimum(kinds, ENDINGS)
+                inner = np.where(kinds > ENDINGS, 0.0, np.log10((count + 0.5) / (n_class + 0.5 * (v_class + 1))[ending]))
                 sums = np.concatenate([[0], np.cumsum(lengths)])
 
                 def per_text(values):
                     each = values[block["words"]]
                     return np.array([each[s:e].sum() for s, e in zip(sums[:-1], sums[1:])], values.dtype)
 
-                likely = log_likelihood(model, ragged(classes[block["words"]], lengths))
+                likely = log_likelihood(model, ragged(*with_ends(kinds[block["words"]], lengths)))
                 out.append(pa.Table.from_arrays(
                     [batch.column("ids")[i].values, pa.array(block["held"]), pa.array(lengths + 1),
                      pa.array(per_text((count > 0).astype(np.int64)) + (texts > 0)),

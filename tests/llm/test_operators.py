@@ -159,10 +159,10 @@ def test_languages_and_mixtures(spark):
 
 def test_forward_recursion_is_exact():
     dice = np.random.default_rng(3)
-    model = hmm.Model(dice.dirichlet([1] * 3), dice.dirichlet([1] * 3, 3), dice.dirichlet([1] * hmm.CLASSES, 3).T)
+    model = hmm.Model(dice.dirichlet([1] * 3), dice.dirichlet([1] * 3, 3), dice.dirichlet([1] * 50, 3).T)
     lengths = np.array([0, 3, 1, 5])
-    classes = dice.integers(1, hmm.CLASSES, lengths.sum()).astype(np.int32)
-    got, at = hmm.log_likelihood(model, hmm.ragged(classes, lengths)), 0
+    classes = dice.integers(1, 50, lengths.sum()).astype(np.int32)
+    got, at = hmm.log_likelihood(model, hmm.ragged(*hmm.with_ends(classes, lengths))), 0
     for n, value in zip(lengths, got):
         state = model.start
         for t, c in enumerate([*classes[at:at + n], 0]):
@@ -171,6 +171,40 @@ def test_forward_recursion_is_exact():
         at += n
 
 
+def test_baum_welch_counts_equal_those_of_all_paths():
+    """Expected counts against the sum over every path of states."""
+    from itertools import product
+    dice = np.random.default_rng(5)
+    model = hmm.Model(dice.dirichlet([1] * 2), dice.dirichlet([1] * 2, 2), dice.dirichlet([1] * 6, 2).T)
+    texts = [[1, 2, 2, 5, 1], [3], [], [4, 4, 1]]
+    flat, lengths = np.array([c for t in texts for c in t], np.int32), np.array([len(t) for t in texts])
+    classes, full = hmm.with_ends(flat, lengths)
+    start, moves, emits, likely = hmm.expected_counts(model, hmm.ragged(classes, hmm.cut(full, 4)))
+    want_start, want_moves, want_emits, want_likely = np.zeros(2), np.zeros((2, 2)), np.zeros((6, 2)), 0.0
+    for seq in [s for t in texts for s in ([t + [0]] if len(t) < 4 else [(t + [0])[:4], (t + [0])[4:]])]:
+        paths = {p: model.start[p[0]] * np.prod([model.move[a, b] for a, b in zip(p, p[1:])]) * np.prod([model.emit[c, q] for c, q in zip(seq, p)])
+                 for p in product(range(2), repeat=len(seq))}
+        total = sum(paths.values())
+        want_likely += np.log10(total)
+        for p, w in paths.items():
+            want_start[p[0]] += w / total
+            for a, b in zip(p, p[1:]):
+                want_moves[a, b] += w / total
+            for c, q in zip(seq, p):
+                want_emits[c, q] += w / total
+    assert np.allclose(start, want_start, atol=1e-5) and np.allclose(moves, want_moves, atol=1e-5)
+    assert np.allclose(emits, want_emits, atol=1e-5) and likely == pytest.approx(want_likely, abs=1e-5)
+
+
+def test_classes_grow_with_the_words():
+    own = np.sort(np.array([7, 900, 2 ** 63 + 5], np.uint64))
+    classes = hmm.Classes(own)
+    got = classes.of(np.array([900, 8, 2 ** 63 + 5, 7], np.uint64), np.array([3, 3, 0, 5], np.int16))
+    assert got.tolist() == [hmm.ENDINGS + 2, 4, hmm.ENDINGS + 3, hmm.ENDINGS + 1] and classes.number == hmm.ENDINGS + 4
+    assert hmm.Classes(own[:0]).of(own, np.array([1, 2, 3], np.int16)).tolist() == [2, 3, 4]
+    assert hmm.cut(np.array([9, 1, 8, 4]), 4).tolist() == [4, 4, 1, 1, 4, 4, 4]
+
+
 def test_hmm_scores(docs):
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
     got = hmm.score(docs, held).toPandas()
