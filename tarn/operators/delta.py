@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructType
 
 from tarn.operators import deletes as dl
-from tarn.operators.lineage import rows_of_files
+from tarn.util import small_side
 
 COMMIT = "_commit"
 _PLACES = StructType().add("file_path", StringType()).add("pos", LongType())
@@ -101,7 +101,12 @@ def read_upserted(spark: SparkSession, path: str, schema: StructType, keys: list
         return spark.createDataFrame([], schema)
     if upto is not None:
         done = done.where(F.col(COMMIT) <= upto)
-    seen = lambda df: rows_of_files(df, done, COMMIT)
+    done = small_side(done)
+    low, high = done.agg(F.min(COMMIT), F.max(COMMIT)).first()
+    if low is None:
+        return spark.createDataFrame([], schema)
+    # The range reaches the file index, the join prunes the commits between that are not complete.
+    seen = lambda df: df.where(F.col(COMMIT).between(low, high)).join(done, COMMIT, "left_semi")
     rows = seen(rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_pos")))
     by_place = _read(spark, path, "places", _PLACES)
     by_key = _read(spark, path, "keys", StructType([schema[k] for k in keys]))
