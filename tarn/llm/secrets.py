@@ -18,6 +18,8 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"(?<![0-9a-f])[0-9a-f]{24,}")
 ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SYMBOLS = len(ALPHABET) + 1  # 0 stands for anything else and for the start of a string
+#: Upper case, lower case, digits and each sign by itself: a string of one kind is no secret.
+KINDS_OF_SYMBOLS = np.array([0, *[1] * 26, *[2] * 26, *[3] * 10, 4, 5, 6, 7, 8], np.int8)
 CODES = np.zeros(256, np.int64)
 CODES[np.frombuffer(ALPHABET, np.uint8)] = np.arange(1, SYMBOLS)
 #: A string counts as random if it is at least this long and e^10 times likelier under the model of random strings.
@@ -52,8 +54,9 @@ def runs_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def train(docs: DataFrame, text_col: str = "text", min_length: int = MIN_LENGTH) -> np.ndarray:
     """Log-likelihood ratio of each transition, random over ordinary, from the labelled strings of all documents.
 
-    Labels come from the fixed patterns: what they find are random strings, all
-    other runs of the alphabet below ``min_length`` are ordinary; the longer
+    Labels come from the fixed patterns: what they find are random strings.  All
+    other runs of the alphabet below ``min_length`` are ordinary, and so are
+    longer ones of one kind of symbols, such as card numbers; the other longer
     ones, which the models are to judge, have no label.  Each task sends its pair counts
     only (at most two numbers per pair of symbols), summed in Spark.
     """
@@ -67,8 +70,10 @@ def train(docs: DataFrame, text_col: str = "text", min_length: int = MIN_LENGTH)
                     codes[secret:end] = 0
                 starts, ends = runs_of(codes)
                 long = ends - starts >= min_length
+                kinds = KINDS_OF_SYMBOLS[codes]
                 for s, e in zip(starts[long].tolist(), ends[long].tolist()):
-                    codes[s:e] = 0
+                    if (kinds[s:e] != kinds[s]).any():
+                        codes[s:e] = 0
                 total[0] += pairs(codes)
         label, pair = np.nonzero(total)
         yield pa.RecordBatch.from_pydict({"label": pa.array(label, pa.int32()), "pair": pa.array(pair, pa.int32()),
