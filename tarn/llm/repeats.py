@@ -152,7 +152,9 @@ def repeated_spans(texts: DataFrame, length: int, by_place: bool = True) -> tupl
     place = F.xxhash64("t1", "t2", "start") if by_place else F.xxhash64("t1", "t2")
     repeated = found.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("anchor")
     repeated = saved(repeated, "repeated")
-    kept = saved(found.join(repeated, "anchor", "left_semi").distinct(), "anchors")
+    # Distinct as structs: by its columns it would need all rows of an anchor in one task and keep the join from being split.
+    each = found.join(repeated, "anchor", "left_semi").select(F.struct(*found.columns).alias("row")).distinct()
+    kept = saved(each.select("row.*"), "anchors")
 
     here = F.struct("t1", "t2", "start", "size")
     spot = here if by_place else F.struct("t1", "t2")
