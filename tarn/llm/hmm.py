@@ -29,6 +29,8 @@ ENDINGS = 2048
 ENDING_BYTES = 3
 #: Text of one block of documents; a longer document makes a larger block by itself.
 BLOCK_BYTES = 8 << 20
+#: Blocks a scoring task has on average.
+TASK_BLOCKS = 3
 #: Training cuts longer texts into sequences of this many words; scoring takes them whole.
 SEQUENCE = 256
 #: The likelihood has settled when a Baum-Welch round raises it by less than this share.
@@ -344,5 +346,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
     schema = (f"id {id_type.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
               "base_score double, score double")
-    both = blocks.groupBy("block").cogroup(looked_up.select("block", "at", "c").groupBy("block"))
+    # Both sides are dealt to a number of tasks that follows the blocks, so a task's share does not grow with the corpus.
+    tasks = -(-blocks.count() // TASK_BLOCKS) or 1
+    both = blocks.repartition(tasks, "block").groupBy("block").cogroup(looked_up.repartition(tasks, "block").groupBy("block"))
     return both.applyInArrow(scored, schema).withColumnRenamed("id", id_col)
