@@ -287,6 +287,25 @@ def test_vehicle_windows_close_once(spark, tmp_path):
     assert [r for r in again if r not in closed] == [("v", "15:00", "14:59.999", {"speed": 3}, 1)]
 
 
+def test_vehicle_windows_of_many_vehicles_equal_the_batch_form(spark, tmp_path):
+    """Sums are kept by Spark's aggregate, no Python state per vehicle; readings that are missing have no average."""
+    odd = spark.createDataFrame([(None, at(1), {"k": -7, "l": None}, [None, "x"]), (None, at(2), {"k": 2}, None), (7, at(1), {}, None)],
+                                "vin bigint, ts timestamp, sensors map<string,bigint>, lights array<string>")
+    many = spark.range(20000).select((F.col("id") % 9000 + (1 << 60)).alias("vin"), (F.lit(at(0)) + F.make_dt_interval(secs=F.col("id") % 500)).alias("ts"),
+                                     F.create_map(F.lit("k"), F.col("id") - 10000, F.lit("id"), F.col("id")).alias("sensors"),
+                                     F.array(F.concat(F.lit("w"), F.col("id") % 3)).alias("lights"))
+    last = spark.createDataFrame([(1, at(59), {}, [])], odd.schema)
+    odd.union(many).union(last).write.parquet(str(tmp_path / "in"))
+    stream = fs.file_stream(spark, str(tmp_path / "in"), odd.schema)
+    windows = ss.vehicle_windows(stream, "vin", "ts", "5 minutes", "10 seconds", wn.vehicle_items("sensors", "lights"))
+    assert "TransformWithState" not in windows._jdf.queryExecution().toString()
+    with ss.state_on_disk(spark):
+        run.finish(run.to_files(windows, str(tmp_path / "out"), str(tmp_path / "cp")))
+    told = lambda df: sorted((str(r["vin"]), str(r["window_end"]), str(r["max_timestamp"]), sorted(r["sensor_average"].items()), r["warning_count"]) for r in df.collect())
+    want = wn.vehicle_windows(odd.union(many), "vin", "ts", "5 minutes", "sensors", "lights")
+    assert told(spark.read.schema(windows.schema).parquet(str(tmp_path / "out"))) == told(want)
+
+
 def test_upsert_writer_on_a_stream(spark, tmp_path):
     schema, path = StructType.fromDDL("k int, v int"), str(tmp_path / "t")
     write = dm.upsert_writer(path, ["k"], ["i"], schema, "op")
