@@ -10,7 +10,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tarn.functions.transforms import PartitionField
 from tarn.functions.zorder import clustering_columns
 from tarn.operators.windows import running
-from tarn.util import int_div, tie_breaker
+from tarn.util import int_div, small_side, tie_breaker
+
+#: Rows that a task sorts at most, about; of narrow rows some 200 MB.
+SORTED_ROWS = 2_000_000
+#: Positions of a file that are put in order together to see whether they are.
+STRETCH = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -78,15 +83,28 @@ def clustering(stored: DataFrame, keys: list[Column], file: str = "_file", pos:
     """How well stored files are sorted: per file its rows, its bounds of the (ascending) keys, whether its rows are in order, and whether no
     other file begins before it ends.
 
-    Rows are compared inside their file; files, a row each, among each other.
+    Rows are compared inside stretches of ``STRETCH`` positions, then stretches inside their file and files, a row each, among each
+    other: no task orders the rows of a whole file.
     """
+    found = stored.groupBy(F.col(file).alias("_name")).agg((F.max(pos) + 1).alias("_size"))
+    files = small_side(found.withColumn("_no", F.monotonically_increasing_id()))  # a number is narrower than a path
+    total = files.agg(F.sum("_size")).first()[0] or 0
     k = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(keys)])
-    before = F.lag("_k").over(Window.partitionBy(file).orderBy(pos))
-    per_file = (stored.select(file, pos, k.alias("_k")).withColumn("_before", before).groupBy(file).agg(
-        F.count("*").alias("rows"), F.min("_k").alias("lower"), F.max("_k").alias("upper"),
-        F.bool_and(F.coalesce(F.col("_before") <= F.col("_k"), F.lit(True))).alias("in_order")))
+    rows = (stored.select(F.col(file).alias("_name"), F.col(pos).alias("_at"), k.alias("_k")).join(files, "_name")
+            .select("_no", int_div(F.col("_at"), STRETCH).alias("_stretch"), "_at", "_k")
+            .repartition(1 + total // SORTED_ROWS, "_no", "_stretch"))
+    in_turn = lambda value, before: F.bool_and(F.coalesce(F.col(before) <= F.col(value), F.lit(True)))
+    before = F.lag("_k").over(Window.partitionBy("_no", "_stretch").orderBy("_at"))
+    stretches = rows.withColumn("_before", before).groupBy("_no", "_stretch").agg(
+        F.count("*").alias("rows"), F.min("_k").alias("lower"), F.max("_k").alias("upper"), in_turn("_k", "_before").alias("in_order"),
+        F.min_by("_k", "_at").alias("_first"), F.max_by("_k", "_at").alias("_last"))
+    last = F.lag("_last").over(Window.partitionBy("_no").orderBy("_stretch"))
+    per_file = stretches.withColumn("_last", last).groupBy("_no").agg(
+        F.sum("rows").alias("rows"), F.min("lower").alias("lower"), F.max("upper").alias("upper"),
+        (F.bool_and("in_order") & in_turn("_first", "_last")).alias("in_order"))
     following = F.lead("lower").over(Window.orderBy("lower", "upper"))
-    return per_file.withColumn("apart", F.coalesce(F.col("upper") <= following, F.lit(True)))
+    apart = per_file.withColumn("apart", F.coalesce(F.col("upper") <= following, F.lit(True)))
+    return apart.join(files, "_no").select(F.col("_name").alias(file), "rows", "lower", "upper", "in_order", "apart")
 
 
 def with_places(df: DataFrame, order: list[Column], path: str, name: str = "place") -> DataFrame:
