@@ -136,9 +136,13 @@ def stored_bytes(df: DataFrame) -> int:
     return files.agg(F.sum("n")).first()[0] or 0
 
 
-def writers_for(df: DataFrame, least: int = 1, sizing: Sizing = Sizing()) -> int:
-    """Writers of a rewrite of stored rows, so that files come out near the target size."""
-    return max(least, shuffle_partitions(stored_bytes(df), 1.0, 1, sizing))
+def writers_for(df: DataFrame, least: int = 1, sizing: Sizing = Sizing(), sorted_rows: int | None = None) -> int:
+    """Writers of a rewrite of stored rows, so that files come out near the target size.
+
+    A writer that sorts must hold its rows: with ``sorted_rows`` there are as many that each has about so many, in files below the target.
+    """
+    writers = max(least, shuffle_partitions(stored_bytes(df), 1.0, 1, sizing))
+    return max(writers, -(-df.count() // sorted_rows)) if sorted_rows else writers
 
 
 def shuffle_partitions(input_bytes: int, compression: float, partitions_per_file: int, sizing: Sizing = Sizing()) -> int:

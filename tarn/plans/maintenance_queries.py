@@ -76,6 +76,10 @@ def bin_packing_lookback(t: Tables):
 LEAST_WRITERS = 4
 
 
+def sorting_writers(rows) -> int:
+    return mt.writers_for(rows, LEAST_WRITERS, sorted_rows=ly.SORTED_ROWS)
+
+
 def written(t: Tables, rows, keys):
     """Rows written out and read back, with whether their file is in order of the keys and overlaps no other."""
     path = scratch(t.spark, "layout")
@@ -101,14 +105,14 @@ def compact_rows_equal(t: Tables):
 @query("sort_compact", "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, TRUE AS in_order, TRUE AS apart FROM lineitem")
 def sort_compact(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    out = mt.compact(rows, mt.writers_for(t.lineitem, LEAST_WRITERS), "sort", [ly.SortTerm("l_shipdate"), ly.SortTerm("l_orderkey", ascending=False)])
+    out = mt.compact(rows, sorting_writers(t.lineitem), "sort", [ly.SortTerm("l_shipdate"), ly.SortTerm("l_orderkey", ascending=False)])
     return written(t, out, lambda df: [F.col("l_shipdate"), -F.col("l_orderkey")])
 
 
 @query("zorder_layout", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, TRUE AS in_order, TRUE AS apart FROM lineitem")
 def zorder_layout(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    out = mt.compact(rows, mt.writers_for(t.lineitem, LEAST_WRITERS), "zorder", zorder=[("l_partkey", "bigint"), ("l_suppkey", "bigint")])
+    out = mt.compact(rows, sorting_writers(t.lineitem), "zorder", zorder=[("l_partkey", "bigint"), ("l_suppkey", "bigint")])
     return written(t, out, lambda df: [zorder_key([(F.col("l_partkey"), "bigint"), (F.col("l_suppkey"), "bigint")])])
 
 
@@ -124,7 +128,7 @@ def write_distribution(t: Tables):
     spec = [tr.PartitionField("ts", "day", data_type="timestamp_ntz")]
     rows = t.events.select("event_id", "event_type", "ts")
     order = ly.write_order(spec, [ly.SortTerm("event_type"), ly.SortTerm("event_id")])
-    out = ly.distribute(rows, "range", spec, order, mt.writers_for(t.events, LEAST_WRITERS))
+    out = ly.distribute(rows, "range", spec, order, sorting_writers(t.events))
     return written(t, out, lambda df: [F.to_date("ts"), F.col("event_type"), F.col("event_id")])
 
 
@@ -156,7 +160,7 @@ SELECT o_orderkey, o_orderdate, o_orderstatus, CAST((year(o_orderdate) - 1970) *
 def relayout(t: Tables):
     spec = [tr.PartitionField("o_orderstatus"), tr.PartitionField("o_orderdate", "month", data_type="timestamp_ntz"), tr.PartitionField("o_orderkey", "truncate", 1000)]
     rows = t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
-    out = mt.relayout(rows, spec, [ly.SortTerm("o_orderkey")], mt.writers_for(t.orders, LEAST_WRITERS))
+    out = mt.relayout(rows, spec, [ly.SortTerm("o_orderkey")], sorting_writers(t.orders))
     return written(t, out, lambda df: [F.col("o_orderstatus"), F.col("o_orderdate_month"), F.col("o_orderkey")])
 
 

@@ -257,3 +257,24 @@ def test_retention_equals_a_walk(spark):
         r = spark.createDataFrame(refs, "name string, type string, snapshot_id long, max_reference_age_in_ms long, min_snapshots_to_keep int, max_snapshot_age_in_ms long")
         lit = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
         assert {x[0] for x in mt.retained_snapshots(s, r, lit(now), lit(older)).collect()} == want
+
+
+def test_clustering_compares_stretches_of_a_file(spark, monkeypatch):
+    monkeypatch.setattr(ly, "STRETCH", 4)
+    keys = {"a": [1, 2, 2, 3, 3, 4, 5, 6, 9], "b": [9, 9, 10, 11, 8, 9, 10, 11], "c": [12, None, 13], "d": [14]}  # b falls between two stretches
+    rows = [(name, i, k) for name, ks in keys.items() for i, k in enumerate(ks)]
+    random.Random(3).shuffle(rows)
+    stored = spark.createDataFrame(rows, "_file string, _pos bigint, k int").repartition(3)
+    flags = ly.clustering(stored, [F.col("k")])
+    assert "_stretch" in flags._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["_file"]: (r["rows"], r["lower"]["k0"], r["upper"]["k0"], r["in_order"], r["apart"]) for r in flags.collect()}
+    # NULL sorts first, so c begins before all others and ends after them.
+    assert got == {"a": (9, 1, 9, True, False), "b": (8, 8, 11, False, True), "c": (3, None, 13, False, False), "d": (1, 14, 14, True, True)}
+    assert ly.clustering(stored.where("false"), [F.col("k")]).count() == 0
+
+
+def test_sorting_writers_hold_so_many_rows(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert mt.writers_for(stored, 4) == 4
+    assert mt.writers_for(stored, 4, sorted_rows=101) == 10
