@@ -179,11 +179,16 @@ def read_batches(files: DataFrame, order: list[str], chunk: Column, max_rows: in
     return placed.withColumn("batch", int_div(F.col("_upto") - one, max_files if max_rows is None else max_rows)).drop("_upto")
 
 
-def rows_of_files(rows: DataFrame, files: DataFrame, file: str) -> DataFrame:
+def rows_of_files(rows: DataFrame, files: DataFrame, file: str, folder: str | None = None) -> DataFrame:
     """Rows stored in the given files, with the files' other columns where there are any.
 
-    Only those files are read where ``file`` is a partition column of the stored rows.
+    Only those files are read where ``file`` is a partition column of the stored rows.  Small files are better stored many to a folder: with
+    ``folder``, a partition column of the rows that the files have too, only the folders of the given files are read.
     """
+    if folder:
+        files = cut_lineage(files)
+        rows, folders = listed_only(rows, files.select(folder).distinct(), folder)
+        rows, files = rows.join(folders, folder, "left_semi").drop(folder), files.drop(folder)
     rows, listed = listed_only(rows, files, file)
     return rows.join(listed, file, "left_semi" if files.columns == [file] else "inner")
 

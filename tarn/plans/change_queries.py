@@ -39,9 +39,9 @@ def time_travel_as_of(t: Tables):
     """Rows of the data files live at a point in time."""
     line = ln.chain(fx.snapshots(t), fx.HEAD)
     at = ln.snapshot_as_of(line, F.lit(AT).cast("timestamp_ntz")).first()[0]
-    live = ln.live_files(fx.files(t).where("content = 0"), ln.up_to(line, at)).select("file_no")
-    rows = fx.stored_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "file_no")
-    return ln.rows_of_files(rows, live, "file_no").drop("file_no")
+    live = ln.live_files(fx.files(t).where("content = 0"), ln.up_to(line, at)).select("file_no", "added_snapshot_id")
+    rows = fx.stored_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "file_no", "added_snapshot_id")
+    return ln.rows_of_files(rows, live, "file_no", "added_snapshot_id").drop("file_no")
 
 
 @query("resolve_snapshot", f"""
@@ -70,9 +70,9 @@ SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey // {fx
   (SELECT file_no FROM files WHERE content = 0 AND added_snapshot_id IN (SELECT snapshot_id FROM span))""")
 def incremental_append(t: Tables):
     line = ln.chain(fx.snapshots(t), fx.HEAD)
-    added = ln.appended_files(fx.files(t), ln.after(ln.up_to(line, 60), 20)).select("file_no")
-    rows = fx.stored_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "file_no")
-    return ln.rows_of_files(rows, added, "file_no").drop("file_no")
+    added = ln.appended_files(fx.files(t), ln.after(ln.up_to(line, 60), 20)).select("file_no", "added_snapshot_id")
+    rows = fx.stored_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "file_no", "added_snapshot_id")
+    return ln.rows_of_files(rows, added, "file_no", "added_snapshot_id").drop("file_no")
 
 
 @query("changelog_scan", f"""
@@ -88,9 +88,9 @@ def changelog_scan(t: Tables):
     line = ln.chain(fx.snapshots(t), fx.HEAD)
     c = F.col("committed_at")
     span = line.where((c >= F.lit("1997-01-01").cast("timestamp_ntz")) & (c < F.lit("2000-01-01").cast("timestamp_ntz")))
-    changed = ln.changed_files(fx.files(t).where("content = 0"), span).select("file_no", *ch.METADATA)
-    rows = fx.stored_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "file_no")
-    return ln.rows_of_files(rows, changed, "file_no").drop("file_no")
+    changed = ln.changed_files(fx.files(t).where("content = 0"), span).select("file_no", "added_snapshot_id", *ch.METADATA)
+    rows = fx.stored_lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "file_no", "added_snapshot_id")
+    return ln.rows_of_files(rows, changed, "file_no", "added_snapshot_id").drop("file_no")
 
 
 @query("stream_start_strategy", f"""

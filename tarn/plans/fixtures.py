@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarn.functions import transforms as tr
+from tarn.operators.sinks import write_files
 from tarn.plans.registry import Tables
 from tarn.session import scratch
 from tarn.util import int_div
@@ -58,6 +59,11 @@ def file_no(key: str = "l_orderkey") -> Column:
     return int_div(F.col(key), ORDERS_PER_FILE)
 
 
+def added_by(file_no: Column) -> Column:
+    """The commit that added a file."""
+    return file_no * 7 % HEAD + 1
+
+
 def files(t: Tables) -> DataFrame:
     tax = F.when(F.col("l_tax") != 0, F.col("l_tax"))
     stats = t.lineitem.groupBy(file_no().alias("file_no")).agg(
@@ -68,7 +74,7 @@ def files(t: Tables) -> DataFrame:
         F.min(tax).alias("l_tax_lower"), F.max(tax).alias("l_tax_upper"),
         (F.count("*") - F.count(tax)).alias("l_tax_nulls"))
     n = F.col("file_no")
-    added = n * 7 % HEAD + 1
+    added = added_by(n)
     return stats.select(
         "file_no", F.when(n % 8 == 0, "north").when(n % 8 != 1, F.concat(F.lit("p"), n % 4)).alias("part"),
         F.concat(F.lit("store://wh/data/f-"), F.lpad(n.cast("string"), 12, "0"), F.lit(".parquet")).alias("file_path"),
@@ -82,19 +88,24 @@ def files(t: Tables) -> DataFrame:
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def stored(t: Tables, name: str, rows: DataFrame, by: str) -> DataFrame:
-    """A copy of rows in one folder and file per value of a column, written once per application and data folder."""
+def stored(t: Tables, name: str, rows: DataFrame, by: str, split: bool = False) -> DataFrame:
+    """A copy of rows in one folder and file (with ``split``, files as their size asks) per value of a column, written once per application
+    and data folder."""
     key = (t.spark.sparkContext.applicationId, t.folder, name)
     if key not in _STORED:
         path = scratch(t.spark, name)
-        rows.repartition(by).write.partitionBy(by).parquet(path)
+        if split:
+            write_files(rows, path, partition=[by], cluster=True)
+        else:
+            rows.repartition(by).write.partitionBy(by).parquet(path)
         _STORED[key] = path
     return t.spark.read.schema(rows.schema).parquet(_STORED[key])
 
 
 def stored_lines(t: Tables) -> DataFrame:
-    """lineitem in the data files of :func:`files`, a folder per file."""
-    return stored(t, "lines-by-file", t.lineitem.withColumn("file_no", file_no()), "file_no")
+    """lineitem with the data file of :func:`files` each row is in, a folder per commit: files of 50 orders are too many to be folders."""
+    rows = t.lineitem.withColumn("file_no", file_no()).withColumn("added_snapshot_id", added_by(F.col("file_no")))
+    return stored(t, "lines-by-commit", rows, "added_snapshot_id", split=True)
 
 
 def stored_months(t: Tables) -> DataFrame:

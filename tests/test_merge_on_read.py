@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 
 import __spark_entry__ as entry
 from tarn.operators import deletes as dl, delta as dt, merge as mg
+from tarn.plans import fixtures as fx
+from tarn.plans.registry import Tables
 
 FOLDER = os.environ.get("TARN_TEST_DATA", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -166,3 +168,12 @@ def test_scans_read_fewer_files_than_stored(spark, name):
     df.collect()
     read = [(got, all_) for got, all_ in files_read(df) if all_ > 1]
     assert read and all(0 < got < all_ for got, all_ in read), read
+
+
+def test_stored_lines_have_a_folder_per_commit(spark, tmp_path):
+    """However many files of 50 orders there are."""
+    spark.range(10000).select((F.col("id") * 5).alias("l_orderkey")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    stored = fx.stored_lines(Tables(spark, str(tmp_path)))
+    rows = stored.select("l_orderkey", "file_no", F.regexp_extract("_metadata.file_path", "^(.*)/", 1).alias("f"))
+    found = rows.agg(F.count_distinct("f"), F.count_distinct("file_no"), F.count_distinct("l_orderkey"), F.count("*")).first()
+    assert tuple(found) == (fx.HEAD, 1000, 10000, 10000)

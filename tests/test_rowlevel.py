@@ -98,6 +98,22 @@ def test_listed_files_prune_the_scan(spark, tmp_path):
     assert ln.rows_of_files(stored, listed.where("false"), "file").count() == 0
 
 
+def test_files_listed_by_folder_prune_the_scan(spark, tmp_path):
+    """Many files to a folder: folders without a listed file are not read, other files of a folder give no rows."""
+    path = str(tmp_path / "t")
+    spark.range(200).select("id", F.col("id") % 20 % 7, (F.col("id") % 20).alias("file")).toDF("id", "commit", "file").write.partitionBy("commit").parquet(path)
+    stored = spark.read.parquet(path)
+    listed = spark.createDataFrame([(3, 3, "a"), (10, 3, "b"), (11, 4, "c"), (11, 4, "d")], "file bigint, commit int, kind string")
+    got = ln.rows_of_files(stored, listed, "file", "commit")
+    assert sorted(map(tuple, got.select("id", "file", "kind").collect())) == sorted(
+        (i, f, k) for i in range(200) for f, _, k in listed.collect() if i % 20 == f)
+    scan = next(line for line in got._jdf.queryExecution().toString().split("== Physical Plan ==")[-1].splitlines() if "PartitionFilters" in line)
+    assert "dynamicpruning" in scan and "commit" in scan and ">= 3" in scan
+    only = ln.rows_of_files(stored, listed.select("file", "commit").distinct(), "file", "commit")
+    assert only.columns == ["file", "id"] and only.count() == 30
+    assert ln.rows_of_files(stored, listed.where("false"), "file", "commit").count() == 0
+
+
 def test_delete_keeps_unknown(spark, rows):
     df = spark.createDataFrame([(1,), (5,), (None,)], "v int")
     assert rows(mg.delete_where(df, F.col("v") > 3)) == [(None,), (1,)]
