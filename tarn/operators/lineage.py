@@ -113,12 +113,11 @@ def changed_files(files: DataFrame, span: DataFrame) -> DataFrame:
     # One row per commit, so ordering all of them in one task stays small.
     ordered = commits.select("snapshot_id", (F.row_number().over(Window.orderBy(F.desc("depth"))) - 1).alias("_change_ordinal"))
 
-    def side(column: str, kind: str) -> DataFrame:
-        return (files.join(ordered, F.col(column) == F.col("snapshot_id"))
-                .withColumns({"_change_type": F.lit(kind), "_commit_snapshot_id": F.col("snapshot_id")})
-                .drop("snapshot_id"))
-
-    both = side("added_snapshot_id", "INSERT").union(side("removed_snapshot_id", "DELETE"))
+    # A file meets both of its commits in one join, so that the list of files, which may come from all rows, is computed once.
+    commit = lambda kind, column: F.struct(F.lit(kind).alias("_change_type"), F.col(column).alias("_commit_snapshot_id"))
+    sides = files.withColumn("_side", F.explode(F.array(commit("INSERT", "added_snapshot_id"), commit("DELETE", "removed_snapshot_id"))))
+    both = (sides.join(ordered, F.col("_side._commit_snapshot_id") == F.col("snapshot_id"))
+            .select("*", "_side.*").drop("_side", "snapshot_id"))
     refuse = F.when(F.col("content") != 0, F.raise_error(F.lit("delete files are not supported in changelog scans")).cast("int"))
     return both.where(refuse.isNull())
 

@@ -100,6 +100,18 @@ def test_changelog_refuses_delete_files(spark):
         ln.changed_files(files, line).collect()
 
 
+def test_changelog_computes_the_files_once(spark, rows, tmp_path):
+    """Added and removed in the range, in a rewrite or outside of it; the list is read by one scan."""
+    data = [("a", 0, 1, 7), ("b", 0, 6, 8), ("c", 0, 7, None), ("d", 0, 5, None), ("e", 0, 9, 9), ("f", 0, 20, 31), ("g", 0, None, 6)]
+    spark.createDataFrame(data, "file_path string, content int, added_snapshot_id bigint, removed_snapshot_id bigint").write.parquet(str(tmp_path / "f"))
+    line = line_table(spark).withColumn("operation", F.when(F.col("snapshot_id") == 6, "replace").otherwise("append"))
+    got = ln.changed_files(spark.read.parquet(str(tmp_path / "f")), ln.after(ln.chain(line, 9), 5))
+    assert got.columns == ["file_path", "content", "added_snapshot_id", "removed_snapshot_id", "_change_ordinal", "_change_type", "_commit_snapshot_id"]
+    assert rows(got.drop("content", "added_snapshot_id", "removed_snapshot_id")) == [
+        ("a", 0, "DELETE", 7), ("b", 1, "DELETE", 8), ("c", 0, "INSERT", 7), ("e", 2, "DELETE", 9), ("e", 2, "INSERT", 9)]
+    assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("FileScan parquet") == 1
+
+
 def test_missing_bound_is_an_error(spark):
     files = spark.createDataFrame([("s", None)], "split string, low timestamp_ntz")
     with pytest.raises(Exception, match="missing lower bound"):
