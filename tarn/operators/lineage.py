@@ -43,7 +43,12 @@ def ancestors(snapshots: DataFrame, head: int) -> DataFrame:
 
 
 def chain(snapshots: DataFrame, head: int) -> DataFrame:
-    """Rows of the snapshots table on the lineage of the head, with their depth."""
+    """Rows of the snapshots table on the lineage of the head, with their depth.
+
+    The snapshots, a row per commit, are stored once: where they are derived from large tables, neither the walk nor what reads the line
+    derives them again.
+    """
+    snapshots = cut_lineage(snapshots)
     return snapshots.join(ancestors(snapshots, head), "snapshot_id")
 
 

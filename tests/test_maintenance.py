@@ -78,6 +78,17 @@ def test_ancestors(spark, rows):
     assert ln.is_ancestor(line, 1) and not ln.is_ancestor(line, 20)
 
 
+def test_line_does_not_read_the_snapshots_again(spark, rows, tmp_path):
+    line_table(spark).write.parquet(str(tmp_path / "s"))
+    snaps = spark.read.parquet(str(tmp_path / "s"))
+    line = ln.chain(snaps, 20)
+    assert rows(line, "snapshot_id", "parent_id", "depth") == [(1, None, 4), (2, 1, 3), (3, 2, 2), (4, 3, 1), (20, 4, 0)]
+    assert rows(ln.after(ln.up_to(line, 4), 2), "snapshot_id") == [(3,), (4,)]
+    assert rows(ln.chain(snaps, 30), "snapshot_id", "depth") == [(30, 0)]
+    assert rows(ln.chain(snaps.where("parent_id IS NULL"), 31), "snapshot_id", "depth") == [(31, 0)]
+    assert "FileScan" not in line._jdf.queryExecution().executedPlan().toString()
+
+
 def test_start_limits(spark, rows):
     line = ln.chain(line_table(spark), 9)
     assert rows(ln.start_reading(line, "earliest_inclusive", max_snapshots=2), "snapshot_id") == [(1,), (2,)]
