@@ -16,7 +16,6 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tarn.llm.common import byte_texts, saved
 
@@ -27,10 +26,18 @@ OWN_COUNT = 5
 #: Classes of the other words, by a hash of their last bytes.  Class 0 is the end of a text.
 ENDINGS = 2048
 ENDING_BYTES = 3
-#: Text of one block of documents; a longer document makes a larger block by itself.
+#: Text of one block of documents, which share a list of words, and of the pieces it is stored and sent in, a row each;
+#: a longer document makes a larger piece by itself.
 BLOCK_BYTES = 8 << 20
-#: Blocks a scoring task has on average.
+PIECE_BYTES = 2 << 20
+#: Pieces of a stored file: a file's columns are read into memory whole.
+FILE_PIECES = 8
+#: Blocks a task that looks up counts has on average.
 TASK_BLOCKS = 3
+#: Counts of words that a task gathers before it sends them, in a row per block.
+GATHERED = 1 << 18
+#: Words that are counted or scored at once, about; texts scored and sequences trained on are not cut further.
+TRAINED_WORDS, SCORED_WORDS = 1 << 19, 1 << 20
 #: Training cuts longer texts into sequences of this many words; scoring takes them whole.
 SEQUENCE = 256
 #: The likelihood has settled when a Baum-Welch round raises it by less than this share.
@@ -65,59 +72,83 @@ class Classes:
 
 
 def pack(docs: DataFrame) -> DataFrame:
-    """Documents (id, held, text) in blocks, one row each: ids, word numbers and the block's distinct words as hashes.
+    """Documents (id, held, text) in blocks of a few rows, the pieces: ids, word numbers and words new to the block as hashes.
 
-    Words are named by a 64-bit hash: among a billion distinct words a clash of
-    two is unlikely.  A block is bounded by its bytes, not by its documents' keys.
+    Words are numbered in the order a block meets them, so its pieces behind
+    each other list its distinct words; ``first`` is the number of a piece's
+    first new one.  Words are named by a 64-bit hash: among a billion distinct
+    words a clash of two is unlikely.  Blocks and pieces are bounded by their
+    bytes, not by their documents' keys.
     """
     def blocks(batches):
-        place, count = TaskContext.get().partitionId() << 32, 0
-        fresh = lambda: ([], [], [], [], {}, [0])
-        ids, held, lengths, numbers, known, size = fresh()
-        id_type = None
-
-        def row():
-            words = list(known)
-            names = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
-            index = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
-            learn = np.repeat(~np.array(held, bool), np.array(lengths, np.int64))
-            seen = np.bincount(index[learn], minlength=len(words)).astype(np.int32)
-            endings = np.fromiter((xxhash.xxh3_64_intdigest(w[-ENDING_BYTES:]) % ENDINGS for w in words), np.int16, len(words))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([place + count], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([held], pa.list_(pa.bool_())),
-                 pa.array([lengths], pa.list_(pa.int32())), pa.array([index.astype(np.int32).tobytes()], pa.binary()),
-                 pa.array([names.tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary()), pa.array([endings.tobytes()], pa.binary())],
-                ["block", "ids", "held", "lengths", "words", "hashes", "seen", "endings"])
+        place, count, id_type = TaskContext.get().partitionId() << 32, 0, None
+        pieces, known, block_size = [], {}, 0
+        ids, held, lengths, numbers, size = [], [], [], [], 0
+
+        def rows():
+            names = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in known), np.uint64, len(known))
+            endings = np.fromiter((xxhash.xxh3_64_intdigest(w[-ENDING_BYTES:]) % ENDINGS for w in known), np.int16, len(known))
+            seen, first = np.zeros(len(known), np.int32), 0
+            for _, out, lengths, index, upto in pieces:
+                learn = np.repeat(~np.array(out, bool), np.array(lengths, np.int64))
+                seen[:upto] += np.bincount(index[learn], minlength=upto).astype(np.int32)
+            for piece, (ids, out, lengths, index, upto) in enumerate(pieces):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([place + count], pa.int64()), pa.array([piece], pa.int32()), pa.array([first], pa.int32()),
+                     pa.array([ids], pa.list_(id_type)), pa.array([out], pa.list_(pa.bool_())), pa.array([lengths], pa.list_(pa.int32())),
+                     pa.array([packed(index)], pa.binary()),
+                     *[pa.array([x[first:upto].tobytes()], pa.binary()) for x in (names, seen, endings)]],
+                    ["block", "piece", "first", "ids", "held", "lengths", "words", "hashes", "seen", "endings"])
+                first = upto
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for doc, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2))):
-                words = text.lower().split()
-                for w in words:
-                    if w not in known:
-                        known[w] = len(known)
-                ids.append(doc), held.append(out), lengths.append(len(words))
-                numbers.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
-                size[0] += len(text)
-                if size[0] >= BLOCK_BYTES:
-                    yield row()
-                    count += 1
-                    ids, held, lengths, numbers, known, size = fresh()
+            for part in (batch.slice(s, 512) for s in range(0, batch.num_rows, 512)):
+                for doc, out, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), byte_texts(part.column(2))):
+                    words = text.lower().split()
+                    for w in words:
+                        if w not in known:
+                            known[w] = len(known)
+                    ids.append(doc), held.append(out), lengths.append(len(words))
+                    numbers.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+                    size, block_size = size + len(text), block_size + len(text)
+                    if size >= PIECE_BYTES or block_size >= BLOCK_BYTES:
+                        pieces.append((ids, held, lengths, np.concatenate(numbers), len(known)))
+                        ids, held, lengths, numbers, size = [], [], [], [], 0
+                    if block_size >= BLOCK_BYTES:
+                        yield from rows()
+                        count += 1
+                        pieces, known, block_size = [], {}, 0
         if ids:
-            yield row()
+            pieces.append((ids, held, lengths, np.concatenate(numbers), len(known)))
+        if pieces:
+            yield from rows()
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "held", "text").mapInArrow(
-        blocks, f"block bigint, ids array<{kind}>, held array<boolean>, lengths array<int>, words binary, hashes binary, seen binary, "
-                "endings binary")
+        blocks, f"block bigint, piece int, first int, ids array<{kind}>, held array<boolean>, lengths array<int>, words binary, "
+                "hashes binary, seen binary, endings binary")
+
+
+def numbers_of(batch: pa.RecordBatch | pa.Table, name: str, i: int, kind: type) -> np.ndarray:
+    """Numbers of one row, stored as bytes."""
+    return np.frombuffer(batch.column(name)[i].as_py(), kind)
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """A number per word, compressed, as rows of them are shuffled and held in memory."""
+    return pa.compress(numbers.astype(np.int32).tobytes(), "zstd", asbytes=True)
+
 
+def unpacked(batch: pa.RecordBatch | pa.Table, name: str, i: int) -> np.ndarray:
+    """A number for each word of one row's texts."""
+    size = 4 * int(listed(batch, "lengths", i, np.int64).sum())
+    return np.frombuffer(pa.decompress(batch.column(name)[i].as_py(), size, "zstd", asbytes=True), np.int32)
 
-def unpacked(batch: pa.RecordBatch, i: int) -> dict:
-    """One block as arrays."""
-    get = lambda name: batch.column(name)[i].as_py()
-    return {"held": np.array(get("held"), bool), "lengths": np.array(get("lengths"), np.int64),
-            "words": np.frombuffer(get("words"), np.int32), "hashes": np.frombuffer(get("hashes"), np.uint64),
-            "endings": np.frombuffer(get("endings"), np.int16)}
+
+def listed(batch: pa.RecordBatch | pa.Table, name: str, i: int, kind: type) -> np.ndarray:
+    """Numbers of one row, stored as a list without nulls."""
+    return batch.column(name)[i].values.to_numpy(zero_copy_only=False).astype(kind)
 
 
 @dataclass
@@ -142,6 +173,15 @@ def cut(lengths: np.ndarray, most: int) -> np.ndarray:
     return out
 
 
+def portions(lengths: np.ndarray, most: int):
+    """Ranges of texts behind each other of about ``most`` words, with the places of their words; a longer text stands alone."""
+    upto, s = np.concatenate([[0], np.cumsum(lengths)]), 0
+    while s < len(lengths):
+        e = max(s + 1, int(np.searchsorted(upto, upto[s] + most, side="right")) - 1)
+        yield slice(s, e), slice(int(upto[s]), int(upto[e]))
+        s = e
+
+
 def ragged(classes: np.ndarray, lengths: np.ndarray) -> Ragged:
     order = np.argsort(-lengths, kind="stable")
     first = np.concatenate([[0], np.cumsum(lengths)])[:-1]
@@ -215,36 +255,37 @@ def maximised(start: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> Model:
                  emits / emits.sum(axis=0))
 
 
-def gathered(blocks: DataFrame, classes: Classes, model: Model) -> tuple[Model, float]:
+def gathered(sequences: DataFrame, classes: Classes, model: Model) -> tuple[Model, float]:
     """One Baum-Welch round and the likelihood before it.
 
-    Every task sums its blocks' counts and sends a row per class it has seen, and
+    Every task sums its pieces' counts and sends a row per class it has seen, and
     one per state, with a number per state; Spark adds them up.  The model has
     at most 1/OWN_SHARE + ENDINGS + 1 classes, whatever the corpus.
     """
     k, number = len(model.start), classes.number
-    shared = blocks.sparkSession.sparkContext.broadcast((classes, model))
+    shared = sequences.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        classes, model = shared.value
+        model = shared.value
         total = np.zeros((number + k + 2, k))  # classes, moves, start, likelihood
         for batch in batches:
             for i in range(batch.num_rows):
-                block = unpacked(batch, i)
-                learn = ~block["held"]
-                kinds = classes.of(block["hashes"], block["endings"])[block["words"]][np.repeat(learn, block["lengths"])]
-                kinds, lengths = with_ends(kinds, block["lengths"][learn])
-                start, moves, emits, likely = expected_counts(model, ragged(kinds, cut(lengths, SEQUENCE)))
-                total[:number] += emits
-                total[number:number + k] += moves
-                total[number + k] += start
-                total[number + k + 1, 0] += likely
+                learn, lengths = ~listed(batch, "held", i, bool), listed(batch, "lengths", i, np.int64)
+                kinds = unpacked(batch, "kinds", i)[np.repeat(learn, lengths)]
+                kinds, lengths = with_ends(kinds, lengths[learn])
+                lengths = cut(lengths, SEQUENCE)
+                for part, at in portions(lengths, TRAINED_WORDS):
+                    start, moves, emits, likely = expected_counts(model, ragged(kinds[at], lengths[part]))
+                    total[:number] += emits
+                    total[number:number + k] += moves
+                    total[number + k] += start
+                    total[number + k + 1, 0] += likely
         used = np.nonzero(total.any(axis=1))[0]
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(total[used, j]) for j in range(k)]],
                                          ["place", *[f"n{j}" for j in range(k)]])
 
     sums = [f"n{j}" for j in range(k)]
-    rows = (blocks.select("held", "lengths", "words", "hashes", "endings")
+    rows = (sequences.select("held", "lengths", "kinds")
             .mapInArrow(run, "place int, " + ", ".join(f"{n} double" for n in sums))
             .groupBy("place").agg(*[F.sum(n).alias(n) for n in sums]).toPandas())
     shared.destroy()
@@ -253,11 +294,11 @@ def gathered(blocks: DataFrame, classes: Classes, model: Model) -> tuple[Model,
     return maximised(total[number + k], total[number:number + k], total[:number]), float(total[number + k + 1, 0])
 
 
-def train(blocks: DataFrame, classes: Classes, states: int = STATES) -> Model:
+def train(sequences: DataFrame, classes: Classes, states: int = STATES) -> Model:
     """Baum-Welch from a random start: every round counts all training documents, until the likelihood settles."""
     model, before = starting_model(classes.number, states), -np.inf
     while True:
-        model, likelihood = gathered(blocks, classes, model)
+        model, likelihood = gathered(sequences, classes, model)
         if likelihood - before <= SETTLED * abs(likelihood):
             return model
         before = likelihood
@@ -268,19 +309,48 @@ def word_counts(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     def words(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                names, seen, endings = (np.frombuffer(batch.column(c)[i].as_py(), t) for c, t in (
+                names, seen, endings = (numbers_of(batch, c, i, t) for c, t in (
                     ("hashes", np.int64), ("seen", np.int32), ("endings", np.int16)))
+                block, first = batch.column("block")[i].as_py(), batch.column("first")[i].as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array(np.full(len(names), batch.column("block")[i].as_py())),
-                     pa.array(np.arange(len(names), dtype=np.int32)), pa.array(seen), pa.array(endings)],
+                    [pa.array(names), pa.array(np.full(len(names), block)),
+                     pa.array(np.arange(first, first + len(names), dtype=np.int32)), pa.array(seen), pa.array(endings)],
                     ["word", "block", "at", "seen", "ending"])
 
-    entries = blocks.select("block", "hashes", "seen", "endings").mapInArrow(
+    entries = blocks.select("block", "first", "hashes", "seen", "endings").mapInArrow(
         words, "word bigint, block bigint, at int, seen int, ending smallint")
     counts = entries.where("seen > 0").groupBy("word").agg(F.sum("seen").alias("c"), F.first("ending").alias("ending"))
     return entries.select("word", "block", "at"), saved(counts, "word-counts")
 
 
+def by_block(words: DataFrame, classes: Classes) -> DataFrame:
+    """Rows (block, at, c, word, ending) as a row per task and block, or a few, with places, counts and classes."""
+    def run(batches):
+        kept, n = [], 0
+
+        def rows():
+            block, at, c, word, ending = (np.concatenate([k[j] for k in kept]) for j in range(5))
+            order = np.argsort(block, kind="stable")
+            block, at, c, kind = block[order], at[order], c[order], classes.of(word.view(np.uint64), ending)[order]
+            starts = np.concatenate([[0], np.nonzero(np.diff(block))[0] + 1])
+            ends = [*starts[1:], len(block)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(block[starts]), *[pa.array([x[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary()) for x in (at, c, kind)]],
+                ["block", "at", "c", "kind"])
+
+        for batch in batches:
+            if batch.num_rows:
+                kept.append([batch.column(j).to_numpy() for j in range(5)])
+                n += batch.num_rows
+            if n >= GATHERED:
+                yield rows()
+                kept, n = [], 0
+        if n:
+            yield rows()
+
+    return words.select("block", "at", "c", "word", "ending").mapInArrow(run, "block bigint, at binary, c binary, kind binary")
+
+
 def own_classes(counts: DataFrame, total: int) -> Classes:
     """At most 1/OWN_SHARE words reach the driver."""
     often = counts.where((F.col("c") >= OWN_COUNT) & (F.col("c") >= OWN_SHARE * total)).select("word").toPandas()["word"]
@@ -293,13 +363,14 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     Learns from the rows for which ``held`` is false.  Tokens are the words,
     lower-cased in A-Z, and one end.  base_score is the smoothed unigram; score
     the model's probability of the whole text.  Word counts are joined as (word,
-    block) rows: each block of documents sends each of its words once.  A null
-    text is empty; null ids and repeated rows come out as they are; without
-    training rows all words are equally unknown; an empty table gives an empty result;
-    other columns are not read.
+    block) rows: each block of documents sends each of its words once, and is
+    then stored as the classes of its words, which training and scoring read.
+    A null text is empty; null ids and repeated rows come out as they are;
+    without training rows all words are equally unknown; an empty table gives an
+    empty result; other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(False)).alias("held"), F.col(text_col).alias("text"))
-    blocks = saved(pack(rows), "blocks")
+    blocks = saved(pack(rows), "blocks", FILE_PIECES)
     entries, counts = word_counts(blocks)
     distinct = blocks.select(F.explode("held").alias("held")).agg(F.sum(F.when(~F.col("held"), 1).otherwise(0)).alias("n"))
     texts = distinct.first()["n"] or 0  # every training text has one end
@@ -307,46 +378,64 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     total, vocabulary = (summed["n"] or 0) + texts, summed["v"] + (texts > 0)
     base_total = total + 0.5 * (vocabulary + 1)
     classes = own_classes(counts, total)
-    model = train(blocks, classes, states)
-    looked_up = saved(entries.join(counts, "word").select("block", "at", "c"), "counts")
     # Tokens and words of the shared classes; a class of its own has one word.
     shared_words = counts.where((F.col("c") < OWN_COUNT) | (F.col("c") < OWN_SHARE * total))
     tables = shared_words.groupBy("ending").agg(F.sum("c").alias("n"), F.count("*").alias("v")).toPandas()
     n_class, v_class = np.zeros(1 + ENDINGS), np.zeros(1 + ENDINGS)
     n_class[tables["ending"] + 1], v_class[tables["ending"] + 1] = tables["n"], tables["v"]
 
-    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+    def classed(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Pieces of one block with the classes of their words, and the parts of the scores that need the counts."""
+        order = np.argsort(left.column("piece").to_numpy())
+        kinds = np.concatenate([numbers_of(left, "endings", i, np.int16) for i in order]).astype(np.int32) + 1
+        count = np.zeros(len(kinds), np.int64)
+        for i in range(right.num_rows):
+            at = numbers_of(right, "at", i, np.int32)
+            count[at], kinds[at] = numbers_of(right, "c", i, np.int64), numbers_of(right, "kind", i, np.int32)
+        base = np.log10((count + 0.5) / base_total)
+        ending = np.minimum(kinds, ENDINGS)
+        inner = np.where(kinds > ENDINGS, 0.0, np.log10((count + 0.5) / (n_class + 0.5 * (v_class + 1))[ending]))
         out = []
-        for batch in left.to_batches():
-            for i in range(batch.num_rows):
-                block = unpacked(batch, i)
-                lengths, kinds = block["lengths"], classes.of(block["hashes"], block["endings"])
-                count = np.zeros(len(kinds), np.int64)
-                count[right.column("at").to_numpy()] = right.column("c").to_numpy()
-                base = np.log10((count + 0.5) / base_total)
-                ending = np.minimum(kinds, ENDINGS)
-                inner = np.where(kinds > ENDINGS, 0.0, np.log10((count + 0.5) / (n_class + 0.5 * (v_class + 1))[ending]))
-                sums = np.concatenate([[0], np.cumsum(lengths)])
-
-                def per_text(values):
-                    each = values[block["words"]]
-                    return np.array([each[s:e].sum() for s, e in zip(sums[:-1], sums[1:])], values.dtype)
-
-                likely = log_likelihood(model, ragged(*with_ends(kinds[block["words"]], lengths)))
-                out.append(pa.Table.from_arrays(
-                    [batch.column("ids")[i].values, pa.array(block["held"]), pa.array(lengths + 1),
-                     pa.array(per_text((count > 0).astype(np.int64)) + (texts > 0)),
-                     pa.array(np.full(len(lengths), total, np.int64)),
-                     pa.array(per_text(base) + np.log10((texts + 0.5) / base_total)), pa.array(likely + per_text(inner))],
-                    ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
-        return pa.concat_tables(out) if out else pa.Table.from_arrays([pa.array([], f.type) for f in result], schema=result)
+        for i in order:
+            words, lengths = unpacked(left, "words", i), listed(left, "lengths", i, np.int64)
+            sums = np.concatenate([[0], np.cumsum(lengths)])
+
+            def per_text(values):
+                each = values[words]
+                return [each[s:e].sum() for s, e in zip(sums[:-1], sums[1:])]
+
+            out.append(pa.Table.from_arrays(
+                [*[left.column(c).slice(i, 1) for c in ("ids", "held", "lengths")], pa.array([per_text((count > 0).astype(np.int64))]),
+                 pa.array([per_text(base)]), pa.array([per_text(inner)]), pa.array([packed(kinds[words])], pa.binary())],
+                ["ids", "held", "lengths", "known", "base", "inner", "kinds"]))
+        return pa.concat_tables(out)
 
     id_type = rows.schema["id"].dataType
-    result = pa.schema([("id", to_arrow_type(id_type)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                        ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+    # Both sides are dealt to a number of tasks that follows the blocks, so a task's share does not grow with the corpus.
+    tasks = -(-blocks.where("piece = 0").count() // TASK_BLOCKS) or 1
+    looked_up = by_block(entries.join(counts, "word"), classes)
+    both = (blocks.drop("first", "hashes", "seen").repartition(tasks, "block").groupBy("block")
+            .cogroup(looked_up.repartition(tasks, "block").groupBy("block")))
+    sequences = saved(both.applyInArrow(
+        classed, f"ids array<{id_type.simpleString()}>, held array<boolean>, lengths array<int>, known array<bigint>, "
+                 "base array<double>, inner array<double>, kinds binary"), "sequences", FILE_PIECES)
+    model = train(sequences, classes, states)
+
+    def scored(batches):
+        for batch in batches:
+            words = np.array([int(listed(batch, "lengths", i, np.int64).sum()) for i in range(batch.num_rows)], np.int64)
+            for part, _ in portions(words, SCORED_WORDS):
+                some = batch.slice(part.start, part.stop - part.start)
+                flat = lambda name: pa.concat_arrays([some.column(name)[i].values for i in range(some.num_rows)])  # noqa: E731, B023
+                lengths = flat("lengths").to_numpy().astype(np.int64)
+                kinds = np.concatenate([unpacked(some, "kinds", i) for i in range(some.num_rows)])
+                likely = log_likelihood(model, ragged(*with_ends(kinds, lengths)))
+                yield pa.RecordBatch.from_arrays(
+                    [flat("ids"), flat("held"), pa.array(lengths + 1), pa.array(flat("known").to_numpy() + (texts > 0)),
+                     pa.array(np.full(len(lengths), total, np.int64)),
+                     pa.array(flat("base").to_numpy() + np.log10((texts + 0.5) / base_total)), pa.array(likely + flat("inner").to_numpy())],
+                    ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
     schema = (f"id {id_type.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
               "base_score double, score double")
-    # Both sides are dealt to a number of tasks that follows the blocks, so a task's share does not grow with the corpus.
-    tasks = -(-blocks.count() // TASK_BLOCKS) or 1
-    both = blocks.repartition(tasks, "block").groupBy("block").cogroup(looked_up.repartition(tasks, "block").groupBy("block"))
-    return both.applyInArrow(scored, schema).withColumnRenamed("id", id_col)
+    return sequences.mapInArrow(scored, schema).withColumnRenamed("id", id_col)

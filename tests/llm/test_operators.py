@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -220,6 +221,29 @@ def test_hmm_scores(docs):
     assert np.isfinite(got["score"]).all() and (got["score"] < 0).all()
 
 
+def test_rows_of_blocks_are_small(spark):
+    """A block's pieces are rows of about PIECE_BYTES of text, and list its distinct words once, in the order of their numbers."""
+    rows = [(i, False, " ".join(random.Random(i).choices(WORDS, k=20_000))) for i in range(60)]
+    blocks = hmm.pack(spark.createDataFrame(rows, "id long, held boolean, text string").coalesce(1)).toPandas()
+    assert blocks["lengths"].map(sum).max() < 700_000 and blocks["lengths"].map(sum).sum() == 60 * 20_000
+    for _, block in blocks.sort_values("piece").groupby("block"):
+        names, seen = (np.frombuffer(b"".join(block[c]), t) for c, t in (("hashes", np.uint64), ("seen", np.int32)))
+        table = pa.Table.from_pandas(block, preserve_index=False)
+        met = np.concatenate([hmm.unpacked(table, "words", i) for i in range(len(block))])
+        assert len(set(names)) == len(names) and (np.bincount(met, minlength=len(names)) == seen).all()
+        assert block["first"].tolist() == [0, *np.cumsum(block["hashes"].map(len) // 8)[:-1]]
+
+
+def test_hmm_scores_do_not_depend_on_the_sizes_of_blocks(docs, monkeypatch):
+    held = F.col("doc_id") % 5 == 1
+    columns = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+    whole = hmm.score(docs.where("doc_id is not null"), held).select(columns).toPandas().sort_values(columns).to_numpy(float)
+    for name, size in (("BLOCK_BYTES", 4000), ("PIECE_BYTES", 900), ("FILE_PIECES", 2), ("GATHERED", 64), ("TRAINED_WORDS", 100), ("SCORED_WORDS", 300)):
+        monkeypatch.setattr(hmm, name, size)
+    parts = hmm.score(docs.where("doc_id is not null"), held).select(columns).toPandas().sort_values(columns).to_numpy(float)
+    assert np.allclose(whole, parts, rtol=1e-5)
+
+
 def test_baum_welch_beats_the_unigram_on_held_out_texts(spark):
     german = "der die das und regen meer stein licht winter haus grün ruhig morgen brief".split()
     rows = [(i, " ".join(random.Random(i).choices(german if i % 2 else WORDS, k=60))) for i in range(200)]
