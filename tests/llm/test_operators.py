@@ -281,6 +281,59 @@ def test_nearest_equals_brute_force_on_a_small_table(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), lambda i: i % 20 == 0).count() == 0
 
 
+def test_queries_and_vectors_are_stored_once_whatever_lists_they_are_in(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(3000, 8)).astype(np.float32)
+    stored, saved = {}, ann.saved
+
+    def noted(df, name, *more):
+        out = saved(df, name, *more)
+        stored[name] = stored.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(ann, "saved", noted)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    whole = ann.nearest(rows, lambda i: i % 20 == 0).orderBy("query_id", "rank").collect()
+    assert stored["probes"] == 150 and sum(n == 3000 for n in stored.values()) == 2 and max(stored.values()) < 150 * 21 * 2
+    monkeypatch.setattr(ann, "QUERY_ROWS", 40)
+    monkeypatch.setattr(ann, "HELD_ROWS", 100)
+    assert ann.nearest(rows, lambda i: i % 20 == 0).orderBy("query_id", "rank").collect() == whole
+    wide, found = x.astype(np.float64), 0
+    for q in range(0, 3000, 20):
+        scores = ann.inner_products(wide[q:q + 1], wide)[0]
+        scores[q] = -np.inf
+        found += len({r["vec_id"] for r in whole if r["query_id"] == q} & set(np.argsort(-scores)[:20]))
+    assert found >= 0.95 * 150 * 20
+
+
+@pytest.mark.parametrize("rows", [7, 1 << 20])
+def test_lists_are_compared_in_parts(monkeypatch, rows):
+    dice = np.random.default_rng(8)
+    q, p = dice.integers(-3, 4, (30, 5)).astype(float), dice.integers(-3, 4, (200, 5)).astype(float)
+    reads, member = dice.random((30, 11)) < 0.4, [sorted(dice.choice(11, dice.integers(1, 5), replace=False)) for _ in p]
+    monkeypatch.setattr(ann, "FOUND_ROWS", rows)
+    monkeypatch.setattr(ann, "PIECE_ROWS", min(rows, 2048))
+    floor = np.where(np.arange(30) % 3 == 0, 4.0, -np.inf)
+    asked = ann.Asked(None, q, np.ascontiguousarray(ann.bits(*np.nonzero(reads), reads.shape).T), floor)
+    i, j, score = ann.compare(asked, pa.array(member, pa.list_(pa.int32())), p, 6)
+    got = list(zip(i.tolist(), j.tolist(), score.tolist()))
+    want = []
+    for a in range(30):
+        near = sorted((-float(q[a] @ p[b]), b) for b in range(200) if reads[a, member[b]].any() and q[a] @ p[b] >= floor[a])
+        want += [(a, b, -s) for s, b in near[:6]]
+    assert got == want
+
+
+@pytest.mark.parametrize("beam", [8, 64, 300])
+def test_search_meets_the_nearest(beam):
+    dice = np.random.default_rng(9)
+    graph, q = ann.graph_of(dice.normal(size=(300, 6)).astype(np.float32)), dice.normal(size=(40, 6)).astype(np.float32)
+    found, apart = ann.search(graph, q, beam)
+    exact = np.sqrt(((graph.points[None] - q[:, None]) ** 2).sum(axis=2))
+    assert (np.diff(apart, axis=1) >= 0).all() and np.allclose(np.take_along_axis(exact, found, axis=1), apart, rtol=1e-5)
+    met = sum(len(set(f) & set(e)) for f, e in zip(found, np.argsort(exact, axis=1)[:, :beam]))
+    assert met >= 0.95 * 40 * beam and all(len(set(f)) == beam for f in found)
+
+
 def test_decontamination_finds_exact_edited_and_partial_copies(spark):
     unique = lambda seed, n: [f"w{random.Random(seed).getrandbits(40) + i:x}" for i in range(n)]
     a, b = unique(1, 40), unique(2, 30)
